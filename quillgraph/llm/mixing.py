@@ -23,18 +23,19 @@ from ._common import col, cut, read
 GROUPS = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "marks": "!#$%&*+<=>@^_|~", "stops": ".,;:?", "line": "\n"}
 
 
-def n_tokens(text: Column) -> Column:
-    """Words between white space; 0 for null."""
-    return F.coalesce(F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")), F.lit(0)).cast("long")
+FEATURES = [*GROUPS, "distinct", "words"]
 
 
-def features(text: Column) -> dict[str, Column]:
-    """log(share + 0.001) of each group, and of the distinct among the words, and log(1 + words)."""
+def with_features(df: DataFrame, text_col: str) -> DataFrame:
+    """df with a column _t of words and one for each feature: log(share + 0.001) of each group, and of the distinct among the words, and log(1 + words)."""
+    text = F.col("_safe")
     n = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.split(text, r"\s+")
-    out = {k: (F.length(text) - F.length(F.translate(text, v, ""))) / n for k, v in GROUPS.items()}
-    out["distinct"] = F.size(F.array_distinct(words)) / F.size(words).cast("double")
-    return {k: F.log(v + 0.001) for k, v in out.items()} | {"words": F.log1p(F.size(words).cast("double"))}
+    out = df.withColumn("_safe", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_words", F.split("_safe", r"\s+"))
+    shares = {k: (F.length(text) - F.length(F.translate(text, v, ""))) / n for k, v in GROUPS.items()}
+    shares["distinct"] = F.size(F.array_distinct("_words")) / F.size("_words").cast("double")
+    logs = {k: F.log(v + 0.001) for k, v in shares.items()} | {"words": F.log1p(F.size("_words").cast("double"))}
+    tokens = (F.size("_words") - (F.substring("_safe", 1, 1).rlike(r"^\s") | (F.col("_safe") == "")).cast("int") - F.substring("_safe", -1, 1).rlike(r"^\s").cast("int")).cast("long")
+    return out.withColumns({"_t": F.greatest(tokens, F.lit(0).cast("long"))} | {f"_f_{k}": c for k, c in logs.items()}).drop("_safe", "_words")
 
 
 @dataclass(frozen=True)
@@ -46,19 +47,20 @@ class DomainModel:
     means: list[dict[str, float]]
     variances: list[dict[str, float]]
 
-    def posteriors(self, text: Column) -> Column:
-        """array<double>, summing to one; of a null text, those of an empty one."""
-        x = features(F.coalesce(text, F.lit("")))
-        scores = []
-        for prior, mean, var in zip(self.priors, self.means, self.variances, strict=True):
+    def with_posteriors(self, df: DataFrame) -> DataFrame:
+        """df(_f_...) with a column p, array<double>, summing to one."""
+        scores = {}
+        for k, (prior, mean, var) in enumerate(zip(self.priors, self.means, self.variances, strict=True)):
             s = F.lit(log(prior))
-            for f, c in x.items():
-                s = s - F.lit(0.5 * log(2 * pi * var[f])) - (c - mean[f]) * (c - mean[f]) / (2 * var[f])
-            scores.append(s)
-        raw = F.array(*scores)
-        shifted = F.transform(raw, lambda s: F.exp(s - F.array_max(raw)))
-        total = F.aggregate(shifted, F.lit(0.0), lambda a, b: a + b)
-        return F.transform(shifted, lambda s: s / total)
+            for f in FEATURES:
+                d = F.col(f"_f_{f}") - mean[f]
+                s = s - F.lit(0.5 * log(2 * pi * var[f])) - d * d / (2 * var[f])
+            scores[f"_s_{k}"] = s
+        names = list(scores)
+        top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
+        out = df.withColumns(scores).withColumn("_top", top).withColumns({n: F.exp(F.col(n) - F.col("_top")) for n in names})
+        out = out.withColumn("_all", sum((F.col(n) for n in names), F.lit(0.0)))
+        return out.withColumn("p", F.array(*(F.col(n) / F.col("_all") for n in names))).drop("_top", "_all", *names)
 
 
 def fit_domains(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str, label_col: str, max_train: int = 20_000) -> DomainModel:
@@ -67,20 +69,19 @@ def fit_domains(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     Rows with a null id, null label or without document don't count. Repeated documents count as often as they are there.
     """
     chosen = labels.select(col(label_id).cast("long").alias("_id"), col(label_col).cast("string").alias("_domain")).dropna().orderBy(F.xxhash64("_id"), "_id", "_domain").limit(max_train)
-    x = features(F.coalesce(F.col("_text"), F.lit("")))
+    texts = df.select(col(id_col).cast("long").alias("_id"), col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id")
+    x = [f"_f_{k}" for k in FEATURES]
     rows = (
-        df.select(col(id_col).cast("long").alias("_id"), col(text_col).cast("string").alias("_text"))
-        .join(F.broadcast(chosen), "_id")
-        .select("_domain", *(c.alias(k) for k, c in x.items()))
+        with_features(texts, "_text")
         .groupBy("_domain")
-        .agg(F.count("*").alias("n"), *(F.avg(k).alias(f"m_{k}") for k in x), *(F.var_pop(k).alias(f"v_{k}") for k in x))
+        .agg(F.count("*").alias("n"), *(F.avg(k).alias(f"m{k}") for k in x), *(F.var_pop(k).alias(f"v{k}") for k in x))
         .orderBy("_domain")
         .collect()
     )
     if not rows:
         raise ValueError("no labelled document to fit domains on")
     total = sum(r.n for r in rows)
-    return DomainModel([r["_domain"] for r in rows], [r.n / total for r in rows], [{k: r[f"m_{k}"] for k in x} for r in rows], [{k: max(r[f"v_{k}"], 0.01) for k in x} for r in rows])
+    return DomainModel([r["_domain"] for r in rows], [r.n / total for r in rows], [{k: r[f"m_f_{k}"] for k in FEATURES} for r in rows], [{k: max(r[f"v_f_{k}"], 0.01) for k in FEATURES} for r in rows])
 
 
 def fit_rates(df: DataFrame, targets: list[float], total: float | None = None, floor: float = 0.0, ridge: float = 1e-3, tolerance: float = 1e-4, max_steps: int = 60) -> DataFrame:
@@ -128,12 +129,13 @@ def mix(df: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str
     `floor` allows from 1 on.
     """
     docs = df.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("_text"))
+    ready = with_features(docs, "_text").drop("_text")
     try:
         model = fit_domains(df, labels, id_col, text_col, label_id, label_col, max_train)
-        p, names = model.posteriors(F.col("_text")), model.domains
+        names, ready = model.domains, model.with_posteriors(ready)
     except ValueError:
-        p, names = F.array(F.lit(1.0)), [""]
-    scored = cut(docs.select("doc_id", n_tokens(F.col("_text")).alias("t"), p.alias("p")))
+        names, ready = [""], ready.withColumn("p", F.array(F.lit(1.0)))
+    scored = cut(ready.select("doc_id", F.col("_t").alias("t"), "p"))
     rated = fit_rates(scored, [float(targets.get(n, 0)) for n in names], **options)
     top = F.array_max("p")
     return rated.select("doc_id", F.col("t").alias("n_tokens"), F.array(*map(F.lit, names))[F.array_position("p", top).cast("int") - 1].alias("domain"), F.round(top, 6).alias("posterior"), F.round("rate", 6).alias("rate"))

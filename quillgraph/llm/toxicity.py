@@ -63,7 +63,7 @@ class OrdinalModel:
         return score
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, l1: float = 2e-4, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, l1: float = 2e-5, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by accelerated proximal gradient descent on the mean log loss plus l1 * |weights|."""
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     at = np.array([i for r in rows for i in r], dtype=np.int64)
@@ -146,7 +146,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     return OrdinalModel({r.f: float(w[i]) for i, r in enumerate(top) if w[i]}, [float(t) for t in theta])
 
 
-def score_toxicity(df: DataFrame, model: OrdinalModel, id_col: str, text_col: str, reject: float = 0.5) -> DataFrame:
+def score_toxicity(df: DataFrame, model: OrdinalModel, id_col: str, text_col: str, reject: float = 0.2) -> DataFrame:
     """(doc_id, grade, severity, p_toxic, toxic) for each row; toxic where P(grade > 0) >= reject.
 
     grade: the likeliest, ties to the lower. Null and empty texts have no feature and get the thresholds' grades. Repeated
@@ -164,7 +164,7 @@ def score_toxicity(df: DataFrame, model: OrdinalModel, id_col: str, text_col: st
     return map_rows(df.select(col(id_col).cast("long"), col(text_col).cast("string")), rows, schema, "doc_id long, grade int, severity double, p_toxic double, toxic boolean")
 
 
-def drop_toxic(df: DataFrame, model: OrdinalModel, text_col: str, reject: float = 0.5) -> DataFrame:
+def drop_toxic(df: DataFrame, model: OrdinalModel, text_col: str, reject: float = 0.2) -> DataFrame:
     """df without the rows that score_toxicity would call toxic; all its columns stay."""
 
     @F.pandas_udf("boolean")
