@@ -19,6 +19,14 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the folder that all executors share and drop the lineage.
 

@@ -28,6 +28,7 @@ RAW = set("script style textarea title noscript iframe xmp noembed noframes".spl
 DROPPED = set("script style noscript iframe template head title nav footer aside form button select textarea svg canvas object embed audio video dialog menu map math".split())
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = BLOCK - set("html head body dd dt li legend optgroup option tbody td tfoot th thead title tr".split()) | {"li", "dd", "dt"}
+INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 BOILERPLATE = set("nav navbar navigation menu masthead topbar toolbar header footer sidebar aside widget widgets ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager comment comments commentlist disqus respond replies reply discussion copyright legal disclaimer search skip".split())
 #: Which open elements a start tag ends, and which ones stop the search for them.
@@ -142,7 +143,10 @@ def extract(source: str | None) -> str:
             link_chars[p] += link_chars[i]
             count[p] += count[i] + 1
             links[p] += links[i] + (tags[i] == "a")
-            kids[p].append(i)
+            if tags[i] not in INLINE:
+                while tags[p] in INLINE and p > 0:
+                    p = parent[p]
+                kids[p].append(i)
     body = next((i for i, t in enumerate(tags) if t == "body" and not out[i]), 0)
     if not chars[body]:
         body = 0
@@ -160,7 +164,8 @@ def extract(source: str | None) -> str:
         return c / t * max(log(c / max(lc, 1) * t / max(lt, 1)), 0.0) / base
 
     dense = [0.0 if out[i] else density(i) for i in range(n)]
-    total = [sum(dense[k] for k in kids[i]) if kids[i] else dense[i] for i in range(n)]
+    # Formatting elements are no containers: their own containers stand for them.
+    total = [-1.0 if tags[i] in INLINE else sum(dense[k] for k in kids[i]) if kids[i] else dense[i] for i in range(n)]
     last = list(range(n))  # last node of each subtree
     for i in range(n - 1, 0, -1):
         last[parent[i]] = max(last[parent[i]], last[i])
@@ -180,7 +185,7 @@ def extract(source: str | None) -> str:
     while i <= last[scope]:
         if out[i] or i in marks:
             i = last[i] + 1
-        elif dense[i] >= threshold and not i <= core <= last[i]:
+        elif dense[i] >= threshold and tags[i] not in INLINE and not i <= core <= last[i]:
             marks.add(greatest(i))
             i = last[i] + 1
         else:

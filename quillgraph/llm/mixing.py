@@ -17,7 +17,7 @@ from math import log, pi
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import col, cut, read
+from ._common import col, cut, fresh, read
 
 #: Character groups whose shares of a text are features.
 GROUPS = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "marks": "!#$%&*+<=>@^_|~", "stops": ".,;:?", "line": "\n"}
@@ -146,11 +146,11 @@ def copies(df: DataFrame, rates: DataFrame, id_col: str = "doc_id", floor: int =
 
     rates: (doc_id, rate); of several rows of one id the highest counts. Rows whose id has no rate, or is null, stay as they are.
     """
-    key = F.col("_key")
-    n = F.floor("_rate") + F.when(F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1_000_000)) / 1e6 < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
-    chosen = rates.groupBy(F.col("doc_id").alias("_key")).agg(F.max("rate").alias("_rate")).select("_key", F.greatest(n, F.lit(floor)).cast("int").alias("_n")).filter("_n <> 1")
-    out = df.join(chosen, col(id_col).cast("long") == key, "left")
-    return out.withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.coalesce("_n", F.lit(1))))).select(*(col(c) for c in df.columns))
+    key, times = fresh(df, "_key"), fresh(df, "_n")
+    n = F.floor("rate") + F.when(F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1_000_000)) / 1e6 < F.col("rate") - F.floor("rate"), 1).otherwise(0)
+    chosen = rates.groupBy("doc_id").agg(F.max("rate").alias("rate")).select(F.col("doc_id").alias(key), F.greatest(n, F.lit(floor)).cast("int").alias(times)).filter(F.col(times) != 1)
+    out = df.join(chosen, col(id_col).cast("long") == F.col(key), "left")
+    return out.withColumn(times, F.explode(F.array_repeat(F.lit(0), F.coalesce(times, F.lit(1))))).select(*(col(c) for c in df.columns))
 
 
 #: Shares of expected tokens by the label `quality`.

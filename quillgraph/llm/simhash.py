@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import col, cut, map_rows, partitions_for
+from ._common import col, cut, fresh, map_rows, partitions_for
 
 _ODD = 0x5555555555555555
 
@@ -193,11 +193,12 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Of rows that repeat this id one stays. All columns stay.
     """
+    key = fresh(df, "_id")
     marks = near_duplicates(df, id_col, text_col, **options).filter(F.col("doc_id").isNotNull())
     ids = cut(marks.groupBy(F.col("doc_id").alias("_id")).agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("first"), F.count("*").alias("n")).filter("not first or n > 1"))
-    same = col(id_col).cast("long") == F.col("_id")
-    kept = df.join(ids.filter("not first"), same, "left_anti")
-    again = ids.filter("first")
+    same = col(id_col).cast("long") == F.col(key)
+    kept = df.join(ids.filter("not first").select(F.col("_id").alias(key)), same, "left_anti")
+    again = ids.filter("first").select(F.col("_id").alias(key))
     if again.isEmpty():
         return kept
     return kept.join(again, same, "left_anti").unionAll(kept.join(again, same, "left_semi").dropDuplicates([id_col]))

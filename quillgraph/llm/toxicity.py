@@ -63,8 +63,9 @@ class OrdinalModel:
         return score
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, l1: float = 2e-5, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by accelerated proximal gradient descent on the mean log loss plus l1 * |weights|."""
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, prior: float = 0.25, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds by accelerated proximal gradient descent on the mean log loss plus prior / rows * |weights|."""
+    l1 = prior / max(len(rows), 1)
     row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     at = np.array([i for r in rows for i in r], dtype=np.int64)
     w, rest = np.zeros(n_features), np.array([1 - (grades > k).mean() for k in range(n_grades - 1)]).clip(1e-3, 1 - 1e-3)
@@ -126,9 +127,10 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
     if len(n) < 2:
         sure = 30.0 if n.get(1) else -30.0
         return OrdinalModel({}, [-sure] * GRADES)
-    held = sample.select("toxic", F.explode("feats").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")).filter("n >= 3 and a >= 1")
+    held = sample.select("toxic", F.explode("feats").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     expected = F.col("n") * (n[1] / (n[0] + n[1]))
-    top = held.withColumn("chi", (F.col("a") - expected) * (F.col("a") - expected) / expected).orderBy(F.desc("chi"), "f").limit(max_features).collect()
+    top = held.withColumn("chi", (F.col("a") - expected) * (F.col("a") - expected) / expected).filter("n >= 3 and chi > 10").orderBy(F.desc("chi"), "f").limit(max_features).collect()
+    # chi > 10: tied to toxicity, by the chi-squared part of the toxic rows, beyond chance.
     index = {r.f: i for i, r in enumerate(top)}
     # A marker is far more frequent among toxic rows: its rate there is over ten times that among clean ones.
     markers = {i for i, r in enumerate(top) if r.a >= 3 and (r.a + 0.1) / n[1] > 10 * (r.n - r.a + 0.1) / n[0]}
