@@ -2,8 +2,9 @@
 
 Components become integers; an approximation keeps of each only its cell, one of a few equal intervals of the
 table's range. Queries go in blocks of fixed size. For a block each task scans its cells for upper and
-lower bounds of every score, and then reads exact vectors in the order of their upper bounds, in
-waves, until no bound left reaches the query's kth best score.
+lower bounds of every score (as all cells are equally wide, one product of the queries and the cells' first
+values gives both), and then reads exact vectors in the order of their upper bounds, in waves, until no bound
+left reaches the query's kth best score.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ._common import col, cut, read
 
-CELLS = 16
+CELLS = 64
 
 
 def integers(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -28,18 +29,16 @@ def integers(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataF
 
 
 class Cells:
-    """Equal intervals between low and high; a code's bounds hold for every value that has it."""
+    """Intervals of `width` integers from low on; a code's value lies between its first integer and width - 1 above."""
 
     def __init__(self, low: float, high: float, cells: int = CELLS):
-        self.low, self.width = low, max((high - low) / cells, 1.0)
-        self.cells = cells
+        self.low, self.width = low, float(np.ceil((high - low + 1) / cells))
 
     def codes(self, v: np.ndarray) -> np.ndarray:
-        return np.clip(np.floor((v - self.low) / self.width), 0, self.cells - 1).astype(np.uint8)
+        return np.floor((v - self.low) / self.width).astype(np.uint8)
 
-    def bounds(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        lo = np.floor(self.low + codes * self.width) - 1
-        return lo, lo + np.ceil(self.width) + 2
+    def first(self, codes: np.ndarray) -> np.ndarray:
+        return self.low + codes * self.width
 
 
 class Best:
@@ -59,40 +58,52 @@ class Best:
             self.score[q], self.id[q] = s[order], i[order]
 
 
-def scan_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, cells: Cells, best: Best, wave: int = 64) -> int:
-    """Adds to `best` what these vectors hold; returns how many exact vectors it read. Equal ids don't meet."""
-    k = best.score.shape[1]
-    order = np.lexsort((ids, *vectors.T[::-1])) if vectors.shape[1] else np.argsort(ids, kind="stable")
-    vectors, ids = vectors[order], ids[order]
-    # Equal vectors score alike and smaller ids go first, so of a run only k + 1 (one may be the query's own) can count.
-    new = np.r_[True, (vectors[1:] != vectors[:-1]).any(axis=1)]
-    start = np.flatnonzero(new)
-    nth = np.arange(len(ids)) - np.repeat(start, np.diff(np.r_[start, len(ids)]))
-    repeats = np.r_[False, (ids[1:] == ids[:-1]) & ~new[1:]]
-    keep = (nth <= k) | (np.cumsum(repeats) > 0)  # where ids repeat, all stay
-    vectors, ids = vectors[keep], ids[keep]
-    low, high = cells.bounds(cells.codes(vectors))
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    upper = up @ high.T + down @ low.T
-    lower = up @ low.T + down @ high.T
-    own = query_ids[:, None] == ids[None, :]
-    upper[own] = lower[own] = -np.inf
-    n, read = len(ids), 0
-    sure = np.partition(lower, n - k, axis=1)[:, n - k] if n >= k else np.full(len(queries), -np.inf)
-    need = np.maximum(sure, best.score[:, -1])
-    rank = np.argsort(-upper, axis=1, kind="stable")
-    for lo in range(0, n, wave):
-        part = rank[:, lo : lo + wave]
-        bound = np.take_along_axis(upper, part, axis=1)
-        go = (bound >= need[:, None]) & (bound > -np.inf)
-        if not go.any():
-            break
-        at, slot = np.nonzero(go)
-        which = part[at, slot]
-        best.add(at, np.einsum("ij,ij->i", queries[at], vectors[which]), ids[which])
-        read += len(at)
-        need = np.maximum(need, best.score[:, -1])
-    return read
+class Chunk:
+    """Vectors with their approximations. Of equal vectors only the k + 1 least ids stay.
+
+    They score alike and smaller ids go first, and one of them may be the query's own, so no other can count. Where
+    rows repeat an id, all stay.
+    """
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, cells: Cells, k: int):
+        order = np.lexsort((ids, *vectors.T[::-1]))
+        vectors, ids = vectors[order], ids[order]
+        new = np.r_[True, (vectors[1:] != vectors[:-1]).any(axis=1)]
+        start = np.flatnonzero(new)
+        nth = np.arange(len(ids)) - np.repeat(start, np.diff(np.r_[start, len(ids)]))
+        keep = nth <= k if not (np.diff(np.sort(ids)) == 0).any() else slice(None)
+        self.vectors, self.ids = vectors[keep], ids[keep]
+        self.cells, self.codes = cells, cells.codes(self.vectors)
+
+    def search(self, queries: np.ndarray, query_ids: np.ndarray, best: Best, wave: int = 64) -> int:
+        """Adds to `best` what the chunk holds; returns how many exact vectors it read. Equal ids don't meet."""
+        k, n = best.score.shape[1], len(self.ids)
+        first = self.cells.first(self.codes)
+        largest = max(np.abs(queries).max(initial=0), 1) * (np.abs(first).max(initial=0) + self.cells.width) * max(queries.shape[1], 1)
+        kind = np.float32 if largest < 1 << 23 else np.float64  # all sums are exact
+        base = queries.astype(kind) @ first.astype(kind).T
+        base[query_ids[:, None] == self.ids[None, :]] = -np.inf
+        above = (self.cells.width - 1) * np.maximum(queries, 0).sum(axis=1)
+        below = (self.cells.width - 1) * np.minimum(queries, 0).sum(axis=1)
+        need = best.score[:, -1]
+        unsure = np.flatnonzero(need == -np.inf)
+        if n >= k and len(unsure):
+            need = need.copy()
+            need[unsure] = np.partition(base[unsure], n - k, axis=1)[:, n - k] + below[unsure]
+        at, which = np.nonzero((base >= (need - above)[:, None]) & (base > -np.inf))
+        bound = base[at, which] + above[at]
+        order = np.lexsort((-bound, at))
+        at, which, bound = at[order], which[order], bound[order]
+        start = np.searchsorted(at, np.arange(len(queries)))
+        rank, read = np.arange(len(at)) - start[at], 0
+        for lo in range(0, n, wave):
+            go = (rank >= lo) & (rank < lo + wave) & (bound >= best.score[at, -1])
+            if not go.any():
+                break
+            a, w = at[go], which[go]
+            best.add(a, np.einsum("ij,ij->i", queries[a], self.vectors[w]), self.ids[w])
+            read += len(a)
+        return read
 
 
 def top_k(df: DataFrame, id_col: str, vector_col: str, every: int = 20, k: int = 20, scale: float = 64.0, block: int = 2048) -> DataFrame:
@@ -127,7 +138,7 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, every: int = 20, k: int =
     return every_part.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _searcher(mine: list[tuple], cells: Cells, k: int, chunk: int = 4096, at_once: int = 256):
+def _searcher(mine: list[tuple], cells: Cells, k: int, chunk: int = 16384, at_once: int = 256):
     def run(batches):
         query_ids, queries = np.array([i for i, _ in mine]), np.array([v for _, v in mine], dtype=np.float64).reshape(len(mine), -1)
         best = Best(len(mine), k)
@@ -135,10 +146,11 @@ def _searcher(mine: list[tuple], cells: Cells, k: int, chunk: int = 4096, at_onc
             ids = b.column(0).to_numpy()
             flat = b.column(1).flatten().to_numpy().reshape(len(ids), -1) if len(ids) else np.zeros((0, 0))
             for lo in range(0, len(ids), chunk):
+                held = Chunk(flat[lo : lo + chunk], ids[lo : lo + chunk], cells, k)
                 for q in range(0, len(mine), at_once):
                     part = Best(0, k)
                     part.score, part.id = best.score[q : q + at_once], best.id[q : q + at_once]  # views
-                    scan_block(queries[q : q + at_once], query_ids[q : q + at_once], flat[lo : lo + chunk], ids[lo : lo + chunk], cells, part)
+                    held.search(queries[q : q + at_once], query_ids[q : q + at_once], part)
         at, slot = np.nonzero(best.score > -np.inf)
         for lo in range(0, len(at), 100_000):
             a, s = at[lo : lo + 100_000], slot[lo : lo + 100_000]

@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillgraph.llm.topk import Best, Cells, scan_block, top_k
+from quillgraph.llm.topk import Best, Cells, Chunk, top_k
 
 from .helpers import rows
 
@@ -42,10 +42,10 @@ def test_bounds_hold_and_spare_reads():
     rng = np.random.default_rng(1)
     v = np.floor(rng.normal(0, 20, (2000, 8)))
     cells = Cells(v.min(), v.max())
-    low, high = cells.bounds(cells.codes(v))
-    assert (low <= v).all() and (v <= high).all()
+    low = cells.first(cells.codes(v))
+    assert (low <= v).all() and (v <= low + cells.width - 1).all()
     best = Best(10, 5)
-    read = scan_block(v[:10], np.arange(10), v, np.arange(2000), cells, best)
+    read = Chunk(v, np.arange(2000), cells, 5).search(v[:10], np.arange(10), best)
     exact = v[:10] @ v.T
     exact[np.arange(10), np.arange(10)] = -np.inf
     assert (best.score == -np.sort(-exact, axis=1)[:, :5]).all() and read < 0.5 * 20_000
