@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ._common import col, cut, fresh, read
 
 #: Character groups whose shares of a text are features.
-GROUPS = {"upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": "0123456789", "marks": "!#$%&*+<=>@^_|~", "stops": ".,;:?", "line": "\n"}
+GROUPS = {"upper": "[A-Z]", "digit": "[0-9]", "marks": "[!#$%&*+<=>@^_|~]", "stops": "[.,;:?]", "line": "\n"}
 
 
 FEATURES = [*GROUPS, "distinct", "words"]
@@ -31,7 +31,7 @@ def with_features(df: DataFrame, text_col: str) -> DataFrame:
     text = F.col("_safe")
     n = F.greatest(F.length(text), F.lit(1)).cast("double")
     out = df.withColumn("_safe", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_words", F.split("_safe", r"\s+"))
-    shares = {k: (F.length(text) - F.length(F.translate(text, v, ""))) / n for k, v in GROUPS.items()}
+    shares = {k: F.regexp_count(text, F.lit(v)) / n for k, v in GROUPS.items()}
     shares["distinct"] = F.size(F.array_distinct("_words")) / F.size("_words").cast("double")
     logs = {k: F.log(v + 0.001) for k, v in shares.items()} | {"words": F.log1p(F.size("_words").cast("double"))}
     tokens = (F.size("_words") - (F.substring("_safe", 1, 1).rlike(r"^\s") | (F.col("_safe") == "")).cast("int") - F.substring("_safe", -1, 1).rlike(r"^\s").cast("int")).cast("long")
