@@ -47,8 +47,7 @@ class _Anchors(HTMLParser):
             self.title, self._h1 = self._h1.strip(), None
 
 
-@F.pandas_udf("struct<title:string,links:array<struct<href:string,label:string>>>")
-def page_parts(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
+def _page_parts(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
     titles, links = [], []
     for url, html in zip(urls, pages, strict=True):
         p = _Anchors()
@@ -59,6 +58,11 @@ def page_parts(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"title": titles, "links": links})
 
 
+def page_parts(url: Column | str, html: Column | str) -> Column:
+    """struct(title: of the first h1, links: array of (href made absolute, label) in page order)."""
+    return F.pandas_udf(_page_parts, "struct<title:string,links:array<struct<href:string,label:string>>>")(url, html)
+
+
 def listing_links(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """(url, kind, pos): same-site links of pages(url, html) that a rule fits, each URL once, at its first place."""
     at = pages.withColumn("_p", page_parts("url", "html")).select(F.col("url").alias("_page"), F.posexplode("_p.links").alias("pos", "_l"))

@@ -43,6 +43,21 @@ def closeness(a_raw: str, b_raw: str, byline: str | None = None, at_least: float
     return m.ratio()
 
 
+def _chooser(rows: list[tuple[int, str]], byline: str | None):
+    def best(titles: pd.Series) -> pd.DataFrame:
+        found = []
+        for t in titles:
+            top = (0.0, None)
+            for idx, other in rows if t is not None else ():
+                s = closeness(t, other, byline, top[0])
+                if s > top[0]:
+                    top = (s, idx)
+            found.append(top)
+        return pd.DataFrame({"score": [f[0] for f in found], "idx": pd.array([f[1] for f in found], dtype="Int64")})
+
+    return best
+
+
 def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = None, block: int = 20_000) -> DataFrame:
     """left(title, ...) with cand_idx, score: the best of candidates(idx, title), of equal scores the least idx.
 
@@ -56,18 +71,7 @@ def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = Non
     for i in range(blocks):
         rows = sorted((r.idx, r.title) for r in tagged.filter(F.col("_block") == i).select("idx", "title").collect() if r.title is not None)
 
-        @F.pandas_udf("struct<score:double,idx:bigint>")
-        def best(titles: pd.Series, rows=rows) -> pd.DataFrame:
-            found = []
-            for t in titles:
-                top = (0.0, None)
-                for idx, other in rows if t is not None else ():
-                    s = closeness(t, other, byline, top[0])
-                    if s > top[0]:
-                        top = (s, idx)
-                found.append(top)
-            return pd.DataFrame({"score": [f[0] for f in found], "idx": pd.array([f[1] for f in found], dtype="Int64")})
-
+        best = F.pandas_udf(_chooser(rows, byline), "struct<score:double,idx:bigint>")
         now, new = F.col("_best"), F.col("_new")
         better = (new["score"] > F.coalesce(now["score"], F.lit(0.0))) | (new["score"] == now["score"]) & (new["idx"] < now["idx"])
         out = out.withColumn("_new", best("title")).withColumn("_best", F.when(better, new).otherwise(now)).drop("_new")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 CANDIDATE_CONCEPTS = "id int, episode_id string, proposed_label string, proposed_def string, source_note string, status string, reviewer_notes string, created_at timestamp"
 CANDIDATE_LINKS = "id int, subject_label string, predicate string, object_label string, rationale string, status string, reviewer_notes string, created_at timestamp"
-ENTITIES = "id int, entity_text string, entity_type string, source_file string, source_type string, occurrence_count int"
+ENTITIES = "id int, entity_text string, entity_type string, source_file string, source_type string, occurrence_count long"
 MANIFEST = "episode_url string, type string, title string, transcript_url string, local_filename string"
 
 
