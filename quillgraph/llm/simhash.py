@@ -179,13 +179,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     component: component_id is null where a component has no other. Repeated rows stay repeated; other columns are ignored.
     """
     prints = cut(fingerprints(df, id_col, text_col, words))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     roots = cut(connected(near_links(distinct.select("fp"), t, cell_cap)))
     linked = roots.join(distinct, roots.u == distinct.fp).select("fp", "root", "least")
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = linked.join(named, "root").select("fp", "component_id")
-    names = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
+    names = cut(distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "n"))
+    # Fingerprints with over a 2000th of all rows are fewer than 2000, so that they can be broadcast; the others are not hot.
+    share = (names.agg(F.sum("n")).first()[0] or 0) / 2000
+    hot = names.filter(F.col("n") > share).select("fp", F.struct("component_id").alias("known"))
+    met = prints.join(F.broadcast(hot), "fp", "left")
+    cold = met.filter("known is null").drop("known").join(names.filter(F.col("n") <= share), "fp").select("doc_id", "fp", "component_id")
+    return met.filter("known is not null").select("doc_id", "fp", "known.component_id").unionAll(cold)
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
