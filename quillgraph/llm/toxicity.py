@@ -105,7 +105,7 @@ def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_gr
     return w, theta
 
 
-def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str = "doc_id", label_col: str = "toxic", max_toxic: int = 4000, max_clean: int = 8000, max_features: int = 4096) -> OrdinalModel:
+def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str = "doc_id", label_col: str = "toxic", max_toxic: int = 4000, max_clean: int = 8000, max_features: int = 4096, least_chi: float = 20.0) -> OrdinalModel:
     """Fitted on at most max_toxic and max_clean labelled rows, the least by hash of the id; equal texts count once.
 
     These bounds also bound what is broadcast and collected. Null ids and labels don't count. With one class
@@ -129,8 +129,8 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
         return OrdinalModel({}, [-sure] * GRADES)
     held = sample.select("toxic", F.explode("feats").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     expected = F.col("n") * (n[1] / (n[0] + n[1]))
-    top = held.withColumn("chi", (F.col("a") - expected) * (F.col("a") - expected) / expected).filter("n >= 3 and chi > 10").orderBy(F.desc("chi"), "f").limit(max_features).collect()
-    # chi > 10: tied to toxicity, by the chi-squared part of the toxic rows, beyond chance.
+    top = held.withColumn("chi", (F.col("a") - expected) * (F.col("a") - expected) / expected).filter(f"n >= 3 and chi > {least_chi}").orderBy(F.desc("chi"), "f").limit(max_features).collect()
+    # Above least_chi: tied to toxicity, by the chi-squared part of the toxic rows, beyond chance.
     index = {r.f: i for i, r in enumerate(top)}
     # A marker is far more frequent among toxic rows: its rate there is over ten times that among clean ones.
     markers = {i for i, r in enumerate(top) if r.a >= 3 and (r.a + 0.1) / n[1] > 10 * (r.n - r.a + 0.1) / n[0]}

@@ -1,3 +1,5 @@
+import re
+
 import __spark_entry__
 import corpus_pipeline
 from quillgraph.llm import packing, toxicity
@@ -9,7 +11,7 @@ from .test_toxicity import corpus
 
 
 def test_every_operator_has_one_query():
-    names = [n for n in __spark_entry__.queries() if n.startswith("op")]
+    names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
 
 
