@@ -44,16 +44,35 @@ def closeness(a_raw: str, b_raw: str, byline: str | None = None, at_least: float
 
 
 def _chooser(rows: list[tuple[int, str]], byline: str | None):
+    """`closeness` of many titles to the same candidates: a candidate's index of characters is built once for all titles."""
+
+    def parts(title: str) -> tuple[str, int | None]:
+        m = _PART.search(title.lower())
+        return normalize(title, byline), int(m[1]) if m else None
+
     def best(titles: pd.Series) -> pd.DataFrame:
-        found = []
-        for t in titles:
-            top = (0.0, None)
-            for idx, other in rows if t is not None else ():
-                s = closeness(t, other, byline, top[0])
-                if s > top[0]:
-                    top = (s, idx)
-            found.append(top)
-        return pd.DataFrame({"score": [f[0] for f in found], "idx": pd.array([f[1] for f in found], dtype="Int64")})
+        mine = [parts(t) if t is not None else ("", None) for t in titles]
+        score, chosen = [0.0] * len(mine), [None] * len(mine)
+        m = difflib.SequenceMatcher(None)
+        for idx, raw in rows:
+            b, part = parts(raw)
+            if not b:
+                continue
+            m.set_seq2(b)
+            for i, (a, own) in enumerate(mine):
+                if not a or own is not None and part is not None and own != part:
+                    continue
+                short, long = (a, b) if len(a) <= len(b) else (b, a)
+                if len(short) >= 5 and short in long:
+                    s = 0.95
+                elif 2 * len(short) <= score[i] * (len(a) + len(b)):  # an upper bound of the ratio
+                    continue
+                else:
+                    m.set_seq1(a)
+                    s = m.ratio() if m.quick_ratio() > score[i] else 0.0
+                if s > score[i]:
+                    score[i], chosen[i] = s, idx
+        return pd.DataFrame({"score": score, "idx": pd.array(chosen, dtype="Int64")})
 
     return best
 
@@ -67,7 +86,9 @@ def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = Non
     n = candidates.count()
     blocks = max(1, -(-n // block))
     tagged = candidates.withColumn("_block", F.pmod(F.xxhash64("idx"), F.lit(blocks)))
-    out = left.withColumn("_best", F.lit(None).cast("struct<score:double,idx:bigint>"))
+    # Scoring costs far more than moving titles, so they are dealt to all tasks first.
+    tasks = candidates.sparkSession.sparkContext.defaultParallelism
+    out = left.repartition(tasks).withColumn("_best", F.lit(None).cast("struct<score:double,idx:bigint>"))
     for i in range(blocks):
         rows = sorted((r.idx, r.title) for r in tagged.filter(F.col("_block") == i).select("idx", "title").collect() if r.title is not None)
 

@@ -140,3 +140,14 @@ def test_tables(spark, tmp_path):
     assert sorted(rows(full)) == [("p", "old"), ("q", "")] and rows(fresh) == [("q", "")]
     tables.write_csv(full, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+
+
+def test_best_titles_agrees_with_closeness(spark):
+    names = ["The tide part 1", "tide Part 2.pdf", "wave", "a wave of salt", None, "", "salty waves and tides", "tides"]
+    left = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, title string")
+    cands = spark.createDataFrame([(i, n) for i, n in enumerate(["Tide, part 2", "waves", "salt", "wave", "The Tide (Part 1)", "", "tidal", "wave"])], "idx long, title string")
+    pool = [(r.idx, r.title) for r in cands.orderBy("idx").collect()]
+    for r in linkage.best_titles(left, cands, block=3).collect():
+        s = [(linkage.closeness(r.title, t), -i) for i, t in pool] if r.title is not None else [(0.0, 0)]
+        top = max(s)
+        assert (r.score, r.cand_idx) == (top[0], -top[1] if top[0] else None)
