@@ -1,6 +1,6 @@
 """URL filters: pattern rules indexed by their rarest literal token.
 
-A rule is a regular expression over "host path" (one space between) with the literal tokens that every
+A rule is a regular expression over "host#path" (neither holds a #) with the literal tokens that every
 match must contain as whole runs of [a-z0-9]. The index files a rule under that token of its own which
 the fewest rules hold. A URL's tokens fetch candidate rules; only those run their expression. Rules
 without a usable token are candidates for every URL.
@@ -41,12 +41,12 @@ def host_path_rule(host: str, path: str, verdict: str) -> Rule:
     inner = _TOKEN.findall(path.translate(_LOWER))
     if inner and _TOKEN.fullmatch(path[-1:].translate(_LOWER)):
         inner = inner[:-1]
-    return Rule(host + path, rf"(?:^|\.){re.escape(host)} {re.escape(path)}", (*_TOKEN.findall(host), *inner), verdict, len(host + path))
+    return Rule(host + path, rf"(?:^|\.){re.escape(host)}#{re.escape(path)}", (*_TOKEN.findall(host), *inner), verdict, len(host + path))
 
 
 def word_rule(word: str, verdict: str = "block") -> Rule:
     """Fits a host that has `word` (letters, digits, dashes) between its dots."""
-    return Rule(word, rf"(?:^|\.){re.escape(word)}[. ]", tuple(_TOKEN.findall(word)), verdict, 0, listed=False)
+    return Rule(word, rf"(?:^|\.){re.escape(word)}[.#]", tuple(_TOKEN.findall(word)), verdict, 0, listed=False)
 
 
 class RuleIndex:
@@ -59,7 +59,7 @@ class RuleIndex:
             where.append((re.compile(r.pattern, re.DOTALL), r))
 
     def best(self, host: str, path: str) -> Rule | None:
-        text = f"{host} {path}"
+        text = f"{host}#{path}"
         found = [r for p, r in self.always if p.search(text)]
         for token in set(_TOKEN.findall(text.translate(_LOWER))) & self.by_token.keys():
             found += [r for p, r in self.by_token[token] if p.search(text)]

@@ -11,14 +11,14 @@ def brute(url):
     if fits:
         _, rule, verdict = max(fits)
         return host, path, rule, verdict
-    bad = any(re.search(r.pattern, f"{host} {path}") for r in RULES if not r.listed)
+    bad = any(re.search(r.pattern, f"{host}#{path}") for r in RULES if not r.listed)
     return host, path, None, "block" if bad else "allow"
 
 
 def test_matches_trying_every_rule(spark):
     rng = random.Random(1)
-    hosts = ["example.com", "www.example.com", "m.EXAMPLE.com", "notexample.com", "a.net", "net", "x.org", "spam-farm.org", "xspam-farm.org", "com", "a.com:80", ""]
-    tails = ["", "/", "/en/", "/en", "/EN/", "/es/1", "/fr/?x=http://b.com/en/", "?q", "#f", "/es", "/en/a\nb"]
+    hosts = ["example.com", "www.example.com", "m.EXAMPLE.com", "notexample.com", "a.net", "net", "x.org", "spam-farm.org", "xspam-farm.org", "com", "a.com:80", "", "a example.com", "b.example.com "]
+    tails = ["", "/", "/en/", "/en", "/EN/", "/es/1", "/fr/?x=http://b.com/en/", "?q", "#f", "/es", "/en/a\nb", "/.example.com /en/", "/x.net /es/", "/spam-farm "]
     urls = [f"http://{h}{t}" for h in hosts for t in tails] + [None, "", "no scheme", "://", "a://b://c/en/"]
     rng.shuffle(urls)
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").withColumn("host", __import__("pyspark").sql.functions.lit(1))
