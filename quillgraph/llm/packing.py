@@ -129,8 +129,11 @@ def pieces_of(n: int, size: int = SIZE) -> list[tuple[int, int]]:
 
 
 @lru_cache(maxsize=2)
-def encoder(ranks_file: str, pattern: str, end_text: str = "<|endoftext|>", end_id: int = 50256):
-    """The vocabulary through tiktoken, several times as fast as the same through tokenizers; the tests hold that the ids agree."""
+def encoder(ranks_file: str, pattern: str, tokenizer_file: str, end_text: str = "<|endoftext|>", end_id: int = 50256):
+    """The vocabulary through tiktoken, several times as fast as the same through tokenizers; the tests hold that the ids agree.
+
+    Texts that tiktoken's expressions give up on (runs of about a million blanks) go through tokenizers.
+    """
     import base64
 
     import tiktoken
@@ -138,14 +141,35 @@ def encoder(ranks_file: str, pattern: str, end_text: str = "<|endoftext|>", end_
     with open(ranks_file, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     coding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={end_text: end_id})
-    return lambda text: coding.encode(text, allowed_special="all")
 
+    def encode(text: str) -> list[int]:
+        try:
+            return coding.encode(text, allowed_special="all")
+        except ValueError:
+            return slow_encoder(tokenizer_file).encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
+@lru_cache(maxsize=2)
+def slow_encoder(tokenizer_file: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_file)
 
-def pieces(df: DataFrame, id_col: str, text_col: str, ranks_file: str, pattern: str, size: int = SIZE) -> DataFrame:
+
+def public_files() -> tuple[str, str, str]:
+    """Ranks, pattern and tokenizer file of one public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("byte_bpe_50k.json")
+
+
+def pieces(df: DataFrame, id_col: str, text_col: str, ranks_file: str, pattern: str, tokenizer_file: str, size: int = SIZE) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each row's ids, with id 0 at the end."""
 
     def rows(incoming):
-        encode = encoder(ranks_file, pattern)
+        encode = encoder(ranks_file, pattern, tokenizer_file)
         for key, text in incoming:
             ids = np.array([*encode(text or ""), 0], dtype="<u4")
             for i, (start, n) in enumerate(pieces_of(len(ids), size)):
@@ -178,16 +202,14 @@ def pack(cut_pieces: DataFrame, size: int = SIZE, groups: int = GROUPS) -> DataF
     return map_rows(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_group", "_rank"), rows, schema, ddl, batch=10_000)
 
 
-def pack_documents(df: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
+def pack_documents(df: DataFrame, ranks_file: str, pattern: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row of df.
 
     Null and empty texts are the one id 0. Repeated rows are packed as often as they are there; other columns are
     ignored; an empty table has no sequence.
     """
-    return pack(cut(pieces(df, id_col, text_col, ranks_file, pattern, size)), size)
+    return pack(cut(pieces(df, id_col, text_col, ranks_file, pattern, tokenizer_file, size)), size)
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
-    return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return pack_documents(read(spark, sf_dir, "documents"), *public_files())

@@ -51,8 +51,8 @@ def test_plan_finds_exact_complements():
 
 def test_ids_agree_with_tokenizers():
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    encode = packing.encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
-    texts = ["", " ", "Hello  world\n\n\tx", "naïve Übergröße ñandú", "it's we'll 123 12", "<|endoftext|> a<|endoftext|>", "a\u00a0b\u2003c", "日本語 🙂🙂", "x" * 3000, "\r\n \r\n", "\x00\x1f", "ǅ Ⅷ ² ½ ٣"]
+    encode = packing.encoder(*packing.public_files())
+    texts = ["", " ", "Hello  world\n\n\tx", "naïve Übergröße ñandú", "it's we'll 123 12", "<|endoftext|> a<|endoftext|>", "a\u00a0b\u2003c", "日本語 🙂🙂", "x" * 3000, "\r\n \r\n", "\x00\x1f", "ǅ Ⅷ ² ½ ٣", "a" + " " * 1_100_000 + "b", ".a" * 400_000, "é" * 700_000]
     import pyarrow.parquet as pq
     texts += pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()
     for x in texts:
@@ -68,11 +68,11 @@ def test_table(spark):
     texts = [None, "", "hello world", "hello world", "word " * 5000] + ["some words here"] * 700
     df = docs(spark, texts, extra=True)
     df = df.unionAll(df.filter("doc_id = 2"))
-    out = rows(packing.pack_documents(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN))
+    out = rows(packing.pack_documents(df, *packing.public_files()))
     n = check([(r[3], r[5], r[6]) for r in out], 2048)
     assert n == -(-sum(r[3] for r in out) // 2048) and len(out) == len(texts) + 1 + 2
-    encode = packing.encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    encode = packing.encoder(*packing.public_files())
     for d, piece, start, length, crc, _, _ in out:
         ids = np.array([*encode(texts[d] or ""), 0], "<u4")
         assert (start, length) == packing.pieces_of(len(ids))[piece] and crc == zlib.crc32(ids[start : start + length].tobytes())
-    assert rows(packing.pack_documents(df.limit(0), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)) == []
+    assert rows(packing.pack_documents(df.limit(0), *packing.public_files())) == []
