@@ -42,12 +42,16 @@ class Page:
     def __init__(self, source: str):
         self.tags, self.parent, self.out, self.by_name = ["#root"], [-1], [False], [False]
         self.flow: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block begins or ends
+        # Open nodes, and at which of their places each tag, and any block, is open: so a tag costs the same at any depth.
         self._open = [0]
-        at, n, lower = 0, len(source), None
+        self._places: dict[str, list[int]] = {}
+        self._blocks: list[int] = []
+        at, n, last_end = 0, len(source), source.rfind(">")
         while at < n:
-            m = _TAG.search(source, at)
+            m = _TAG.search(source, at) if at <= last_end else None
             if not m:
-                self._text(source[at:])
+                comment = source.find("<!--", at)
+                self._text(source[at : comment if comment >= 0 else n])
                 break
             if m.start() > at:
                 self._text(source[at : m.start()])
@@ -60,20 +64,26 @@ class Page:
                 continue
             self._start(name, m[3] or m[6] or "")
             if name in RAW:
-                lower = source.lower() if lower is None and len(source.lower()) == n else lower
-                close = (lower or source).find(f"</{name}", at)
-                self._text(source[at : close if close >= 0 else n])
-                at = close if close >= 0 else n
+                close = re.compile(f"</{name}", re.IGNORECASE | re.ASCII).search(source, at)
+                self._text(source[at : close.start() if close else n])
+                at = close.start() if close else n
 
     def _text(self, s: str) -> None:
         self.flow.append((self._open[-1], s))
 
     def _pop_to(self, i: int) -> None:
         for node in reversed(self._open[i:]):
-            if self.tags[node] in BLOCK:
+            tag = self.tags[node]
+            self._places[tag].pop()
+            if tag in BLOCK:
+                self._blocks.pop()
                 self.flow.append((node, None))
         del self._open[i:]
 
+    def _innermost(self, names: set[str]) -> int:
+        """Place of the innermost open element of these names, or -1."""
+        return max((p[-1] for n in names if (p := self._places.get(n))), default=-1)
+
     def _start(self, name: str, attributes: str) -> None:
         tags = self.tags
         if name in CLOSES_P:
@@ -84,7 +94,7 @@ class Page:
         node = len(tags)
         tags.append(name)
         self.parent.append(self._open[-1])
-        inside = any(tags[x] in ("article", "main") for x in self._open)
+        inside = self._innermost({"article", "main"}) > 0
         gone = name in DROPPED or name == "header" and not inside or at.get("role") in ROLES or "hidden" in at or "display:none" in at.get("style", "").replace(" ", "") or at.get("aria-hidden") == "true"
         words = set(_NAME.findall(f"{at.get('class', '')} {at.get('id', '')}"))
         self.out.append(gone)
@@ -94,25 +104,21 @@ class Page:
         elif name == "br":
             self.flow.append((node, " "))
         if name not in VOID:
+            self._places.setdefault(name, []).append(len(self._open))
+            if name in BLOCK:
+                self._blocks.append(len(self._open))
             self._open.append(node)
 
     def _end_open(self, names: set[str], stops: set[str]) -> None:
-        for i in range(len(self._open) - 1, 0, -1):
-            tag = self.tags[self._open[i]]
-            if tag in names:
-                return self._pop_to(i)
-            if tag in stops:
-                return None
-        return None
+        at = self._innermost(names)
+        if at > self._innermost(stops):
+            self._pop_to(at)
 
     def _end(self, name: str) -> None:
-        for i in range(len(self._open) - 1, 0, -1):
-            tag = self.tags[self._open[i]]
-            if tag == name:
-                return self._pop_to(i)
-            if name not in BLOCK and tag in BLOCK:  # an inline end tag doesn't close blocks
-                return None
-        return None
+        at = self._innermost({name})
+        # An inline end tag doesn't close blocks.
+        if at > 0 and (name in BLOCK or not self._blocks or self._blocks[-1] < at):
+            self._pop_to(at)
 
 
 def extract(source: str | None) -> str:
@@ -136,6 +142,9 @@ def extract(source: str | None) -> str:
             chars[node] += size
             link_chars[node] += size * link[node]
     kids: list[list[int]] = [[] for _ in range(n)]
+    holder = [0] * n  # the nearest node above that is no formatting element
+    for i in range(1, n):
+        holder[i] = holder[parent[i]] if tags[parent[i]] in INLINE else parent[i]
     for i in range(n - 1, 0, -1):
         if not out[i]:
             p = parent[i]
@@ -144,9 +153,7 @@ def extract(source: str | None) -> str:
             count[p] += count[i] + 1
             links[p] += links[i] + (tags[i] == "a")
             if tags[i] not in INLINE:
-                while tags[p] in INLINE and p > 0:
-                    p = parent[p]
-                kids[p].append(i)
+                kids[holder[i]].append(i)
     body = next((i for i, t in enumerate(tags) if t == "body" and not out[i]), 0)
     if not chars[body]:
         body = 0

@@ -33,6 +33,18 @@ def test_odd_pages():
     assert extract("<article><p><b>One.<br><p>Two.</p></article>") == "One.\nTwo."
 
 
+def test_costs_grow_with_the_page_alone():
+    """Deep nesting, open tags and quotes without end, in sizes that a quadratic walk would take minutes for."""
+    n = 60_000
+    assert extract("<b>x" * n) == "x" * n
+    assert extract("<div>x" * n) == "\n".join("x" * n)
+    assert extract("<b>" * n + "<p>y" * n) == "\n".join("y" * n)
+    assert extract("<p>t</p>" + "<a '" * n).startswith("t")
+    assert extract("<p>t</p>" + "<!" * n).startswith("t")
+    assert extract("İ<script>x</SCRIPT >" * n) == "İ" * n
+    assert extract("<p>t</p>" + "</div>" * n) == "t" and extract("<p>t <!-- x") == "t"
+
+
 def test_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>é"), (2, None, None), (1, "u", "<p>é")], "page_id long, url string, html string").withColumn("text", F.lit(1))
     assert sorted(rows(extract_pages(df, "page_id", "url", "html"))) == [(1, "u", "é", 1), (1, "u", "é", 1), (2, None, "", 0)]
