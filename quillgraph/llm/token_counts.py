@@ -7,6 +7,7 @@ many pre-tokens share the prefix. A terminal's count is the number of tokens of
 
 from __future__ import annotations
 
+from collections import deque
 from functools import lru_cache
 from math import log
 
@@ -30,10 +31,14 @@ def vocabulary(model_file: str) -> dict[str, float]:
 
 
 class ForwardTrie:
-    """At max_nodes nodes it starts anew, which costs time but changes no count."""
+    """At max_nodes nodes it starts anew, which costs time but changes no count.
 
-    def __init__(self, scores: dict[str, float], max_nodes: int = 500_000):
-        self.scores, self.max_nodes = scores, max_nodes
+    Beyond `deepest` characters a pre-token adds no nodes: its scores go on in a window as wide as the longest piece.
+    """
+
+    def __init__(self, scores: dict[str, float], max_nodes: int = 500_000, deepest: int = 4096):
+        self.scores, self.max_nodes, self.deepest = scores, max_nodes, deepest
+        self.longest = max(map(len, scores))
         self.suffixes = {p[i:] for p in scores for i in range(len(p))}
         self.unknown = min(scores.values()) - 10
         self.reset()
@@ -52,7 +57,7 @@ class ForwardTrie:
             self.reset()
         text, node, path = MARK + word, 0, [0]
         child, score, tokens, scores, suffixes = self.child, self.score, self.tokens, self.scores, self.suffixes
-        for end in range(1, len(text) + 1):
+        for end in range(1, min(len(text), self.deepest) + 1):
             key = node << 21 | ord(text[end - 1])
             node = child.get(key, -1)
             if node < 0:
@@ -72,9 +77,31 @@ class ForwardTrie:
                 score.append(best)
                 tokens.append(fewest)
             path.append(node)
+        if len(text) > self.deepest:
+            return self._beyond(text, deque(((score[x], tokens[x]) for x in path[-self.longest :]), maxlen=self.longest))
         self.terminal[word] = tokens[node]
         return tokens[node]
 
+    def _beyond(self, text: str, window: deque) -> int:
+        """window: (score, tokens) of the last prefixes of text[:deepest]; the same recurrence up to the end of text."""
+        scores, suffixes = self.scores, self.suffixes
+        for end in range(self.deepest + 1, len(text) + 1):
+            last = window[-1]
+            best, fewest = last[0] + self.unknown, last[1] + len(text[end - 1].encode("utf-8", "replace"))
+            for back in range(1, len(window) + 1):
+                part = text[end - back : end]
+                if part not in suffixes:
+                    break
+                s = scores.get(part)
+                if s is not None:
+                    before = window[-back]
+                    s += before[0]
+                    n = before[1] + 1
+                    if s > best or s == best and n < fewest:
+                        best, fewest = s, n
+            window.append((best, fewest))
+        return window[-1][1]
+
 
 def count_tokens(df: DataFrame, model_file: str, id_col: str, text_col: str, max_nodes: int = 500_000) -> DataFrame:
     """(doc_id, n_words, n_tokens) for each row; null, empty and blank texts have none. Ties are settled in ForwardTrie.count.

@@ -36,9 +36,17 @@ def brute(word, scores):
 def test_trie_agrees_with_viterbi_by_word(ws):
     scores = vocabulary(FILE)
     trie = shared
-    assert [trie.count(w) for w in ws] == [brute(w, scores) for w in ws]
+    assert [trie.count(w) for w in ws] == [brute(w, scores) for w in ws] == [shallow.count(w) for w in ws]
 
 
+def test_long_pretokens_add_no_nodes_beyond_the_depth():
+    deep, trie = ForwardTrie(vocabulary(FILE), deepest=1 << 30), ForwardTrie(vocabulary(FILE))
+    word = "Internationalization0123456789abcé漢" * 3000
+    assert trie.count(word) == deep.count(word)
+    assert len(trie.score) <= 4097 and not trie.terminal
+
+
+shallow = ForwardTrie(vocabulary(FILE), deepest=3)
 shared = ForwardTrie(vocabulary(FILE), max_nodes=50)
 
 
