@@ -25,7 +25,7 @@ def load(a) -> int:
 
 def query(a) -> int:
     text = sys.stdin.read() if a.file == "-" else "\n".join(r.value for r in _session().read.text(a.file, wholetext=True).collect())
-    sparql(graph.terms(graph.read_store(_session(), a.store)), text).show(a.rows, False)
+    sparql(graph.store_view(_session(), a.store), text).show(a.rows, False)
     return 0
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.plans.vocabulary import PROV, Vocabulary
+from quillgraph.sources.graph import with_predicate
 from quillgraph.sources.turtle import RDF
 
 GOOD = ("Reputable", "Authoritative")
@@ -36,10 +37,10 @@ def derive(notes: DataFrame, evidence: DataFrame, unverified_reaches_curated: bo
 def from_graph(graph: DataFrame, vocabulary: Vocabulary | None = None, **options) -> DataFrame:
     """(note, verdict) for each LinkNote of graph(s, p, o); of several values of a functional property the least counts."""
     v = vocabulary or Vocabulary()
-    at = lambda p, s, o: graph.filter(F.col("p") == f"<{p}>").select(F.col("s").alias(s), F.col("o").alias(o))
+    at = lambda p, s, o: with_predicate(graph, f"<{p}>").select(F.col("s").alias(s), F.col("o").alias(o))
     one = lambda p, s, o: at(p, s, o).groupBy(s).agg(F.min(o).alias(o))
     name = lambda c, family: F.when(F.col(c).rlike("^<" + v.schema.replace(".", r"\.") + f"(?:{'|'.join(family)})" + r"\.\w+>$"), F.regexp_extract(c, r"\.(\w+)>$", 1)).otherwise(F.coalesce(F.col(c), F.lit(None)))
-    notes = graph.filter((F.col("p") == f"<{RDF}type>") & (F.col("o") == f"<{v.schema}LinkNote>")).select(F.col("s").alias("note"))
+    notes = with_predicate(graph, f"<{RDF}type>").filter(F.col("o") == f"<{v.schema}LinkNote>").select(F.col("s").alias("note"))
     superseded = at(PROV + "wasRevisionOf", "_by", "ev").select("ev").distinct().withColumn("superseded", F.lit(True))
     evidence = (
         at(v.schema + "hasEvidence", "note", "ev")

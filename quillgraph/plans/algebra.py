@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.sources.graph import lexical
+from quillgraph.sources.graph import lexical, with_predicate
 
 
 @dataclass(frozen=True)
@@ -71,8 +71,8 @@ def match(graph: DataFrame, pattern: Pattern) -> DataFrame:
             if term.name in columns:
                 out = out.filter(F.col(place) == F.col(columns[term.name]))
             columns.setdefault(term.name, place)
-        elif isinstance(term, tuple):
-            out = out.filter(F.col(place).isin(*term))
+        elif place == "p":
+            out = with_predicate(out, *(term if isinstance(term, tuple) else (term,)))
         else:
             out = out.filter(F.col(place) == term)
     return out.select(*(F.col(place).alias(name) for name, place in columns.items())) if columns else out.select(F.lit(1).alias("_one"))

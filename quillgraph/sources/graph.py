@@ -55,11 +55,12 @@ def union(*tables: DataFrame) -> DataFrame:
 
 
 def terms(triples: DataFrame) -> DataFrame:
-    """(s, p, o) as N-Triples strings, as a set."""
+    """(s, p, o) as N-Triples strings, as a set; a column p_local, which p determines, is kept."""
     tagged = F.when(F.col("o_lang").isNotNull(), F.concat(F.lit("@"), "o_lang")).when(F.col("o_dt") == turtle.XSD + "string", "").otherwise(F.coalesce(F.concat(F.lit("^^<"), "o_dt", F.lit(">")), F.lit("")))
     node = lambda c, k: F.when(F.col(k) == "iri", F.concat(F.lit("<"), c, F.lit(">"))).otherwise(F.concat(F.lit("_:"), c))
     o = F.when(F.col("o_kind") == "lit", F.concat(F.lit('"'), "o", F.lit('"'), tagged)).otherwise(node("o", "o_kind"))
-    return triples.select(node("s", "s_kind").alias("s"), F.concat(F.lit("<"), "p", F.lit(">")).alias("p"), o.alias("o")).distinct()
+    folder = ["p_local"] if "p_local" in triples.columns else []
+    return triples.select(node("s", "s_kind").alias("s"), F.concat(F.lit("<"), "p", F.lit(">")).alias("p"), o.alias("o"), *folder).distinct()
 
 
 def iri(value: str) -> str:
@@ -75,10 +76,22 @@ def local_name(iri_: Column) -> Column:
     return F.substring_index(iri_, "#", -1)
 
 
+def _folder(p: Column) -> Column:
+    """Never empty, and of letters, so that no value reads back as null or as a number."""
+    return F.concat(F.lit("p_"), F.regexp_replace(F.regexp_extract(p, r"([^#/]*)$", 1), r"[^\w.-]", "_"))
+
+
+def with_predicate(graph: DataFrame, *iris: str) -> DataFrame:
+    """Rows of graph(s, p, o) with one of these predicates (as <...>); of a store's view only their folders are read."""
+    if "p_local" in graph.columns:
+        graph = graph.filter(F.col("p_local").isin(*(_folder(F.lit(i[1:-1])) for i in iris)))
+    return graph.filter(F.col("p").isin(*iris))
+
+
 def write_store(triples: DataFrame, path: str, mode: str = "append") -> None:
     """Parquet by predicate, for partition pruning; append adds without clearing, overwrite is the safe reload."""
     # One file a predicate and task: the common predicates are spread over as many tasks as they need.
-    out = triples.withColumn("p_local", F.regexp_replace(F.regexp_extract("p", r"([^#/]*)$", 1), r"[^\w.-]", "_"))
+    out = triples.withColumn("p_local", _folder(F.col("p")))
     out.write.mode(mode).partitionBy("p_local").parquet(path)
 
 
@@ -86,6 +99,11 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("p_local").dropDuplicates([*KEY, "src_file"])
 
 
+def store_view(spark: SparkSession, path: str) -> DataFrame:
+    """The store as (s, p, o, p_local) for queries; a pattern with a bound predicate reads that predicate's folder alone."""
+    return terms(spark.read.parquet(path))
+
+
 def add(triples: DataFrame, more: DataFrame) -> DataFrame:
     return triples.unionByName(more).dropDuplicates([*KEY, "src_file"])
 

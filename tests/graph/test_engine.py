@@ -51,6 +51,13 @@ def test_store_and_turtle_sinks(spark, triples, tmp_path):
     g.write_store(triples, str(tmp_path / "st"))
     g.write_store(triples, str(tmp_path / "st"))
     assert g.read_store(spark, str(tmp_path / "st")).count() == triples.count()
+    view = g.store_view(spark, str(tmp_path / "st"))
+    assert sorted(map(tuple, view.select("s", "p", "o").collect())) == sorted(map(tuple, g.terms(triples).collect()))
+    for name in ("concepts", "unlinked_concepts", "predicate_richness"):
+        assert sorted(map(tuple, ask_named(view, name).collect())) == sorted(map(tuple, ask_named(g.terms(triples), name).collect()))
+    plan = sparql(view, V.prefixes() + "SELECT ?x WHERE { ?x v:influencedBy|v:discusses ?y }")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [p_local" in plan and "p_influencedBy" in plan, plan
+    assert sorted(map(tuple, confidence.from_graph(view).collect())) == sorted(map(tuple, confidence.from_graph(g.terms(triples)).collect()))
     g.write_store(triples.limit(3), str(tmp_path / "st"), "overwrite")
     assert g.read_store(spark, str(tmp_path / "st")).count() == 3
     named = triples.filter("s_kind = 'iri' AND o_kind <> 'bnode'")
