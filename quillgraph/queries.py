@@ -139,19 +139,19 @@ def number_collision(spark, d):
     return p.groupBy("num").agg(F.count_distinct("host").alias("hosts")).filter("hosts > 1")
 
 
-@query("SELECT a.o_orderkey AS part_of, b.l_orderkey AS has_part FROM (SELECT o_orderkey FROM orders WHERE o_orderkey % 7 <> 0) a FULL JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 5 <> 0) b ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR l_orderkey IS NULL")
+@query("SELECT a.o_orderkey AS part_of, b.l_orderkey AS has_part FROM orders a FULL JOIN (SELECT DISTINCT l_orderkey FROM lineitem) b ON o_orderkey = l_orderkey WHERE o_orderkey IS NULL OR l_orderkey IS NULL")
 def inverse_consistency(spark, d):
-    a = table(spark, d, "orders").filter("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("part_of"))
-    b = table(spark, d, "lineitem").filter("l_orderkey % 5 <> 0").select(F.col("l_orderkey").alias("has_part")).distinct()
+    a = table(spark, d, "orders").select(F.col("o_orderkey").alias("part_of"))
+    b = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("has_part")).distinct()
     return a.join(b, F.col("part_of") == F.col("has_part"), "full_outer").filter("part_of IS NULL OR has_part IS NULL")
 
 
-_PAIRS = "SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem WHERE l_linenumber <> 2"
+_PAIRS = "SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem"
 
 
 @query(f"WITH e AS ({_PAIRS}) SELECT a, b FROM e WHERE NOT EXISTS (SELECT 1 FROM e r WHERE r.a = e.b AND r.b = e.a)")
 def symmetric_gap(spark, d):
-    e = table(spark, d, "lineitem").filter("l_linenumber <> 2").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
+    e = table(spark, d, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b")).distinct()
     return e.join(e.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti")
 
 
@@ -288,8 +288,8 @@ def exact_then_none(spark, d):
 
 @query()
 def fuzzy_best(spark, d):
-    """Each benchmark item's closest page title; the ratio has no SQL."""
-    left = table(spark, d, "benchmark").select("item_id", F.regexp_extract("text", r"^(.{0,80})", 1).alias("title"))
+    """The page title closest to each benchmark item's whole text; the ratio has no SQL."""
+    left = table(spark, d, "benchmark").select("item_id", F.col("text").alias("title"))
     cands = table(spark, d, "pages").select(F.col("page_id").alias("idx"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
     return linkage.best_titles(left, cands).select("item_id", "cand_idx", F.round("score", 6).alias("score"))
 
@@ -318,16 +318,16 @@ def page_title_link(spark, d):
 
 
 @query(
-    """WITH u AS (SELECT DISTINCT page_id, url, regexp_extract(url, '://[^/?#]*/([a-z]+)/', 1) AS kind FROM pages), s AS (SELECT * FROM u WHERE starts_with(url, 'https')), l AS (SELECT * FROM u WHERE page_id % 2 = 0),
+    """WITH u AS (SELECT DISTINCT page_id, url, regexp_extract(url, '://[^/?#]*/([a-z]+)/', 1) AS kind FROM pages), s AS (SELECT * FROM u WHERE starts_with(url, 'https')), l AS (SELECT * FROM u),
     a AS (SELECT url, kind, 0 AS src, page_id FROM s UNION ALL SELECT url, kind, 1, page_id FROM l WHERE url NOT IN (SELECT url FROM s))
     SELECT url, kind, row_number() OVER (PARTITION BY kind ORDER BY src, page_id, url)::INTEGER AS ord FROM a QUALIFY ord <= 25"""
 )
 def discover_union(spark, d):
     u = table(spark, d, "pages").select("page_id", "url", F.regexp_extract("url", "://[^/?#]*/([a-z]+)/", 1).alias("kind"), F.col("page_id").alias("pos"))
-    return discovery.discover(u.filter("startswith(url, 'https')"), u.filter("page_id % 2 = 0"), 25)
+    return discovery.discover(u.filter("startswith(url, 'https')"), u, 25)
 
 
-_PART_STATUS = "CASE p_partkey % 3 WHEN 0 THEN 'approved' ELSE 'pending' END"
+_PART_STATUS = "CASE WHEN p_size > 20 THEN 'approved' ELSE 'pending' END"
 
 
 def _concepts(spark, d):
@@ -335,7 +335,7 @@ def _concepts(spark, d):
 
 
 @query(
-    f"""WITH c AS (SELECT '<{KG}Concept.' || {_SLUG.format("p_name")} || '>' AS s, * FROM part WHERE p_partkey % 3 = 0)
+    f"""WITH c AS (SELECT '<{KG}Concept.' || {_SLUG.format("p_name")} || '>' AS s, * FROM part WHERE p_size > 20)
     SELECT DISTINCT * FROM (SELECT s, '<{RDF}type>' AS p, '<{SC}Concept>' AS o FROM c UNION ALL SELECT s, '<{RDF}type>', '<{OWL}NamedIndividual>' FROM c
     UNION ALL SELECT s, '<{SKOS}prefLabel>', '"' || p_name || '"@en' FROM c UNION ALL SELECT s, '<{SKOS}definition>', '"' || p_type || '"@en' FROM c
     UNION ALL SELECT s, '<{DCT}description>', '"Source note: ' || p_brand || '"' FROM c WHERE p_size % 2 = 0)"""
@@ -346,11 +346,11 @@ def promote_concepts(spark, d):
 
 def _links(spark, d):
     n = table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return n.select(F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("subject_label"), F.when(F.col("s_suppkey") % 4 == 0, "relatesTo").otherwise("influencedBy").alias("predicate"), F.col("n_name").alias("object_label"), F.concat(F.lit("near "), "n_name").alias("rationale"), F.when(F.col("s_suppkey") % 2 == 0, "approved").otherwise("pending").alias("status"))
+    return n.select(F.col("s_suppkey").cast("int").alias("id"), F.col("s_name").alias("subject_label"), F.when(F.col("s_nationkey") < 5, "relatesTo").otherwise("influencedBy").alias("predicate"), F.col("n_name").alias("object_label"), F.concat(F.lit("near "), "n_name").alias("rationale"), F.when(F.col("s_acctbal") > 1000, "approved").otherwise("pending").alias("status"))
 
 
 @query(
-    f"""WITH k AS (SELECT *, {_SLUG.format("s_name")} AS a, {_SLUG.format("n_name")} AS b FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0 AND s_suppkey % 4 <> 0),
+    f"""WITH k AS (SELECT *, {_SLUG.format("s_name")} AS a, {_SLUG.format("n_name")} AS b FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 1000 AND s_nationkey >= 5),
     c AS (SELECT '<{KG}Concept.' || a || '>' AS subj, '<{KG}Nation.' || n_nationkey || '>' AS obj, '<{KG}LinkNote.' || a || b || '>' AS note, '<{KG}Evidence.' || a || b || '>' AS ev, n_name FROM k)
     SELECT DISTINCT * FROM (SELECT subj AS s, '<{SC}influencedBy>' AS p, obj AS o FROM c UNION ALL SELECT note, '<{RDF}type>', '<{SC}LinkNote>' FROM c UNION ALL SELECT note, '<{RDF}type>', '<{OWL}NamedIndividual>' FROM c
     UNION ALL SELECT note, '<{SC}aboutSubject>', subj FROM c UNION ALL SELECT note, '<{SC}aboutObject>', obj FROM c UNION ALL SELECT note, '<{SC}hasEvidence>', ev FROM c
@@ -362,14 +362,22 @@ def promote_links(spark, d):
     return promote.promote_links(promote.resolve_links(_links(spark, d), promote.label_index(nations), V), "curated", V)
 
 
-@query("SELECT s_suppkey::INTEGER AS id, CASE WHEN s_suppkey % 2 = 0 AND s_suppkey % 4 <> 0 THEN 'promoted' WHEN s_suppkey % 2 = 0 THEN 'approved' ELSE 'pending' END AS status FROM supplier")
+@query("SELECT s_suppkey::INTEGER AS id, CASE WHEN s_acctbal > 1000 AND s_nationkey >= 5 THEN 'promoted' WHEN s_acctbal > 1000 THEN 'approved' ELSE 'pending' END AS status FROM supplier")
 def staging_status(spark, d):
     links = _links(spark, d)
     return promote.mark_promoted(links, links.filter(F.col("predicate").isin(*promote.PREDICATES))).select("id", "status")
 
 
-@query("SELECT c.n AS customer_nation, s.n AS supplier_nation FROM (SELECT DISTINCT c_nationkey AS n FROM customer WHERE c_acctbal > 9900) c FULL JOIN (SELECT DISTINCT s_nationkey AS n FROM supplier WHERE s_acctbal < 3000) s ON c.n = s.n WHERE c.n IS NULL OR s.n IS NULL")
+_BANDS = "SELECT DISTINCT {0}_nationkey AS nation, floor({0}_acctbal / 100)::BIGINT AS band FROM {1}"
+
+
+@query(f"SELECT c.nation AS customer_nation, c.band AS customer_band, s.nation AS supplier_nation, s.band AS supplier_band FROM ({_BANDS.format('c', 'customer')}) c FULL JOIN ({_BANDS.format('s', 'supplier')}) s ON c.nation = s.nation AND c.band = s.band WHERE c.nation IS NULL OR s.nation IS NULL")
 def crosswalk_diff(spark, d):
-    c = table(spark, d, "customer").filter("c_acctbal > 9900").select(F.col("c_nationkey").alias("customer_nation")).distinct()
-    s = table(spark, d, "supplier").filter("s_acctbal < 3000").select(F.col("s_nationkey").alias("supplier_nation")).distinct()
-    return c.join(s, F.col("customer_nation") == F.col("supplier_nation"), "full_outer").filter("customer_nation IS NULL OR supplier_nation IS NULL")
+    """Nation and balance bands that customers or suppliers alone have."""
+
+    def side(name):
+        k = name[0]
+        return table(spark, d, name).select(F.col(f"{k}_nationkey").alias(f"{name}_nation"), F.floor(F.col(f"{k}_acctbal") / 100).alias(f"{name}_band")).distinct()
+
+    same = (F.col("customer_nation") == F.col("supplier_nation")) & (F.col("customer_band") == F.col("supplier_band"))
+    return side("customer").join(side("supplier"), same, "full_outer").filter("customer_nation IS NULL OR supplier_nation IS NULL")
