@@ -31,34 +31,50 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprint(text: str | None, words: int = 4) -> int:
-    """64 bits, of the XXH64 (seed 42) of word shingles, repeats included; 0 without words."""
+def _mixed(hashes: np.ndarray, nth: int) -> np.ndarray:
+    """Other hashes of the same shingles, by the mixing steps of SplitMix64; nth 0 gives the hashes themselves."""
+    if nth:
+        hashes = hashes + np.uint64(nth * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+        hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashes = (hashes ^ (hashes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        hashes = hashes ^ (hashes >> np.uint64(31))
+    return hashes
+
+
+def fingerprint_set(text: str | None, words: int = 4, prints: int = 1) -> list[int]:
+    """`prints` independent fingerprints of 64 bits, the first of the XXH64 (seed 42) of word shingles, repeats included; all 0 without words."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return [0] * prints
     joined = b" ".join(parts)
     h = xxhash.xxh64_intdigest
-    if len(parts) <= words:
-        return h(joined, 42)
     starts = [0]
     for p in parts:
         starts.append(starts[-1] + len(p) + 1)
+    words = min(words, len(parts))
     n = len(parts) - words + 1
-    over = np.zeros(64, np.int64)
+    over = np.zeros((prints, 64), np.int64)
     for at in range(0, n, 1 << 16):
-        hashes = [h(joined[a:b], 42) for a, b in zip(starts[at : min(at + (1 << 16), n)], (x - 1 for x in starts[at + words :]), strict=False)]
-        over += np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * over > n, bitorder="little").view("<u8")[0])
+        hashes = np.array([h(joined[a:b], 42) for a, b in zip(starts[at : min(at + (1 << 16), n)], (x - 1 for x in starts[at + words :]), strict=False)], "<u8")
+        for nth in range(prints):
+            over[nth] += np.unpackbits(_mixed(hashes, nth).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return [int(np.packbits(2 * x > n, bitorder="little").view("<u8")[0]) for x in over]
+
+
+def fingerprint(text: str | None, words: int = 4) -> int:
+    return fingerprint_set(text, words)[0]
 
 
-def fingerprints(df: DataFrame, id_col: str, text_col: str, words: int = 4) -> DataFrame:
-    """(doc_id, fp) for each row; fp has the fingerprint's bits as a signed long."""
+def fingerprints(df: DataFrame, id_col: str, text_col: str, words: int = 4, prints: int = 1) -> DataFrame:
+    """(doc_id, fp, more) for each row; fp has the first fingerprint's bits as a signed long, more those of the others."""
 
     def rows(incoming):
         for key, text in incoming:
-            yield key, _signed(fingerprint(text, words))
+            first, *more = map(_signed, fingerprint_set(text, words, prints))
+            yield key, first, more
 
-    return map_rows(df.select(col(id_col).cast("long"), col(text_col).cast("string")), rows, pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())]), "doc_id long, fp long", batch=10_000)
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("more", pa.list_(pa.int64()))])
+    return map_rows(df.select(col(id_col).cast("long"), col(text_col).cast("string")), rows, schema, "doc_id long, fp long, more array<long>", batch=10_000)
 
 
 def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,27 +138,32 @@ def _meeting(value: np.ndarray, fp: np.ndarray):
 def near_links(distinct: DataFrame, t: int = 4, cell_cap: int = 2048, groups: int | None = None) -> DataFrame:
     """Edges (u, v) that connect just the fingerprints which chains of at most t differing bits connect.
 
-    distinct: a column fp without repeats, cheap to read again. t even, 2 to 8.
+    distinct: a column fp without repeats, cheap to read again; with a column nth, only those of equal nth meet. t even, 2 to 8.
     """
     if t % 2 or not 2 <= t <= 8:
         raise ValueError("t must be 2, 4, 6 or 8")
     spark = distinct.sparkSession
-    n = distinct.count()
-    g = groups or t + 2 + (n > 1 << 20) + (n > 1 << 25) + (n > 1 << 30)
+    if "nth" not in distinct.columns:
+        distinct = distinct.withColumn("nth", F.lit(0))
+    kinds = [r[0] for r in distinct.groupBy("nth").count().select("count").collect()]
+    n = sum(kinds)
+    g = groups or t + 2 + sum(max(kinds, default=0) > 1 << e for e in (20, 25, 30))
     parts = [sum(3 << 2 * int(i) for i in seg) for seg in np.array_split(np.arange(32), g)]
     masks = [_signed(sum(parts[i] for i in chosen)) for chosen in combinations(range(g), g - t)]
     odd = F.lit(_signed(_ODD))
     even_bit, odd_bit = F.col("fp").bitwiseAND(odd), F.shiftrightunsigned("fp", 1).bitwiseAND(odd)
     counts = even_bit.bitwiseXOR(odd_bit).bitwiseOR(F.shiftleft(even_bit.bitwiseAND(odd_bit), 1))  # 32 sums of two bits
-    cells = distinct.select("fp", counts.alias("c")).select(F.posexplode(F.array(*(F.col("c").bitwiseAND(F.lit(m)) for m in masks))).alias("cell", "key"), "fp")
+    cells = distinct.select("fp", "nth", counts.alias("c")).select(F.posexplode(F.array(*(F.col("c").bitwiseAND(F.lit(m)) for m in masks))).alias("cell", "key"), "fp", "nth")
+    cells = cells.select((F.col("nth") * len(masks) + F.col("cell")).cast("int").alias("cell"), "key", "fp", "nth")
     tasks = partitions_for(spark, n * len(masks))
     crowded = cut(cells.groupBy("cell", "key").count().filter(F.col("count") > cell_cap).select("cell", "key"))
     if crowded.isEmpty():
         return _star_rows(cells.select("cell", "key", "fp").repartition(tasks, "cell", "key"), _within(t))
     few = cells.join(crowded, ["cell", "key"], "left_anti").select("cell", "key", "fp")
-    many = cells.join(crowded, ["cell", "key"], "left_semi").select("fp").distinct()
+    many = cells.join(crowded, ["cell", "key"], "left_semi").select("fp", "nth").distinct()
     flips = [0, *(_signed(sum(1 << b for b in bits)) for r in range(1, t // 2 + 1) for bits in combinations(range(64), r))]
-    balls = many.select(F.explode(F.transform(F.array(*map(F.lit, flips)), lambda m: m.bitwiseXOR(F.col("fp")))).alias("value"), "fp")
+    balls = many.select(F.explode(F.transform(F.array(*map(F.lit, flips)), lambda m: m.bitwiseXOR(F.col("fp")))).alias("value"), "fp", "nth")
+    balls = balls.select(F.col("value").bitwiseXOR(F.when(F.col("nth") == 0, F.lit(0).cast("long")).otherwise(F.xxhash64("nth"))).alias("value"), "fp")  # other nth, other values
     return _star_rows(few.repartition(tasks, "cell", "key"), _within(t)).unionAll(_star_rows(balls.repartition(tasks, "value"), _meeting))
 
 
@@ -172,15 +193,25 @@ def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return now.select("u", F.col("v").alias("root")).unionAll(now.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, t: int = 4, cell_cap: int = 2048) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, t: int = 4, cell_cap: int = 2048, prints: int = 1) -> DataFrame:
     """(doc_id, fp, component_id) for each row of df: component_id is the least doc_id within chains of t bits.
 
     Null, empty and blank texts have fingerprint 0 and link like any other. Rows with a null id count, but name no
     component: component_id is null where a component has no other. Repeated rows stay repeated; other columns are ignored.
+
+    prints: independent fingerprints of each text; texts link where any of them are within t bits. Where one alone finds a
+    link with probability p, so many find it with 1 - (1 - p)^prints, while texts further apart stay as good as unlinked.
     """
-    prints = cut(fingerprints(df, id_col, text_col, words))
-    distinct = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    roots = cut(connected(near_links(distinct.select("fp"), t, cell_cap)))
+    every = cut(fingerprints(df, id_col, text_col, words, prints))
+    distinct = cut(every.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    if prints == 1:
+        links = near_links(distinct.select("fp"), t, cell_cap)
+    else:
+        # The graph's vertices are fingerprints; those of one text are joined to its first.
+        pairs = cut(every.select("fp", F.posexplode("more").alias("nth", "other")).distinct())
+        values = cut(distinct.select(F.lit(0).alias("nth"), "fp").unionAll(pairs.select(F.col("nth") + 1, F.col("other").alias("fp")).distinct()))
+        links = near_links(values, t, cell_cap).unionAll(pairs.select("fp", "other"))
+    roots = cut(connected(links))
     linked = roots.join(distinct, roots.u == distinct.fp).select("fp", "root", "least")
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     moved = linked.join(named, "root").select("fp", "component_id")
@@ -188,7 +219,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # Fingerprints with over a 2000th of all rows are fewer than 2000, so that they can be broadcast; the others are not hot.
     share = (names.agg(F.sum("n")).first()[0] or 0) / 2000
     hot = names.filter(F.col("n") > share).select("fp", F.struct("component_id").alias("known"))
-    met = prints.join(F.broadcast(hot), "fp", "left")
+    met = every.select("doc_id", "fp").join(F.broadcast(hot), "fp", "left")
     cold = met.filter("known is null").drop("known").join(names.filter(F.col("n") <= share), "fp").select("doc_id", "fp", "component_id")
     return met.filter("known is not null").select("doc_id", "fp", "known.component_id").unionAll(cold)
 

@@ -10,26 +10,45 @@ from quillgraph.llm._common import cut
 from .helpers import docs, rows
 
 
-def brute_print(text):
+M64 = (1 << 64) - 1
+
+
+def mixed(h, nth):
+    """The nth number of SplitMix64 from h on; h itself for 0."""
+    if nth:
+        h = h + nth * 0x9E3779B97F4A7C15 & M64
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 & M64
+        h = (h ^ h >> 27) * 0x94D049BB133111EB & M64
+        h ^= h >> 31
+    return h
+
+
+def brute_prints(text, words=4, prints=1):
     ws = "".join(c.lower() if c.isascii() else c for c in (text or ""))
     ws = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", ws) if w]
     if not ws:
-        return 0
-    sh = [" ".join(ws[i : i + 4]) for i in range(max(1, len(ws) - 3))]
+        return [0] * prints
+    sh = [" ".join(ws[i : i + words]) for i in range(max(1, len(ws) - words + 1))]
     hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+    return [sum(1 << b for b in range(64) if 2 * sum(mixed(h, k) >> b & 1 for h in hs) > len(hs)) for k in range(prints)]
+
+
+def brute_print(text):
+    return brute_prints(text)[0]
 
 
 def components(prints, t):
+    """prints: a fingerprint, or a list of them of which one has to be near, by document."""
     root = {k: k for k in prints}
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
     keys = sorted(prints)
+    of = {k: p if isinstance(p, list) else [p] for k, p in prints.items()}
     for i, a in enumerate(keys):
         for b in keys[:i]:
-            if bin(prints[a] ^ prints[b]).count("1") <= t:
+            if any((x ^ y).bit_count() <= t for x, y in zip(of[a], of[b], strict=True)):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {k: find(k) for k in keys}
@@ -59,6 +78,19 @@ def test_components_agree_with_all_pairs(spark, cap):
     assert len(set(want.values())) < len(texts) - 20
 
 
+@pytest.mark.parametrize("cap", [8192, 1])
+def test_any_of_several_fingerprints_links(spark, cap):
+    texts = corpus()
+    df = docs(spark, texts, extra=True)
+    got = {r.doc_id: r for r in simhash.near_duplicates(df, words=5, prints=3, cell_cap=cap).collect()}
+    prints = {i: brute_prints(t, 5, 3) for i, t in enumerate(texts)}
+    assert {i: r.fp % (1 << 64) for i, r in got.items()} == {i: p[0] for i, p in prints.items()}
+    want = components(prints, 4)
+    assert {i: r.component_id for i, r in got.items()} == want
+    assert len(set(want.values())) < len(set(components({i: p[0] for i, p in prints.items()}, 4).values()))
+    assert simhash.near_duplicates(df.limit(0), prints=3).count() == 0
+
+
 def _balls(n, rng):
     out = []
     for _ in range(n):
