@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id."""
-    return simhash.keep_first(docs)
+    """Of each group of near-duplicates the document with the least id; texts are near where any of four fingerprints are."""
+    return simhash.keep_first(docs, words=5, prints=4, cell_cap=8192)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
