@@ -140,3 +140,46 @@ def test_keep_first_nulls_and_repeats(spark):
 def test_stars():
     u, v = simhash._stars(np.array([1, 2, 9]), np.array([2, 3, 8]))
     assert dict(zip(u.tolist(), v.tolist())) == {2: 1, 3: 1, 9: 8}
+
+
+def edited(rng, pairs):
+    """Texts of 300 words and copies with words changed so that five-word similarity lies between about 0.6 and 0.95."""
+    texts = []
+    for i in range(pairs):
+        base = ["w%d" % rng.randrange(5000) for _ in range(300)]
+        copy = list(base)
+        for at in rng.sample(range(0, 300, 6), 2 + i % 14):
+            copy[at] = "new%d" % rng.randrange(5000)
+        texts += [" ".join(base), " ".join(copy)]
+    return texts
+
+
+def jaccard(a, b, words=5):
+    x, y = ({tuple(t.split()[i : i + words]) for i in range(len(t.split()) - words + 1)} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("cap", [8192, 2])
+def test_share_links_all_pairs_from_there_on(spark, cap):
+    texts = edited(random.Random(7), 280)
+    texts += [texts[0] + " tail%d" % i for i in range(5)] + [None, "", "one", "two words"]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, texts, extra=True), words=5, prints=4, share=0.8, cell_cap=cap).collect()}
+    near = {i: jaccard(texts[i], texts[i + 1]) for i in range(0, 560, 2)}
+    linked = {i for i in near if got[i] == got[i + 1]}
+    wanted = {i for i, x in near.items() if x >= 0.8}
+    assert len(wanted) > 100 and len(wanted - linked) <= len(wanted) // 100
+    prints = {i: brute_prints(texts[i], 5, 4) for i in range(560)}
+    close = {i for i in near if any((x ^ y).bit_count() <= 4 for x, y in zip(prints[i], prints[i + 1], strict=True))}
+    assert linked <= wanted | close and len(set(near) - wanted - close) > 50
+    assert {got[560 + i] for i in range(5)} == {0} and got[565] == got[566] and got[567] == 567 and got[568] == 568
+    assert simhash.near_duplicates(docs(spark, texts).limit(0), words=5, prints=4, share=0.8).count() == 0
+
+
+def test_pipeline_drops_edited_copies(spark):
+    import corpus_pipeline
+
+    texts = edited(random.Random(8), 140)
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs(spark, texts), "").collect()}
+    wanted = [i for i in range(0, 280, 2) if jaccard(texts[i], texts[i + 1]) >= 0.8]
+    assert len(wanted) > 50 and sum(i + 1 in kept for i in wanted) <= 1
+    assert kept >= set(range(0, 280, 2))
