@@ -1,10 +1,12 @@
-"""SimHash near-duplicates: segment bit counts, a grid join under Manhattan distance, exact verification.
+"""SimHash near-duplicates: segment bit counts, a grid range join under Manhattan distance, exact verification.
 
 The embedding of a fingerprint is the bit count of each of its 32 two-bit segments. The Manhattan distance of two
-embeddings is at most the Hamming distance of the fingerprints. If it is at most t, then of any g disjoint groups of
-coordinates at least g - t are equal; so the grid's cells are the values of each choice of g - t groups, and two
-fingerprints within t bits share a cell. In a cell the exact distance decides. g grows with the number of
-fingerprints, which keeps cells small; every g finds the same links.
+embeddings is at most the Hamming distance of the fingerprints. The grid's cells are the values of each choice of
+g - t out of g disjoint groups of coordinates: a Manhattan distance of at most t leaves at least g - t groups equal, so
+that two such embeddings share a cell. Within a cell, points are sorted by their total bit count, which again differs by at
+most the Manhattan distance, and a range join over it meets the points within t; of those the Manhattan distance (counts
+in unary, so that it is the number of differing bits) is the lower bound that has to be at most t before
+the fingerprints themselves decide. g grows with the number of fingerprints, which keeps cells small; every g finds the same links.
 
 Equal fingerprints are one row throughout. A task emits at most a star for each of its linked sets, never all
 pairs. Cells above `cell_cap` distinct fingerprints are taken out and their fingerprints linked in another exact way, of cost
@@ -13,11 +15,14 @@ emits its ball of that radius and those that meet in a value link to the least t
 
 Fingerprints find few of the pairs near Jaccard 0.8. Where those count, 512 minimum hashes of the shingles propose pairs
 too: texts that agree in all of any of 20 bands of five share a cell, and there two bits of each minimum estimate the
-similarity (standard deviation 0.021 at 0.8). What may be near and isn't connected yet is decided on the sets themselves.
+similarity (standard deviation 0.021 at 0.8). A cell emits a forest of its near texts, at most an edge a text. The
+best edges of each component are decided on the sets of shingles, in a few rounds; what then is still open is
+compared set by set, in blocks of its cluster, within tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -147,18 +152,29 @@ def _star_rows(df: DataFrame, find) -> DataFrame:
     return df.mapInArrow(run, "u long, v long")
 
 
+def _unary(fp: np.ndarray) -> np.ndarray:
+    """The counts of the 32 segments, each in two bits as 00, 01 or 11: differing bits are the Manhattan distance."""
+    odd = np.uint64(_ODD)
+    high, low = (fp >> np.uint64(1)) & odd, fp & odd
+    return (high | low) | (high & low) << np.uint64(1)
+
+
 def _within(t: int):
     def find(cell: np.ndarray, key: np.ndarray, fp: np.ndarray):
-        order = np.lexsort((key, cell))
-        cell, key, fp = cell[order], key[order], fp[order].astype(np.int64).view(np.uint64)
-        first = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (key[1:] != key[:-1])])
-        size = np.diff(np.r_[first, len(fp)])
-        left = np.repeat(first + size, size) - np.arange(len(fp)) - 1  # rows after this one in its cell
+        fp = fp.astype(np.int64).view(np.uint64)
+        total = np.bitwise_count(fp).astype(np.int64)
+        order = np.lexsort((total, key, cell))
+        cell, key, fp, total = cell[order], key[order], fp[order], total[order]
+        counts = _unary(fp)
+        size = np.diff(np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (key[1:] != key[:-1]), True]))
+        left = np.repeat(np.cumsum(size), size) - np.arange(len(fp)) - 1  # rows after this one in its cell
         at, a, b, step = np.flatnonzero(left), [], [], 0
         while len(at):
             step += 1
             at = at[left[at] >= step]
-            near = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= t]
+            at = at[total[at + step] - total[at] <= t]  # totals rise, so that those further on differ by more
+            near = at[np.bitwise_count(counts[at] ^ counts[at + step]) <= t]
+            near = near[np.bitwise_count(fp[near] ^ fp[near + step]) <= t]
             a.append(fp[near])
             b.append(fp[near + step])
         none = np.zeros(0, np.uint64)
@@ -174,7 +190,11 @@ def _meeting(value: np.ndarray, fp: np.ndarray):
     return fp[same], fp[same + 1]
 
 
-def _alike(share: float):
+def _forest(share: float):
+    """Of each cell a forest over its roots: (x, y: texts, u, v: their roots, d: minima that differ), the nearest text of a root first.
+
+    In turn each row, the least text first, is compared with those after it that the forest doesn't join to it yet.
+    """
     most = int(_MINIMA * 0.75 * (1 - share + _MARGIN))  # minima whose two bits differ; of unlike ones a quarter agree
 
     def run(batches):
@@ -182,57 +202,159 @@ def _alike(share: float):
         if not held:
             return
         t = pa.Table.from_batches(held)
-        key, same, fp, root = (c.to_numpy() for c in t.columns[:4])
-        order = np.argsort(key, kind="stable")
-        key, same, fp, root = key[order], same[order], fp[order], root[order]
-        bits = t.column(4).combine_chunks().flatten().to_numpy().reshape(len(t), -1)[order].view(np.uint64)
-        size = np.diff(np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]))
-        left = np.repeat(np.cumsum(size), size) - np.arange(len(fp)) - 1  # rows after this one in its cell
-        at, step, half = np.flatnonzero(left), 0, bits.shape[1] // 2
+        key, same, root = (c.to_numpy() for c in t.columns[:3])
+        order = np.lexsort((same, key))
+        key, same, root = key[order], same[order], root[order]
+        bits = t.column(3).combine_chunks().flatten().to_numpy().reshape(len(t), -1)[order].view(np.uint64)
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        size = np.diff(np.r_[first, len(key)])
+        start = np.repeat(first, size)
+        place = np.arange(len(key)) - start
+        by_root = np.lexsort((root, start))
+        label = np.empty(len(key), np.int64)
+        label[by_root] = np.cumsum(np.r_[0, (root[by_root][1:] != root[by_root][:-1]) | (start[by_root][1:] != start[by_root][:-1])])
+        joined = np.arange(len(key))
+        at, step, half = np.flatnonzero(place), 0, bits.shape[1] // 2
         while len(at):
+            pivot = start[at] + step
+            apart = label[at] != label[pivot]
+            a, p = at[apart], pivot[apart]
+            unlike = bits[a] ^ bits[p]
+            d = np.bitwise_count(unlike[:, :half] | unlike[:, half:]).sum(axis=1, dtype=np.int64)
+            near = d <= most
+            if near.any():
+                a, p, d = a[near], p[near], d[near]
+                best = np.lexsort((d, label[a]))
+                best = best[np.flatnonzero(np.r_[True, np.diff(label[a][best]) != 0])]
+                a, p, d = a[best], p[best], d[best]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (same[p], same[a], root[p], root[a], d)], names=["x", "y", "u", "v", "d"])
+                joined[label[a]] = label[p]
+                label[at] = joined[label[at]]
             step += 1
-            at = at[left[at] >= step]
-            apart = at[root[at] != root[at + step]]
-            unlike = bits[apart] ^ bits[apart + step]
-            a = apart[np.bitwise_count(unlike[:, :half] | unlike[:, half:]).sum(axis=1, dtype=np.int64) <= most]
-            if len(a):
-                b = a + step
-                a, b = np.where(same[a] < same[b], a, b), np.where(same[a] < same[b], b, a)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (same[a], same[b], fp[a], fp[b])], names=["x", "y", "u", "v"])
+            at = at[place[at] > step]
 
     return run
 
 
-def alike_links(df: DataFrame, text_col: str, words: int, sketches: DataFrame, share: float, cell_cap: int = 2048) -> DataFrame:
-    """Edges (u, v) between the fingerprints of texts of df of Jaccard similarity `share` or more and of different `root`.
-
-    sketches: (same, fp, root, keys, bits) without repeats, cheap to read again. A cell of more than `cell_cap` texts is dealt
-    out as blocks, of which each pair meets in a cell of its own, so that all its pairs are compared.
-    """
-    spark = df.sparkSession
-    cells = sketches.select(F.explode("keys").alias("key"), "same", "fp", "root", "bits")
-    tasks = partitions_for(spark, sketches.count() * _BANDS, 200_000)
+def _candidates(sketches: DataFrame, share: float, cell_cap: int) -> DataFrame:
+    """(x, y, u, v, d) by _forest, of all cells of sketches(same, root, keys, bits). A cell of more than `cell_cap` texts is
+    dealt out as blocks, of which each pair meets in a cell of its own, so that all its pairs are compared."""
+    cells = sketches.select(F.explode("keys").alias("key"), "same", "root", "bits")
+    tasks = partitions_for(sketches.sparkSession, sketches.count() * _BANDS, 200_000)
     crowded = cut(cells.groupBy("key").count().filter(F.col("count") > cell_cap))
     if not crowded.isEmpty():
         blocks = F.coalesce(F.ceil(F.col("count") / cell_cap).cast("int"), F.lit(1))
         many = cells.join(F.broadcast(crowded), "key", "left").withColumn("mine", F.pmod(F.xxhash64("same"), blocks).cast("int"))
         many = many.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         pair = F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other"))
-        cells = many.select(F.when(F.col("count").isNull(), F.col("key")).otherwise(pair).alias("key"), "same", "fp", "root", "bits")
-    pairs = cut(cells.repartition(tasks, "key").mapInArrow(_alike(share), "x long, y long, u long, v long").distinct())
-    asked = cut(pairs.select(F.explode(F.array("x", "y")).alias("same")).distinct())
+        cells = many.select(F.when(F.col("count").isNull(), F.col("key")).otherwise(pair).alias("key"), "same", "root", "bits")
+    found = cells.repartition(tasks, "key").mapInArrow(_forest(share), "x long, y long, u long, v long, d long")
+    return cut(found.groupBy("x", "y", "u", "v").agg(F.min("d").alias("d")))
+
+
+def _overlaps(share: float):
+    """Pairs of roots with two texts of this Jaccard similarity, by the products of the texts' shingle vectors in each group of rows."""
+
+    def find(group: np.ndarray, root: np.ndarray, sets: list[np.ndarray]):
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        order = np.argsort(group, kind="stable")
+        for rows in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            size = np.array([len(sets[i]) for i in rows])
+            row = np.repeat(np.arange(len(rows)), size)
+            _, term, often = np.unique(np.concatenate([sets[i] for i in rows]), return_inverse=True, return_counts=True)
+            kept = often[term] > 1
+            row, term = row[kept], (np.cumsum(often > 1) - 1)[term[kept]]
+            by_term = np.argsort(term, kind="stable")
+            row, term = row[by_term], term[by_term]
+            shared = np.zeros((len(rows), len(rows)), np.float32)
+            for lo in range(0, int(term[-1]) + 1 if len(term) else 0, 4096):
+                i, j = np.searchsorted(term, [lo, lo + 4096])
+                held = np.zeros((len(rows), 4096), np.float32)
+                held[row[i:j], term[i:j] - lo] = 1
+                shared += held @ held.T
+            enough = shared >= share * (size[:, None] + size[None, :] - shared) - 1e-6
+            i, j = np.nonzero(np.triu(enough, 1) & (root[rows][:, None] != root[rows][None, :]))
+            u, v = _stars(root[rows][i], root[rows][j])
+            a.append(u)
+            b.append(v)
+        return np.concatenate(a), np.concatenate(b)
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        if held:
+            t = pa.Table.from_batches(held)
+            u, v = find(t.column(0).to_numpy(), t.column(1).to_numpy(), [x.values.to_numpy() for x in t.column(2)])
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    return run
+
+
+def alike_links(df: DataFrame, text_col: str, words: int, sketches: DataFrame, share: float, cell_cap: int = 2048, rounds: int = 2, block: int = 1024) -> DataFrame:
+    """Edges (u, v) between roots that connect just those which chains of texts of df of Jaccard similarity `share` or more connect.
+
+    sketches: (same, root, keys, bits), a row a text, cheap to read again. In each of the rounds every root has its best edge of
+    the forest decided. Roots with an edge left open are then clustered, and the texts of each cluster compared: those of
+    its largest root with all others, and the others among themselves, in blocks of at most `block` texts of a side.
+    """
     text = col(text_col).cast("string")
-    texts = df.select(F.xxhash64(text).alias("same"), text.alias("text")).join(asked, "same").dropDuplicates(["same"])
+    every = df.select(F.xxhash64(text).alias("same"), text.alias("text"))
+    schema = pa.schema([("same", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def sets(incoming):
         for same, text in incoming:
             yield same, np.unique(np.concatenate(_hashes(text, words)).view(np.int64)).tolist()
 
-    schema = pa.schema([("same", pa.int64()), ("set", pa.list_(pa.int64()))])
-    held = cut(map_rows(texts, sets, schema, "same long, set array<long>", batch=1000))
-    both = pairs.join(held.select(F.col("same").alias("x"), F.col("set").alias("a")), "x").join(held.select(F.col("same").alias("y"), F.col("set").alias("b")), "y")
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.filter(shared >= share * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v")
+    def sets_of(asked: DataFrame) -> DataFrame:
+        return map_rows(every.join(asked.select("same").distinct(), "same").dropDuplicates(["same"]), sets, schema, "same long, set array<long>", batch=1000)
+
+    def renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:
+        for c in ("u", "v"):
+            edges = edges.join(roots.select(F.col("u").alias(c), F.col("root").alias("_to")), c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
+        return edges.filter("u <> v")
+
+    def decided(edges: DataFrame) -> DataFrame:
+        asked = edges.select(F.explode(F.array("x", "y")).alias("same"))
+        held = cut(sets_of(asked))
+        both = edges.join(held.select(F.col("same").alias("x"), F.col("set").alias("a")), "x").join(held.select(F.col("same").alias("y"), F.col("set").alias("b")), "y")
+        shared = F.size(F.array_intersect("a", "b"))
+        return cut(both.filter(shared >= share * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v"))
+
+    links = []
+    forest = left = _candidates(sketches, share, cell_cap)
+    roots = None
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        ends = left.select(F.explode(F.array("u", "v")).alias("root"), F.struct("d", "x", "y", "u", "v").alias("e"))
+        best = cut(ends.groupBy("root").agg(F.min("e").alias("e")).select("e.*").distinct())
+        links.append(decided(best))
+        roots = cut(connected(reduce(DataFrame.unionAll, links)))
+        left = cut(renamed(left.join(best.select("x", "y"), ["x", "y"], "left_anti"), roots))
+    if not links:
+        return forest.select("u", "v")  # none
+    found = reduce(DataFrame.unionAll, links)
+    still = renamed(forest, roots)
+    touched = cut(still.select(F.explode(F.array("u", "v")).alias("root")).distinct())
+    if touched.isEmpty():
+        return found
+    now = sketches.join(roots.select(F.col("u").alias("root"), F.col("root").alias("_to")), "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
+    now = cut(now.join(touched, "root", "left_semi").select("same", "root", "keys", "bits"))
+    clusters = cut(connected(_candidates(now, share, cell_cap).select("u", "v")).select(F.col("u").alias("root"), F.col("root").alias("cluster")))
+    if clusters.isEmpty():
+        return found
+    members = cut(now.join(clusters, "root").select("same", "root", "cluster").join(sets_of(now.join(clusters, "root", "left_semi")), "same"))
+    sizes = members.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum(F.size("set")).alias("terms"))
+    main = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    sizes = sizes.join(main, "cluster").groupBy("cluster", (F.col("root") == F.col("main")).alias("in_main")).agg(F.sum("n").alias("n"), F.sum("terms").alias("terms"), F.first("main").alias("main"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("terms") / (256 * block))).cast("int")
+    dealt = sizes.groupBy("cluster").agg(F.first("main").alias("main"), F.max(F.when(F.col("in_main"), blocks)).alias("mains"), F.max(F.when(~F.col("in_main"), blocks)).alias("others"))
+    rows = members.join(dealt, "cluster")
+    in_main = F.col("root") == F.col("main")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("same"), F.when(in_main, F.col("mains")).otherwise(F.col("others"))).cast("int") + F.when(in_main, 0).otherwise(F.col("mains")))
+    meets = F.when(in_main, F.sequence("mains", F.col("mains") + F.col("others") - 1)).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("mains") + F.col("others") - 1), F.col("mine")))
+    rows = rows.select("cluster", "root", "set", "mine", F.explode(meets).alias("other"))
+    rows = rows.select(F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "root", "set")
+    return found.unionAll(rows.repartition("group").mapInArrow(_overlaps(share), "u long, v long"))
 
 
 def near_links(distinct: DataFrame, t: int = 4, cell_cap: int = 2048, groups: int | None = None) -> DataFrame:
@@ -267,6 +389,19 @@ def near_links(distinct: DataFrame, t: int = 4, cell_cap: int = 2048, groups: in
     return _star_rows(few.repartition(tasks, "cell", "key"), _within(t)).unionAll(_star_rows(balls.repartition(tasks, "value"), _meeting))
 
 
+def _with_hot(big: DataFrame, small: DataFrame, key: str, total: int) -> DataFrame:
+    """big join small(key, n, ...) on key. n: rows of big with the key, of `total`.
+
+    The keys with over a 1000th of all rows, fewer than 1000, are broadcast, so that their rows stay where they are.
+    """
+    share = total / 1000
+    others = [c for c in small.columns if c not in (key, "n")]
+    hot = small.filter(F.col("n") > share).select(key, F.struct(*others).alias("_known"))
+    met = big.join(F.broadcast(hot), key, "left")
+    cold = met.filter("_known is null").drop("_known").join(small.filter(F.col("n") <= share).drop("n"), key)
+    return met.filter("_known is not null").select(*big.columns, *(F.col(f"_known.{c}") for c in others)).unionAll(cold.select(*big.columns, *others))
+
+
 def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """(u, root) for each vertex of the edges: root is the least vertex of its component.
 
@@ -278,8 +413,8 @@ def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     before = measure(now)
     for _ in range(max_rounds if before[0] else 0):
         wide = both(now)
-        least = wide.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = wide.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        least = wide.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = _with_hot(wide, least, "u", 2 * before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         now = cut(small.filter("u <> v").distinct())
@@ -317,19 +452,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     if share is not None:
         links = cut(links)
         known = connected(links).withColumnRenamed("u", "fp")
-        sketches = cut(every.filter(F.size("keys") > 0).dropDuplicates(["same"]).select("same", "fp", "keys", "bits").join(known, "fp", "left").select("same", "fp", F.coalesce("root", "fp").alias("root"), "keys", "bits"))
+        sketches = cut(every.filter(F.size("keys") > 0).dropDuplicates(["same"]).select("same", "fp", "keys", "bits").join(known, "fp", "left").select("same", F.coalesce("root", "fp").alias("root"), "keys", "bits"))
         links = links.unionAll(alike_links(df, text_col, words, sketches, share, cell_cap))
     roots = cut(connected(links))
-    linked = roots.join(distinct, roots.u == distinct.fp).select("fp", "root", "least")
-    named = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    moved = linked.join(named, "root").select("fp", "component_id")
+    linked = cut(roots.join(distinct, roots.u == distinct.fp).select("fp", "root", "least"))
+    named = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    moved = _with_hot(linked.select("root", "fp"), named, "root", linked.count()).select("fp", "component_id")
     names = cut(distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "n"))
-    # Fingerprints with over a 2000th of all rows are fewer than 2000, so that they can be broadcast; the others are not hot.
-    share = (names.agg(F.sum("n")).first()[0] or 0) / 2000
-    hot = names.filter(F.col("n") > share).select("fp", F.struct("component_id").alias("known"))
-    met = every.select("doc_id", "fp").join(F.broadcast(hot), "fp", "left")
-    cold = met.filter("known is null").drop("known").join(names.filter(F.col("n") <= share), "fp").select("doc_id", "fp", "component_id")
-    return met.filter("known is not null").select("doc_id", "fp", "known.component_id").unionAll(cold)
+    total = names.agg(F.sum("n")).first()[0] or 0
+    return _with_hot(every.select("doc_id", "fp"), names, "fp", total).select("doc_id", "fp", "component_id")
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -26,7 +26,7 @@ def test_pipeline_agrees_with_its_parts(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     model = toxicity.fit_toxicity(df, lab, "doc_id", "text")
     score = model.scorer()
-    clean = {i: brute_prints(t, 5, 4) for i, t in enumerate(texts) if score(t)[0] < 0.2}
+    clean = {i: brute_prints(t, 5) for i, t in enumerate(texts) if score(t)[0] < 0.2}
     assert {r.doc_id for r in out} == set(components(clean, 4).values())
     assert check([(r.length, r.sequence_id, r.offset) for r in out], packing.SIZE) == -(-sum(r.length for r in out) // packing.SIZE)
     assert 0 not in {r.doc_id for r in out} and 201 not in {r.doc_id for r in out}

@@ -183,3 +183,32 @@ def test_pipeline_drops_edited_copies(spark):
     wanted = [i for i in range(0, 280, 2) if jaccard(texts[i], texts[i + 1]) >= 0.8]
     assert len(wanted) > 50 and sum(i + 1 in kept for i in wanted) <= 1
     assert kept >= set(range(0, 280, 2))
+
+
+def test_a_large_group_of_edited_copies(spark):
+    """Copies of one text with 1 to 30 words changed: all pairs at 0.8 or more are connected, and nothing else, whatever the blocks."""
+    rng = random.Random(11)
+    base = ["w%d" % rng.randrange(5000) for _ in range(200)]
+    texts = []
+    for i in range(160):
+        copy = list(base)
+        for at in rng.sample(range(200), 1 + i % 6 if i % 4 else 30):
+            copy[at] = "n%d" % rng.randrange(10**6)
+        texts.append(" ".join(copy))
+    every = cut(simhash.fingerprints(docs(spark, texts), "doc_id", "text", 5, 1, True))
+    sketches = cut(every.selectExpr("same", "same as root", "keys", "bits"))
+    links = simhash.alike_links(docs(spark, texts), "text", 5, sketches, 0.8, rounds=1, block=16)
+    number = {r.same: r.doc_id for r in every.collect()}
+    root = {number[r.u]: number[r.root] for r in simhash.connected(links).collect()}
+    mine = {}
+    for i in range(160):
+        mine.setdefault(root.get(i, i), set()).add(i)
+    theirs = {i: {i} for i in range(160)}
+    for i in range(160):
+        for j in range(i):
+            if theirs[i] is not theirs[j] and jaccard(texts[i], texts[j]) >= 0.8:
+                theirs[i] |= theirs[j]
+                for k in theirs[i]:
+                    theirs[k] = theirs[i]
+    assert sorted(map(sorted, mine.values())) == sorted(map(sorted, {frozenset(x) for x in theirs.values()}))
+    assert 20 < len(mine) < 140
