@@ -19,8 +19,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id; texts are near from five-word Jaccard similarity 0.8 on, or where any of four fingerprints are."""
-    return simhash.keep_first(docs, words=5, prints=4, cell_cap=8192, share=0.8)
+    """Of each group of near-duplicates the document with the least id; texts are near from five-word Jaccard similarity 0.8 on, or by their fingerprints."""
+    return simhash.keep_first(docs, words=5, cell_cap=8192, share=0.8)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
