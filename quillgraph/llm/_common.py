@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -40,6 +41,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver drop what nothing refers to, upon which Spark deletes its shuffle files and checkpoints.
+
+    Without it an iteration's rounds fill the disks until the driver happens to collect its garbage.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions_for(spark: SparkSession, rows: int, per_task: int = 1_000_000) -> int:
     """Shuffle partitions for so many narrow rows: the session's number, or more where tasks would grow."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // per_task))

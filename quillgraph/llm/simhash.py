@@ -16,8 +16,8 @@ emits its ball of that radius and those that meet in a value link to the least t
 Fingerprints find few of the pairs near Jaccard 0.8. Where those count, 512 minimum hashes of the shingles propose pairs
 too: texts that agree in all of any of 20 bands of five share a cell, and there two bits of each minimum estimate the
 similarity (standard deviation 0.021 at 0.8). A cell emits a forest of its near texts, at most an edge a text. The
-best edges of each component are decided on the sets of shingles, in a few rounds; what then is still open is
-compared set by set, in blocks of its cluster, within tasks.
+best edge of each component is decided on the sets of shingles; what then is still open is compared set by set, in
+blocks of its cluster, within tasks.
 """
 
 from __future__ import annotations
@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import col, cut, fresh, map_rows, partitions_for
+from ._common import col, cut, fresh, map_rows, partitions_for, release
 
 _ODD = 0x5555555555555555
 #: Minimum hashes: their number, the bands and rows of each band that propose pairs, and the multipliers and summands.
@@ -40,6 +41,8 @@ _TIMES, _PLUS = np.random.RandomState(42).randint(0, 1 << 32, (2, _MINIMA, 1), n
 _TIMES |= np.uint32(1)
 #: How far below the similarity asked for an estimate may lie: three standard deviations at 0.8.
 _MARGIN = 0.063
+#: Stands for a null id where rows of one text choose a representative.
+_NO_ID = -(1 << 63)
 
 
 def _signed(x: int) -> int:
@@ -289,72 +292,60 @@ def _overlaps(share: float):
     return run
 
 
-def alike_links(df: DataFrame, text_col: str, words: int, sketches: DataFrame, share: float, cell_cap: int = 2048, rounds: int = 2, block: int = 1024) -> DataFrame:
-    """Edges (u, v) between roots that connect just those which chains of texts of df of Jaccard similarity `share` or more connect.
+def alike_roots(df: DataFrame, id_col: str, text_col: str, words: int, sketches: DataFrame, share: float, cell_cap: int = 2048, block: int = 1024) -> DataFrame:
+    """(u, root) for each root of sketches that chains of texts of df of Jaccard similarity `share` or more connect to another.
 
-    sketches: (same, root, keys, bits), a row a text, cheap to read again. In each of the rounds every root has its best edge of
-    the forest decided. Roots with an edge left open are then clustered, and the texts of each cluster compared: those of
-    its largest root with all others, and the others among themselves, in blocks of at most `block` texts of a side.
+    sketches: (same, rep, root, keys, bits), a row a text, cheap to read again; rep: the id of one row with that text. Every
+    root first has its best edge of the forest decided. Roots with an edge left open are then clustered, and the texts
+    of each cluster compared: those of its largest root with all others, and the others among themselves, in
+    blocks of at most `block` texts of a side.
     """
+    spark = df.sparkSession
     text = col(text_col).cast("string")
-    every = df.select(F.xxhash64(text).alias("same"), text.alias("text"))
+    every = df.select(F.xxhash64(text).alias("same"), F.coalesce(col(id_col).cast("long"), F.lit(_NO_ID)).alias("rep"), text.alias("text"))
     schema = pa.schema([("same", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def sets(incoming):
-        for same, text in incoming:
+        for same, _, text in incoming:
             yield same, np.unique(np.concatenate(_hashes(text, words)).view(np.int64)).tolist()
 
     def sets_of(asked: DataFrame) -> DataFrame:
-        return map_rows(every.join(asked.select("same").distinct(), "same").dropDuplicates(["same"]), sets, schema, "same long, set array<long>", batch=1000)
+        # By the representative's id too, so that a text's many copies don't meet in a task.
+        return map_rows(every.join(asked.select("same", "rep"), ["same", "rep"]).dropDuplicates(["same"]), sets, schema, "same long, set array<long>", batch=1000)
 
     def renamed(edges: DataFrame, roots: DataFrame) -> DataFrame:
         for c in ("u", "v"):
             edges = edges.join(roots.select(F.col("u").alias(c), F.col("root").alias("_to")), c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
         return edges.filter("u <> v")
 
-    def decided(edges: DataFrame) -> DataFrame:
-        asked = edges.select(F.explode(F.array("x", "y")).alias("same"))
-        held = cut(sets_of(asked))
-        both = edges.join(held.select(F.col("same").alias("x"), F.col("set").alias("a")), "x").join(held.select(F.col("same").alias("y"), F.col("set").alias("b")), "y")
-        shared = F.size(F.array_intersect("a", "b"))
-        return cut(both.filter(shared >= share * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v"))
-
-    links = []
-    forest = left = _candidates(sketches, share, cell_cap)
-    roots = None
-    for _ in range(rounds):
-        if left.isEmpty():
-            break
-        ends = left.select(F.explode(F.array("u", "v")).alias("root"), F.struct("d", "x", "y", "u", "v").alias("e"))
-        best = cut(ends.groupBy("root").agg(F.min("e").alias("e")).select("e.*").distinct())
-        links.append(decided(best))
-        roots = cut(connected(reduce(DataFrame.unionAll, links)))
-        left = cut(renamed(left.join(best.select("x", "y"), ["x", "y"], "left_anti"), roots))
-    if not links:
-        return forest.select("u", "v")  # none
-    found = reduce(DataFrame.unionAll, links)
-    still = renamed(forest, roots)
-    touched = cut(still.select(F.explode(F.array("u", "v")).alias("root")).distinct())
+    forest = _candidates(sketches, share, cell_cap)
+    ends = forest.select(F.explode(F.array("u", "v")).alias("root"), F.struct("d", "x", "y", "u", "v").alias("e"))
+    best = cut(ends.groupBy("root").agg(F.min("e").alias("e")).select("e.*").distinct())
+    held = cut(sets_of(sketches.join(best.select(F.explode(F.array("x", "y")).alias("same")).distinct(), "same", "left_semi")))
+    both = best.join(held.select(F.col("same").alias("x"), F.col("set").alias("a")), "x").join(held.select(F.col("same").alias("y"), F.col("set").alias("b")), "y")
+    shared = F.size(F.array_intersect("a", "b"))
+    roots = cut(connected(both.filter(shared >= share * (F.size("a") + F.size("b") - shared) - 1e-9).select("u", "v")))
+    touched = cut(renamed(forest, roots).select(F.explode(F.array("u", "v")).alias("root")).distinct())
+    release(spark)
     if touched.isEmpty():
-        return found
+        return roots
     now = sketches.join(roots.select(F.col("u").alias("root"), F.col("root").alias("_to")), "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
-    now = cut(now.join(touched, "root", "left_semi").select("same", "root", "keys", "bits"))
+    now = cut(now.join(touched, "root", "left_semi").select("same", "rep", "root", "keys", "bits"))
     clusters = cut(connected(_candidates(now, share, cell_cap).select("u", "v")).select(F.col("u").alias("root"), F.col("root").alias("cluster")))
-    if clusters.isEmpty():
-        return found
-    members = cut(now.join(clusters, "root").select("same", "root", "cluster").join(sets_of(now.join(clusters, "root", "left_semi")), "same"))
+    members = now.join(clusters, "root").select("same", "rep", "root", "cluster")
+    members = cut(members.join(sets_of(members), "same").select("root", "cluster", "same", "set"))
     sizes = members.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum(F.size("set")).alias("terms"))
     main = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    sizes = sizes.join(main, "cluster").groupBy("cluster", (F.col("root") == F.col("main")).alias("in_main")).agg(F.sum("n").alias("n"), F.sum("terms").alias("terms"), F.first("main").alias("main"))
-    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("terms") / (256 * block))).cast("int")
-    dealt = sizes.groupBy("cluster").agg(F.first("main").alias("main"), F.max(F.when(F.col("in_main"), blocks)).alias("mains"), F.max(F.when(~F.col("in_main"), blocks)).alias("others"))
-    rows = members.join(dealt, "cluster")
+    is_main = F.col("root") == F.col("main")
+    blocks = lambda c: F.greatest(F.ceil(F.sum(F.when(c, F.col("n"))) / block), F.ceil(F.sum(F.when(c, F.col("terms"))) / (256 * block))).cast("int")
+    rows = members.join(sizes.join(main, "cluster").groupBy("cluster", "main").agg(blocks(is_main).alias("mains"), blocks(~is_main).alias("others")), "cluster")
     in_main = F.col("root") == F.col("main")
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("same"), F.when(in_main, F.col("mains")).otherwise(F.col("others"))).cast("int") + F.when(in_main, 0).otherwise(F.col("mains")))
     meets = F.when(in_main, F.sequence("mains", F.col("mains") + F.col("others") - 1)).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("mains") + F.col("others") - 1), F.col("mine")))
     rows = rows.select("cluster", "root", "set", "mine", F.explode(meets).alias("other"))
     rows = rows.select(F.xxhash64("cluster", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "root", "set")
-    return found.unionAll(rows.repartition("group").mapInArrow(_overlaps(share), "u long, v long"))
+    late = rows.repartition("group").mapInArrow(_overlaps(share), "u long, v long")
+    return connected(roots.withColumnRenamed("root", "v").unionAll(late))
 
 
 def near_links(distinct: DataFrame, t: int = 4, cell_cap: int = 2048, groups: int | None = None) -> DataFrame:
@@ -402,30 +393,75 @@ def _with_hot(big: DataFrame, small: DataFrame, key: str, total: int) -> DataFra
     return met.filter("_known is not null").select(*big.columns, *(F.col(f"_known.{c}") for c in others)).unionAll(cold.select(*big.columns, *others))
 
 
-def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def _pairs(find):
+    """mapInArrow of `find` (two columns of longs of a whole partition -> two columns) to distinct rows (u, v)."""
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        if held:
+            t = pa.Table.from_batches(held)
+            u, v = find(t.column(0).to_numpy(), t.column(1).to_numpy())
+            order = np.lexsort((v, u))
+            u, v = u[order], v[order]
+            new = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])][: len(u)])
+            yield pa.RecordBatch.from_arrays([pa.array(u[new]), pa.array(v[new])], names=["u", "v"])
+
+    return run
+
+
+def _least_of(key: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted rows, and for each the least of the others of its key."""
+    order = np.lexsort((other, key))
+    key, other = key[order], other[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    return key, other, np.repeat(other[first], np.diff(np.r_[first, len(key)]))
+
+
+def _large_star(key: np.ndarray, other: np.ndarray):
+    key, other, least = _least_of(key, other)
+    after = other > key
+    return other[after], np.minimum(key, least)[after]
+
+
+def _small_star(key: np.ndarray, other: np.ndarray):
+    key, other, least = _least_of(key, other)
+    rest = other > least
+    return np.r_[key, other[rest]], np.r_[least, least[rest]]
+
+
+def connected(edges: DataFrame, max_rounds: int = 50, salts: int = 64, per_task: int = 1_000_000) -> DataFrame:
     """(u, root) for each vertex of the edges: root is the least vertex of its component.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014), each written to the shared folder.
+    Each task first replaces its edges by stars; what then fits in a task of `per_task` edges is settled there. More edges go
+    through alternating large-star and small-star rounds (Kiveris et al., 2014), each written to the shared folder. A
+    vertex to which over a 200th of all edges point, of which there are fewer than 200, has its larger neighbours dealt
+    out to `salts` tasks, each of which knows its smaller ones.
     """
-    both = lambda e: e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    measure = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    now = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = measure(now)
-    for _ in range(max_rounds if before[0] else 0):
-        wide = both(now)
-        least = wide.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        large = _with_hot(wide, least, "u", 2 * before[0]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = cut(small.filter("u <> v").distinct())
-        after = measure(now)
-        if after == before:
+    spark = edges.sparkSession
+    stars = lambda e: e.mapInArrow(_pairs(_stars), "u long, v long")
+    roots = lambda e: e.select("u", F.col("v").alias("root")).unionAll(e.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
+    now = cut(stars(edges.filter("u <> v")))
+    if now.count() <= per_task:
+        return roots(cut(stars(now.coalesce(1))))
+    before = None
+    for _ in range(max_rounds):
+        hubs = now.groupBy("v").agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"))
+        after = hubs.agg(F.sum("n"), F.sum("h"), F.max("n")).first()
+        if after == before or not after[0]:
             break
         before = after
+        bound = max(after[0] / 200, 1000)
+        hot = [r.v for r in hubs.filter(F.col("n") > bound).select("v").collect()] if after[2] > bound else []
+        tasks = partitions_for(spark, 2 * after[0])
+        ends = now.select(F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("v").alias("other")), F.struct(F.col("v").alias("key"), F.col("u").alias("other")))).alias("e")).select("e.*")
+        dealt = F.when(~F.col("key").isin(hot), F.array(F.lit(0))).when(F.col("other") > F.col("key"), F.array(F.pmod(F.xxhash64("other"), F.lit(salts)).cast("int"))).otherwise(F.sequence(F.lit(0), F.lit(salts - 1)))
+        ends = ends.withColumn("salt", F.explode(dealt)) if hot else ends.withColumn("salt", F.lit(0))
+        large = ends.repartition(tasks, "key", "salt").select("key", "other").mapInArrow(_pairs(_large_star), "u long, v long")
+        now = cut(large.repartition(tasks, "u").mapInArrow(_pairs(_small_star), "u long, v long"))
+        release(spark)
     else:
-        if before[0]:
-            raise RuntimeError("components did not settle")
-    return now.select("u", F.col("v").alias("root")).unionAll(now.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
+        raise RuntimeError("components did not settle")
+    return roots(now)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, t: int = 4, cell_cap: int = 2048, prints: int = 1, share: float | None = None) -> DataFrame:
@@ -449,13 +485,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = cut(every.select("fp", F.posexplode("more").alias("nth", "other")).distinct())
         values = cut(distinct.select(F.lit(0).alias("nth"), "fp").unionAll(pairs.select(F.col("nth") + 1, F.col("other").alias("fp")).distinct()))
         links = near_links(values, t, cell_cap).unionAll(pairs.select("fp", "other"))
-    if share is not None:
-        links = cut(links)
-        known = connected(links).withColumnRenamed("u", "fp")
-        sketches = cut(every.filter(F.size("keys") > 0).dropDuplicates(["same"]).select("same", "fp", "keys", "bits").join(known, "fp", "left").select("same", F.coalesce("root", "fp").alias("root"), "keys", "bits"))
-        links = links.unionAll(alike_links(df, text_col, words, sketches, share, cell_cap))
     roots = cut(connected(links))
-    linked = cut(roots.join(distinct, roots.u == distinct.fp).select("fp", "root", "least"))
+    release(df.sparkSession)
+    linked = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left")
+    if share is not None:
+        texts = every.filter(F.size("keys") > 0).groupBy("same").agg(F.min(F.coalesce("doc_id", F.lit(_NO_ID))).alias("rep"), *(F.first(c).alias(c) for c in ("fp", "keys", "bits")))
+        sketches = cut(texts.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select("same", "rep", F.coalesce("root", "fp").alias("root"), "keys", "bits"))
+        alike = cut(alike_roots(df, id_col, text_col, words, sketches, share, cell_cap))
+        release(df.sparkSession)
+        linked = linked.withColumn("_u", F.coalesce("root", "fp")).join(alike.select(F.col("u").alias("_u"), F.col("root").alias("_to")), "_u", "left").withColumn("root", F.coalesce("_to", "root"))
+    linked = cut(linked.filter("root IS NOT NULL").select("fp", "root", "least"))
     named = linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
     moved = _with_hot(linked.select("root", "fp"), named, "root", linked.count()).select("fp", "component_id")
     names = cut(distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"), "n"))
@@ -466,7 +505,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """df with one row of each component: that with the least id; rows with a null id all stay.
 
-    Of rows that repeat this id one stays. All columns stay.
+    Of rows that repeat this id the least by its columns stays. All columns stay.
     """
     key = fresh(df, "_id")
     marks = near_duplicates(df, id_col, text_col, **options).filter(F.col("doc_id").isNotNull())
@@ -476,7 +515,10 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     again = ids.filter("first").select(F.col("_id").alias(key))
     if again.isEmpty():
         return kept
-    return kept.join(again, same, "left_anti").unionAll(kept.join(again, same, "left_semi").dropDuplicates([id_col]))
+    nth = fresh(df, "_nth")
+    least = W.partitionBy(col(id_col).cast("long")).orderBy(*(F.to_json(F.struct(col(c))) for c in df.columns))
+    one = kept.join(again, same, "left_semi").withColumn(nth, F.row_number().over(least)).filter(F.col(nth) == 1).drop(nth)
+    return kept.join(again, same, "left_anti").unionAll(one)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

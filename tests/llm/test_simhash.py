@@ -120,8 +120,11 @@ def test_links_of_raw_fingerprints(spark, t, groups, cap):
 def test_connected_on_long_chains_and_hubs(spark):
     chain = [(i, i + 1) for i in range(300)]
     hub = [(1000, 1001 + i) for i in range(500)]
-    out = dict(rows(simhash.connected(spark.createDataFrame([*chain, *hub, (5, 5)], "u long, v long"))))
-    assert out == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1501)}
+    big = [(5000 + i, 5000) for i in range(3000)]
+    want = {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1501)} | {5000 + i: 5000 for i in range(3000)}
+    edges = spark.createDataFrame([*chain, *hub, *big, (5, 5)], "u long, v long").repartition(7)
+    for per_task in (1_000_000, 1):
+        assert dict(rows(simhash.connected(edges, per_task=per_task))) == want
     assert rows(simhash.connected(spark.createDataFrame([], "u long, v long"))) == []
 
 
@@ -196,10 +199,10 @@ def test_a_large_group_of_edited_copies(spark):
             copy[at] = "n%d" % rng.randrange(10**6)
         texts.append(" ".join(copy))
     every = cut(simhash.fingerprints(docs(spark, texts), "doc_id", "text", 5, 1, True))
-    sketches = cut(every.selectExpr("same", "same as root", "keys", "bits"))
-    links = simhash.alike_links(docs(spark, texts), "text", 5, sketches, 0.8, rounds=1, block=16)
+    sketches = cut(every.selectExpr("same", "doc_id as rep", "same as root", "keys", "bits"))
+    roots = simhash.alike_roots(docs(spark, texts), "doc_id", "text", 5, sketches, 0.8, block=16)
     number = {r.same: r.doc_id for r in every.collect()}
-    root = {number[r.u]: number[r.root] for r in simhash.connected(links).collect()}
+    root = {number[r.u]: number[r.root] for r in roots.collect()}
     mine = {}
     for i in range(160):
         mine.setdefault(root.get(i, i), set()).add(i)
