@@ -84,15 +84,17 @@ def fit_domains(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return DomainModel([r["_domain"] for r in rows], [r.n / total for r in rows], [{k: r[f"m_f_{k}"] for k in FEATURES} for r in rows], [{k: max(r[f"v_f_{k}"], 0.01) for k in FEATURES} for r in rows])
 
 
-def fit_rates(df: DataFrame, targets: list[float], total: float | None = None, floor: float = 0.0, ridge: float = 1e-3, tolerance: float = 1e-4, max_steps: int = 60) -> DataFrame:
+def fit_rates(df: DataFrame, targets: list[float], total: float | None = None, floor: float = 0.0, ridge: float = 1e-3, tolerance: float = 1e-3, max_steps: int = 500) -> DataFrame:
     """df(t long, p array<double>, ...) with a column rate, fitted to shares `targets` of `total` expected tokens.
 
     total: of all domains; by default what is there, and "grow" is the least total at which no domain has to shrink.
     floor: least rate, 0 or more. An empty table comes back empty; documents without tokens keep rate 1.
     df must be cheap to read again (cut): it is scanned once a step; every eighth step writes the rates.
+    The steps end once the projected gradient, averaged over tokens, is at most `tolerance`; where max_steps don't reach
+    that, it is an error.
     """
     k = len(targets)
-    sums = lambda frame, rate: [float(x or 0) for x in frame.agg(*(F.sum(rate * F.col("t") * F.col("p")[i]) for i in range(k))).first()]
+    sums = lambda frame, rate, *more: [float(x or 0) for x in frame.agg(*(F.sum(rate * F.col("t") * F.col("p")[i]) for i in range(k)), *more).first()]
     base = df.withColumn("rate", F.lit(max(1.0, floor)).cast("double"))
     now = sums(base, F.col("rate"))
     have = sum(now)
@@ -111,13 +113,16 @@ def fit_rates(df: DataFrame, targets: list[float], total: float | None = None, f
     rate: Column = F.col("rate")
     for i in range(max_steps):
         pull = [(s - g) / c for s, g, c in zip(now, goal, scale, strict=True)]
-        move = sum((F.col("p")[j] * F.lit(step * pull[j]) for j in range(k)), F.lit(0.0))
-        rate = F.greatest(F.lit(float(floor)), rate * (1 - step * ridge) + step * ridge - move)
+        gradient = sum((F.col("p")[j] * F.lit(pull[j]) for j in range(k)), F.lit(0.0)) + F.lit(ridge) * (rate - 1)
+        ahead = F.greatest(F.lit(float(floor)), rate - F.lit(step) * gradient)
+        *now, moved = sums(base, ahead, F.sum(F.abs(ahead - rate) * F.col("t")))
+        rate = ahead
         if i % 8 == 7:
             base, rate = cut(base.withColumn("rate", rate)), F.col("rate")
-        before, now = now, sums(base, rate)
-        if max(abs(a - b) for a, b in zip(before, now, strict=True)) <= tolerance * total * 0.1:
+        if moved / step <= tolerance * have:
             break
+    else:
+        raise RuntimeError(f"rates did not settle in {max_steps} steps: the projected gradient is {moved / step / have:.6f}")
     return base.withColumn("rate", F.when(F.col("t") > 0, rate).otherwise(F.lit(max(1.0, floor))))
 
 
@@ -145,6 +150,7 @@ def copies(df: DataFrame, rates: DataFrame, id_col: str = "doc_id", floor: int =
     """df with each document as often as its rate says: the whole part, and once more if a hash of the id is below the rest.
 
     rates: (doc_id, rate); of several rows of one id the highest counts. Rows whose id has no rate, or is null, stay as they are.
+    Texts don't matter, and repeated rows are copied each; an empty table stays empty.
     """
     key, times = fresh(df, "_key"), fresh(df, "_n")
     n = F.floor("rate") + F.when(F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1_000_000)) / 1e6 < F.col("rate") - F.floor("rate"), 1).otherwise(0)
@@ -154,7 +160,7 @@ def copies(df: DataFrame, rates: DataFrame, id_col: str = "doc_id", floor: int =
 
 
 #: Shares of expected tokens by the label `quality`.
-TARGETS = {"1": 0.88, "0": 0.12}
+TARGETS = {"1": 0.75, "0": 0.25}
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:

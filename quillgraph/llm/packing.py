@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from ._common import col, cut, map_rows, read
 
 SIZE = 2048
-#: Pieces are dealt to so many groups by hash, which keeps the ranks of a very common length from meeting in one task.
-GROUPS = 256
+#: The pieces of a length are dealt to groups of about so many by hash, so that no task ranks more, however common the length.
+GROUP = 100_000
 
 
 class Complements:
@@ -179,27 +179,34 @@ def pieces(df: DataFrame, id_col: str, text_col: str, ranks_file: str, pattern:
     return map_rows(df.select(col(id_col).cast("long"), col(text_col).cast("string")), rows, schema, "doc_id long, piece int, start long, length long, ids_crc32 long", batch=5000)
 
 
-def pack(cut_pieces: DataFrame, size: int = SIZE, groups: int = GROUPS) -> DataFrame:
+def pack(cut_pieces: DataFrame, size: int = SIZE, group: int = GROUP) -> DataFrame:
     """cut_pieces(doc_id, piece, start, length from 1 to size, ids_crc32) with sequence_id and offset.
 
-    Repeated rows are pieces of their own. cut_pieces must be cheap to read again (cut). To the driver come at most
-    size * groups counts.
+    Pieces of the full size are sequences of their own, with negative numbers. Repeated rows are pieces of their own.
+    cut_pieces must be cheap to read again (cut). To the driver come at most size + pieces / group counts.
     """
-    dealt = cut_pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("int"))
-    table = np.zeros((size + 1, groups), np.int64)
+    spark = cut_pieces.sparkSession
+    whole = cut_pieces.filter(F.col("length") == size).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    short = cut_pieces.filter(F.col("length") < size)
+    often = {r.length: r["count"] for r in short.groupBy("length").count().collect()}
+    groups = spark.createDataFrame([(n, -(-c // group)) for n, c in often.items()], "length long, _groups int")
+    dealt = short.join(F.broadcast(groups), "length").withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("_groups")).cast("int"))
+    table = {n: np.zeros(-(-c // group), np.int64) for n, c in often.items()}
     for r in dealt.groupBy("length", "_group").count().collect():
-        table[r.length, r["_group"]] = r["count"]
-    before = np.cumsum(table, axis=1) - table
-    places = Places(plan(table.sum(axis=1), size))
+        table[r.length][r["_group"]] = r["count"]
+    before = {n: np.cumsum(c) - c for n, c in table.items()}
+    counts = np.zeros(size + 1, np.int64)
+    counts[list(often)] = list(often.values())
+    places = Places(plan(counts, size))
     ranked = dealt.withColumn("_rank", F.row_number().over(W.partitionBy("_group", "length").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1)
 
     def rows(incoming):
-        for key, piece, start, length, crc, group, rank in incoming:
-            yield key, piece, start, length, crc, *places.find(length, int(before[length, group]) + rank)
+        for key, piece, start, length, crc, nth, rank in incoming:
+            yield key, piece, start, length, crc, *places.find(length, int(before[length][nth]) + rank)
 
     ddl = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
     schema = pa.schema([(n, pa.int32() if k == "int" else pa.int64()) for n, k in (x.split() for x in ddl.split(", "))])
-    return map_rows(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_group", "_rank"), rows, schema, ddl, batch=10_000)
+    return map_rows(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "_group", "_rank"), rows, schema, ddl, batch=10_000).unionByName(whole)
 
 
 def pack_documents(df: DataFrame, ranks_file: str, pattern: str, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:

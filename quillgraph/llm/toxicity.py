@@ -9,9 +9,11 @@ by the thirds of the toxic training rows. The expected severity is the sum over
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -105,10 +107,11 @@ def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_gr
     return w, theta
 
 
-def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str = "doc_id", label_col: str = "toxic", max_toxic: int = 4000, max_clean: int = 8000, max_features: int = 4096, least_chi: float = 20.0) -> OrdinalModel:
+def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str = "doc_id", label_col: str = "toxic", max_toxic: int = 4000, max_clean: int = 8000, least_rows: int = 3, least_chi: float = 20.0) -> OrdinalModel:
     """Fitted on at most max_toxic and max_clean labelled rows, the least by hash of the id; equal texts count once.
 
-    These bounds also bound what is broadcast and collected. Null ids and labels don't count. With one class
+    These bounds also bound what is broadcast and collected. A feature counts if `least_rows` of the sample hold it and its
+    chi-squared part among the toxic ones is over `least_chi`; all such features do. Null ids and labels don't count. With one class
     only, or no row at all, the model has no feature and gives every text that class (clean if there is no row).
     """
     known = labels.select(col(label_id).cast("long").alias("_id"), (col(label_col).cast("int") > 0).cast("int").alias("_toxic")).dropna()
@@ -129,7 +132,7 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, l
         return OrdinalModel({}, [-sure] * GRADES)
     held = sample.select("toxic", F.explode("feats").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     expected = F.col("n") * (n[1] / (n[0] + n[1]))
-    top = held.withColumn("chi", (F.col("a") - expected) * (F.col("a") - expected) / expected).filter(f"n >= 3 and chi > {least_chi}").orderBy(F.desc("chi"), "f").limit(max_features).collect()
+    top = held.withColumn("chi", (F.col("a") - expected) * (F.col("a") - expected) / expected).filter(f"n >= {least_rows} and chi > {least_chi}").orderBy(F.desc("chi"), "f").collect()
     # Above least_chi: tied to toxicity, by the chi-squared part of the toxic rows, beyond chance.
     index = {r.f: i for i, r in enumerate(top)}
     # A marker is far more frequent among toxic rows: its rate there is over ten times that among clean ones.
@@ -167,12 +170,17 @@ def score_toxicity(df: DataFrame, model: OrdinalModel, id_col: str, text_col: st
 
 
 def drop_toxic(df: DataFrame, model: OrdinalModel, text_col: str, reject: float = 0.2) -> DataFrame:
-    """df without the rows that score_toxicity would call toxic; all its columns stay."""
+    """df without the rows that score_toxicity would call toxic; all its columns stay.
+
+    Null and empty texts count as empty; rows with a null id stay if their text isn't toxic; repeated rows share their fate; an
+    empty table stays empty.
+    """
 
     @F.pandas_udf("boolean")
-    def clean(texts):
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = model.scorer()
-        return texts.map(lambda t: score(t)[0] < reject).astype(bool)
+        for texts in batches:
+            yield texts.map(lambda t: score(t)[0] < reject).astype(bool)
 
     return df.filter(clean(F.coalesce(col(text_col).cast("string"), F.lit(""))))
 
