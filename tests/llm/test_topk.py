@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from quillgraph.llm.topk import Best, Cells, Chunk, top_k
+from quillgraph.llm.topk import Cells, bounds, top_k
 
 from .helpers import rows
 
@@ -38,14 +38,23 @@ def test_repeated_rows_count_as_candidates(spark):
     assert sorted(rows(top_k(table(spark, data), "vec_id", "embedding"))) == [(0, 1, 1, 2048), (0, 2, 1, 2048)]
 
 
-def test_bounds_hold_and_spare_reads():
+def test_large_components_take_part(spark):
+    rng = np.random.default_rng(2)
+    data = [(i, [float(x) for x in rng.normal(0, 0.3, 4)]) for i in range(60)]
+    data += [(i, [float(x) for x in rng.normal(0, 1, 4) * 10.0**e]) for i, e in zip(range(60, 81), [3, 6, 9, 10, 11, 12, 15] * 3)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    most = (1 << 63) - 1
+    want = {(q, r, i, max(-most - 1, min(most, s))) for q, r, i, s in brute(data)}
+    assert set(rows(top_k(df, "vec_id", "embedding"))) == want
+
+
+def test_bounds_hold():
     rng = np.random.default_rng(1)
-    v = np.floor(rng.normal(0, 20, (2000, 8)))
-    cells = Cells(v.min(), v.max())
-    low = cells.first(cells.codes(v))
-    assert (low <= v).all() and (v <= low + cells.width - 1).all()
-    best = Best(10, 5)
-    read = Chunk(v, np.arange(2000), cells, 5).search(v[:10], np.arange(10), best)
-    exact = v[:10] @ v.T
-    exact[np.arange(10), np.arange(10)] = -np.inf
-    assert (best.score == -np.sort(-exact, axis=1)[:, :5]).all() and read < 0.5 * 20_000
+    for spread, outlier in ((20, 0), (3000, 0), (20, 1e9)):
+        v = np.floor(rng.normal(0, spread, (500, 8)))
+        v[3, 2] += outlier
+        cells = Cells(v.min(), float(np.floor(-4 * spread)), float(4 * spread), v.max())
+        low, high = bounds(v[:10], cells.codes(v), cells)
+        exact = v[:10] @ v.T
+        assert (low <= exact).all() and (exact <= high).all()
+        assert spread > 20 or outlier or (low == high).all()
