@@ -2,9 +2,10 @@
 
 For every DOM node: characters per tag of its subtree, adjusted by how much of both is links. A node's density sum
 adds its children's densities; the node with the greatest sum is the article's core. The least density on the path
-from the body to it is the threshold: other nodes at or above it, inside the same article element, keep
-their own greatest-sum subtree. Navigation, adverts, forms, comments and the like, known by element, role or class
-name, take no part.
+from the body to it is the threshold: other nodes at or above it keep their own greatest-sum subtree. Where an article
+or main element holds the core, blocks beside the core stay there (headlines and short paragraphs have little density), unless
+over half of their text is links and they are below the threshold. Navigation, adverts, forms, comments and the like, known
+by element, role or class name, take no part; weaker class names do so only outside of articles and beside more text.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ _NAME = re.compile(r"[a-z]+")
 #: Elements by kind, and the words in class or id that mark what is not the article.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe xmp noembed noframes".split())
-DROPPED = set("script style noscript iframe template head title nav footer aside form button select textarea svg canvas object embed audio video dialog menu map math".split())
+DROPPED = set("script style noscript iframe template head title nav footer aside form button select textarea svg canvas object embed audio video dialog menu map".split())
 BLOCK = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
 CLOSES_P = BLOCK - set("html head body dd dt li legend optgroup option tbody td tfoot th thead title tr".split()) | {"li", "dd", "dt"}
-INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = set("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr math mrow mi mn mo ms mtext msub msup mfrac msqrt mover munder semantics annotation".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-BOILERPLATE = set("nav navbar navigation menu masthead topbar toolbar header footer sidebar aside widget widgets ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager comment comments commentlist disqus respond replies reply discussion copyright legal disclaimer search skip".split())
+BOILERPLATE = set("nav navbar navigation menu masthead topbar header footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager comment comments commentlist disqus".split())
+#: These words mark articles' own parts too: they count only outside of article and main, and not where they hold most of the text.
+HINTS = set("toolbar widget widgets notice notices respond replies reply discussion copyright legal disclaimer search skip".split())
 #: Which open elements a start tag ends, and which ones stop the search for them.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 HEADINGS = {"h1", "h2"}
@@ -40,7 +43,7 @@ class Page:
     """Nodes in page order: tag, parent, whether the node itself is out; and text or block ends in between."""
 
     def __init__(self, source: str):
-        self.tags, self.parent, self.out, self.by_name = ["#root"], [-1], [False], [False]
+        self.tags, self.parent, self.out, self.by_name, self.hinted = ["#root"], [-1], [False], [False], [False]
         self.flow: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block begins or ends
         # Open nodes, and at which of their places each tag, and any block, is open: so a tag costs the same at any depth.
         self._open = [0]
@@ -98,7 +101,9 @@ class Page:
         gone = name in DROPPED or name == "header" and not inside or at.get("role") in ROLES or "hidden" in at or "display:none" in at.get("style", "").replace(" ", "") or at.get("aria-hidden") == "true"
         words = set(_NAME.findall(f"{at.get('class', '')} {at.get('id', '')}"))
         self.out.append(gone)
-        self.by_name.append(not gone and bool(words & BOILERPLATE) and name not in ("html", "body", "article", "main"))
+        named = not gone and name not in ("html", "body", "article", "main")
+        self.by_name.append(named and bool(words & BOILERPLATE))
+        self.hinted.append(named and not inside and bool(words & HINTS))
         if name in BLOCK:
             self.flow.append((node, None))
         elif name == "br":
@@ -121,64 +126,79 @@ class Page:
             self._pop_to(at)
 
 
-def extract(source: str | None) -> str:
-    """The article's blocks, one a line; empty for null, empty and text-less pages."""
-    if not source:
-        return ""
-    page = Page(source)
-    tags, parent, n = page.tags, page.parent, len(page.tags)
-    # A node whose class or id sounds like boilerplate stays if it holds the article or a main heading.
-    holds = [t in ("article", "main") or t in HEADINGS for t in tags]
-    for i in range(n - 1, 0, -1):
-        holds[parent[i]] |= holds[i] and not page.out[i]
-    out = [page.out[i] or page.by_name[i] and not holds[i] for i in range(n)]
-    link = [t == "a" for t in tags]
-    for i in range(1, n):
-        out[i] |= out[parent[i]]
-        link[i] |= link[parent[i]]
-    chars, link_chars, count, links = [0] * n, [0] * n, [0] * n, [0] * n
-    for node, text in page.flow:
-        if text and not out[node] and (size := len("".join(html.unescape(text).split()))):
-            chars[node] += size
-            link_chars[node] += size * link[node]
-    kids: list[list[int]] = [[] for _ in range(n)]
-    holder = [0] * n  # the nearest node above that is no formatting element
-    for i in range(1, n):
-        holder[i] = holder[parent[i]] if tags[parent[i]] in INLINE else parent[i]
-    for i in range(n - 1, 0, -1):
-        if not out[i]:
-            p = parent[i]
-            chars[p] += chars[i]
-            link_chars[p] += link_chars[i]
-            count[p] += count[i] + 1
-            links[p] += links[i] + (tags[i] == "a")
-            if tags[i] not in INLINE:
-                kids[holder[i]].append(i)
-    body = next((i for i, t in enumerate(tags) if t == "body" and not out[i]), 0)
-    if not chars[body]:
-        body = 0
-    if not chars[0]:
-        return ""
-    all_links = link_chars[body] / max(chars[body], 1)
+class Densities:
+    """chars, link_chars, tags and links of each node's subtree without what is out, its density, and its density sum."""
+
+    def __init__(self, page: Page):
+        self.page, tags, parent, n = page, page.tags, page.parent, len(page.tags)
+        # A node whose class or id sounds like boilerplate stays if it holds the article or a main heading.
+        holds = [t in ("article", "main") or t in HEADINGS for t in tags]
+        for i in range(n - 1, 0, -1):
+            holds[parent[i]] |= holds[i] and not page.out[i]
+        self.out = [page.out[i] or page.by_name[i] and not holds[i] for i in range(n)]
+        self.link = [t == "a" for t in tags]
+        for i in range(1, n):
+            self.out[i] |= self.out[parent[i]]
+            self.link[i] |= self.link[parent[i]]
+        own = [0] * n
+        for node, text in page.flow:
+            if text and not self.out[node]:
+                own[node] += len("".join(html.unescape(text).split()))
+        if any(page.hinted):
+            held = list(own)
+            for i in range(n - 1, 0, -1):
+                held[parent[i]] += held[i]
+            for i in range(1, n):
+                self.out[i] |= self.out[parent[i]] or page.hinted[i] and not holds[i] and 2 * held[i] <= held[0]
+        self.chars = [0 if o else c for o, c in zip(self.out, own, strict=True)]
+        self.link_chars = [c * k for c, k in zip(self.chars, self.link, strict=True)]
+        self.count, self.links = [0] * n, [0] * n
+        kids: list[list[int]] = [[] for _ in range(n)]
+        holder = [0] * n  # the nearest node above that is no formatting element
+        for i in range(1, n):
+            holder[i] = holder[parent[i]] if tags[parent[i]] in INLINE else parent[i]
+        for i in range(n - 1, 0, -1):
+            if not self.out[i]:
+                p = parent[i]
+                self.chars[p] += self.chars[i]
+                self.link_chars[p] += self.link_chars[i]
+                self.count[p] += self.count[i] + 1
+                self.links[p] += self.links[i] + (tags[i] == "a")
+                if tags[i] not in INLINE:
+                    kids[holder[i]].append(i)
+        body = next((i for i, t in enumerate(tags) if t == "body" and not self.out[i]), 0)
+        self.body = body if self.chars[body] else 0
+        self.all_links = self.link_chars[self.body] / max(self.chars[self.body], 1)
+        self.dense = [0.0 if self.out[i] else self.density(i) for i in range(n)]
+        # Formatting elements are no containers: their own containers stand for them.
+        self.total = [-1.0 if tags[i] in INLINE else sum(self.dense[k] for k in kids[i]) if kids[i] else self.dense[i] for i in range(n)]
 
-    def density(i: int) -> float:
-        c, t, lc, lt = chars[i], max(count[i], 1), link_chars[i], links[i]
+    def density(self, i: int) -> float:
+        c, t, lc, lt = self.chars[i], max(self.count[i], 1), self.link_chars[i], self.links[i]
         if not c:
             return 0.0
-        base = log(log(c / max(c - lc, 1) * lc + all_links * c + e))
+        base = log(log(c / max(c - lc, 1) * lc + self.all_links * c + e))
         if base < 1e-9:  # no link on the page
             return c / t
         return c / t * max(log(c / max(lc, 1) * t / max(lt, 1)), 0.0) / base
 
-    dense = [0.0 if out[i] else density(i) for i in range(n)]
-    # Formatting elements are no containers: their own containers stand for them.
-    total = [-1.0 if tags[i] in INLINE else sum(dense[k] for k in kids[i]) if kids[i] else dense[i] for i in range(n)]
+
+def extract(source: str | None) -> str:
+    """The article's blocks, one a line; empty for null, empty and text-less pages."""
+    if not source:
+        return ""
+    page = Page(source)
+    tags, parent, n = page.tags, page.parent, len(page.tags)
+    d = Densities(page)
+    out, dense, body = d.out, d.dense, d.body
+    if not d.chars[0]:
+        return ""
     last = list(range(n))  # last node of each subtree
     for i in range(n - 1, 0, -1):
         last[parent[i]] = max(last[parent[i]], last[i])
 
     def greatest(i: int) -> int:
-        return max(range(i, last[i] + 1), key=lambda x: (not out[x], total[x], -x))
+        return max(range(i, last[i] + 1), key=lambda x: (not out[x], d.total[x], -x))
 
     core = greatest(body)
     threshold, scope, x = dense[core], body, core
@@ -187,24 +207,27 @@ def extract(source: str | None) -> str:
             scope = x
         x = parent[x]
         threshold = min(threshold, dense[x])
-    kept, i = [False] * n, scope
-    marks = {core}
+    marks, i = {core}, scope
     while i <= last[scope]:
         if out[i] or i in marks:
             i = last[i] + 1
-        elif dense[i] >= threshold and tags[i] not in INLINE and not i <= core <= last[i]:
-            marks.add(greatest(i))
+        elif i <= core <= last[i] or tags[i] in INLINE:
+            i += 1
+        elif dense[i] >= threshold or scope != body and 2 * d.link_chars[i] <= d.chars[i]:
+            marks.add(i if scope != body else greatest(i))
             i = last[i] + 1
         else:
             i += 1
-    for i in range(n):
-        kept[i] = not out[i] and (i in marks or i > 0 and kept[parent[i]])
-    blocks, held = [], []
-    # Text straight in an ancestor of the core, within the scope, belongs to the article too.
-    x = core
+    kept = [False] * n
+    # Text straight in an ancestor of the core, within the scope, belongs to the article too, with its formatting elements.
+    x, above = core, set()
     while x != scope and x > 0:
         x = parent[x]
-        kept[x] = not out[x]
+        above.add(x)
+    for i in range(n):
+        up = parent[i]
+        kept[i] = not out[i] and (i in marks or i in above or i > 0 and kept[up] and (up not in above or tags[i] in INLINE))
+    blocks, held = [], []
     for node, text in page.flow:
         if text is None:
             if held:

@@ -97,7 +97,8 @@ class TemplateIndex:
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, seq in enumerate(self.sequences):
             hashes = _runs(np.array(seq), k).tolist()
-            for at in winnow(hashes, window):
+            # A short template keeps all its runs, so that one changed word leaves some to find it by.
+            for at in winnow(hashes, window) if len(seq) >= 3 * (k + window) else range(len(hashes)):
                 self.postings[hashes[at]].append((t, at))
         self.kept = np.array(sorted(self.postings), dtype=np.uint64)
 
@@ -110,18 +111,19 @@ class TemplateIndex:
         hits = hits[np.isin(hashes[hits], self.kept)]
         if not len(hits):
             return
-        regions: dict[int, list[int]] = defaultdict(list)
+        regions: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for p in hits.tolist():
             for t, q in self.postings[int(hashes[p])]:
-                regions[t].append(p - q)
+                regions[t].append((p, p - q))
         spans = [m.span() for m in _WORD.finditer(text.lower())]
         sequence = ids.tolist()
         # Lower-casing lengthens a few letters; spans then refer to the lower-cased text.
-        for t, shifts in sorted(regions.items()):
-            template, found_to = self.sequences[t], -1
-            for shift in sorted(set(shifts)):
-                if shift <= found_to:
+        for t, places in sorted(regions.items()):
+            template, found_to, tried = self.sequences[t], -1, set()
+            for at, shift in places:
+                if at <= found_to or (shift, found_to) in tried:
                     continue
+                tried.add((shift, found_to))
                 lo = max(found_to + 1, shift - band)
                 part = sequence[lo : max(0, shift + len(template) + band)]
                 n, first, end = align(template, part, shift - lo, band)

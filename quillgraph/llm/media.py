@@ -63,6 +63,8 @@ def _netpbm(data: bytes) -> np.ndarray:
         flat = np.frombuffer(data, kind_of, count=n, offset=at + 1)
     if len(flat) < n:
         raise ValueError("samples cut short")
+    if flat.min() < 0 or flat.max() > most:
+        raise ValueError("sample out of range")
     return flat.astype(np.uint8 if most < 256 else np.uint16).reshape(height, width, channels)
 
 
@@ -144,7 +146,7 @@ def media_tiles(df: DataFrame, id_col: str, media_col: str, size: tuple[int, int
                 if size:
                     samples = np.rint(area_resize(samples, *size)).astype(samples.dtype)
                 mark = difference_hash(samples)
-            except (ValueError, struct.error, IndexError) as e:
+            except (ValueError, struct.error, IndexError, OverflowError) as e:
                 yield key, *kept, None, None, None, None, None, None, None, None, str(e)
                 continue
             height, width, channels = samples.shape

@@ -1,7 +1,7 @@
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from quillgraph.llm.html_text import extract, extract_pages
+from quillgraph.llm.html_text import INLINE, Densities, Page, extract, extract_pages
 
 from .helpers import rows
 
@@ -60,3 +60,49 @@ def test_pages_of_the_test_data():
         inner = re.search(r"<article>(.*?)</article>", source, re.DOTALL)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inner)]
         assert extract(source) == "\n".join(b for b in blocks if b)
+
+
+def test_density_decides_between_unnamed_blocks(monkeypatch):
+    """Without an article element or class names only density tells the text from a list of teasers."""
+    teasers = "".join(f"<div><a href=/{i}>Teaser number {i}</a> <span>{i} min</span></div>" for i in range(25))
+    page = f"<body><div><div>{teasers}</div></div><div><div><h2>Head</h2><p>{WORDS * 4}</p><p>{WORDS * 3}</p></div></div></body>"
+    want = f"Head\n{(WORDS * 4).strip()}\n{(WORDS * 3).strip()}"
+    assert extract(page) == want
+    plain = Densities.density
+    monkeypatch.setattr(Densities, "density", lambda self, i: 1.0 if self.chars[i] else 0.0)
+    assert extract(page) != want
+    monkeypatch.setattr(Densities, "density", lambda self, i: 1 / (1 + plain(self, i)))
+    assert "Teaser" in extract(page)
+
+
+def test_densities_agree_with_a_plain_walk():
+    """Characters, tags and links of each subtree counted anew from the node list, and the sums over children."""
+    import html
+    import math
+
+    page = Page(f"<body><div><ul><li><a href=x>Menu <b>one</b></a><li><a href=y>two</a></ul></div><div id=t><p>{WORDS} <a href=z>link</a></p><p>&amp; <i>{WORDS}</i></p></div><nav>gone</nav></body>")
+    d = Densities(page)
+    n = len(page.tags)
+    above = lambda i: [i, *above(page.parent[i])] if i >= 0 else []
+    inside = [[j for j in range(n) if i in above(j) and not any(page.out[k] for k in above(j))] for i in range(n)]
+    texts = [(node, len("".join(html.unescape(t).split()))) for node, t in page.flow if t]
+    whole = next(i for i, t in enumerate(page.tags) if t == "body")
+    size = lambda i, only=False: sum(c for node, c in texts if node in inside[i] and (not only or any(page.tags[k] == "a" for k in above(node))))
+    ratio = size(whole, True) / size(whole)
+    for i in range(n):
+        c, lc = size(i), size(i, True)
+        t, lt = max(len([j for j in inside[i] if j != i]), 1), max(sum(page.tags[j] == "a" for j in inside[i] if j != i), 1)
+        want = 0.0
+        if c:
+            want = c / t * max(math.log(c / max(lc, 1) * t / lt), 0) / math.log(math.log(c / max(c - lc, 1) * lc + ratio * c + math.e))
+        assert abs(d.dense[i] - want) < 1e-9
+    body = [i for i in range(n) if page.parent[i] == whole and page.tags[i] not in INLINE]
+    assert abs(d.total[whole] - sum(d.dense[i] for i in body)) < 1e-9
+
+
+def test_parts_of_the_article_that_sound_like_boilerplate_stay():
+    inner = f'<h1>Headline</h1><p>Short.</p><div><p>{WORDS * 4}</p><p>{WORDS * 3}</p></div><div class="legal"><p>A law is quoted.</p></div><p>x <math><mi>y</mi><mo>=</mo><mn>2</mn></math> z</p>'
+    page = f"<body><article>{inner}</article><div class='legal'>All rights</div></body>"
+    assert extract(page) == f"Headline\nShort.\n{(WORDS * 4).strip()}\n{(WORDS * 3).strip()}\nA law is quoted.\nx y=2 z"
+    assert extract(f'<body><div class="discussion"><p>{WORDS}</p></div></body>') == WORDS.strip()
+    assert extract(f'<body><div class="widget"><p>{WORDS * 2}</p></div><p>(c) us</p></body>').startswith(WORDS.strip())

@@ -41,3 +41,11 @@ def test_every_template_is_found_in_noise():
     for name, text in TEMPLATES.items():
         found = {m[0]: m for m in index.matches(f"lorem ipsum {text} dolor", 8, 0.8)}
         assert found[name][1] == len(words(text))
+
+
+def test_changed_short_notices_and_neighbours():
+    index = TemplateIndex(TEMPLATES, 3, 4)
+    assert [m[0] for m in index.matches("licensed under CC BY 3.0", 8, 0.8)] == ["CC-BY-4.0"]
+    whole = TEMPLATES["BSD-notice"]
+    cut = " ".join(whole.split()[3:])
+    assert [m[0] for m in index.matches(f"{whole} {cut}", 8, 0.8)].count("BSD-notice") == 2

@@ -73,3 +73,9 @@ def test_query_is_an_exact_round_trip(spark, tmp_path):
         stored = media.to_npy(np.frombuffer(pad, np.uint8).reshape(-1, 64, 1))
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
     assert got[2][1:] == got[5][1:]
+
+
+def test_samples_out_of_range_are_errors(spark):
+    bad = [b"P2 1 1 255 300", b"P2 1 1 255 -5", b"P2 1 1 255 99999999999999999999999", b"P5 1 1 9 \xff", b"P2 99999999999999999999999999 99999999 255 1", b"BM" + b"\xff" * 60, b"P6", b"P1 1 1 x"]
+    rows = media.media_tiles(spark.createDataFrame(list(enumerate(bad)), "id long, m binary"), "id", "m").collect()
+    assert len(rows) == len(bad) and all(r.error and r.npy is None for r in rows)
