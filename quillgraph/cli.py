@@ -1,11 +1,11 @@
-"""python -m quillgraph.cli COMMAND: load, query, confidence, purity, index, top, match, promote, init, discover."""
+"""python -m quillgraph.cli COMMAND: load, query, confidence, check-confidence, purity, index, top, match, promote, init, discover."""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.operators import confidence, discovery, entities, integrity, linkage, promote
@@ -18,6 +18,13 @@ def _session() -> SparkSession:
     return SparkSession.builder.appName("quillgraph").getOrCreate()
 
 
+def _print(df: DataFrame) -> None:
+    """Every row, a partition at a time."""
+    print("\t".join(df.columns))
+    for row in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def load(a) -> int:
     graph.write_store(graph.read_turtle(_session(), a.roots), a.store, "overwrite" if a.reload else "append")
     return 0
@@ -32,7 +39,7 @@ def query(a) -> int:
 def run_confidence(a) -> int:
     v, triples = Vocabulary(a.instances, a.schema), graph.read_turtle(_session(), a.roots)
     verdicts = confidence.from_graph(graph.terms(triples), v)
-    verdicts.orderBy("note").show(1000, False)
+    _print(verdicts.orderBy("note"))
     if not a.dry_run:
         fresh = verdicts.select(graph.lexical(F.col("note")).alias("s"), F.concat(F.lit(f"{v.schema}{v.confidence[0]}."), "verdict").alias("o"))
         overlay = graph.replace_values(triples, v.schema + "calculatedConfidence", fresh).filter(F.col("p") == v.schema + "calculatedConfidence")
@@ -48,22 +55,34 @@ def purity(a) -> int:
     for df in found:
         if n := df.count():
             bad += n
-            df.show(1000, False)
+            _print(df)
     print(f"{bad} violation(s)")
     return int(bad > 0)
 
 
+def check_confidence(a) -> int:
+    v = Vocabulary(a.instances, a.schema)
+    bad = integrity.bad_confidence(graph.terms(graph.read_turtle(_session(), a.roots)), v)
+    n = bad.count()
+    _print(bad)
+    print(f"{n} violation(s)")
+    return int(n > 0)
+
+
 def index(a) -> int:
     spark = _session()
     docs = tables.read_texts(spark, a.texts, a.source_type)
     raw = tables.ensure_table(spark, a.raw, tables.ENTITIES).drop("id")
     if not a.refilter:
         fresh = entities.index_raw(entities.new_documents(docs, raw, limit=a.limit, force=a.force))
-        kept = raw.join(fresh.select("source_file").distinct(), "source_file", "left_anti") if a.force else raw
-        tables.rewrite(kept.select(*fresh.columns).unionByName(fresh), a.raw)
-        raw = spark.read.parquet(a.raw)
-    out = entities.refilter(raw)
-    out.write.mode("overwrite").parquet(a.entities)
+        if a.force:
+            gone = docs.select("source_file").distinct()
+            tables.rewrite(raw.join(gone, "source_file", "left_anti").select(*fresh.columns).unionByName(fresh), a.raw)
+        else:
+            fresh.write.mode("append").parquet(a.raw)
+        raw = spark.read.schema(tables.ENTITIES).parquet(a.raw).drop("id")
+    entities.numbered(entities.refilter(raw), "source_file", "entity_text", "entity_type", "source_type").write.mode("overwrite").parquet(a.entities)
+    _print(entities.kept_and_total(raw, spark.read.parquet(a.entities)))
     if a.export_csv:
         tables.write_csv(spark.read.parquet(a.entities), a.export_csv)
     return 0
@@ -77,9 +96,14 @@ def top(a) -> int:
 def match(a) -> int:
     spark = _session()
     files = tables.read_texts(spark, a.texts, "summary").select(F.col("source_file").alias("filename"), "text")
-    cands = spark.read.option("header", True).csv(a.candidates).select(F.monotonically_increasing_id().alias("idx"), "title", F.col("episode_url").alias("url"), "type")
-    out = linkage.link(files, cands, a.text_number, a.url_number, a.threshold)
-    tables.write_csv(out, a.out)
+    csv = lambda path: spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    manifest = csv(a.candidates)
+    dead = csv(a.without_transcript) if a.without_transcript else manifest.limit(0)
+    linkage_out = linkage.link(files, linkage.candidate_union(manifest, dead), a.text_number, a.url_number, a.threshold, a.byline)
+    tables.write_csv(linkage_out, a.out)
+    out = csv(a.out)
+    _print(linkage.counts_by_method(out))
+    _print(linkage.unmatched(out))
     return 0
 
 
@@ -87,10 +111,10 @@ def run_promote(a) -> int:
     spark, v = _session(), Vocabulary(a.instances, a.schema)
     concepts, links = tables.ensure_table(spark, a.concepts, tables.CANDIDATE_CONCEPTS), tables.ensure_table(spark, a.links, tables.CANDIDATE_LINKS)
     resolved = promote.resolve_links(links, promote.label_index(graph.terms(graph.read_turtle(spark, a.roots))), v)
-    resolved.filter("skipped OR unknown_subject OR unknown_object").show(1000, False)
+    _print(resolved.filter("skipped OR unknown_subject OR unknown_object"))
     new = promote.promote_concepts(concepts, v).unionAll(promote.promote_links(resolved, a.confidence, v)).distinct()
     if a.dry_run:
-        new.show(1000, False)
+        _print(new)
         return 0
     new.write.mode("append").parquet(a.out)
     emitted = links.join(resolved.filter("NOT skipped").select("id"), "id", "left_semi")
@@ -107,7 +131,12 @@ def init(a) -> int:
 
 def run_discover(a) -> int:
     spark = _session()
-    good, dead = discovery.transcripts(spark.read.parquet(a.pages))
+    pages = spark.read.parquet(a.pages)
+    discovery.refuse_blocked(pages, a.blocked or [])
+    if a.manifest or a.dead:
+        done = [tables.read_manifest(spark, p) if p else pages.limit(0).select(F.col("url").alias("episode_url")) for p in (a.manifest, a.dead)]
+        pages = discovery.to_fetch(pages, *done, force=a.force)
+    good, dead = discovery.transcripts(pages)
     tables.write_csv(good, f"{a.out}/manifest")
     tables.write_csv(dead, f"{a.out}/without_transcript")
     return 0
@@ -130,12 +159,13 @@ def main(argv: list[str] | None = None) -> int:
     command("query", query, (("file",), {}), (("--store",), {"required": True}), (("--rows",), {"type": int, "default": 1000}))
     command("confidence", run_confidence, roots, *spaces, (("--dry-run",), yes), (("--out",), {"default": "derived"}))
     command("purity", purity, *spaces, (("--seed-dir",), {"default": "data/seed"}), (("--check-scratch-empty",), yes))
+    command("check-confidence", check_confidence, roots, *spaces)
     command("index", index, (("texts",), {}), (("--raw",), {"required": True}), (("--entities",), {"required": True}), (("--source-type",), {"default": "transcript"}), (("--limit",), {"type": int}), (("--export-csv",), {}), (("--force",), yes), (("--refilter",), yes))
     command("top", top, (("entities",), {}), (("--limit",), {"type": int, "default": 40}))
-    command("match", match, (("texts",), {}), (("candidates",), {}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 0.5}), (("--text-number",), {"default": r"#(\d+)"}), (("--url-number",), {"default": r"/(\d+)-"}))
+    command("match", match, (("texts",), {}), (("candidates",), {}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 0.5}), (("--text-number",), {"default": r"#(\d+)"}), (("--url-number",), {"default": r"/(\d+)-"}), (("--byline",), {}), (("--without-transcript",), {}))
     command("promote", run_promote, roots, *spaces, (("--concepts",), {"required": True}), (("--links",), {"required": True}), (("--out",), {"required": True}), (("--confidence",), {"choices": ["curated", "candidate"], "default": "curated"}), (("--dry-run",), yes))
     command("init", init, (("--concepts",), {"required": True}), (("--links",), {"required": True}))
-    command("discover", run_discover, (("pages",), {}), (("--out",), {"required": True}))
+    command("discover", run_discover, (("pages",), {}), (("--out",), {"required": True}), (("--manifest",), {}), (("--dead",), {}), (("--blocked",), {"nargs": "*"}), (("--force",), yes))
     a = p.parse_args(argv)
     return a.run(a)
 

@@ -97,6 +97,6 @@ def transcripts(pages: DataFrame, label: str = "download transcript") -> tuple[D
 
 def refuse_blocked(urls: DataFrame, prefixes: list[str]) -> None:
     """Raises if a robots prefix blocks any URL's path."""
-    blocked = urls.filter(F.lit(False) if not prefixes else F.expr(" OR ".join(f"startswith(try_parse_url(url, 'PATH'), '{p}')" for p in prefixes)))
+    blocked = urls.filter(F.exists(F.array(*map(F.lit, prefixes)).cast("array<string>"), lambda p: F.startswith(url_path(F.col("url")), p)))
     if (row := blocked.first()) is not None:
         raise PermissionError(f"robots rules block {row.url}")

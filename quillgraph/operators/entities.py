@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Kept types and corrections.
@@ -53,6 +54,24 @@ def refilter(raw: DataFrame, cleanup: dict[str, tuple[str, str]] | None = None,
     return out.groupBy("entity_text", "entity_type", "source_file", "source_type").agg(F.sum("occurrence_count").alias("occurrence_count"))
 
 
+def kept_and_total(raw: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row (kept, total): mentions in the rule layer and in the raw one."""
+    count = lambda df, name: df.agg(F.coalesce(F.sum("occurrence_count"), F.lit(0)).alias(name))
+    return count(kept, "kept").join(F.broadcast(count(raw, "total")), F.lit(True))
+
+
+def numbered(rows: DataFrame, by: str, *order: str, after: int = 0) -> DataFrame:
+    """rows with a column id of consecutive numbers from after + 1, by `by` and then the other columns.
+
+    Counts of each range of `by` give its first number, so that rows are ranked within their value of it alone.
+    """
+    first = rows.groupBy(by).agg(F.count("*").alias("_n"))
+    # Distinct values are sorted in one task: `by` should have few, such as files of a run.
+    first = first.withColumn("_before", F.sum("_n").over(W.orderBy(by).rowsBetween(W.unboundedPreceding, -1))).drop("_n")
+    nth = F.row_number().over(W.partitionBy(by).orderBy(*order))
+    return rows.withColumn("_nth", nth).join(first, by).withColumn("id", F.col("_nth") + F.coalesce("_before", F.lit(0)) + after).drop("_nth", "_before")
+
+
 def top_entities(entities: DataFrame, n: int = 20, entity_type: str = "PERSON") -> DataFrame:
     """(entity_text, total, docs), most mentions first, ties by name."""
     totals = entities.filter(F.col("entity_type") == entity_type).groupBy("entity_text").agg(F.sum("occurrence_count").alias("total"), F.count_distinct("source_file").alias("docs"))

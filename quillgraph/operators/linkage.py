@@ -3,100 +3,102 @@
 from __future__ import annotations
 
 import difflib
-import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillgraph.functions.text import number_after, word_count
-
-_PART = re.compile(r"\bpart\s+(\d+)\b")
-
-
-def normalize(title: str, byline: str | None = None) -> str:
-    title = re.sub(r"\.pdf$", "", title, flags=re.IGNORECASE)
-    title = re.sub(r"^\[Update\]\s*", "", title)
-    if byline:
-        title = re.sub(rf"\s*-\s*{byline}\s*$", "", title, flags=re.IGNORECASE)
-    return " ".join(re.sub(r"[^\w\s]", "", title).split()).lower()
-
-
-def closeness(a_raw: str, b_raw: str, byline: str | None = None, at_least: float = 0.0) -> float:
-    """0 for different part numbers or empty titles; 0.95 if one of 5 characters or more is within the other; else the matching-blocks ratio.
-
-    Below at_least the value may be any that is below.
-    """
-    parts = [m[1] if (m := _PART.search(t.lower())) else None for t in (a_raw, b_raw)]
-    if all(parts) and int(parts[0]) != int(parts[1]):
-        return 0.0
-    a, b = normalize(a_raw, byline), normalize(b_raw, byline)
-    if not a or not b:
-        return 0.0
-    short, long = sorted((a, b), key=len)
-    if len(short) >= 5 and short in long:
-        return 0.95
-    m = difflib.SequenceMatcher(None, a, b)
-    if at_least and (m.real_quick_ratio() < at_least or m.quick_ratio() < at_least):  # upper bounds of the ratio
-        return 0.0
-    return m.ratio()
-
-
-def _chooser(rows: list[tuple[int, str]], byline: str | None):
-    """`closeness` of many titles to the same candidates: a candidate's index of characters is built once for all titles."""
-
-    def parts(title: str) -> tuple[str, int | None]:
-        m = _PART.search(title.lower())
-        return normalize(title, byline), int(m[1]) if m else None
-
-    def best(titles: pd.Series) -> pd.DataFrame:
-        mine = [parts(t) if t is not None else ("", None) for t in titles]
-        score, chosen = [0.0] * len(mine), [None] * len(mine)
-        m = difflib.SequenceMatcher(None)
-        for idx, raw in rows:
-            b, part = parts(raw)
-            if not b:
-                continue
-            m.set_seq2(b)
-            for i, (a, own) in enumerate(mine):
-                if not a or own is not None and part is not None and own != part:
-                    continue
-                short, long = (a, b) if len(a) <= len(b) else (b, a)
-                if len(short) >= 5 and short in long:
-                    s = 0.95
-                elif 2 * len(short) <= score[i] * (len(a) + len(b)):  # an upper bound of the ratio
-                    continue
-                else:
-                    m.set_seq1(a)
-                    s = m.ratio() if m.quick_ratio() > score[i] else 0.0
-                if s > score[i]:
-                    score[i], chosen[i] = s, idx
-        return pd.DataFrame({"score": score, "idx": pd.array(chosen, dtype="Int64")})
-
-    return best
-
-
-def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = None, block: int = 20_000) -> DataFrame:
+from quillgraph.functions.text import normalize_title, number_after, part_number, word_count
+
+#: What containment scores, and from which length on.
+CONTAINED, LEAST_CONTAINED = 0.95, 5
+
+
+class Titles:
+    """Titles as rows of character counts, so that a title's upper bounds with all of them are one array operation."""
+
+    def __init__(self, titles: list[str], parts: list[int | None], ids: list[int]):
+        self.titles, self.ids = titles, np.array(ids, np.int64)
+        self.parts = np.array([np.nan if p is None or p != p else p for p in parts], float)
+        self.place = {c: i for i, c in enumerate(sorted(set("".join(titles))))}
+        self.lengths = np.array([len(t) for t in titles])
+        self.counts = np.array([self.count(t) for t in titles], np.int32).reshape(len(titles), len(self.place))
+
+    def count(self, title: str) -> np.ndarray:
+        return np.bincount([self.place[c] for c in title if c in self.place], minlength=len(self.place))
+
+    def closest(self, title: str, part: int | None) -> tuple[float, int | None]:
+        """Score and id of the best title, of equal scores the least id; 0 and None where nothing resembles it.
+
+        A title may share at most the characters that both have. In falling order of that bound the others are scored, until
+        none left can reach the best. Titles with another part number are none.
+        """
+        shared = np.minimum(self.counts, self.count(title)).sum(axis=1)
+        bound = 2.0 * shared / (self.lengths + len(title))
+        least = np.minimum(self.lengths, len(title))
+        bound[(shared == least) & (least >= LEAST_CONTAINED)] = 1.0
+        if part is not None and part == part:
+            bound[~np.isnan(self.parts) & (self.parts != part)] = 0.0
+        best, chosen = 0.0, None
+        matcher = difflib.SequenceMatcher(None, title)
+        for i in np.lexsort((self.ids, -bound)).tolist():
+            if bound[i] <= 0 or bound[i] < best:
+                break
+            other = self.titles[i]
+            if least[i] >= LEAST_CONTAINED and (other in title or title in other):
+                score = CONTAINED
+            else:
+                matcher.set_seq2(other)
+                score = matcher.ratio()
+            if score > best or score and score == best and self.ids[i] < chosen:
+                best, chosen = score, int(self.ids[i])
+        return best, chosen
+
+
+def _closest_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    titles = Titles(right["title"].tolist(), right["part"].tolist(), right["idx"].tolist())
+    found = [titles.closest(t, p) for t, p in zip(left["title"], left["part"], strict=True)] if len(right) else []
+    rows = [(t, p, s, i) for t, p, (s, i) in zip(left["title"], left["part"], found, strict=True) if i is not None] if found else []
+    return pd.DataFrame(rows, columns=["title", "part", "score", "idx"]).astype({"part": "Int32", "score": float, "idx": "int64"})
+
+
+def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = None, titles_at_once: int = 64, candidates_at_once: int = 2000) -> DataFrame:
     """left(title, ...) with cand_idx, score: the best of candidates(idx, title), of equal scores the least idx.
 
-    Candidates go to the tasks in blocks of fixed size, a pass over `left` for each; nothing is crossed in the plan. Null
-    titles, and titles that nothing resembles, get null and 0.
+    Both sides are normalised and made distinct within Spark, and dealt to blocks by hash; each pair of blocks meets in one
+    group of bounded size. Every title is compared with every candidate's bound. Null titles, and titles that nothing
+    resembles, get null and 0.
     """
-    n = candidates.count()
-    blocks = max(1, -(-n // block))
-    tagged = candidates.withColumn("_block", F.pmod(F.xxhash64("idx"), F.lit(blocks)))
-    # Scoring costs far more than moving titles, so they are dealt to all tasks first.
-    tasks = candidates.sparkSession.sparkContext.defaultParallelism
-    out = left.repartition(tasks).withColumn("_best", F.lit(None).cast("struct<score:double,idx:bigint>"))
-    for i in range(blocks):
-        rows = sorted((r.idx, r.title) for r in tagged.filter(F.col("_block") == i).select("idx", "title").collect() if r.title is not None)
-
-        best = F.pandas_udf(_chooser(rows, byline), "struct<score:double,idx:bigint>")
-        now, new = F.col("_best"), F.col("_new")
-        better = (new["score"] > F.coalesce(now["score"], F.lit(0.0))) | (new["score"] == now["score"]) & (new["idx"] < now["idx"])
-        out = out.withColumn("_new", best("title")).withColumn("_best", F.when(better, new).otherwise(now)).drop("_new")
-    return out.withColumns({"cand_idx": F.col("_best.idx"), "score": F.coalesce("_best.score", F.lit(0.0))}).drop("_best")
+    plain = lambda df: df.withColumns({"_t": normalize_title(F.col("title"), byline), "_part": part_number(F.col("title"))})
+    mine = plain(left)
+    asked = mine.filter("_t <> ''").select(F.col("_t").alias("title"), F.col("_part").alias("part")).distinct()
+    known = plain(candidates).filter("_t <> ''").groupBy(F.col("_t").alias("title"), F.col("_part").alias("part")).agg(F.min("idx").alias("idx"))
+    rows, columns = (max(1, -(-df.count() // n)) for df, n in ((asked, titles_at_once), (known, candidates_at_once)))
+    block = lambda n: F.pmod(F.xxhash64("title", "part"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = asked.withColumn("row", block(rows)).withColumn("column", every(columns))
+    known = known.withColumn("column", block(columns)).withColumn("row", every(rows))
+    found = asked.groupBy("row", "column").cogroup(known.groupBy("row", "column")).applyInPandas(_closest_in_block, "title string, part int, score double, idx long")
+    best = found.groupBy("title", "part").agg(F.max(F.struct("score", (-F.col("idx")).alias("last"))).alias("best"))
+    out = mine.join(best.withColumnRenamed("title", "_title"), (F.col("_t") == F.col("_title")) & F.col("_part").eqNullSafe(F.col("part")), "left")
+    return out.select(*(F.col(f"`{c}`") for c in left.columns), (-F.col("best.last")).alias("cand_idx"), F.coalesce("best.score", F.lit(0.0)).alias("score"))
+
+
+def counts_by_method(linked: DataFrame) -> DataFrame:
+    return linked.groupBy("method").agg(F.count("*").alias("n"))
+
+
+def unmatched(linked: DataFrame) -> DataFrame:
+    return linked.filter("method = 'none'").select("filename", "rendered")
+
+
+def candidate_union(manifest: DataFrame, dead: DataFrame) -> DataFrame:
+    """(idx, title, url, type): the manifest's rows in their order, then those without a transcript that have a title."""
+    rows = manifest.select("title", F.col("episode_url").alias("url"), "type", F.lit(0).alias("_src"))
+    rows = rows.unionByName(dead.filter("title <> ''").select("title", F.col("episode_url").alias("url"), F.lit("no_transcript_available").alias("type"), F.lit(1).alias("_src")))
+    return rows.withColumn("_at", F.monotonically_increasing_id()).select(((F.col("_src").cast("long") * (1 << 61)) + F.col("_at")).alias("idx"), "title", "url", "type")
 
 
 def link(files: DataFrame, candidates: DataFrame, text_number: str, url_number: str, threshold: float = 0.5, byline: str | None = None) -> DataFrame:

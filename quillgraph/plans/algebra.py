@@ -64,13 +64,17 @@ class Query:
     offset: int = 0
 
 
-def match(graph: DataFrame, pattern: Pattern) -> DataFrame:
-    out, columns = graph, {}
+def match(graph, pattern: Pattern) -> DataFrame:
+    """graph: a DataFrame (s, p, o), or a view that gives the rows for a pattern itself, with its conditions pushed down."""
+    pushed = hasattr(graph, "triples")
+    out, columns = graph.triples(pattern) if pushed else graph, {}
     for place, term in zip("spo", (pattern.s, pattern.p, pattern.o), strict=True):
         if isinstance(term, Var):
             if term.name in columns:
                 out = out.filter(F.col(place) == F.col(columns[term.name]))
             columns.setdefault(term.name, place)
+        elif pushed:
+            continue
         elif place == "p":
             out = with_predicate(out, *(term if isinstance(term, tuple) else (term,)))
         else:
@@ -83,16 +87,19 @@ def join(a: DataFrame | None, b: DataFrame, how: str = "inner") -> DataFrame:
         return b
     shared = [c for c in a.columns if c in b.columns and c != "_one"]
     if not shared:
+        # Patterns without a common variable ask for all combinations; SPARQL defines them so.
         return a.drop("_one").crossJoin(b.drop("_one")) if how == "inner" and set(b.columns) != {"_one"} else a.join(b.limit(1).select(F.lit(1).alias("_any")), F.lit(True), {"inner": "left_semi"}.get(how, how))
     return a.join(b.drop("_one"), shared, how)
 
 
-def bgp(graph: DataFrame, patterns: list[Pattern], bound: tuple[str, ...] = ()) -> DataFrame | None:
+def bgp(graph, patterns: list[Pattern], bound: tuple[str, ...] = ()) -> DataFrame | None:
     left, seen, out = list(patterns), set(bound), None
+    views = graph.narrowed(patterns) if hasattr(graph, "narrowed") else [graph] * len(patterns)
+    view_of = {id(p): v for p, v in zip(patterns, views, strict=True)}
     while left:
         nxt = max(left, key=lambda q: (bool(seen & set(q.vars)) or not seen, q.bound, -patterns.index(q)))
-        left.remove(nxt)
-        out = join(out, match(graph, nxt))
+        left = [q for q in left if q is not nxt]
+        out = join(out, match(view_of[id(nxt)], nxt))
         seen |= set(nxt.vars)
     return out
 
@@ -123,7 +130,7 @@ def condition(e: tuple) -> Column:
     return F.when(na.isNotNull() & nb.isNotNull(), pick(na, nb)).otherwise(pick(la, lb))
 
 
-def solve(graph: DataFrame, group: Group) -> DataFrame:
+def solve(graph, group: Group) -> DataFrame:
     out = bgp(graph, group.patterns)
     for branches in group.unions:
         parts = [solve(graph, b) for b in branches]
@@ -151,7 +158,7 @@ def solve(graph: DataFrame, group: Group) -> DataFrame:
     return out
 
 
-def run(graph: DataFrame, q: Query, lex: bool = True) -> DataFrame:
+def run(graph, q: Query, lex: bool = True) -> DataFrame:
     """Solutions of q over graph(s, p, o). lex: terms as their values; otherwise as N-Triples strings."""
     out = solve(graph, q.where)
     if q.ask:

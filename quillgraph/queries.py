@@ -11,7 +11,7 @@ from quillgraph.operators import confidence as conf
 from quillgraph.operators import discovery, entities, integrity, linkage, promote
 from quillgraph.plans.sparql import sparql
 from quillgraph.plans.vocabulary import DCT, OWL, SKOS
-from quillgraph.rdf_view import V, rdf_view, table
+from quillgraph.rdf_view import V, rdf_view, table, virtual_graph
 from quillgraph.sources.turtle import RDF
 
 QUERIES: dict = {}
@@ -30,7 +30,7 @@ def query(sql: str | None = None):
 
 
 def ask(spark, d: str, text: str) -> DataFrame:
-    return sparql(rdf_view(spark, d), V.prefixes() + text)
+    return sparql(virtual_graph(spark, d), V.prefixes() + text)
 
 
 @query("SELECT n_name AS nation, r_name AS region FROM nation JOIN region ON n_regionkey = r_regionkey")
@@ -43,12 +43,17 @@ def bgp_chain(spark, d):
     return ask(spark, d, 'SELECT ?order ?customer ?nation ?region WHERE { ?order v:status "F" ; v:placedBy ?c . ?c skos:prefLabel ?customer ; v:inNation ?n . ?n skos:prefLabel ?nation ; v:inRegion ?r . ?r skos:prefLabel ?region }')
 
 
-@query(
-    f"""SELECT '{RDF}type' AS p, '{SC}Customer' AS o FROM customer WHERE c_custkey = 7
-    UNION ALL SELECT '{SC}inNation', '{KG}Nation.' || c_nationkey FROM customer WHERE c_custkey = 7
-    UNION ALL SELECT '{SC}segment', c_mktsegment FROM customer WHERE c_custkey = 7"""
-)
+_CUSTOMER = f"SELECT '{KG}Customer.' || c_custkey AS c, "
+
+
+@query(f"{_CUSTOMER} '{RDF}type' AS p, '{SC}Customer' AS o FROM customer UNION ALL {_CUSTOMER} '{SC}inNation', '{KG}Nation.' || c_nationkey FROM customer UNION ALL {_CUSTOMER} '{SC}segment', c_mktsegment FROM customer")
 def var_predicate(spark, d):
+    return ask(spark, d, "SELECT ?c ?p ?o WHERE { ?c a v:Customer ; ?p ?o FILTER(?p != skos:prefLabel && ?p != v:balance) }")
+
+
+@query(f"SELECT '{SC}inNation' AS p, '{KG}Nation.' || c_nationkey AS o FROM customer WHERE c_custkey = 7 UNION ALL SELECT '{SC}segment', c_mktsegment FROM customer WHERE c_custkey = 7 UNION ALL SELECT '{RDF}type', '{SC}Customer' FROM customer WHERE c_custkey = 7")
+def bound_subject(spark, d):
+    """The constant subject is the feature."""
     return ask(spark, d, "SELECT ?p ?o WHERE { kg:Customer.7 ?p ?o FILTER(?p != skos:prefLabel && ?p != v:balance) }")
 
 
@@ -281,9 +286,13 @@ def number_extract(spark, d):
     FROM benchmark LEFT JOIN idx ON num = item_id"""
 )
 def exact_then_none(spark, d):
+    return _linked(spark, d).select(F.col("filename").cast("long").alias("item_id"), "url", "method", "rendered")
+
+
+def _linked(spark, d):
     files = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("filename"), F.concat(F.lit("Issue #"), F.col("item_id").cast("string"), F.lit("\n"), "text").alias("text"))
     cands = table(spark, d, "pages").select(F.col("page_id").alias("idx"), F.col("url").alias("title"), "url", F.lit("page").alias("type"))
-    return linkage.link(files, cands, r"Issue\s*#(\d+)", r"/(\d+)").select(F.col("filename").cast("long").alias("item_id"), "url", "method", "rendered")
+    return linkage.link(files, cands, r"Issue\s*#(\d+)", r"/(\d+)")
 
 
 @query()
@@ -317,14 +326,61 @@ def page_title_link(spark, d):
     return p.select("page_id", F.col("p.title").alias("title"), F.try_element_at(first, F.lit(1))["href"].alias("href"))
 
 
-@query(
-    """WITH u AS (SELECT DISTINCT page_id, url, regexp_extract(url, '://[^/?#]*/([a-z]+)/', 1) AS kind FROM pages), s AS (SELECT * FROM u WHERE starts_with(url, 'https')), l AS (SELECT * FROM u),
+_FOUND = """WITH u AS (SELECT DISTINCT page_id, url, regexp_extract(url, '://[^/?#]*/([a-z]+)/', 1) AS kind FROM pages), s AS (SELECT * FROM u WHERE starts_with(url, 'https')), l AS (SELECT * FROM u),
     a AS (SELECT url, kind, 0 AS src, page_id FROM s UNION ALL SELECT url, kind, 1, page_id FROM l WHERE url NOT IN (SELECT url FROM s))
-    SELECT url, kind, row_number() OVER (PARTITION BY kind ORDER BY src, page_id, url)::INTEGER AS ord FROM a QUALIFY ord <= 25"""
-)
-def discover_union(spark, d):
+    SELECT url, kind, row_number() OVER (PARTITION BY kind ORDER BY src, page_id, url)::INTEGER AS ord FROM a"""
+
+
+def _found(spark, d, per_kind=None):
     u = table(spark, d, "pages").select("page_id", "url", F.regexp_extract("url", "://[^/?#]*/([a-z]+)/", 1).alias("kind"), F.col("page_id").alias("pos"))
-    return discovery.discover(u.filter("startswith(url, 'https')"), u, 25)
+    return discovery.discover(u.filter("startswith(url, 'https')"), u, per_kind)
+
+
+@query(_FOUND)
+def discover_union(spark, d):
+    return _found(spark, d)
+
+
+@query(_FOUND + " QUALIFY ord <= 25")
+def discover_per_kind(spark, d):
+    """The limit by kind is the feature."""
+    return _found(spark, d, 25)
+
+
+@query("SELECT count(*) FILTER (WHERE url IS NOT NULL)::BIGINT AS n, 'exact_number' AS method FROM (SELECT item_id, max(url) AS url FROM benchmark LEFT JOIN pages ON regexp_extract(url, '/(\\d+)', 1) = item_id::VARCHAR GROUP BY item_id) HAVING n > 0 UNION ALL SELECT count(*) FILTER (WHERE url IS NULL)::BIGINT AS n, 'none' FROM (SELECT item_id, max(url) AS url FROM benchmark LEFT JOIN pages ON regexp_extract(url, '/(\\d+)', 1) = item_id::VARCHAR GROUP BY item_id) HAVING n > 0")
+def match_counts(spark, d):
+    return linkage.counts_by_method(_linked(spark, d))
+
+
+@query("SELECT item_id::VARCHAR AS filename, 'number_' || item_id || '_not_found' AS rendered FROM benchmark WHERE item_id::VARCHAR NOT IN (SELECT regexp_extract(url, '/(\\d+)', 1) FROM pages)")
+def match_unmatched(spark, d):
+    return linkage.unmatched(_linked(spark, d))
+
+
+@query("SELECT url AS title, url, 'manifest' AS type FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT html[:40], url, 'no_transcript_available' FROM pages WHERE page_id % 2 = 1 AND html[:40] <> ''")
+def candidate_union(spark, d):
+    """Pages of even ids stand for the manifest, those of odd ids for the list without transcripts."""
+    p = table(spark, d, "pages").withColumn("episode_url", F.col("url"))
+    manifest = p.filter("page_id % 2 = 0").select(F.col("url").alias("title"), "episode_url", F.lit("manifest").alias("type"))
+    return linkage.candidate_union(manifest, p.filter("page_id % 2 = 1").select(F.substring("html", 1, 40).alias("title"), "episode_url")).drop("idx")
+
+
+@query(f"SELECT (SELECT sum(occurrence_count) FROM ({_FILTERED}))::BIGINT AS kept, (SELECT sum(occurrence_count) FROM ({_MENTIONS}))::BIGINT AS total")
+def entity_kept_total(spark, d):
+    return entities.kept_and_total(_mentions(spark, d), entity_refilter(spark, d))
+
+
+@query(f"SELECT *, row_number() OVER (ORDER BY source_file, entity_text, entity_type, source_type)::BIGINT AS id FROM ({_FILTERED})")
+def entity_ids(spark, d):
+    return entities.numbered(entity_refilter(spark, d), "source_file", "entity_text", "entity_type", "source_type")
+
+
+@query("SELECT 'gained' AS change, 'n' || n_nationkey AS s, 'label' AS p, n_name AS o FROM nation WHERE n_regionkey = 1 UNION ALL SELECT 'lost', 'n' || n_nationkey, 'label', n_name FROM nation WHERE n_regionkey = 2")
+def migration_diff(spark, d):
+    """A graph before and after an edit that takes the nations of region 2 out and puts those of region 1 in."""
+    t = table(spark, d, "nation").select("n_regionkey", F.concat(F.lit("n"), "n_nationkey").alias("s"), F.lit("label").alias("p"), F.col("n_name").alias("o"))
+    side = lambda gone: t.filter(F.col("n_regionkey") != gone).drop("n_regionkey")
+    return integrity.difference(side(1), side(2))
 
 
 _PART_STATUS = "CASE WHEN p_size > 20 THEN 'approved' ELSE 'pending' END"

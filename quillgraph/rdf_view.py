@@ -1,11 +1,13 @@
 """The star-schema tables as a virtual graph (s, p, o).
 
-Each predicate is a projection of one table with a constant p, so a pattern with a bound predicate prunes all other
-branches and reads only the columns of its own.
+Each predicate is a projection of one table with a constant p. A pattern becomes the union of the branches that can match it:
+a bound subject or object turns into a condition on the key or column that its term is made of, which reaches
+the scan, or rules the branch out; so do the kinds of terms that the other patterns leave a variable.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,30 +45,131 @@ def item_key(df: DataFrame) -> Column:
     return F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in df.columns)), 256)
 
 
-def rdf_view(spark: SparkSession, d: str) -> DataFrame:
+@dataclass(frozen=True)
+class Term:
+    """A column of terms: all begin with `head`; `key` of `kind` is what stands between head and tail; or one constant."""
+
+    column: Column
+    head: str
+    tail: str = ""
+    key: str | None = None
+    kind: str = ""
+    constant: str | None = None
+
+    def condition(self, value: str) -> Column | None:
+        """Which rows have this term; None if none can."""
+        if self.constant is not None:
+            return F.lit(True) if value == self.constant else None
+        if not value.startswith(self.head) or not value.endswith(self.tail) or len(value) < len(self.head) + len(self.tail):
+            return None
+        inner = value[len(self.head) : len(value) - len(self.tail)]
+        if self.kind == "string":
+            return F.col(self.key) == inner
+        if self.kind == "int":
+            return F.col(self.key) == int(inner) if inner.lstrip("-").isdigit() and str(int(inner)) == inner else None
+        return self.column == value
+
+
+@dataclass(frozen=True)
+class Branch:
+    rows: DataFrame
+    s: Term
+    p: str
+    o: Term
+
+
+class View:
+    """Branches as one graph; `match` is what a pattern needs of it."""
+
+    def __init__(self, branches: list[Branch], whole: View | None = None):
+        self.branches, self.whole = branches, whole or self
+
+    @property
+    def df(self) -> DataFrame:
+        return self._union(self.branches, {})
+
+    def _union(self, branches: list[Branch], bound: dict[str, str]) -> DataFrame:
+        parts = []
+        for b in branches:
+            rows = b.rows
+            for place, value in bound.items():
+                rows = rows.filter(getattr(b, place).condition(value))
+            parts.append(rows.select(b.s.column.alias("s"), F.lit(b.p).alias("p"), b.o.column.alias("o")))
+        if not parts:
+            return self._union(self.whole.branches[:1], {}).filter(F.lit(False))
+        return reduce(DataFrame.unionAll, parts)
+
+    def _fitting(self, pattern) -> list[Branch]:
+        p = pattern.p if isinstance(pattern.p, tuple) else (pattern.p,) if isinstance(pattern.p, str) else None
+        ok = [b for b in self.branches if p is None or b.p in p]
+        for place in "so":
+            value = getattr(pattern, place)
+            if isinstance(value, str):
+                ok = [b for b in ok if getattr(b, place).condition(value) is not None]
+        return ok
+
+    def narrowed(self, patterns: list) -> list[View]:
+        """For each pattern a view of the branches that can take part in a solution of all of them."""
+        left = [self._fitting(p) for p in patterns]
+        kind = lambda t: ("=", t.constant) if t.constant is not None else ("^", t.head)
+        ends = [[(place, getattr(p, place).name) for place in "so" if not isinstance(getattr(p, place), str)] for p in patterns]
+        while True:
+            kinds: dict[str, set] = {}
+            for branches, places in zip(left, ends, strict=True):
+                for place, name in places:
+                    found = {kind(getattr(b, place)) for b in branches}
+                    kinds[name] = kinds.get(name, found) & found
+            now = [[b for b in branches if all(kind(getattr(b, place)) in kinds[name] for place, name in places)] for branches, places in zip(left, ends, strict=True)]
+            if now == left:
+                return [View(b, self) for b in now]
+            left = now
+
+    def triples(self, pattern) -> DataFrame:
+        return self._union(self._fitting(pattern), {place: getattr(pattern, place) for place in "so" if isinstance(getattr(pattern, place), str)})
+
+
+def _entity(kind: str, key: str) -> Term:
+    return Term(ent(kind, key), f"<{V.instances}{kind}.", ">", key, "int")
+
+
+def _text(name: str) -> Term:
+    return Term(text(name), '"', '"', name, "string")
+
+
+def _typed(c: Column, datatype: str) -> Term:
+    return Term(typed(c, datatype), '"', f'"^^<{XSD}{datatype}>')
+
+
+def virtual_graph(spark: SparkSession, d: str) -> View:
     t = {n: table(spark, d, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
-    item = ent("Item", item_key(t["lineitem"]))
-    order_of_item = ent("Order", "l_orderkey")
-    rows: list[tuple[str, Column, str, Column]] = []
+    item = Term(ent("Item", item_key(t["lineitem"])), f"<{V.instances}Item.", ">")
+    order, order_of_item = _entity("Order", "o_orderkey"), _entity("Order", "l_orderkey")
+    customer, supplier, nation = _entity("Customer", "c_custkey"), _entity("Supplier", "s_suppkey"), _entity("Nation", "n_nationkey")
+    constant = lambda value: Term(F.lit(value), value, constant=value)
+    rows: list[tuple[str, Term, str, Term]] = []
     for name, kind, key, label in (("region", "Region", "r_regionkey", "r_name"), ("nation", "Nation", "n_nationkey", "n_name"), ("customer", "Customer", "c_custkey", "c_name"), ("supplier", "Supplier", "s_suppkey", "s_name"), ("part", "Part", "p_partkey", "p_name")):
-        rows += [(name, ent(kind, key), TYPE, F.lit(pred(kind))), (name, ent(kind, key), LABEL, text(label))]
+        rows += [(name, _entity(kind, key), TYPE, constant(pred(kind))), (name, _entity(kind, key), LABEL, _text(label))]
     rows += [
-        ("nation", ent("Nation", "n_nationkey"), pred("inRegion"), ent("Region", "n_regionkey")),
-        ("customer", ent("Customer", "c_custkey"), pred("inNation"), ent("Nation", "c_nationkey")),
-        ("customer", ent("Customer", "c_custkey"), pred("segment"), text("c_mktsegment")),
-        ("customer", ent("Customer", "c_custkey"), pred("balance"), typed(F.col("c_acctbal"), "double")),
-        ("supplier", ent("Supplier", "s_suppkey"), pred("inNation"), ent("Nation", "s_nationkey")),
-        ("orders", ent("Order", "o_orderkey"), TYPE, F.lit(pred("Order"))),
-        ("orders", ent("Order", "o_orderkey"), pred("placedBy"), ent("Customer", "o_custkey")),
-        ("orders", ent("Order", "o_orderkey"), pred("status"), text("o_orderstatus")),
-        ("orders", ent("Order", "o_orderkey"), pred("priority"), text("o_orderpriority")),
-        ("orders", ent("Order", "o_orderkey"), pred("ordered"), typed(F.to_date("o_orderdate"), "date")),
+        ("nation", nation, pred("inRegion"), _entity("Region", "n_regionkey")),
+        ("customer", customer, pred("inNation"), _entity("Nation", "c_nationkey")),
+        ("customer", customer, pred("segment"), _text("c_mktsegment")),
+        ("customer", customer, pred("balance"), _typed(F.col("c_acctbal"), "double")),
+        ("supplier", supplier, pred("inNation"), _entity("Nation", "s_nationkey")),
+        ("orders", order, TYPE, constant(pred("Order"))),
+        ("orders", order, pred("placedBy"), _entity("Customer", "o_custkey")),
+        ("orders", order, pred("status"), _text("o_orderstatus")),
+        ("orders", order, pred("priority"), _text("o_orderpriority")),
+        ("orders", order, pred("ordered"), _typed(F.to_date("o_orderdate"), "date")),
         ("lineitem", order_of_item, pred("hasItem"), item),
-        ("lineitem", item, pred("ofPart"), ent("Part", "l_partkey")),
-        ("lineitem", item, pred("fromSupplier"), ent("Supplier", "l_suppkey")),
-        ("lineitem", item, pred("shipped"), typed(F.to_date("l_shipdate"), "date")),
+        ("lineitem", item, pred("ofPart"), _entity("Part", "l_partkey")),
+        ("lineitem", item, pred("fromSupplier"), _entity("Supplier", "l_suppkey")),
+        ("lineitem", item, pred("shipped"), _typed(F.to_date("l_shipdate"), "date")),
     ]
-    parts = [t[name].select(s.alias("s"), F.lit(p).alias("p"), o.alias("o")) for name, s, p, o in rows]
+    branches = [Branch(t[name], s, p, o) for name, s, p, o in rows]
     for flag, p in (("R", "returnedItem"), ("A", "acceptedItem")):
-        parts.append(t["lineitem"].filter(F.col("l_returnflag") == flag).select(order_of_item.alias("s"), F.lit(pred(p)).alias("p"), item.alias("o")))
-    return reduce(DataFrame.unionAll, parts)
+        branches.append(Branch(t["lineitem"].filter(F.col("l_returnflag") == flag), order_of_item, pred(p), item))
+    return View(branches)
+
+
+def rdf_view(spark: SparkSession, d: str) -> DataFrame:
+    return virtual_graph(spark, d).df

@@ -30,9 +30,11 @@ def rewrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}.new")
     jvm = spark._jvm.org.apache.hadoop.fs.Path
     fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jvm(path), True)
-    if not fs.rename(jvm(f"{path}.new"), jvm(path)):
+    fs.delete(jvm(f"{path}.old"), True)
+    # The old table stays beside the new one until that is in place.
+    if fs.exists(jvm(path)) and not fs.rename(jvm(path), jvm(f"{path}.old")) or not fs.rename(jvm(f"{path}.new"), jvm(path)):
         raise OSError(f"could not put the new table at {path}")
+    fs.delete(jvm(f"{path}.old"), True)
     spark.catalog.refreshByPath(path)
 
 
@@ -61,6 +63,23 @@ def read_texts(spark: SparkSession, path: str, source_type: str, glob: str = "*.
     return files.select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("source_file"), F.lit(source_type).alias("source_type"), F.col("value").alias("text"))
 
 
+def read_binaries(spark: SparkSession, path: str, source_type: str, extract, glob: str = "*.pdf") -> DataFrame:
+    """(source_file, source_type, text), a row a file. extract: bytes -> texts of the pages; empty pages are left out.
+
+    A file that `extract` raises ValueError for has an empty text.
+    """
+
+    def text_of(content: bytes) -> str:
+        try:
+            return "\n\n".join(p for p in extract(content) if p)
+        except ValueError:
+            return ""
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    text = F.pandas_udf(lambda contents: contents.map(text_of), "string")
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), F.lit(source_type).alias("source_type"), text("content").alias("text"))
+
+
 def read_through(paths: DataFrame, cache: DataFrame, extract) -> tuple[DataFrame, DataFrame]:
     """Texts of paths(path): those in cache(path, text), and `extract` (DataFrame -> DataFrame(path, text)) for the others.
 

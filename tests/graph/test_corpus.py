@@ -1,5 +1,4 @@
 import difflib
-import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,21 +32,25 @@ def test_scalar_functions(spark):
     assert column(spark, ["http://h/a/b.pdf?x#y", "/c/d.txt"], fn.file_name) == ["b.pdf", "d.txt"]
 
 
+def scored(a, part_a, b, part_b):
+    """The score of two normalised titles, as the rule says it."""
+    if not a or not b or part_a is not None and part_b is not None and part_a != part_b:
+        return 0.0
+    if min(len(a), len(b)) >= 5 and (a in b or b in a):
+        return 0.95
+    return difflib.SequenceMatcher(None, a, b).ratio()
+
+
+TITLES = st.text("abc part12", max_size=20)
+PARTS = st.one_of(st.none(), st.integers(1, 3))
+
+
 @settings(max_examples=200, deadline=None)
-@given(st.text("abc part12.pdf-!", max_size=20), st.text("abc part12.pdf-!", max_size=20), st.floats(0, 1))
-def test_closeness(a, b, least):
-    def plain(a, b):
-        p = [re.search(r"\bpart\s+(\d+)\b", t.lower()) for t in (a, b)]
-        if all(p) and int(p[0][1]) != int(p[1][1]):
-            return 0.0
-        a, b = linkage.normalize(a), linkage.normalize(b)
-        if not a or not b:
-            return 0.0
-        short, long = (a, b) if len(a) <= len(b) else (b, a)
-        return 0.95 if len(short) >= 5 and short in long else difflib.SequenceMatcher(None, a, b).ratio()
-
-    want, got = plain(a, b), linkage.closeness(a, b, at_least=least)
-    assert got == want or want < least
+@given(TITLES, PARTS, st.lists(st.tuples(TITLES.filter(bool), PARTS), min_size=1, max_size=8))
+def test_closest_of_all(title, part, others):
+    got = linkage.Titles([t for t, _ in others], [p for _, p in others], list(range(len(others)))).closest(title, part)
+    score, last = max((scored(title, part, t, p), -i) for i, (t, p) in enumerate(others))
+    assert got == (score, -last if score else None)
 
 
 def test_link(spark):
@@ -55,7 +58,7 @@ def test_link(spark):
     cands = spark.createDataFrame([(0, "a", "/n/7-x", "t"), (1, "b", "/n/7-y", "u"), (2, "The long title, Part 1", "/q", "t"), (3, "The long title, Part 2", "/r", "t"), (4, "The long title, Part 2", "/s", "t")], "idx long, title string, url string, type string")
     out = {r.filename: (r.url, r.method, r.rendered) for r in linkage.link(files, cands, r"Issue\s*#(\d+)", r"/n/(\d+)-").collect()}
     assert out == {"one": ("/n/7-y", "exact_number", "1.00"), "two": (None, "none", "number_9_not_found"), "the long title part 2.pdf": ("/r", "fuzzy_title", "0.95"), "zzz": (None, "none", "0.00")}
-    blocks = linkage.best_titles(files.withColumn("title", F.col("filename")), cands, block=2)
+    blocks = linkage.best_titles(files.withColumn("title", F.col("filename")), cands, titles_at_once=1, candidates_at_once=2)
     assert {r.filename: r.cand_idx for r in blocks.collect()}["the long title part 2.pdf"] == 3
 
 
@@ -142,12 +145,29 @@ def test_tables(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
 
 
-def test_best_titles_agrees_with_closeness(spark):
-    names = ["The tide part 1", "tide Part 2.pdf", "wave", "a wave of salt", None, "", "salty waves and tides", "tides"]
-    left = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, title string")
-    cands = spark.createDataFrame([(i, n) for i, n in enumerate(["Tide, part 2", "waves", "salt", "wave", "The Tide (Part 1)", "", "tidal", "wave"])], "idx long, title string")
-    pool = [(r.idx, r.title) for r in cands.orderBy("idx").collect()]
-    for r in linkage.best_titles(left, cands, block=3).collect():
-        s = [(linkage.closeness(r.title, t), -i) for i, t in pool] if r.title is not None else [(0.0, 0)]
-        top = max(s)
-        assert (r.score, r.cand_idx) == (top[0], -top[1] if top[0] else None)
+def test_best_titles_agrees_with_all_pairs(spark):
+    names = ["The tide part 1", "tide Part 2.pdf", "wave", "a wave of salt", None, "", "salty waves and tides", "tides", "wave"]
+    left = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, title string")
+    cands = spark.createDataFrame([(i, n) for i, n in enumerate(["Tide, part 2", "waves", "salt", "wave", "The Tide (Part 1)", "", "tidal", "wave", None])], "idx long, title string")
+    plain = lambda df, key: {r[0]: (r.t, r.p) for r in df.select(key, fn.normalize_title(F.col("title")).alias("t"), fn.part_number(F.col("title")).alias("p")).collect()}
+    mine, pool = plain(left, "i"), plain(cands, "idx")
+    out = linkage.best_titles(left, cands, titles_at_once=3, candidates_at_once=3).collect()
+    assert len(out) == len(names)
+    for r in out:
+        score, last = max((scored(*mine[r.i], *x), -k) for k, x in pool.items())
+        assert (r.score, r.cand_idx) == (score, -last if score else None)
+    assert linkage.best_titles(left, cands.limit(0)).filter("cand_idx IS NULL AND score = 0").count() == len(names)
+
+
+def test_ids_counts_and_binaries(spark, tmp_path):
+    df = spark.createDataFrame([("b", "x"), ("a", "z"), ("a", "y")], "f string, t string")
+    assert sorted((r.id, r.f, r.t) for r in entities.numbered(df, "f", "t", after=5).collect()) == [(6, "a", "y"), (7, "a", "z"), (8, "b", "x")]
+    (tmp_path / "a.pdf").write_bytes(b"one|two||")
+    (tmp_path / "b.pdf").write_bytes(b"!")
+
+    def pages(content):
+        if content == b"!":
+            raise ValueError("no PDF")
+        return content.decode().split("|")
+
+    assert sorted(rows(tables.read_binaries(spark, str(tmp_path), "transcript", pages))) == [("a.pdf", "transcript", "one\n\ntwo"), ("b.pdf", "transcript", "")]

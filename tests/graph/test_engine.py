@@ -199,3 +199,16 @@ def test_language_features(terms):
     assert q("SELECT ?x WHERE { ?x a v:Concept MINUS { ?x v:influencedBy ?y } FILTER EXISTS { ?x v:convergesWith ?z } }") == [("Concept.Wave",)]
     with pytest.raises(SparqlError):
         parse("SELECT ?x WHERE { ?x no:prefix ?y }")
+
+
+def test_conditions_reach_the_scans(spark, capsys):
+    from quillgraph.queries import QUERIES
+
+    def plan(name):
+        QUERIES[name](spark, "/root/testdata/sf0.001").explain("formatted")
+        return capsys.readouterr().out
+
+    assert "EqualTo(o_orderstatus,F)" in plan("bgp_chain")
+    text = plan("bound_subject")
+    assert "EqualTo(c_custkey,7)" in text and "lineitem" not in text and "orders" not in text
+    assert "lineitem" not in plan("var_predicate")
