@@ -338,7 +338,8 @@ def alike_roots(df: DataFrame, id_col: str, text_col: str, words: int, sketches:
     main = sizes.groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
     is_main = F.col("root") == F.col("main")
     blocks = lambda c: F.greatest(F.ceil(F.sum(F.when(c, F.col("n"))) / block), F.ceil(F.sum(F.when(c, F.col("terms"))) / (256 * block))).cast("int")
-    rows = members.join(sizes.join(main, "cluster").groupBy("cluster", "main").agg(blocks(is_main).alias("mains"), blocks(~is_main).alias("others")), "cluster")
+    dealt = cut(sizes.join(main, "cluster").groupBy("cluster", "main").agg(blocks(is_main).alias("mains"), blocks(~is_main).alias("others"), F.sum("n").alias("n")))
+    rows = _with_hot(members, dealt, "cluster", members.count())
     in_main = F.col("root") == F.col("main")
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("same"), F.when(in_main, F.col("mains")).otherwise(F.col("others"))).cast("int") + F.when(in_main, 0).otherwise(F.col("mains")))
     meets = F.when(in_main, F.sequence("mains", F.col("mains") + F.col("others") - 1)).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("mains") + F.col("others") - 1), F.col("mine")))
