@@ -25,7 +25,7 @@ def test_rates_agree_with_brute_force(spark, floor):
     t = rng.integers(1, 500, 80)
     p = rng.dirichlet([0.3, 0.3, 0.3], 80)
     df = cut(spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "t long, p array<double>"))
-    got = rows(mixing.fit_rates(df, [0.5, 0.3, 0.2], floor=floor, tolerance=2e-5, max_steps=400).select("t", "p", "rate"))
+    got = rows(mixing.fit_rates(df, [0.5, 0.3, 0.2], floor=floor).select("t", "p", "rate"))
     r, s, goal = brute([x[0] for x in got], [x[1] for x in got], [0.5, 0.3, 0.2], t.sum(), floor)
     mine = (np.array([x[2] for x in got]) * np.array([x[0] for x in got])) @ np.array([x[1] for x in got])
     assert np.abs(mine - s).max() < 0.01 * t.sum()
