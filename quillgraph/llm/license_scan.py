@@ -3,8 +3,9 @@
 Templates are word sequences ([a-z0-9]+ of the lower-cased text). Hashes of their k-word runs are winnowed
 (the rightmost least hash of each window of w stays); the inverted index maps a kept hash to (template,
 position). In a document every k-word run is looked up, so that any run of k + w - 1 words shared with
-a template meets a kept hash. Hits that lie within `band` of one diagonal make a candidate region;
-banded alignment of that region then counts the template's words matched in order.
+a template meets a kept hash. Hits that lie within `band` of one diagonal make a candidate region; where it
+holds enough of the template's words in any order (which bounds what order can give), banded alignment of
+that region counts the words matched in order.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ._common import col, map_rows, read
+from .license_texts import WHOLE
 
 _WORD = re.compile(r"[a-z0-9]+")
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -33,6 +35,7 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "BSD-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
     "rights-reserved": "All rights reserved.",
+    **WHOLE,
 }
 
 
@@ -94,6 +97,7 @@ class TemplateIndex:
         self.vocabulary: dict[str, int] = {}
         self.sequences = [[self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(templates[n])] for n in self.names]
         self.k = k
+        self.counts = [np.bincount(seq, minlength=len(self.vocabulary) + 1) for seq in self.sequences]
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, seq in enumerate(self.sequences):
             hashes = _runs(np.array(seq), k).tolist()
@@ -124,9 +128,11 @@ class TemplateIndex:
                 if at <= found_to or (shift, found_to) in tried:
                     continue
                 tried.add((shift, found_to))
-                lo = max(found_to + 1, shift - band)
-                part = sequence[lo : max(0, shift + len(template) + band)]
-                n, first, end = align(template, part, shift - lo, band)
+                lo, hi = max(found_to + 1, shift - band), max(0, shift + len(template) + band)
+                shared = np.minimum(np.bincount(ids[lo:hi], minlength=len(self.counts[t])), self.counts[t])
+                if shared.sum() < coverage * len(template):
+                    continue
+                n, first, end = align(template, sequence[lo:hi], shift - lo, band)
                 if n and n >= coverage * len(template):
                     found_to = lo + end
                     yield self.names[t], n, len(template), spans[lo + first][0], spans[lo + end][1]
@@ -135,7 +141,7 @@ class TemplateIndex:
 def scan_licenses(df: DataFrame, id_col: str, text_col: str, templates: dict[str, str] = TEMPLATES, k: int = 3, window: int = 4, band: int = 8, coverage: float = 0.8) -> DataFrame:
     """A row (doc_id, license, matched, template_words, coverage, start, end) for each match in each whole text.
 
-    Notices are short, so runs have three words. Null and empty texts give no rows; repeated rows give
+    Some notices are short, so runs have three words. Null and empty texts give no rows; repeated rows give
     repeated matches; other columns are ignored. Of one template, matches in a text don't overlap and come from
     left to right. A text costs time in proportion to its length plus its candidate regions, each of which is
     at most a template long.

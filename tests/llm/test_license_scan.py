@@ -1,7 +1,10 @@
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from quillgraph.llm.license_scan import TEMPLATES, TemplateIndex, align, scan_licenses, words
+from quillgraph.llm.license_texts import WHOLE
 
 from .helpers import docs, rows
 
@@ -49,3 +52,45 @@ def test_changed_short_notices_and_neighbours():
     whole = TEMPLATES["BSD-notice"]
     cut = " ".join(whole.split()[3:])
     assert [m[0] for m in index.matches(f"{whole} {cut}", 8, 0.8)].count("BSD-notice") == 2
+
+
+def plainly(text, band, coverage):
+    """Names of the templates that some shift aligns with, tried at every shift without an index."""
+    index = TemplateIndex(TEMPLATES, 3, 4)
+    ids = [index.vocabulary.get(w, 0) for w in words(text)]
+    out = set()
+    for name, seq in zip(index.names, index.sequences, strict=True):
+        for shift in range(-len(seq), len(ids) + 1):
+            lo, hi = max(0, shift - band), max(0, shift + len(seq) + band)
+            if len(set(ids[lo:hi]) & set(seq)) * 2 > len(set(seq)) and align(seq, ids[lo:hi], shift - lo, band)[0] >= coverage * len(seq):
+                out.add(name)
+                break
+    return out
+
+
+def test_names_are_those_of_trying_every_shift():
+    index = TemplateIndex(TEMPLATES, 3, 4)
+    rng = random.Random(4)
+    for name, text in sorted(TEMPLATES.items()):
+        sequence = text.split()
+        if len(sequence) > 60:
+            continue
+        for at in rng.sample(range(len(sequence)), len(sequence) // 10):
+            sequence[at] = "changed"
+        edited = f"some words before {' '.join(sequence)} and some after"
+        assert {m[0] for m in index.matches(edited, 8, 0.8)} == plainly(edited, 8, 0.8), name
+
+
+def test_whole_licences_with_changes_ties_and_repeated_rows(spark):
+    bsd = WHOLE["BSD-3-Clause-text"].replace("the copyright holder nor", "Some University nor").replace("documentation and/or other", "manuals and other")
+    mit = "Copyright (c) 2020 Somebody\n" + WHOLE["MIT-text"].replace("copies of the Software, and to permit", "copies, and to permit")
+    far = " ".join(reversed(WHOLE["MIT-text"].split()))
+    df = docs(spark, [bsd, mit, far, bsd])
+    got = rows(scan_licenses(df.union(df), "doc_id", "text"))
+    by = {}
+    for d, name, *_ in got:
+        by.setdefault(d, []).append(name)
+    # Each row is scanned by itself. The clause that only one licence has is longer than the band, so the other isn't found.
+    assert sorted(by[0]) == sorted(by[3]) and by[0].count("BSD-3-Clause-text") == 2 and "BSD-2-Clause-text" not in by[0]
+    assert by[1].count("MIT-text") == 2 and "ISC-text" not in by[1]
+    assert 2 not in by
