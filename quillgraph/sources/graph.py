@@ -122,14 +122,32 @@ def replace_values(triples: DataFrame, predicate: str, fresh: DataFrame) -> Data
     return kept.unionByName(new).dropDuplicates([*KEY, "src_file"])
 
 
-def write_turtle(triples: DataFrame, path: str) -> None:
-    """Turtle text files; a subject's triples stay together. Meant for derived overlays, never for curated files."""
+def write_turtle(triples: DataFrame, path: str, rows_a_block: int = 20_000, blocks_a_file: int = 50) -> None:
+    """Turtle files (*.ttl) that read_turtle reads; a subject's triples stay together. Meant for derived overlays, never for curated files.
+
+    A task holds one block of subjects at a time, and a file has a bounded number of blocks.
+    """
+
     def run(batches):
         import pyarrow as pa
 
-        held = [tuple(r) for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True)]
-        text = turtle.serialize([((r[0], r[1], None, None), r[2], (r[3], r[4], r[5], r[6])) for r in held])
-        if text:
-            yield pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])
-
-    triples.select(*KEY).repartition("s").mapInArrow(run, "value string").write.mode("overwrite").text(path)
+        block = lambda rows: pa.RecordBatch.from_arrays([pa.array([turtle.serialize([((r[0], r[1], None, None), r[2], (r[3], r[4], r[5], r[6])) for r in rows])])], names=["value"])
+        held: list[tuple] = []
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if len(held) >= rows_a_block and r[0] != held[-1][0]:
+                    yield block(held)
+                    held = []
+                held.append(r)
+        if held:
+            yield block(held)
+
+    spark = triples.sparkSession
+    out = triples.select(*KEY).repartition("s").sortWithinPartitions("s").mapInArrow(run, "value string")
+    out.write.mode("overwrite").option("maxRecordsPerFile", blocks_a_file).text(path)
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in fs.listStatus(jvm(path)):
+        name = f.getPath().getName()
+        if name.endswith(".txt") and not fs.rename(f.getPath(), jvm(path, name[:-4] + ".ttl")):
+            raise OSError(f"could not name {name} in {path}")

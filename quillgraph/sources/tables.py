@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,6 +19,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine a temporary one where that is unset."""
+    context = spark.sparkContext
+    at = context._jsc.sc().getCheckpointDir()
+    if not at.isEmpty():
+        return at.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="shared-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
 def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at path; an empty one is made where there is none. Safe to repeat."""
     if not exists(spark, path):
@@ -49,7 +64,8 @@ def read_manifest(spark: SparkSession, path: str, schema: str = MANIFEST) -> Dat
 
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header, for small reports."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.coalesce(1).write.mode("overwrite").options(**kept).csv(path)
 
 
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
