@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and SQL for those that SQL can express."""
 
-from . import html_text, license_scan, media, mixing, packing, simhash, token_counts, topk, toxicity, url_filters
+from . import conversation_repair, html_text, infill, language, license_scan, media, mixing, packing, simhash, token_counts, topk, toxicity, url_filters
 
 QUERIES = {
     f.__name__: f
@@ -15,7 +15,10 @@ QUERIES = {
         packing.op8_packing,
         topk.op9_top_k,
         html_text.op10_html_extraction,
+        conversation_repair.op11_conversation_repair,
+        infill.op12_fill_in_middle,
+        language.op13_language_id,
     )
 }
 
-ORACLE_SQL = {"op1_url_filters": url_filters.ORACLE, "op9_top_k": topk.ORACLE}
+ORACLE_SQL = {"op1_url_filters": url_filters.ORACLE, "op9_top_k": topk.ORACLE, "op11_conversation_repair": conversation_repair.ORACLE, "op12_fill_in_middle": infill.ORACLE}

@@ -12,7 +12,7 @@ from .test_toxicity import corpus
 
 def test_every_operator_has_one_query():
     names = [n for n in __spark_entry__.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
 
 
 def test_pipeline_agrees_with_its_parts(spark, tmp_path):
