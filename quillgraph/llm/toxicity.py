@@ -65,46 +65,139 @@ class OrdinalModel:
         return score
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, prior: float = 0.25, steps: int = 600) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds by accelerated proximal gradient descent on the mean log loss plus prior / rows * |weights|."""
-    l1 = prior / max(len(rows), 1)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, prior: float = 0.25, tolerance: float = 1e-3, max_rounds: int = 400, newcomers: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and thresholds that minimise mean log loss + prior / rows * |weights|, by proximal Newton steps on the features in play.
+
+    With b = theta_y - z and a = theta_(y-1) - z a row's loss is softplus(-b) + softplus(a) - log(1 - exp(a - b)), which is convex, and
+    whose last term keeps the thresholds apart. The steps end once the residual of the proximal gradient (by feature: how far the
+    gradient is from what the penalty allows; by threshold: the gradient) is at most `tolerance` / rows; where max_rounds don't
+    reach that, it is an error. The penalty falls to its value in stages, each begun where the last one ended, so that few features are in
+    play at a time. A grade without rows gets the threshold of the next lower one that has rows.
+    """
+    there = np.unique(grades)
+    if len(there) < 2:
+        raise ValueError("an ordinal fit needs rows of two grades")
+    n, y, k = len(rows), np.searchsorted(there, grades), len(there) - 1
+    stages = [prior * 4.0**i / n for i in range(6, -1, -1)] if prior else [0.0]
+    row = np.repeat(np.arange(n), [len(r) for r in rows])
     at = np.array([i for r in rows for i in r], dtype=np.int64)
-    w, rest = np.zeros(n_features), np.array([1 - (grades > k).mean() for k in range(n_grades - 1)]).clip(1e-3, 1 - 1e-3)
+    low, high = y > 0, y < k  # rows that have a threshold below, above
+    sigma = lambda v: 1 / (1 + np.exp(-np.clip(v, -500, 500)))
+
+    def places(w, theta):
+        z = np.bincount(row, w[at], minlength=n) if len(at) else np.zeros(n)
+        b, a = np.full(n, np.inf), np.full(n, -np.inf)
+        b[high], a[low] = theta[y[high]] - z[high], theta[y[low] - 1] - z[low]
+        return b, a
+
+    def loss(w, theta, l1):
+        if len(theta) > 1 and np.diff(theta).min() <= 0:
+            return np.inf
+        b, a = places(w, theta)
+        both = low & high
+        parts = np.logaddexp(0, -b[high]).sum() + np.logaddexp(0, a[low]).sum() - np.log(-np.expm1(a[both] - b[both])).sum()
+        return parts / n + l1 * np.abs(w).sum()
+
+    w, rest = np.zeros(n_features), np.array([(y <= j).mean() for j in range(k)])
     theta = np.log(rest / (1 - rest))
-    widest = max([1, *map(len, rows)])
-    step = 4 / min(widest, 200) if len(at) else 1.0
-    seen = np.bincount(at, minlength=n_features).clip(1) / max(len(rows), 1)
-    rate = step / np.sqrt(seen / seen.max())  # rarer features get longer steps
-    sigma = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-
-    def loss(w, theta):
-        z = np.bincount(row, w[at], minlength=len(rows)) if len(at) else np.zeros(len(rows))
-        cum = np.concatenate([np.zeros((len(rows), 1)), sigma(theta[None, :] - z[:, None]), np.ones((len(rows), 1))], axis=1)
-        hi, lo = cum[np.arange(len(rows)), grades + 1], cum[np.arange(len(rows)), grades]
-        p = (hi - lo).clip(1e-12)
-        dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
-        gz = (dhi - dlo) / len(rows)  # of the loss by z
-        gt = np.zeros(n_grades - 1)
-        for k in range(n_grades - 1):
-            gt[k] = (-dhi[grades == k].sum() + dlo[grades == k + 1].sum()) / len(rows)
-        return -np.log(p).mean() + l1 * np.abs(w).sum(), np.bincount(at, gz[row], minlength=n_features) if len(at) else np.zeros(n_features), gt
-
-    v, tv, k, best = w, theta, 0, np.inf
-    for _ in range(steps):
-        value, gw, gt = loss(v, tv)
-        if not value <= best + 1e-3:  # overshot: shorter steps, momentum anew
-            rate, step, v, tv, k, best = rate / 2, step / 2, w, theta, 0, np.inf
+    l1 = stages.pop(0)
+    value = loss(w, theta, l1)
+    for _ in range(max_rounds):
+        b, a = places(w, theta)
+        sb, sa = np.where(high, sigma(-b), 0.0), np.where(low, sigma(a), 0.0)
+        apart = np.zeros(n)
+        both = low & high
+        apart[both] = 1 / np.expm1(b[both] - a[both])
+        db, da = np.where(high, -sb - apart, 0.0), np.where(low, sa + apart, 0.0)
+        fb, fa, h = sb * (1 - sb), sa * (1 - sa), apart * (1 + apart)
+        gz, curve = -(db + da) / n, (fb + fa) / n
+        gw = np.bincount(at, gz[row], minlength=n_features) if len(at) else np.zeros(n_features)
+        gt = (np.bincount(y[high], db[high], minlength=k) + np.bincount(y[low] - 1, da[low], minlength=k)) / n
+        off = np.where(w != 0, np.abs(gw + l1 * np.sign(w)), np.maximum(np.abs(gw) - l1, 0))
+        residual = max(off.max(initial=0), np.abs(gt).max())
+        if residual <= (tolerance / n if not stages else 0.05 * l1):
+            if not stages:
+                break
+            l1 = stages.pop(0)
+            value = loss(w, theta, l1)
             continue
-        best = min(best, value)
-        nw = v - rate * gw
-        nw = np.sign(nw) * np.maximum(np.abs(nw) - rate * l1, 0)
-        nt = np.maximum.accumulate(tv - step * gt)
-        k += 1
-        v, tv = nw + (k - 1) / (k + 2) * (nw - w), nt + (k - 1) / (k + 2) * (nt - theta)
-        tv = np.maximum.accumulate(tv)
-        w, theta = nw, nt
-    return w, theta
+        beyond = np.where(w == 0, np.abs(gw) - l1, 0.0)
+        new = np.argsort(-beyond, kind="stable")[:newcomers]
+        play = np.union1d(np.flatnonzero(w), new[beyond[new] > 0])
+        size = len(play) + k
+        hess = np.zeros((size, size))
+        column = np.full(n_features, -1)
+        column[play] = np.arange(len(play))
+        inside = column[at] >= 0
+        for first in range(0, n, 1000):  # the rows in play as a dense block at a time
+            here = slice(*np.searchsorted(row, [first, first + 1000]))
+            picked = inside[here]
+            block = np.zeros((min(1000, n - first), size))
+            np.add.at(block, (row[here][picked] - first, column[at[here][picked]]), 1.0)
+            part = slice(first, first + len(block))
+            x = block[:, : len(play)]
+            hess[: len(play), : len(play)] += (x * curve[part, None]).T @ x
+            for j in range(k):
+                hess[: len(play), len(play) + j] -= x.T @ ((fb * (high & (y == j)) + fa * (low & (y == j + 1)))[part] / n)
+        hess[len(play) :, : len(play)] = hess[: len(play), len(play) :].T
+        for j in range(k):
+            hess[len(play) + j, len(play) + j] = ((fb + h) * (high & (y == j)) + (fa + h) * (low & (y == j + 1))).sum() / n
+            if j:
+                hess[len(play) + j, len(play) + j - 1] = hess[len(play) + j - 1, len(play) + j] = -h[y == j].sum() / n
+        g = np.concatenate([gw[play], gt])
+        start = np.concatenate([w[play], theta])
+        move = _newton_move(hess, g, start, np.where(np.arange(size) < len(play), l1, 0.0))
+        slope = g @ move + l1 * (np.abs(start + move)[: len(play)].sum() - np.abs(w).sum())
+        step = 1.0
+        while True:
+            nw, nt = w.copy(), theta + step * move[len(play) :]
+            nw[play] += step * move[: len(play)]
+            now = loss(nw, nt, l1)
+            if now <= value + 0.01 * step * slope or step < 1e-12:
+                break
+            step /= 2
+        w, theta, value = nw, nt, now
+    else:
+        raise RuntimeError(f"the ordinal fit did not settle in {max_rounds} rounds: residual {residual * n:.2e} of {tolerance:.2e} by row")
+    full = [theta[max(np.searchsorted(there, j, side="right") - 1, 0)] if j < there[-1] else np.inf for j in range(n_grades - 1)]
+    return w, np.array(full)
+
+
+def _newton_move(hess: np.ndarray, g: np.ndarray, start: np.ndarray, l1: np.ndarray, at_once: int = 32) -> np.ndarray:
+    """The move d that minimises g.d + d.hess.d / 2 + sum l1 |start + d|, by search over the signs of start + d.
+
+    With signs held, the least point is a linear system's; on the way to it the first coordinate to reach zero leaves. Once all are
+    in place those come in whose slope is beyond l1, several at once, or one where several hinder each other.
+    """
+    hess = hess + 1e-13 * max(np.diag(hess).max(), 1e-300) * np.eye(len(g))
+    x, signs = start.copy(), np.sign(start)
+    free = l1 == 0
+    active = free | (x != 0)
+    many = at_once
+    for _ in range(20 * len(g) + 100):
+        while True:
+            on = np.flatnonzero(active)
+            aim = start[on] - np.linalg.solve(hess[np.ix_(on, on)], (g + l1 * signs)[on] + hess[np.ix_(on, ~active)] @ (x - start)[~active])
+            wrong = ~free[on] & (aim * signs[on] <= 0)
+            if not wrong.any():
+                x[on] = aim
+                break
+            far = np.abs(x[on][wrong]) / np.maximum(np.abs(x[on][wrong] - aim[wrong]), 1e-300)
+            part = far.min()
+            x[on] += part * (aim - x[on])
+            gone = on[wrong][far <= part]
+            x[gone], signs[gone], active[gone] = 0.0, 0.0, False
+            if part == 0:
+                many = 1
+        slope = g + hess @ (x - start)
+        beyond = np.where(active, 0.0, np.abs(slope) - l1)
+        if beyond.max() <= 1e-9 * l1.max():
+            break
+        new = np.argsort(-beyond, kind="stable")[:many]
+        new = new[beyond[new] > 1e-9 * l1.max()]
+        many = at_once
+        signs[new], active[new] = -np.sign(slope[new]), True
+    return x - start
 
 
 def fit_toxicity(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_id: str = "doc_id", label_col: str = "toxic", max_toxic: int = 4000, max_clean: int = 8000, least_rows: int = 3, least_chi: float = 20.0) -> OrdinalModel:
@@ -155,7 +248,8 @@ def score_toxicity(df: DataFrame, model: OrdinalModel, id_col: str, text_col: st
     """(doc_id, grade, severity, p_toxic, toxic) for each row; toxic where P(grade > 0) >= reject.
 
     grade: the likeliest, ties to the lower. Null and empty texts have no feature and get the thresholds' grades. Repeated
-    rows stay repeated; other columns are ignored.
+    rows stay repeated; other columns are ignored; an empty table gives no row. Texts are read whole, however long: the words of one
+    text at a time are in memory.
     """
 
     def rows(incoming):
