@@ -5,8 +5,9 @@ domains from its character statistics. Nonnegative rates r of documents with t t
 
     1/2 sum_k (S_k - T_k)^2 / (T_k T) + ridge/2 sum_d t_d/T (r_d - 1)^2,   S_k = sum_d r_d t_d p_dk
 
-by projected gradient steps. A document's gradient, divided by its share t/T, depends only on its posteriors, its
-own rate and the few numbers S_k, so a step is one aggregate of K sums over all documents.
+by projected gradient steps, scaled by the curvature of the documents above the floor. A document's gradient, divided by its share
+t/T, is p.pull + ridge (r - 1) with pull_k = (S_k - T_k) / (T_k T), so the curvature is a few sums of K by K numbers, its scaled and
+projected step is r = max(floor, 1 - p.m / ridge) with K multipliers m, and a step is one aggregate over all documents.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import log, pi
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import col, cut, fresh, read
@@ -84,54 +86,72 @@ def fit_domains(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, la
     return DomainModel([r["_domain"] for r in rows], [r.n / total for r in rows], [{k: r[f"m_f_{k}"] for k in FEATURES} for r in rows], [{k: max(r[f"v_f_{k}"], 0.01) for k in FEATURES} for r in rows])
 
 
-def fit_rates(df: DataFrame, targets: list[float], total: float | None = None, floor: float = 0.0, ridge: float = 1e-3, tolerance: float = 1e-3, max_steps: int = 500) -> DataFrame:
+def fit_rates(df: DataFrame, targets: list[float], total: float | None = None, floor: float = 0.0, ridge: float = 1e-3, tolerance: float = 1e-3, max_steps: int = 100) -> DataFrame:
     """df(t long, p array<double>, ...) with a column rate, fitted to shares `targets` of `total` expected tokens.
 
     total: of all domains; by default what is there, and "grow" is the least total at which no domain has to shrink.
-    floor: least rate, 0 or more. An empty table comes back empty; documents without tokens keep rate 1.
-    df must be cheap to read again (cut): it is scanned once a step; every eighth step writes the rates.
+    floor: least rate, 0 or more. ridge: over 0. An empty table comes back empty; documents without tokens keep rate 1.
+    df must be cheap to read again (cut): it is scanned once a step, and nothing is written between steps.
     The steps end once the projected gradient, averaged over tokens, is at most `tolerance`; where max_steps don't reach
-    that, it is an error.
+    that, it is an error. A step that would lower the dual of the problem is halved.
     """
     k = len(targets)
-    sums = lambda frame, rate, *more: [float(x or 0) for x in frame.agg(*(F.sum(rate * F.col("t") * F.col("p")[i]) for i in range(k)), *more).first()]
-    base = df.withColumn("rate", F.lit(max(1.0, floor)).cast("double"))
-    now = sums(base, F.col("rate"))
+    t, p = F.col("t"), [F.col("p")[j] for j in range(k)]
+    sums = lambda columns: [float(x or 0) for x in df.agg(*(F.sum(t * c) for c in columns)).first()]
+    dot = lambda numbers: sum((x * F.lit(float(w)) for x, w in zip(p, numbers, strict=True)), F.lit(0.0))
+    start = max(1.0, floor)
+    now = [start * s for s in sums(p)]
     have = sum(now)
-    if not have:
-        return base
     weight = sum(w for w, s in zip(targets, now, strict=True) if s > 0)
-    if not weight:
-        return base
+    if not have or not weight:
+        return df.withColumn("rate", F.lit(start).cast("double"))
     share = [w / weight if s > 0 else 0.0 for w, s in zip(targets, now, strict=True)]
     if total == "grow":
         total = max(s / w for s, w in zip(now, share, strict=True) if w)
     total = total or have
     goal = [w * total for w in share]
-    scale = [max(g, 0.01 * total) for g in goal]
-    step = 1 / (max(s / c for s, c in zip(now, scale, strict=True)) + ridge)
-    rate: Column = F.col("rate")
-    for i in range(max_steps):
-        pull = [(s - g) / c for s, g, c in zip(now, goal, scale, strict=True)]
-        gradient = sum((F.col("p")[j] * F.lit(pull[j]) for j in range(k)), F.lit(0.0)) + F.lit(ridge) * (rate - 1)
-        ahead = F.greatest(F.lit(float(floor)), rate - F.lit(step) * gradient)
-        *now, moved = sums(base, ahead, F.sum(F.abs(ahead - rate) * F.col("t")))
-        rate = ahead
-        if i % 8 == 7:
-            base, rate = cut(base.withColumn("rate", rate)), F.col("rate")
-        if moved / step <= tolerance * have:
+    scale = np.array([max(g, 0.01 * total) for g in goal])
+    unit = 1 / (max(s / c for s, c in zip(now, scale, strict=True)) + ridge)  # the step by which the projected gradient is measured
+    rate_of = lambda m: F.greatest(F.lit(float(floor)), 1 - dot(m) / ridge)
+
+    def at(m: np.ndarray):
+        """Rates of the multipliers m: sums S, curvature of what is above the floor, and the value of the dual."""
+        rate = rate_of(m)
+        free = F.when(rate > floor, 1.0).otherwise(0.0)
+        got = sums([*(rate * x for x in p), *(free * p[i] * p[j] for i in range(k) for j in range(i, k)), (rate - 1) * (rate - 1)])
+        bend = np.zeros((k, k))
+        bend[np.triu_indices(k)] = got[k:-1]
+        s = np.array(got[:k])
+        return s, bend + np.triu(bend, 1).T, m @ (s - goal) - (scale * m * m).sum() / 2 + ridge * got[-1] / 2
+
+    m = np.zeros(k)
+    s, bend, value = at(m)
+    for _ in range(max_steps):
+        pull = (s - goal) / scale
+        rate = rate_of(m)
+        (left,) = sums([F.abs(F.greatest(F.lit(float(floor)), rate - unit * (dot(pull) + ridge * (rate - 1))) - rate) / unit])
+        if left <= tolerance * have:
             break
+        off = s - goal - scale * m
+        move = np.linalg.solve(bend / ridge + np.diag(scale), off)
+        part = 1.0
+        while True:
+            ahead = at(m + part * move)
+            if ahead[2] >= value + 1e-4 * part * (off @ move) or part < 1e-9:
+                break
+            part /= 2
+        m, (s, bend, value) = m + part * move, ahead
     else:
-        raise RuntimeError(f"rates did not settle in {max_steps} steps: the projected gradient is {moved / step / have:.6f}")
-    return base.withColumn("rate", F.when(F.col("t") > 0, rate).otherwise(F.lit(max(1.0, floor))))
+        raise RuntimeError(f"rates did not settle in {max_steps} steps: the projected gradient is {left / have:.6f}")
+    return df.withColumn("rate", F.when(t > 0, rate_of(m)).otherwise(F.lit(start)))
 
 
 def mix(df: DataFrame, labels: DataFrame, targets: dict[str, float], id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", max_train: int = 20_000, **options) -> DataFrame:
     """(doc_id, n_tokens, domain, posterior, rate) for each row of df; domain is the likeliest, ties to the first by name.
 
     Domains of the labels that `targets` lacks have target 0. Null texts count as empty. Repeated rows are
-    documents of their own. Without a labelled document there is one domain, "", and every rate is the least that
-    `floor` allows from 1 on.
+    documents of their own. Very long texts are read whole. Other columns of df are ignored, whatever their names. Without a
+    labelled document there is one domain, "", and every rate is the least that `floor` allows from 1 on; an empty table gives no row.
     """
     docs = df.select(col(id_col).cast("long").alias("doc_id"), col(text_col).cast("string").alias("_text"))
     ready = with_features(docs, "_text").drop("_text")

@@ -80,8 +80,8 @@ def filter_urls(df: DataFrame, rules: list[Rule], id_col: str, url_col: str, def
     """One row (id, host, path, rule, verdict) for each row of df.
 
     Listed (host, path) rules go before the others, and give `rule`; other rules give only the verdict.
-    Null, empty and scheme-less URLs have an empty host and path and so the default verdict. Repeated rows
-    stay repeated; other columns of df are ignored. The rule list goes to each task with the code: it is a
+    Null, empty and scheme-less URLs have an empty host and path and so the default verdict. Long URLs are read whole. Repeated rows
+    stay repeated; other columns of df are ignored, whatever their names; an empty table gives no row. The rule list goes to each task with the code: it is a
     configuration, not data.
     """
 

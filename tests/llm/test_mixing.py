@@ -69,3 +69,54 @@ def test_empty_tables_and_no_labels(spark):
     df, lab = corpus(spark)
     assert rows(mixing.mix(df.limit(0), lab, {"1": 1.0})) == []
     assert {r.rate for r in mixing.mix(df, lab.limit(0), {"1": 1.0}).collect()} == {1.0}
+
+
+def brute_posteriors(df, lab):
+    """Gaussian naive Bayes from scratch, in Python, on the same shares of characters and words."""
+    import math
+    import re
+
+    def features(text):
+        words, n = re.split(r"\s+", text or ""), max(len(text or ""), 1)
+        shares = [sum(bool(re.match(g, c)) for c in text or "") / n for g in mixing.GROUPS.values()] + [len(set(words)) / len(words)]
+        return [math.log(s + 0.001) for s in shares] + [math.log1p(len(words))]
+
+    texts = {r.doc_id: r.text for r in df.collect()}
+    known = [(str(r.quality), features(texts[r.doc_id])) for r in lab.collect() if r.doc_id in texts]
+    score = {}
+    for k in sorted({q for q, _ in known}):
+        x = np.array([f for q, f in known if q == k])
+        mean, var = x.mean(axis=0), np.maximum(x.var(axis=0), 0.01)
+        score[k] = lambda f, m=mean, v=var, p=len(x) / len(known): math.log(p) - 0.5 * sum(math.log(2 * math.pi * b) + (a - c) ** 2 / b for a, b, c in zip(f, v, m))
+    out = {}
+    for i, t in texts.items():
+        s = {k: f(features(t)) for k, f in score.items()}
+        top = max(s.values())
+        best = min(k for k in s if s[k] == top)
+        out[i] = best, 1 / sum(math.exp(v - top) for v in s.values())
+    return out
+
+
+def test_posteriors_agree_with_brute_force(spark):
+    df, lab = corpus(spark)
+    df = df.unionByName(docs(spark, ["Mixed text, with !!! and $$$ 123.\nTwo lines; A B C", " lead and trail ", "word " * 200_000], start=100, extra=True))
+    want = brute_posteriors(df, lab)
+    for r in mixing.mix(df, lab, {"1": 0.9, "0": 0.1}).collect():
+        assert r.domain == want[r.doc_id][0] and abs(r.posterior - want[r.doc_id][1]) < 1e-5, r.doc_id
+
+
+@pytest.mark.parametrize("target", [0.1, 0.05, 0.02, 0.001])
+def test_uneven_targets_settle(spark, target):
+    rng = np.random.default_rng(1)
+    p = np.where(rng.random(300) < 0.87, rng.beta(30, 1, 300), rng.beta(1, 30, 300))
+    df = cut(spark.createDataFrame([(int(rng.integers(20, 900)), [float(x), float(1 - x)]) for x in p], "t long, p array<double>"))
+    got = rows(mixing.fit_rates(df, [target, 1 - target], max_steps=100).selectExpr("t", "p", "rate"))
+    mine = sum(np.array(r[1]) * r[0] * r[2] for r in got)
+    assert abs(mine[0] / mine.sum() - target) < 0.01
+
+
+def test_repeated_rows_and_ties_of_posteriors(spark):
+    df, lab = corpus(spark)
+    out = mixing.mix(df.unionAll(df), lab.unionAll(lab.selectExpr("doc_id", "1 - quality as quality", "toxic")), {"1": 0.5, "0": 0.5}).collect()
+    assert len(out) == 126 and {r.domain for r in out} == {"0"}  # both domains hold the same rows, so each posterior is a half
+    assert all(abs(r.posterior - 0.5) < 1e-6 for r in out)
