@@ -1,4 +1,4 @@
-"""Named questions to a curated graph, as SPARQL texts by vocabulary."""
+"""Questions to a curated graph, put together from fragments and asked as SPARQL texts by vocabulary."""
 
 from __future__ import annotations
 
@@ -8,42 +8,73 @@ from pyspark.sql import functions as F
 from .sparql import sparql
 from .vocabulary import Vocabulary
 
-_LABELS = "?subj skos:prefLabel ?subjLabel . ?obj skos:prefLabel ?objLabel ."
+
+def _called(**names: str) -> str:
+    """Labels of things: _called(who="name") binds the label of ?who to ?name."""
+    return " ".join(f"?{thing} skos:prefLabel ?{label} ." for thing, label in names.items())
+
+
+def _without(pattern: str) -> str:
+    return f"FILTER NOT EXISTS {{ {pattern} }}"
+
+
+def _ask(shown: str, *body: str, tail: str = "") -> str:
+    return f"SELECT {shown} WHERE {{ {' '.join(body)} }} {tail}"
+
+
+#: A claim that links two things, and the grade that was derived for it.
+_CLAIM = "?claim v:calculatedConfidence ?grade ; v:aboutObject ?target ; v:aboutSubject ?origin ."
+_IDEA = "?idea a v:Concept ."
 
 TEXTS = {
-    "concepts": "SELECT ?concept ?label ?def WHERE { ?concept a v:Concept ; skos:prefLabel ?label ; skos:definition ?def } ORDER BY ?label",
-    "explain_links": "SELECT ?personLabel ?relation ?rationale ?evidenceConfidence ?calculatedConfidence WHERE { {subject} ?relation ?person . ?person a v:{person} ; skos:prefLabel ?personLabel . ?note v:aboutSubject {subject} ; v:aboutObject ?person ; v:calculatedConfidence ?c ; v:hasEvidence ?e . ?e dct:description ?rationale ; v:confidence ?ec . ?c skos:prefLabel ?calculatedConfidence . ?ec skos:prefLabel ?evidenceConfidence FILTER(?relation != skos:prefLabel) }",
-    "trusted_links": "SELECT ?subjLabel ?relation ?objLabel ?calcLabel WHERE { ?note v:aboutSubject ?subj ; v:aboutObject ?obj ; v:calculatedConfidence ?calc FILTER(?calc IN (v:ConfidenceType.Curated, v:ConfidenceType.Corroborated)) ?calc skos:prefLabel ?calcLabel . " + _LABELS + " ?subj ?relation ?obj }",
-    "links_at": "SELECT ?subjLabel ?objLabel WHERE { ?note v:aboutSubject ?subj ; v:aboutObject ?obj ; v:calculatedConfidence v:ConfidenceType.{level} . " + _LABELS + " }",
-    "unlinked_concepts": "SELECT ?label WHERE { ?concept a v:Concept ; skos:prefLabel ?label FILTER NOT EXISTS { ?concept v:relatesTo|v:echoesIdeaOf|v:influencedBy ?x } }",
-    "appearances": "SELECT ?objLabel (COUNT(?i) AS ?cnt) WHERE { ?rel v:hasObject ?obj ; v:hasInteraction ?i . ?obj skos:prefLabel ?objLabel } GROUP BY ?objLabel ORDER BY DESC(?cnt)",
-    "undiscussed_concepts": "SELECT ?label WHERE { ?concept a v:Concept ; skos:prefLabel ?label FILTER NOT EXISTS { ?ep a v:Episode ; v:discusses ?concept } }",
-    "undated_members": "SELECT ?humanLabel ?orgLabel WHERE { ?h v:memberOf ?org ; skos:prefLabel ?humanLabel . ?org skos:prefLabel ?orgLabel FILTER NOT EXISTS { ?h v:memberOfStartDate ?d } }",
-    "relations_not_from": "SELECT (COUNT(?r) AS ?cnt) WHERE { ?r a v:Relationship ; v:hasSubject ?s FILTER(?s != {subject}) }",
-    "episodes_without_concept": "SELECT ?ep WHERE { ?ep a v:Episode FILTER NOT EXISTS { ?ep v:discusses ?c } }",
-    "personas_without_crosswalk": "SELECT ?p WHERE { ?p a v:Persona FILTER NOT EXISTS { ?n a v:CrosswalkNote ; v:aboutEntity ?p } }",
-    "predicate_richness": "SELECT ?s (COUNT(DISTINCT ?p) AS ?n) WHERE { ?s a v:Persona ; ?p ?o } GROUP BY ?s ORDER BY DESC(?n)",
-    "members_without_relation": "SELECT ?h ?org WHERE { ?h v:memberOf ?org . ?persona v:actsThrough ?h FILTER NOT EXISTS { ?r v:hasSubject ?persona ; v:hasObject ?org } }",
-    "human_leaks": "SELECT ?r ?h WHERE { ?r v:hasSubject|v:hasObject ?h . ?h a v:Human }",
-    "role_reversals": "SELECT ?rel (COUNT(DISTINCT ?role) AS ?roles) WHERE { ?rel v:hasInteraction ?i . ?i v:subjectRole ?role } GROUP BY ?rel HAVING (COUNT(DISTINCT ?role) > 1)",
-    "relation_types": "SELECT ?objLabel ?type WHERE { ?rel v:hasRelationshipType ?type ; v:hasObject ?obj . ?obj skos:prefLabel ?objLabel }",
-    "multi_guest_episodes": "SELECT ?ep (COUNT(?g) AS ?guests) WHERE { ?ep v:hasGuest ?g } GROUP BY ?ep HAVING (COUNT(?g) > 1)",
-    "episode_type_labels": "SELECT ?type ?alt WHERE { ?type a v:EpisodeType ; skos:altLabel ?alt }",
-    "series_members": "SELECT ?series ?ep ?n WHERE { ?ep v:isPartOf ?series ; v:seriesPosition ?n } ORDER BY ?series ?n",
-    "one_way_parts": "SELECT ?series ?ep WHERE { ?ep v:isPartOf ?series FILTER NOT EXISTS { ?series v:hasPart ?ep } }",
-    "one_way_symmetric": "SELECT ?a ?b WHERE { ?a v:convergesWith ?b FILTER NOT EXISTS { ?b v:convergesWith ?a } }",
-    "subject_rollup": "SELECT ?broader (COUNT(?c) AS ?n) WHERE { ?c dct:subject ?subject . ?subject skos:broader ?broader } GROUP BY ?broader",
-    "crosswalk_without_same_as": "SELECT ?e ?x WHERE { ?n v:aboutEntity ?e ; v:aboutExternalURI ?x FILTER NOT EXISTS { ?e owl:sameAs ?x } FILTER NOT EXISTS { ?e v:actsThrough ?h . ?h owl:sameAs ?x } }",
-    "created_after_issued": "SELECT ?ep WHERE { ?ep dct:created ?c ; dct:issued ?i FILTER(?c > ?i) }",
+    "concepts": _ask("?idea ?name ?meaning", "?idea skos:definition ?meaning .", _called(idea="name"), _IDEA, tail="ORDER BY ?name"),
+    "explain_links": _ask(
+        "?who ?how ?why ?strength ?verdict",
+        "?proof dct:description ?why ; v:confidence ?weight .",
+        _CLAIM.replace("?origin", "{subject}"),
+        "?claim v:hasEvidence ?proof . ?target a v:{person} .",
+        _called(weight="strength", grade="verdict", target="who"),
+        "{subject} ?how ?target FILTER(?how != skos:prefLabel)",
+    ),
+    "trusted_links": _ask("?from ?how ?to ?verdict", "?origin ?how ?target .", _CLAIM, _called(origin="from", target="to", grade="verdict"), "FILTER(?grade IN (v:ConfidenceType.Corroborated, v:ConfidenceType.Curated))"),
+    "links_at": _ask("?from ?to", _CLAIM.replace("?grade", "v:ConfidenceType.{level}"), _called(target="to", origin="from")),
+    "unlinked_concepts": _ask("?name", _called(idea="name"), _IDEA, _without("?idea v:influencedBy|v:relatesTo|v:echoesIdeaOf ?source")),
+    "appearances": _ask("?partner (COUNT(?meeting) AS ?times)", "?tie v:hasInteraction ?meeting ; v:hasObject ?other .", _called(other="partner"), tail="GROUP BY ?partner ORDER BY DESC(?times)"),
+    "undiscussed_concepts": _ask("?name", _called(idea="name"), _IDEA, _without("?show v:discusses ?idea ; a v:Episode")),
+    "undated_members": _ask("?person ?body", _called(member="person", club="body"), "?member v:memberOf ?club", _without("?member v:memberOfStartDate ?since")),
+    "relations_not_from": _ask("(COUNT(?tie) AS ?ties)", "?tie v:hasSubject ?hub . ?tie a v:Relationship FILTER(?hub != {subject})"),
+    "episodes_without_concept": _ask("?show", "?show a v:Episode", _without("?show v:discusses ?idea")),
+    "personas_without_crosswalk": _ask("?figure", "?figure a v:Persona", _without("?walk v:aboutEntity ?figure ; a v:CrosswalkNote")),
+    "predicate_richness": _ask("?figure (COUNT(DISTINCT ?property) AS ?properties)", "?figure ?property ?value ; a v:Persona", tail="GROUP BY ?figure ORDER BY DESC(?properties)"),
+    "members_without_relation": _ask("?member ?club", "?figure v:actsThrough ?member . ?member v:memberOf ?club", _without("?tie v:hasObject ?club ; v:hasSubject ?figure")),
+    "human_leaks": _ask("?tie ?human", "?human a v:Human . ?tie v:hasObject|v:hasSubject ?human"),
+    "role_reversals": _ask("?tie (COUNT(DISTINCT ?part) AS ?parts)", "?meeting v:subjectRole ?part . ?tie v:hasInteraction ?meeting", tail="GROUP BY ?tie HAVING (COUNT(DISTINCT ?part) > 1)"),
+    "relation_types": _ask("?partner ?kind", "?tie v:hasObject ?other ; v:hasRelationshipType ?kind .", _called(other="partner")),
+    "multi_guest_episodes": _ask("?show (COUNT(?guest) AS ?guests)", "?show v:hasGuest ?guest", tail="GROUP BY ?show HAVING (COUNT(?guest) > 1)"),
+    "episode_type_labels": _ask("?kind ?word", "?kind skos:altLabel ?word ; a v:EpisodeType"),
+    "series_members": _ask("?series ?show ?place", "?show v:seriesPosition ?place ; v:isPartOf ?series", tail="ORDER BY ?series ?place"),
+    "one_way_parts": _ask("?series ?show", "?show v:isPartOf ?series", _without("?series v:hasPart ?show")),
+    "one_way_symmetric": _ask("?one ?other", "?one v:convergesWith ?other", _without("?other v:convergesWith ?one")),
+    "subject_rollup": _ask("?top (COUNT(?idea) AS ?ideas)", "?idea dct:subject ?topic . ?topic skos:broader ?top", tail="GROUP BY ?top"),
+    "subject_tree": _ask("?top (COUNT(?idea) AS ?ideas)", "?idea dct:subject ?topic . ?topic skos:broader* ?top", tail="GROUP BY ?top"),
+    "crosswalk_without_same_as": _ask("?entity ?page", "?walk v:aboutExternalURI ?page ; v:aboutEntity ?entity", _without("?entity owl:sameAs ?page"), _without("?entity v:actsThrough ?body . ?body owl:sameAs ?page")),
+    "same_as_without_crosswalk": _ask("?entity ?page", "?entity owl:sameAs ?page", _without("?walk v:aboutExternalURI ?page ; v:aboutEntity ?entity"), _without("?figure v:actsThrough ?entity . ?walk v:aboutEntity ?figure ; v:aboutExternalURI ?page")),
+    "created_after_issued": _ask("?show", "?show dct:issued ?out ; dct:created ?made FILTER(?made > ?out)"),
 }
 
 
 def ask_named(graph: DataFrame, name: str, vocabulary: Vocabulary | None = None, **values: str) -> DataFrame:
-    """A named query over graph(s, p, o); values fill its {places} (IRIs as <...> or prefixed names)."""
+    """A named question over graph(s, p, o) or a view of one; values fill its {places} (IRIs as <...> or prefixed names)."""
     text = TEXTS[name]
     for k, v in values.items():
         text = text.replace("{" + k + "}", v)
     out = sparql(graph, (vocabulary or Vocabulary()).prefixes() + text)
     if name == "relation_types":
-        out = out.groupBy("objLabel").agg(F.array_join(F.sort_array(F.collect_set("type")), ",").alias("types"))
+        out = out.groupBy("partner").agg(F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("kinds"))
     return out
+
+
+def episode_types(manifest: DataFrame, graph: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """manifest(..., type) with episode_type: the EpisodeType whose altLabel the row's type is, of several the least IRI; null for none."""
+    kinds = ask_named(graph, "episode_type_labels", vocabulary).groupBy("word").agg(F.min("kind").alias("episode_type"))
+    return manifest.join(kinds, F.col("type") == F.col("word"), "left").drop("word")

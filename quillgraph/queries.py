@@ -92,6 +92,34 @@ def optional_part(spark, d):
     return ask(spark, d, 'SELECT DISTINCT ?customer ?urgent WHERE { ?c a v:Customer ; skos:prefLabel ?customer OPTIONAL { ?o v:placedBy ?c ; v:status "P" ; v:priority ?urgent FILTER(?urgent = "1-URGENT") } }')
 
 
+_URGENT = "(SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')"
+
+
+@query(f"SELECT c_name AS label, CASE WHEN EXISTS {_URGENT} THEN '1-URGENT' ELSE c_mktsegment END AS mark FROM customer")
+def optional_fills(spark, d):
+    """A second optional part binds what the first left unbound, and no more."""
+    return ask(spark, d, 'SELECT DISTINCT ?label ?mark WHERE { ?c a v:Customer ; skos:prefLabel ?label OPTIONAL { ?o v:placedBy ?c ; v:status "P" ; v:priority ?mark FILTER(?mark = "1-URGENT") } OPTIONAL { ?c v:segment ?mark } }')
+
+
+@query(f"SELECT c_name AS label, '{KG}Order.' || o_orderkey AS o FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderstatus = 'P' WHERE o_orderkey IS NOT NULL OR NOT EXISTS (SELECT 1 FROM orders f WHERE f.o_custkey = c_custkey AND f.o_orderstatus = 'F')")
+def minus_unbound(spark, d):
+    """Where ?o is unbound the customer alone is compared, so customers with finished orders only go."""
+    return ask(spark, d, 'SELECT ?label ?o WHERE { ?c a v:Customer ; skos:prefLabel ?label OPTIONAL { ?o v:placedBy ?c ; v:status "P" } MINUS { ?o v:placedBy ?c ; v:status "F" } }')
+
+
+@query("SELECT n_name AS nation, min(c_acctbal) AS low, max(c_acctbal) AS high FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1")
+def typed_extremes(spark, d):
+    """The least and the greatest of typed numbers are by value."""
+    found = ask(spark, d, "SELECT ?nation (MIN(?b) AS ?low) (MAX(?b) AS ?high) WHERE { ?c v:inNation ?n ; v:balance ?b . ?n skos:prefLabel ?nation } GROUP BY ?nation")
+    return found.select("nation", F.col("low").cast("double"), F.col("high").cast("double"))
+
+
+@query("SELECT c_name AS label FROM customer ORDER BY c_acctbal DESC, c_name LIMIT 40")
+def typed_top(spark, d):
+    """The forty richest (the limit is the feature), by a variable that isn't shown."""
+    return ask(spark, d, "SELECT ?label WHERE { ?c a v:Customer ; skos:prefLabel ?label ; v:balance ?b } ORDER BY DESC(?b) LIMIT 40")
+
+
 @query("SELECT label FROM (SELECT n_name AS label FROM nation UNION ALL SELECT r_name FROM region WHERE r_name <> 'ASIA')")
 def union_minus(spark, d):
     return ask(spark, d, 'SELECT ?label WHERE { { ?x a v:Nation ; skos:prefLabel ?label } UNION { ?x a v:Region ; skos:prefLabel ?label } MINUS { ?x a v:Region ; skos:prefLabel "ASIA" } }')
@@ -357,12 +385,12 @@ def match_unmatched(spark, d):
     return linkage.unmatched(_linked(spark, d))
 
 
-@query("SELECT url AS title, url, 'manifest' AS type FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT html[:40], url, 'no_transcript_available' FROM pages WHERE page_id % 2 = 1 AND html[:40] <> ''")
+@query("SELECT url AS title, url, 'manifest' AS type FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT html, url, 'no_transcript_available' FROM pages WHERE page_id % 2 = 1 AND html <> ''")
 def candidate_union(spark, d):
     """Pages of even ids stand for the manifest, those of odd ids for the list without transcripts."""
     p = table(spark, d, "pages").withColumn("episode_url", F.col("url"))
     manifest = p.filter("page_id % 2 = 0").select(F.col("url").alias("title"), "episode_url", F.lit("manifest").alias("type"))
-    return linkage.candidate_union(manifest, p.filter("page_id % 2 = 1").select(F.substring("html", 1, 40).alias("title"), "episode_url")).drop("idx")
+    return linkage.candidate_union(manifest, p.filter("page_id % 2 = 1").select(F.col("html").alias("title"), "episode_url")).drop("idx")
 
 
 @query(f"SELECT (SELECT sum(occurrence_count) FROM ({_FILTERED}))::BIGINT AS kept, (SELECT sum(occurrence_count) FROM ({_MENTIONS}))::BIGINT AS total")

@@ -128,14 +128,23 @@ class View:
         return self._union(self._fitting(pattern), {place: getattr(pattern, place) for place in "so" if isinstance(getattr(pattern, place), str)})
 
 
-def _entity(kind: str, key: str) -> Term:
+def entity(kind: str, key: str) -> Term:
     return Term(ent(kind, key), f"<{V.instances}{kind}.", ">", key, "int")
 
 
-def _text(name: str) -> Term:
+def literal(name: str) -> Term:
     return Term(text(name), '"', '"', name, "string")
 
 
+def constant(value: str) -> Term:
+    return Term(F.lit(value), value, constant=value)
+
+
+def made(column: Column, head: str) -> Term:
+    """Any column of terms that begin with head."""
+    return Term(column, head)
+
+
 def _typed(c: Column, datatype: str) -> Term:
     return Term(typed(c, datatype), '"', f'"^^<{XSD}{datatype}>')
 
@@ -143,26 +152,25 @@ def _typed(c: Column, datatype: str) -> Term:
 def virtual_graph(spark: SparkSession, d: str) -> View:
     t = {n: table(spark, d, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
     item = Term(ent("Item", item_key(t["lineitem"])), f"<{V.instances}Item.", ">")
-    order, order_of_item = _entity("Order", "o_orderkey"), _entity("Order", "l_orderkey")
-    customer, supplier, nation = _entity("Customer", "c_custkey"), _entity("Supplier", "s_suppkey"), _entity("Nation", "n_nationkey")
-    constant = lambda value: Term(F.lit(value), value, constant=value)
+    order, order_of_item = entity("Order", "o_orderkey"), entity("Order", "l_orderkey")
+    customer, supplier, nation = entity("Customer", "c_custkey"), entity("Supplier", "s_suppkey"), entity("Nation", "n_nationkey")
     rows: list[tuple[str, Term, str, Term]] = []
     for name, kind, key, label in (("region", "Region", "r_regionkey", "r_name"), ("nation", "Nation", "n_nationkey", "n_name"), ("customer", "Customer", "c_custkey", "c_name"), ("supplier", "Supplier", "s_suppkey", "s_name"), ("part", "Part", "p_partkey", "p_name")):
-        rows += [(name, _entity(kind, key), TYPE, constant(pred(kind))), (name, _entity(kind, key), LABEL, _text(label))]
+        rows += [(name, entity(kind, key), TYPE, constant(pred(kind))), (name, entity(kind, key), LABEL, literal(label))]
     rows += [
-        ("nation", nation, pred("inRegion"), _entity("Region", "n_regionkey")),
-        ("customer", customer, pred("inNation"), _entity("Nation", "c_nationkey")),
-        ("customer", customer, pred("segment"), _text("c_mktsegment")),
+        ("nation", nation, pred("inRegion"), entity("Region", "n_regionkey")),
+        ("customer", customer, pred("inNation"), entity("Nation", "c_nationkey")),
+        ("customer", customer, pred("segment"), literal("c_mktsegment")),
         ("customer", customer, pred("balance"), _typed(F.col("c_acctbal"), "double")),
-        ("supplier", supplier, pred("inNation"), _entity("Nation", "s_nationkey")),
+        ("supplier", supplier, pred("inNation"), entity("Nation", "s_nationkey")),
         ("orders", order, TYPE, constant(pred("Order"))),
-        ("orders", order, pred("placedBy"), _entity("Customer", "o_custkey")),
-        ("orders", order, pred("status"), _text("o_orderstatus")),
-        ("orders", order, pred("priority"), _text("o_orderpriority")),
+        ("orders", order, pred("placedBy"), entity("Customer", "o_custkey")),
+        ("orders", order, pred("status"), literal("o_orderstatus")),
+        ("orders", order, pred("priority"), literal("o_orderpriority")),
         ("orders", order, pred("ordered"), _typed(F.to_date("o_orderdate"), "date")),
         ("lineitem", order_of_item, pred("hasItem"), item),
-        ("lineitem", item, pred("ofPart"), _entity("Part", "l_partkey")),
-        ("lineitem", item, pred("fromSupplier"), _entity("Supplier", "l_suppkey")),
+        ("lineitem", item, pred("ofPart"), entity("Part", "l_partkey")),
+        ("lineitem", item, pred("fromSupplier"), entity("Supplier", "l_suppkey")),
         ("lineitem", item, pred("shipped"), _typed(F.to_date("l_shipdate"), "date")),
     ]
     branches = [Branch(t[name], s, p, o) for name, s, p, o in rows]

@@ -5,13 +5,16 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillgraph.operators import discovery, entities, integrity, promote
-from quillgraph.plans.named_queries import ask_named
-from quillgraph.plans.vocabulary import DCT, SKOS
+from quillgraph.plans.algebra import sort_key
+from quillgraph.plans.named_queries import TEXTS, ask_named, episode_types
+from quillgraph.plans.sparql import sparql
+from quillgraph.plans.vocabulary import DCT, OWL, SKOS
 from quillgraph.queries import _FIRST, KG, ORACLE_SQL, SC, _concepts, _corpus, query, top_entities
-from quillgraph.rdf_view import LABEL, TYPE, V, ent, pred, table, text
+from quillgraph.rdf_view import LABEL, TYPE, Branch, V, View, constant, ent, entity, literal, made, pred, table, text, typed
 from quillgraph.sources import graph, tables
 
 def _folder(spark, name: str) -> str:
@@ -119,6 +122,10 @@ def bad_confidence(spark, d):
         ])
     )
 
+def _graph(branches: list[tuple]) -> DataFrame:
+    """(s, p, o) of (rows, s, p, o) branches; each has a constant predicate, by which Catalyst drops branches."""
+    return reduce(DataFrame.unionAll, [df.select(s.alias("s"), F.lit(p).alias("p"), o.alias("o")) for df, s, p, o in branches])
+
 # ---- tables and files written and read ----
 
 @query("SELECT p_partkey::INTEGER AS id, p_name AS proposed_label, CASE WHEN p_size > 20 THEN 'promoted' ELSE 'pending' END AS status FROM part")
@@ -131,11 +138,11 @@ def staging_rewrite(spark, d):
     tables.rewrite(promote.mark_promoted(tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS)), path)
     return tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS).select("id", "proposed_label", "status")
 
-@query("SELECT url AS episode_url, 'page' AS type, replace(html[:200], chr(13), '') AS title FROM (SELECT url, arg_max(html, page_id) AS html FROM pages WHERE url <> '' GROUP BY url)")
+@query("SELECT url AS episode_url, 'page' AS type, replace(html, chr(13), '') AS title FROM (SELECT url, arg_max(html, page_id) AS html FROM pages WHERE url <> '' GROUP BY url)")
 def manifest_csv(spark, d):
-    """A manifest with line ends and quotes in its titles through CSV; of rows that repeat a URL the last counts."""
+    """A manifest with whole pages, line ends and quotes and all, as its titles through CSV; of rows that repeat a URL the last counts."""
     path = _folder(spark, "manifest")
-    title = F.replace(F.substring("html", 1, 200), F.lit("\r"), F.lit(""))
+    title = F.replace("html", F.lit("\r"), F.lit(""))
     rows = table(spark, d, "pages").filter("url <> ''").select("page_id", F.col("url").alias("episode_url"), F.lit("page").alias("type"), title.alias("title"), F.lit("t").alias("transcript_url"), F.lit("f").alias("local_filename"))
     tables.write_csv(rows.unionByName(rows.withColumns({"page_id": F.lit(-1).cast("long"), "type": F.lit("stale")})).orderBy("page_id").drop("page_id"), path)
     return tables.read_manifest(spark, path).select("episode_url", "type", "title")
@@ -189,76 +196,120 @@ def proposals(spark, d):
 
 # ---- the named questions, on a curated graph made of the tables ----
 
-def _graph(branches: list[tuple]) -> DataFrame:
-    """(s, p, o) of (rows, s, p, o) branches; each has a constant predicate, by which Catalyst drops branches."""
-    return reduce(DataFrame.unionAll, [df.select(s.alias("s"), F.lit(p).alias("p"), o.alias("o")) for df, s, p, o in branches])
-
 _LEVELS = {"Candidate": "p_size <= 10", "Curated": "p_size > 10 AND p_size <= 20", "Corroborated": "p_size > 20 AND p_size <= 30", "Disputed": "p_size > 30"}
 
-def curated_graph(spark, d) -> DataFrame:
+def curated_view(spark, d) -> View:
     """Parts as concepts, suppliers as personas, customers as humans, nations as organizations, orders as episodes.
 
-    A part of size 1 to 40 is influenced by the supplier of that key, with a note and its evidence.
+    A part of size 1 to 40 is influenced by the supplier of that key, with a note and its evidence. Topics are the sizes, each
+    below its half; a concept builds on the one of a third of its key.
     """
     part, supp, cust, nation, orders, items = (table(spark, d, t) for t in "part supplier customer nation orders lineitem".split())
-    linked, size = part.filter("p_size <= 40"), part.select("p_size").distinct()
-    concept, persona, human, org = ent("Concept", "p_partkey"), ent("Persona", "s_suppkey"), ent("Human", "c_custkey"), ent("Organization", "n_nationkey")
-    note, ev, rel, walk, episode = ent("LinkNote", "p_partkey"), ent("Evidence", "p_partkey"), ent("Relationship", "s_suppkey"), ent("CrosswalkNote", "s_suppkey"), ent("Episode", "o_orderkey")
-    is_a = lambda df, s, kind: (df, s, TYPE, F.lit(pred(kind)))
-    level = F.lit(None).cast("string")
-    for name, where in _LEVELS.items():
-        level = F.when(F.expr(where), V.member(V.confidence, name)).otherwise(level)
-    rich, third, guests = supp.filter("s_acctbal > 0"), supp.filter("s_nationkey = 3"), items.filter("l_returnflag = 'A'").select("l_orderkey", "l_suppkey").distinct()
-    talks = items.filter("l_returnflag = 'R'").select("l_orderkey", "l_partkey").distinct()
-    meetings = items.select("l_suppkey", "l_orderkey", "l_linenumber").distinct()
-    return _graph([
-        is_a(part, concept, "Concept"), (part, concept, LABEL, text("p_name")), (part, concept, f"<{SKOS}definition>", text("p_type")),
-        (part, concept, f"<{DCT}subject>", ent("Subject", "p_size")), (size, ent("Subject", "p_size"), f"<{SKOS}broader>", ent("Top", F.floor(F.col("p_size") / 10))),
-        (linked, concept, pred("influencedBy"), ent("Persona", "p_size")), is_a(linked, note, "LinkNote"), (linked, note, pred("aboutSubject"), concept),
-        (linked, note, pred("aboutObject"), ent("Persona", "p_size")), (linked, note, pred("calculatedConfidence"), level), (linked, note, pred("hasEvidence"), ev),
-        is_a(linked, ev, "Evidence"), (linked, ev, f"<{DCT}description>", text("p_brand")), (linked, ev, pred("confidence"), F.lit(V.member(V.confidence, "Curated"))),
-        *((spark.range(1), F.lit(V.member(V.confidence, n)), LABEL, F.lit(f'"{n}"')) for n in _LEVELS),
-        is_a(supp, persona, "Persona"), (supp, persona, LABEL, text("s_name")), (supp, persona, pred("actsThrough"), ent("Human", "s_suppkey")),
-        is_a(rich, walk, "CrosswalkNote"), (rich, walk, pred("aboutEntity"), persona),
-        is_a(supp, rel, "Relationship"), (supp, rel, pred("hasSubject"), persona), (third, rel, pred("hasSubject"), ent("Human", "s_suppkey")), (supp, rel, pred("hasObject"), ent("Organization", "s_nationkey")),
-        (meetings, ent("Relationship", "l_suppkey"), pred("hasInteraction"), ent("Meeting", F.concat_ws(".", "l_orderkey", "l_linenumber"))),
-        is_a(cust, human, "Human"), (cust, human, LABEL, text("c_name")), (cust, human, pred("memberOf"), ent("Organization", "c_nationkey")),
-        (cust.filter("c_acctbal < 0"), human, pred("memberOfStartDate"), text("c_mktsegment")), is_a(nation, org, "Organization"), (nation, org, LABEL, text("n_name")),
-        is_a(orders, episode, "Episode"), (talks, ent("Episode", "l_orderkey"), pred("discusses"), ent("Concept", "l_partkey")), (guests, ent("Episode", "l_orderkey"), pred("hasGuest"), ent("Persona", "l_suppkey")),
-        (orders, episode, pred("isPartOf"), ent("Series", "o_custkey")), (orders, episode, pred("seriesPosition"), text("o_orderpriority")),
-    ])
+    linked, size = part.filter("p_size <= 40"), part.select("p_size").distinct().filter("p_size > 1")
+    concept, persona, human, org = entity("Concept", "p_partkey"), entity("Persona", "s_suppkey"), entity("Human", "c_custkey"), entity("Organization", "n_nationkey")
+    note, ev, rel, walk, episode = entity("LinkNote", "p_partkey"), entity("Evidence", "p_partkey"), entity("Relationship", "s_suppkey"), entity("CrosswalkNote", "s_suppkey"), entity("Episode", "o_orderkey")
+    of_supplier, of_item, series = entity("Relationship", "l_suppkey"), entity("Episode", "l_orderkey"), entity("Series", "o_custkey")
+    page = lambda key: made(F.concat(F.lit("<http://pages.example/"), F.col(key).cast("string"), F.lit(">")), "<http://pages.example/")
+    meeting = made(ent("Meeting", F.concat_ws(".", "l_orderkey", "l_linenumber")), f"<{KG}Meeting.")
+    kind_of = lambda c: made(ent("EpisodeType", F.substring(c, 1, 1)), f"<{KG}EpisodeType.")
+    schema, label, member = lambda n: constant(pred(n)), LABEL, lambda n: constant(V.member(V.confidence, n))
+    is_a = lambda df, s, kind: (df, s, TYPE, schema(kind))
+    one = spark.range(1)
+    rich, third, shipped = supp.filter("s_acctbal > 0"), supp.filter("s_nationkey = 3"), items.select("l_suppkey", "l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag").distinct()
+    talks = items.filter("l_returnflag = 'R' AND l_linenumber = 1 AND l_quantity < 10").select("l_orderkey", "l_partkey").distinct()
+    guests = items.filter("l_returnflag = 'A'").select("l_orderkey", "l_suppkey").distinct()
+    day = lambda c: typed(c.cast("date"), "date")
+    out = F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 7).cast("int") - 3)
+    rows = [
+        is_a(part, concept, "Concept"), (part, concept, label, literal("p_name")), (part, concept, f"<{SKOS}definition>", literal("p_type")),
+        (part, concept, f"<{DCT}subject>", entity("Subject", "p_size")), (size, entity("Subject", "p_size"), f"<{SKOS}broader>", made(ent("Subject", F.expr("p_size div 2")), f"<{KG}Subject.")),
+        (part.filter("p_partkey >= 3"), concept, pred("buildsOn"), made(ent("Concept", F.expr("p_partkey div 3")), f"<{KG}Concept.")),
+        (part, concept, pred("convergesWith"), entity("Concept", "p_size")),
+        (linked, concept, pred("influencedBy"), entity("Persona", "p_size")), is_a(linked, note, "LinkNote"), (linked, note, pred("aboutSubject"), concept),
+        (linked, note, pred("aboutObject"), entity("Persona", "p_size")), *((linked.filter(where), note, pred("calculatedConfidence"), member(n)) for n, where in _LEVELS.items()), (linked, note, pred("hasEvidence"), ev),
+        is_a(linked, ev, "Evidence"), (linked, ev, f"<{DCT}description>", literal("p_brand")), (linked, ev, pred("confidence"), member("Curated")),
+        *((one, member(n), label, constant(f'"{n}"')) for n in _LEVELS),
+        is_a(supp, persona, "Persona"), (supp, persona, label, literal("s_name")), (supp, persona, pred("actsThrough"), entity("Human", "s_suppkey")),
+        is_a(rich, walk, "CrosswalkNote"), (rich, walk, pred("aboutEntity"), persona), (rich, walk, pred("aboutExternalURI"), page("s_suppkey")),
+        (supp.filter("s_nationkey % 2 = 0"), persona, f"<{OWL}sameAs>", page("s_suppkey")), (cust.filter("c_nationkey % 3 = 0"), human, f"<{OWL}sameAs>", page("c_custkey")),
+        is_a(supp, rel, "Relationship"), (supp, rel, pred("hasSubject"), persona), (third, rel, pred("hasSubject"), entity("Human", "s_suppkey")), (supp, rel, pred("hasObject"), entity("Organization", "s_nationkey")),
+        (shipped.select("l_suppkey", "l_orderkey", "l_linenumber").distinct(), of_supplier, pred("hasInteraction"), meeting),
+        (shipped.select("l_orderkey", "l_linenumber", "l_linestatus").distinct(), meeting, pred("subjectRole"), made(ent("Role", "l_linestatus"), f"<{KG}Role.")),
+        (shipped.select("l_suppkey", "l_returnflag").distinct(), of_supplier, pred("hasRelationshipType"), made(ent("Kind", "l_returnflag"), f"<{KG}Kind.")),
+        is_a(cust, human, "Human"), (cust, human, label, literal("c_name")), (cust, human, pred("memberOf"), entity("Organization", "c_nationkey")),
+        (cust.filter("c_acctbal < 0"), human, pred("memberOfStartDate"), literal("c_mktsegment")), is_a(nation, org, "Organization"), (nation, org, label, literal("n_name")),
+        is_a(orders, episode, "Episode"), (talks, of_item, pred("discusses"), entity("Concept", "l_partkey")), (guests, of_item, pred("hasGuest"), entity("Persona", "l_suppkey")),
+        (orders, episode, pred("isPartOf"), series), (orders.filter("o_orderstatus = 'F'"), series, pred("hasPart"), episode), (orders, episode, pred("seriesPosition"), made(typed(F.col("o_orderkey"), "integer"), '"')),
+        (orders, episode, f"<{DCT}created>", made(day(F.col("o_orderdate")), '"')), (orders, episode, f"<{DCT}issued>", made(day(out), '"')),
+        *(x for df in [orders.select("o_orderpriority").distinct()] for x in (is_a(df, kind_of("o_orderpriority"), "EpisodeType"), (df, kind_of("o_orderpriority"), f"<{SKOS}altLabel>", literal("o_orderpriority")))),
+    ]
+    return View([Branch(df, s, p, o) for df, s, p, o in rows])
 
 _CASE = "CASE WHEN p_size <= 10 THEN 'Candidate' WHEN p_size <= 20 THEN 'Curated' WHEN p_size <= 30 THEN 'Corroborated' ELSE 'Disputed' END"
 _KNOWN = f"(SELECT *, {_CASE} AS level FROM part JOIN supplier ON s_suppkey = p_size WHERE p_size <= 40)"
-_TALKED = "(SELECT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R')"
+_TALKED = "(SELECT l_orderkey, l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber = 1 AND l_quantity < 10)"
+_MEETINGS = "(SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber, l_linestatus, l_returnflag FROM lineitem)"
+_UP = "WITH RECURSIVE e AS (SELECT DISTINCT p_size AS a, p_size // 2 AS b FROM part WHERE p_size > 1), up AS (SELECT a, b FROM e UNION SELECT up.a, e.b FROM up JOIN e ON up.b = e.a)"
+_ISSUED = "(SELECT *, o_orderdate::DATE + (o_custkey % 7 - 3)::INTEGER AS issued FROM orders)"
 
 #: Name of the question -> (values of its places, its SQL).
 _ASKED = {
-    "concepts": ({}, f"SELECT '{KG}Concept.' || p_partkey AS concept, p_name AS label, p_type AS def FROM part"),
-    "explain_links": ({"subject": "?subject", "person": "Persona"}, f"SELECT s_name AS \"personLabel\", '{SC}influencedBy' AS relation, p_brand AS rationale, 'Curated' AS \"evidenceConfidence\", level AS \"calculatedConfidence\" FROM {_KNOWN}"),
-    "trusted_links": ({}, f"SELECT p_name AS \"subjLabel\", '{SC}influencedBy' AS relation, s_name AS \"objLabel\", level AS \"calcLabel\" FROM {_KNOWN} WHERE level IN ('Curated', 'Corroborated')"),
-    "links_at": ({"level": "Candidate"}, f"SELECT p_name AS \"subjLabel\", s_name AS \"objLabel\" FROM {_KNOWN} WHERE level = 'Candidate'"),
-    "links_disputed": ({"level": "Disputed"}, f"SELECT p_name AS \"subjLabel\", s_name AS \"objLabel\" FROM {_KNOWN} WHERE level = 'Disputed'"),
-    "unlinked_concepts": ({}, "SELECT p_name AS label FROM part WHERE p_size > 40"),
-    "appearances": ({}, "SELECT n_name AS \"objLabel\", count(*)::BIGINT AS cnt FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem) JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1"),
-    "undiscussed_concepts": ({}, f"SELECT p_name AS label FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM {_TALKED} JOIN orders ON l_orderkey = o_orderkey)"),
-    "undated_members": ({}, "SELECT c_name AS \"humanLabel\", n_name AS \"orgLabel\" FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0"),
-    "relations_not_from": ({"subject": "kg:Persona.1"}, "SELECT (SELECT count(*) FROM supplier WHERE s_suppkey <> 1) + (SELECT count(*) FROM supplier WHERE s_nationkey = 3) AS cnt"),
-    "episodes_without_concept": ({}, f"SELECT '{KG}Episode.' || o_orderkey AS ep FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM {_TALKED})"),
-    "personas_without_crosswalk": ({}, f"SELECT '{KG}Persona.' || s_suppkey AS p FROM supplier WHERE s_acctbal <= 0"),
-    "members_without_relation": ({}, f"SELECT '{KG}Human.' || c_custkey AS h, '{KG}Organization.' || c_nationkey AS org FROM customer JOIN supplier ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey"),
-    "human_leaks": ({}, f"SELECT '{KG}Relationship.' || s_suppkey AS r, '{KG}Human.' || s_suppkey AS h FROM supplier JOIN customer ON s_suppkey = c_custkey WHERE s_nationkey = 3"),
-    "multi_guest_episodes": ({}, f"SELECT '{KG}Episode.' || l_orderkey AS ep, count(DISTINCT l_suppkey)::BIGINT AS guests FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey HAVING guests > 1"),
-    "series_members": ({}, f"SELECT '{KG}Series.' || o_custkey AS series, '{KG}Episode.' || o_orderkey AS ep, o_orderpriority AS n FROM orders"),
-    "subject_rollup": ({}, f"SELECT '{KG}Top.' || (p_size // 10) AS broader, count(*)::BIGINT AS n FROM part GROUP BY 1"),
+    "concepts": ({}, f"SELECT '{KG}Concept.' || p_partkey AS idea, p_name AS name, p_type AS meaning FROM part"),
+    "explain_links": ({"subject": "?subject", "person": "Persona"}, f"SELECT s_name AS who, '{SC}influencedBy' AS how, p_brand AS why, 'Curated' AS strength, level AS verdict FROM {_KNOWN}"),
+    "trusted_links": ({}, f"SELECT p_name AS \"from\", '{SC}influencedBy' AS how, s_name AS \"to\", level AS verdict FROM {_KNOWN} WHERE level IN ('Curated', 'Corroborated')"),
+    "links_at": ({"level": "Candidate"}, f"SELECT p_name AS \"from\", s_name AS \"to\" FROM {_KNOWN} WHERE level = 'Candidate'"),
+    "links_disputed": ({"level": "Disputed"}, f"SELECT p_name AS \"from\", s_name AS \"to\" FROM {_KNOWN} WHERE level = 'Disputed'"),
+    "unlinked_concepts": ({}, "SELECT p_name AS name FROM part WHERE p_size > 40"),
+    "appearances": ({}, f"SELECT n_name AS partner, count(*)::BIGINT AS times FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM {_MEETINGS}) JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1"),
+    "undiscussed_concepts": ({}, f"SELECT p_name AS name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM {_TALKED} JOIN orders ON l_orderkey = o_orderkey)"),
+    "undated_members": ({}, "SELECT c_name AS person, n_name AS body FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0"),
+    "relations_not_from": ({"subject": "kg:Persona.1"}, "SELECT (SELECT count(*) FROM supplier WHERE s_suppkey <> 1) + (SELECT count(*) FROM supplier WHERE s_nationkey = 3) AS ties"),
+    "episodes_without_concept": ({}, f"SELECT '{KG}Episode.' || o_orderkey AS show FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM {_TALKED})"),
+    "personas_without_crosswalk": ({}, f"SELECT '{KG}Persona.' || s_suppkey AS figure FROM supplier WHERE s_acctbal <= 0"),
+    "members_without_relation": ({}, f"SELECT '{KG}Human.' || c_custkey AS member, '{KG}Organization.' || c_nationkey AS club FROM customer JOIN supplier ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey"),
+    "human_leaks": ({}, f"SELECT '{KG}Relationship.' || s_suppkey AS tie, '{KG}Human.' || s_suppkey AS human FROM supplier JOIN customer ON s_suppkey = c_custkey WHERE s_nationkey = 3"),
+    "multi_guest_episodes": ({}, f"SELECT '{KG}Episode.' || l_orderkey AS show, count(DISTINCT l_suppkey)::BIGINT AS guests FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey HAVING guests > 1"),
+    "series_members": ({}, f"SELECT '{KG}Series.' || o_custkey AS series, '{KG}Episode.' || o_orderkey AS show, o_orderkey::VARCHAR AS place FROM orders"),
+    "subject_rollup": ({}, f"SELECT '{KG}Subject.' || (p_size // 2) AS top, count(*)::BIGINT AS ideas FROM part WHERE p_size > 1 GROUP BY 1"),
+    "subject_tree": ({}, f"{_UP} SELECT '{KG}Subject.' || b AS top, count(*)::BIGINT AS ideas FROM part JOIN (SELECT a, b FROM up UNION SELECT p_size, p_size FROM part) ON a = p_size GROUP BY 1"),
+    "role_reversals": ({}, f"SELECT '{KG}Relationship.' || m.l_suppkey AS tie, count(DISTINCT r.l_linestatus)::BIGINT AS parts FROM {_MEETINGS} m JOIN {_MEETINGS} r USING (l_orderkey, l_linenumber) GROUP BY m.l_suppkey HAVING parts > 1"),
+    "relation_types": ({}, f"SELECT n_name AS partner, string_agg(DISTINCT '{KG}Kind.' || l_returnflag, ',' ORDER BY '{KG}Kind.' || l_returnflag) AS kinds FROM {_MEETINGS} JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1"),
+    "episode_type_labels": ({}, f"SELECT DISTINCT '{KG}EpisodeType.' || o_orderpriority[1] AS kind, o_orderpriority AS word FROM orders"),
+    "one_way_parts": ({}, f"SELECT '{KG}Series.' || o_custkey AS series, '{KG}Episode.' || o_orderkey AS show FROM orders WHERE o_orderstatus <> 'F'"),
+    "one_way_symmetric": ({}, f"SELECT '{KG}Concept.' || a.p_partkey AS one, '{KG}Concept.' || a.p_size AS other FROM part a WHERE NOT EXISTS (SELECT 1 FROM part b WHERE b.p_partkey = a.p_size AND b.p_size = a.p_partkey)"),
+    "crosswalk_without_same_as": ({}, f"SELECT '{KG}Persona.' || s_suppkey AS entity, 'http://pages.example/' || s_suppkey AS page FROM supplier LEFT JOIN customer ON c_custkey = s_suppkey WHERE s_acctbal > 0 AND s_nationkey % 2 <> 0 AND coalesce(c_nationkey, 1) % 3 <> 0"),
+    "same_as_without_crosswalk": ({}, f"SELECT '{KG}Persona.' || s_suppkey AS entity, 'http://pages.example/' || s_suppkey AS page FROM supplier WHERE s_nationkey % 2 = 0 AND s_acctbal <= 0 UNION ALL SELECT '{KG}Human.' || c_custkey, 'http://pages.example/' || c_custkey FROM customer LEFT JOIN supplier ON s_suppkey = c_custkey WHERE c_nationkey % 3 = 0 AND coalesce(s_acctbal, 0) <= 0"),
+    "created_after_issued": ({}, f"SELECT '{KG}Episode.' || o_orderkey AS show FROM {_ISSUED} WHERE o_orderdate::DATE > issued"),
 }
 
 def _register(name: str, values: dict[str, str], sql: str) -> None:
     def asked(spark, d):
-        return ask_named(curated_graph(spark, d), "links_at" if name == "links_disputed" else name, V, **values)
+        return ask_named(curated_view(spark, d), "links_at" if name == "links_disputed" else name, V, **values)
 
     asked.__name__ = f"named_{name}"
     query(sql)(asked)
 
 for _name, (_values, _sql) in _ASKED.items():
     _register(_name, _values, _sql)
+
+@query(f"SELECT '{KG}Series.' || o_custkey AS series, '{KG}Episode.' || o_orderkey AS show, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey)::INTEGER AS nth FROM orders")
+def series_order(spark, d):
+    """Each series' members with their rank by position, a typed number."""
+    found = sparql(curated_view(spark, d), V.prefixes() + TEXTS["series_members"].partition("ORDER BY")[0], lex=False)
+    nth = F.row_number().over(W.partitionBy("series").orderBy(sort_key(F.col("place"))))
+    return found.select(graph.lexical(F.col("series")).alias("series"), graph.lexical(F.col("show")).alias("show"), nth.alias("nth"))
+
+@query(f"SELECT o_orderkey, '{KG}EpisodeType.' || o_orderpriority[1] AS episode_type FROM orders")
+def manifest_episode_types(spark, d):
+    """Orders as manifest rows, their priority as the type that altLabels name."""
+    return episode_types(table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("type")), curated_view(spark, d), V).drop("type")
+
+@query(f"WITH RECURSIVE e AS (SELECT p_partkey AS a, p_partkey // 3 AS b FROM part WHERE p_partkey >= 3), up AS (SELECT a, b FROM e UNION SELECT up.a, e.b FROM up JOIN e ON up.b = e.a) SELECT '{KG}Concept.' || a AS idea, '{KG}Concept.' || b AS ground FROM up")
+def builds_on_closure(spark, d):
+    """What every concept builds on, in any number of steps."""
+    return sparql(curated_view(spark, d), V.prefixes() + "SELECT ?idea ?ground WHERE { ?idea v:buildsOn+ ?ground }")
+
+@query(f"{_UP} SELECT '{KG}Concept.' || p_partkey AS idea FROM part JOIN (SELECT a FROM up WHERE b = 3 UNION SELECT 3) ON a = p_size")
+def concepts_under_topic(spark, d):
+    """The concepts of a topic and all topics below it: the closure starts from the bound end."""
+    return sparql(curated_view(spark, d), V.prefixes() + "SELECT ?idea WHERE { ?topic skos:broader* kg:Subject.3 . ?idea dct:subject ?topic }")

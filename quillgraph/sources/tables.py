@@ -32,6 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder, without its lineage."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at path; an empty one is made where there is none. Safe to repeat."""
     if not exists(spark, path):
