@@ -31,20 +31,24 @@ def fresh(df: DataFrame, name: str) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the folder that all executors share and drop the lineage.
 
-    The folder is spark.checkpoint.dir of the session; only where that is unset (tests, one machine) a
-    temporary folder takes its place.
+    The folder is spark.checkpoint.dir of the session; only where that is unset in local mode a temporary folder takes its
+    place. On a cluster an unset one is an error.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 
 def release(spark: SparkSession) -> None:
-    """Has the driver drop what nothing refers to, upon which Spark deletes its shuffle files and checkpoints.
+    """Has the driver drop what nothing refers to, upon which Spark deletes its shuffle files.
 
-    Without it an iteration's rounds fill the disks until the driver happens to collect its garbage.
+    Without it an iteration's rounds fill the disks until the driver happens to collect its garbage. Checkpoints go too only where the
+    session sets spark.cleaner.referenceTracking.cleanCheckpoints; else they stay in the shared folder until that is cleared.
     """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
