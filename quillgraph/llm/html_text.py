@@ -2,10 +2,11 @@
 
 For every DOM node: characters per tag of its subtree, adjusted by how much of both is links. A node's density sum
 adds its children's densities; the node with the greatest sum is the article's core. The least density on the path
-from the body to it is the threshold: other nodes at or above it keep their own greatest-sum subtree. Where an article
-or main element holds the core, blocks beside the core stay there (headlines and short paragraphs have little density), unless
-over half of their text is links and they are below the threshold. Navigation, adverts, forms, comments and the like, known
-by element, role or class name, take no part; weaker class names do so only outside of articles and beside more text.
+from the body to it is the threshold: other nodes at or above it keep their own greatest-sum subtree. The article or main element
+around the core, else the body, is the scope. In an article or main, blocks beside the core stay (headlines and short paragraphs have
+little density), unless over half of their text is links and they are below the threshold. Elements and roles that are never
+text (menus, scripts, forms) take no part. Class names and ids that stand for boilerplate only lower the density of what they
+mark, so that density decides there too; weaker ones do so outside of articles and beside more text alone.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert men
 BOILERPLATE = set("nav navbar navigation menu masthead topbar header footer sidebar aside ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations breadcrumb breadcrumbs pagination pager comment comments commentlist disqus".split())
 #: These words mark articles' own parts too: they count only outside of article and main, and not where they hold most of the text.
 HINTS = set("toolbar widget widgets notice notices respond replies reply discussion copyright legal disclaimer search skip".split())
+#: Words that may stand beside those in one class name, which then still marks boilerplate: "site-footer", but not "related-work".
+BESIDE = set("site page main top bottom left right inner outer wrap wrapper container box block list item items area bar section module row col column link links button buttons icon icons menu text title content body primary secondary global post article entry widget js".split())
+#: What the density of a part so marked is multiplied by.
+LOWERED = 0.02
 #: Which open elements a start tag ends, and which ones stop the search for them.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}), "option": ({"option"}, {"select"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 HEADINGS = {"h1", "h2"}
@@ -99,11 +104,11 @@ class Page:
         self.parent.append(self._open[-1])
         inside = self._innermost({"article", "main"}) > 0
         gone = name in DROPPED or name == "header" and not inside or at.get("role") in ROLES or "hidden" in at or "display:none" in at.get("style", "").replace(" ", "") or at.get("aria-hidden") == "true"
-        words = set(_NAME.findall(f"{at.get('class', '')} {at.get('id', '')}"))
+        names = [set(_NAME.findall(n)) for n in f"{at.get('class', '')} {at.get('id', '')}".split()]
         self.out.append(gone)
         named = not gone and name not in ("html", "body", "article", "main")
-        self.by_name.append(named and bool(words & BOILERPLATE))
-        self.hinted.append(named and not inside and bool(words & HINTS))
+        self.by_name.append(named and any(n & BOILERPLATE and n <= BOILERPLATE | HINTS | BESIDE for n in names))
+        self.hinted.append(named and not inside and any(n & HINTS and n <= HINTS | BESIDE for n in names))
         if name in BLOCK:
             self.flow.append((node, None))
         elif name == "br":
@@ -131,11 +136,12 @@ class Densities:
 
     def __init__(self, page: Page):
         self.page, tags, parent, n = page, page.tags, page.parent, len(page.tags)
-        # A node whose class or id sounds like boilerplate stays if it holds the article or a main heading.
+        # A node whose class or id sounds like boilerplate keeps its density if it holds the article or a main heading.
         holds = [t in ("article", "main") or t in HEADINGS for t in tags]
         for i in range(n - 1, 0, -1):
             holds[parent[i]] |= holds[i] and not page.out[i]
-        self.out = [page.out[i] or page.by_name[i] and not holds[i] for i in range(n)]
+        self.out = list(page.out)
+        self.low = [page.by_name[i] and not holds[i] for i in range(n)]  # marked by name, itself
         self.link = [t == "a" for t in tags]
         for i in range(1, n):
             self.out[i] |= self.out[parent[i]]
@@ -149,7 +155,10 @@ class Densities:
             for i in range(n - 1, 0, -1):
                 held[parent[i]] += held[i]
             for i in range(1, n):
-                self.out[i] |= self.out[parent[i]] or page.hinted[i] and not holds[i] and 2 * held[i] <= held[0]
+                self.low[i] |= page.hinted[i] and not holds[i] and 2 * held[i] <= held[0]
+        self.weight = [1.0] * n
+        for i in range(1, n):
+            self.weight[i] = LOWERED if self.low[i] else self.weight[parent[i]]
         self.chars = [0 if o else c for o, c in zip(self.out, own, strict=True)]
         self.link_chars = [c * k for c, k in zip(self.chars, self.link, strict=True)]
         self.count, self.links = [0] * n, [0] * n
@@ -169,7 +178,7 @@ class Densities:
         body = next((i for i, t in enumerate(tags) if t == "body" and not self.out[i]), 0)
         self.body = body if self.chars[body] else 0
         self.all_links = self.link_chars[self.body] / max(self.chars[self.body], 1)
-        self.dense = [0.0 if self.out[i] else self.density(i) for i in range(n)]
+        self.dense = [0.0 if self.out[i] else self.weight[i] * self.density(i) for i in range(n)]
         # Formatting elements are no containers: their own containers stand for them.
         self.total = [-1.0 if tags[i] in INLINE else sum(self.dense[k] for k in kids[i]) if kids[i] else self.dense[i] for i in range(n)]
 
@@ -209,7 +218,7 @@ def extract(source: str | None) -> str:
         threshold = min(threshold, dense[x])
     marks, i = {core}, scope
     while i <= last[scope]:
-        if out[i] or i in marks:
+        if out[i] or i in marks or d.low[i] and dense[i] < threshold:
             i = last[i] + 1
         elif i <= core <= last[i] or tags[i] in INLINE:
             i += 1
@@ -226,7 +235,7 @@ def extract(source: str | None) -> str:
         above.add(x)
     for i in range(n):
         up = parent[i]
-        kept[i] = not out[i] and (i in marks or i in above or i > 0 and kept[up] and (up not in above or tags[i] in INLINE))
+        kept[i] = not out[i] and not (d.low[i] and dense[i] < threshold) and (i in marks or i in above or i > 0 and kept[up] and (up not in above or tags[i] in INLINE))
     blocks, held = [], []
     for node, text in page.flow:
         if text is None:

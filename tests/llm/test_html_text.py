@@ -106,3 +106,31 @@ def test_parts_of_the_article_that_sound_like_boilerplate_stay():
     assert extract(page) == f"Headline\nShort.\n{(WORDS * 4).strip()}\n{(WORDS * 3).strip()}\nA law is quoted.\nx y=2 z"
     assert extract(f'<body><div class="discussion"><p>{WORDS}</p></div></body>') == WORDS.strip()
     assert extract(f'<body><div class="widget"><p>{WORDS * 2}</p></div><p>(c) us</p></body>').startswith(WORDS.strip())
+
+
+def test_class_words_lower_densities_and_remove_nothing_by_themselves():
+    body = "<h1>T</h1><p>Long text here and more of it all the time, on and on it goes.</p>"
+    page = f'<body><article>{body}<section id="related-work"><p>Keep me here.</p></section><p class="ad-hoc">And me.</p><div id="share-price">Me too.</div></article></body>'
+    assert extract(page).split("\n")[2:] == ["Keep me here.", "And me.", "Me too."]
+    for name in ("ad", "ads banner", "site-footer", "comment-list", "sidebar_left", "share-buttons"):
+        marked = f'<div class="{name}"><p>Something else that is short.</p></div>'
+        assert extract(page.replace("</article>", marked + "</article>")) == extract(page) == extract(page.replace("<article>", marked + "<article>")), name
+
+
+def test_density_decides_on_pages_without_article(monkeypatch):
+    import random
+
+    from quillgraph.llm import html_text
+
+    pages = []
+    for seed in range(20):
+        draw = random.Random(seed)
+        text = lambda n: " ".join(draw.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n))
+        main = "".join(f"<p>{text(draw.randint(30, 60))}.</p>" for _ in range(4))
+        links = "".join(f'<li><a href="/{i}">{text(2)}</a></li>' for i in range(12))
+        pages.append((f"<body><div><ul>{links}</ul></div><div>{main}</div><div><ul>{links}</ul></div></body>", main))
+    want = ["\n".join(p[3:-4] for p in main.replace("</p>", "</p>\0").split("\0")[:-1]) for _, main in pages]
+    assert [extract(p) for p, _ in pages] == want
+    draw = random.Random(1)
+    monkeypatch.setattr(html_text.Densities, "density", lambda self, i: draw.random())
+    assert sum(extract(p) != w for (p, _), w in zip(pages, want)) > 10
