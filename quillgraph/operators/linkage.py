@@ -16,6 +16,13 @@ from quillgraph.functions.text import normalize_title, number_after, part_number
 CONTAINED, LEAST_CONTAINED = 0.95, 5
 
 
+def score_titles(title: str, other: str) -> float:
+    """The ratio of matching blocks, or the fixed score where one holds the other."""
+    if min(len(title), len(other)) >= LEAST_CONTAINED and (other in title or title in other):
+        return CONTAINED
+    return difflib.SequenceMatcher(None, title, other).ratio()
+
+
 class Titles:
     """Titles as rows of character counts, so that a title's upper bounds with all of them are one array operation."""
 
@@ -25,12 +32,49 @@ class Titles:
         self.place = {c: i for i, c in enumerate(sorted(set("".join(titles))))}
         self.lengths = np.array([len(t) for t in titles])
         self.counts = np.array([self.count(t) for t in titles], np.int32).reshape(len(titles), len(self.place))
+        self.known: dict[int, tuple[difflib.SequenceMatcher, np.ndarray]] = {}  # each title is indexed once
+        self.scored = 0
 
     def count(self, title: str) -> np.ndarray:
         return np.bincount([self.place[c] for c in title if c in self.place], minlength=len(self.place))
 
-    def closest(self, title: str, part: int | None) -> tuple[float, int | None]:
-        """Score and id of the best title, of equal scores the least id; 0 and None where nothing resembles it.
+    def running(self, title: str) -> np.ndarray:
+        """Character counts of every beginning of a title."""
+        ones = np.zeros((len(title) + 1, len(self.place) + 1), np.int32)
+        ones[np.arange(1, len(title) + 1), [self.place.get(c, len(self.place)) for c in title]] = 1
+        return np.cumsum(ones, axis=0)[:, :-1]
+
+    def ratio(self, title: str, counts: np.ndarray, i: int, least: float) -> float | None:
+        """The ratio of matching blocks with title i, or None once it is certain that it is below `least`.
+
+        Blocks are found longest first; what is left and right of one can match at most the characters that both sides share there.
+        """
+        if i not in self.known:
+            self.known[i] = difflib.SequenceMatcher(None, "", self.titles[i]), self.running(self.titles[i])
+        matcher, theirs = self.known[i]
+        matcher.set_seq1(title)
+        n, m = len(title), len(self.titles[i])
+        open_, matched, possible = [(0, n, 0, m)], 0, min(n, m)
+        shared = lambda a, b, c, d: int(np.minimum(counts[b] - counts[a], theirs[d] - theirs[c]).sum())
+        bounds = [possible]
+        while open_:
+            a, b, c, d = open_.pop()
+            possible -= bounds.pop()
+            at, other, size = matcher.find_longest_match(a, b, c, d)
+            if size:
+                matched, possible = matched + size, possible + size
+                for part in ((a, at, c, other), (at + size, b, other + size, d)):
+                    if part[0] < part[1] and part[2] < part[3] and (most := shared(*part)):
+                        open_.append(part)
+                        bounds.append(most)
+                        possible += most
+            if 2.0 * possible / (n + m) < least:
+                return None
+        self.scored += 1
+        return 2.0 * matched / (n + m)
+
+    def closest(self, title: str, part: int | None, floor: float = 0.0) -> tuple[float, int | None]:
+        """Score and id of the best title that reaches `floor`, of equal scores the least id; 0 and None where none does.
 
         A title may share at most the characters that both have. In falling order of that bound the others are scored, until
         none left can reach the best. Titles with another part number are none.
@@ -38,54 +82,110 @@ class Titles:
         shared = np.minimum(self.counts, self.count(title)).sum(axis=1)
         bound = 2.0 * shared / (self.lengths + len(title))
         least = np.minimum(self.lengths, len(title))
-        bound[(shared == least) & (least >= LEAST_CONTAINED)] = 1.0
+        for i in np.flatnonzero((shared == least) & (least >= LEAST_CONTAINED)).tolist():
+            if self.titles[i] in title or title in self.titles[i]:
+                bound[i] = CONTAINED
         if part is not None and part == part:
             bound[~np.isnan(self.parts) & (self.parts != part)] = 0.0
-        best, chosen = 0.0, None
-        matcher = difflib.SequenceMatcher(None, title)
+        best, chosen, counts = floor, None, self.running(title)
         for i in np.lexsort((self.ids, -bound)).tolist():
             if bound[i] <= 0 or bound[i] < best:
                 break
             other = self.titles[i]
-            if least[i] >= LEAST_CONTAINED and (other in title or title in other):
-                score = CONTAINED
-            else:
-                matcher.set_seq2(other)
-                score = matcher.ratio()
-            if score > best or score and score == best and self.ids[i] < chosen:
+            held = least[i] >= LEAST_CONTAINED and (other in title or title in other)
+            score = CONTAINED if held else self.ratio(title, counts, i, best)
+            if score and (score > best or score == best and (chosen is None or self.ids[i] < chosen)):
                 best, chosen = score, int(self.ids[i])
-        return best, chosen
+        return (best, chosen) if chosen is not None else (0.0, None)
 
 
 def _closest_in_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     titles = Titles(right["title"].tolist(), right["part"].tolist(), right["idx"].tolist())
-    found = [titles.closest(t, p) for t, p in zip(left["title"], left["part"], strict=True)] if len(right) else []
-    rows = [(t, p, s, i) for t, p, (s, i) in zip(left["title"], left["part"], found, strict=True) if i is not None] if found else []
-    return pd.DataFrame(rows, columns=["title", "part", "score", "idx"]).astype({"part": "Int32", "score": float, "idx": "int64"})
+    rows = []
+    for t, p, floor in zip(left["title"], left["part"], left["floor"], strict=True) if len(right) else ():
+        before = titles.scored
+        score, idx = titles.closest(t, p, floor)
+        rows.append((t, p, score, idx, titles.scored - before))
+    return pd.DataFrame(rows, columns=["title", "part", "score", "idx", "scored"]).astype({"part": "Int32", "score": float, "idx": "Int64", "scored": "int64"})
+
+
+def _grams(df: DataFrame, q: int = 3) -> DataFrame:
+    """A row for each different q-gram of a title (the whole title, if it is shorter)."""
+    places = F.sequence(F.lit(1), F.greatest(F.length("title") - (q - 1), F.lit(1)))
+    return df.withColumn("gram", F.explode(F.array_distinct(F.transform(places, lambda i: F.substring("title", i, F.lit(q))))))
+
+
+def floors(asked: DataFrame, known: DataFrame, rare: int = 6, most: int = 1000) -> DataFrame:
+    """asked(title, part) with a column floor: the score of the candidate that shares most of the title's rarest q-grams, or 0.
+
+    An inverted index from q-grams to known(title, part, idx); a title looks its `rare` rarest q-grams up, and of those only ones that at
+    most `most` candidates have. What is found is only a score that the best one reaches, so leaving grams out loses nothing.
+    """
+    index = _grams(known).select("gram", F.col("title").alias("other"), F.col("part").alias("other_part"), "idx")
+    held = index.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") <= most)
+    rarest = W.partitionBy("title", "part").orderBy("n", "gram")
+    looked = _grams(asked).join(held, "gram").withColumn("_n", F.row_number().over(rarest)).filter(F.col("_n") <= rare).select("title", "part", "gram")
+    fits = F.coalesce(F.col("part") == F.col("other_part"), F.lit(True))
+    pairs = looked.join(index, "gram").filter(fits).groupBy("title", "part", "other", "idx").agg(F.count("*").alias("n"))
+    seeds = pairs.groupBy("title", "part").agg(F.max_by("other", F.struct("n", (-F.length("other")).alias("l"), (-F.col("idx")).alias("i"))).alias("other"))
+    score = F.pandas_udf(lambda a, b: pd.Series([score_titles(x, y) for x, y in zip(a, b, strict=True)], dtype=float), "double")
+    seeds = seeds.select(F.col("title").alias("_title"), F.col("part").alias("_p"), score("title", "other").alias("floor"))
+    found = asked.join(seeds, (F.col("title") == F.col("_title")) & F.col("part").eqNullSafe(F.col("_p")), "left")
+    return found.select("title", "part", F.coalesce("floor", F.lit(0.0)).alias("floor"))
+
+
+def closest_pairs(asked: DataFrame, known: DataFrame, titles_at_once: int = 256, candidates_at_once: int = 2000) -> DataFrame:
+    """(title, part, score, idx, scored) of asked(title, part) and known(title, part, idx), both distinct: a row for each block of
+    candidates that a title meets, idx null where none there reaches the title's floor; scored: how many ratios were worked out to the end.
+
+    Titles and candidates are dealt to blocks by hash; each pair of blocks is one group of bounded size, and there are groups for all cores.
+    """
+    n, m = asked.count(), known.count()
+    columns = max(1, -(-m // candidates_at_once))
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    rows = max(1, -(-n // titles_at_once), min(n, -(-3 * cores // columns)))
+    block = lambda k: F.pmod(F.xxhash64("title", "part"), F.lit(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    groups = min(rows * columns, max(cores, rows * columns // 8))
+    left = floors(asked, known).withColumn("row", block(rows)).withColumn("column", every(columns)).repartition(groups, "row", "column")
+    right = known.withColumn("column", block(columns)).withColumn("row", every(rows)).repartition(groups, "row", "column")
+    return left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(_closest_in_block, "title string, part int, score double, idx long, scored long")
+
+
+def _plain(df: DataFrame, byline: str | None) -> DataFrame:
+    return df.withColumns({"_t": normalize_title(F.col("title"), byline), "_part": part_number(F.col("title"))})
+
 
+def distinct_titles(left: DataFrame, candidates: DataFrame, byline: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Normalised titles with their part numbers, each once, those of the candidates with the least idx."""
+    asked = _plain(left, byline).filter("_t <> ''").select(F.col("_t").alias("title"), F.col("_part").alias("part")).distinct()
+    return asked, _plain(candidates, byline).filter("_t <> ''").groupBy(F.col("_t").alias("title"), F.col("_part").alias("part")).agg(F.min("idx").alias("idx"))
 
-def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = None, titles_at_once: int = 64, candidates_at_once: int = 2000) -> DataFrame:
+
+def best_titles(left: DataFrame, candidates: DataFrame, byline: str | None = None, **blocks) -> DataFrame:
     """left(title, ...) with cand_idx, score: the best of candidates(idx, title), of equal scores the least idx.
 
-    Both sides are normalised and made distinct within Spark, and dealt to blocks by hash; each pair of blocks meets in one
-    group of bounded size. Every title is compared with every candidate's bound. Null titles, and titles that nothing
-    resembles, get null and 0.
+    An index of q-grams gives each title a floor, a score that some candidate reaches; candidates are then scored in falling
+    order of an upper bound until none can reach the floor or the best, and left as soon as they can't. Null titles, and titles that nothing
+    resembles, get null and 0. blocks: sizes for closest_pairs.
     """
-    plain = lambda df: df.withColumns({"_t": normalize_title(F.col("title"), byline), "_part": part_number(F.col("title"))})
-    mine = plain(left)
-    asked = mine.filter("_t <> ''").select(F.col("_t").alias("title"), F.col("_part").alias("part")).distinct()
-    known = plain(candidates).filter("_t <> ''").groupBy(F.col("_t").alias("title"), F.col("_part").alias("part")).agg(F.min("idx").alias("idx"))
-    rows, columns = (max(1, -(-df.count() // n)) for df, n in ((asked, titles_at_once), (known, candidates_at_once)))
-    block = lambda n: F.pmod(F.xxhash64("title", "part"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = asked.withColumn("row", block(rows)).withColumn("column", every(columns))
-    known = known.withColumn("column", block(columns)).withColumn("row", every(rows))
-    found = asked.groupBy("row", "column").cogroup(known.groupBy("row", "column")).applyInPandas(_closest_in_block, "title string, part int, score double, idx long")
+    found = closest_pairs(*distinct_titles(left, candidates, byline), **blocks).filter("idx IS NOT NULL")
     best = found.groupBy("title", "part").agg(F.max(F.struct("score", (-F.col("idx")).alias("last"))).alias("best"))
-    out = mine.join(best.withColumnRenamed("title", "_title"), (F.col("_t") == F.col("_title")) & F.col("_part").eqNullSafe(F.col("part")), "left")
+    out = _plain(left, byline).join(best.withColumnRenamed("title", "_title"), (F.col("_t") == F.col("_title")) & F.col("_part").eqNullSafe(F.col("part")), "left")
     return out.select(*(F.col(f"`{c}`") for c in left.columns), (-F.col("best.last")).alias("cand_idx"), F.coalesce("best.score", F.lit(0.0)).alias("score"))
 
 
+def shared_grams(left: DataFrame, candidates: DataFrame, byline: str | None = None) -> DataFrame:
+    """(title, shared, cand_idx): for each different title the most q-grams that a candidate shares with it, and the least such candidate.
+
+    An integer form of the search, through the same index; titles that share none have no row. A frequent q-gram meets all its candidates.
+    """
+    asked, known = distinct_titles(left, candidates, byline)
+    pairs = _grams(asked.select("title").distinct()).join(_grams(known).select("gram", "idx"), "gram").groupBy("title", "idx").agg(F.count("*").alias("shared"))
+    best = pairs.groupBy("title").agg(F.max(F.struct("shared", (-F.col("idx")).alias("last"))).alias("best"))
+    return best.select("title", F.col("best.shared").alias("shared"), (-F.col("best.last")).alias("cand_idx"))
+
+
 def counts_by_method(linked: DataFrame) -> DataFrame:
     return linked.groupBy("method").agg(F.count("*").alias("n"))
 

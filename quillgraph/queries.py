@@ -331,6 +331,23 @@ def fuzzy_best(spark, d):
     return linkage.best_titles(left, cands).select("item_id", "cand_idx", F.round("score", 6).alias("score"))
 
 
+_HEADS = "nullif({0}, '')".format(_TITLE.format("regexp_extract(html, ' <title>([^<]*)</title>'::VARCHAR, 1)")).replace("' <title>", "'<title>")
+_GRAMS = "SELECT DISTINCT {0}, substr(title, i, 3) AS gram FROM {1}, range(1, 100000) r(i) WHERE i <= greatest(length(title) - 2, 1)"
+
+
+@query(
+    f"""WITH a AS (SELECT DISTINCT {_TITLE.format("text")} AS title FROM benchmark), k AS (SELECT {_HEADS} AS title, page_id AS idx FROM pages),
+    k1 AS (SELECT title, min(idx) AS idx FROM k WHERE title IS NOT NULL GROUP BY title), ag AS ({_GRAMS.format("title", "a")}), kg AS ({_GRAMS.format("idx", "k1")}),
+    n AS (SELECT ag.title, idx, count(*)::BIGINT AS shared FROM ag JOIN kg USING (gram) GROUP BY ALL)
+    SELECT title, shared, idx AS cand_idx FROM n QUALIFY row_number() OVER (PARTITION BY title ORDER BY shared DESC, idx) = 1"""
+)
+def titles_by_grams(spark, d):
+    """The page title that shares most q-grams with each benchmark item's whole text: the search by its index, with integers for scores."""
+    left = table(spark, d, "benchmark").select("item_id", F.col("text").alias("title"))
+    cands = table(spark, d, "pages").select(F.col("page_id").alias("idx"), F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"))
+    return linkage.shared_grams(left, cands, "Some One")
+
+
 @query("SELECT doc_id, len(regexp_extract_all(text, '\\S+'))::INTEGER AS words FROM documents")
 def word_count(spark, d):
     return table(spark, d, "documents").select("doc_id", fn.word_count(F.col("text")).alias("words"))
