@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,8 @@ def load(a) -> int:
 
 def query(a) -> int:
     text = sys.stdin.read() if a.file == "-" else "\n".join(r.value for r in _session().read.text(a.file, wholetext=True).collect())
-    sparql(graph.store_view(_session(), a.store), text).show(a.rows, False)
+    found = sparql(graph.store_view(_session(), a.store), text)
+    _print(found if a.rows is None else found.limit(a.rows))
     return 0
 
 
@@ -72,15 +74,16 @@ def check_confidence(a) -> int:
 def index(a) -> int:
     spark = _session()
     docs = tables.read_texts(spark, a.texts, a.source_type)
-    raw = tables.ensure_table(spark, a.raw, tables.ENTITIES).drop("id")
+    if not tables.exists(spark, a.raw):
+        tables.append_by_key(spark.createDataFrame([], tables.ENTITIES).drop("id"), a.raw, "source_file")
+    raw = lambda: spark.read.schema(tables.ENTITIES + ", bucket int").parquet(a.raw).drop("id", "bucket")
     if not a.refilter:
-        fresh = entities.index_raw(entities.new_documents(docs, raw, limit=a.limit, force=a.force))
+        fresh = entities.index_raw(entities.new_documents(docs, raw(), limit=a.limit, force=a.force))
         if a.force:
-            gone = docs.select("source_file").distinct()
-            tables.rewrite(raw.join(gone, "source_file", "left_anti").select(*fresh.columns).unionByName(fresh), a.raw)
+            tables.replace_by_key(fresh, a.raw, "source_file", docs.select("source_file"))
         else:
-            fresh.write.mode("append").parquet(a.raw)
-        raw = spark.read.schema(tables.ENTITIES).parquet(a.raw).drop("id")
+            tables.append_by_key(fresh, a.raw, "source_file")
+    raw = raw()
     entities.numbered(entities.refilter(raw), "source_file", "entity_text", "entity_type", "source_type").write.mode("overwrite").parquet(a.entities)
     _print(entities.kept_and_total(raw, spark.read.parquet(a.entities)))
     if a.export_csv:
@@ -116,7 +119,14 @@ def run_promote(a) -> int:
     if a.dry_run:
         _print(new)
         return 0
-    new.write.mode("append").parquet(a.out)
+    triples = graph.from_terms(new, "promoted.ttl")
+    if a.store:
+        print(f"{graph.insert(triples, a.store)} triple(s) new in the store")
+    if a.turtle:
+        graph.write_turtle(triples, f"{a.turtle}/{uuid.uuid4()}")
+    if a.out:
+        held = spark.read.parquet(a.out) if tables.exists(spark, a.out) else new.limit(0)
+        tables.cut(new.join(held, ["s", "p", "o"], "left_anti")).write.mode("append").parquet(a.out)
     emitted = links.join(resolved.filter("NOT skipped").select("id"), "id", "left_semi")
     tables.rewrite(promote.mark_promoted(links, emitted), a.links)
     tables.rewrite(promote.mark_promoted(concepts), a.concepts)
@@ -156,14 +166,14 @@ def main(argv: list[str] | None = None) -> int:
     yes = {"action": "store_true"}
     roots = (("roots",), {"nargs": "+"})
     command("load", load, roots, (("--store",), {"required": True}), (("--reload",), yes))
-    command("query", query, (("file",), {}), (("--store",), {"required": True}), (("--rows",), {"type": int, "default": 1000}))
+    command("query", query, (("file",), {}), (("--store",), {"required": True}), (("--rows",), {"type": int}))
     command("confidence", run_confidence, roots, *spaces, (("--dry-run",), yes), (("--out",), {"default": "derived"}))
     command("purity", purity, *spaces, (("--seed-dir",), {"default": "data/seed"}), (("--check-scratch-empty",), yes))
     command("check-confidence", check_confidence, roots, *spaces)
     command("index", index, (("texts",), {}), (("--raw",), {"required": True}), (("--entities",), {"required": True}), (("--source-type",), {"default": "transcript"}), (("--limit",), {"type": int}), (("--export-csv",), {}), (("--force",), yes), (("--refilter",), yes))
     command("top", top, (("entities",), {}), (("--limit",), {"type": int, "default": 40}))
     command("match", match, (("texts",), {}), (("candidates",), {}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 0.5}), (("--text-number",), {"default": r"#(\d+)"}), (("--url-number",), {"default": r"/(\d+)-"}), (("--byline",), {}), (("--without-transcript",), {}))
-    command("promote", run_promote, roots, *spaces, (("--concepts",), {"required": True}), (("--links",), {"required": True}), (("--out",), {"required": True}), (("--confidence",), {"choices": ["curated", "candidate"], "default": "curated"}), (("--dry-run",), yes))
+    command("promote", run_promote, roots, *spaces, (("--concepts",), {"required": True}), (("--links",), {"required": True}), (("--out",), {}), (("--store",), {}), (("--turtle",), {}), (("--confidence",), {"choices": ["curated", "candidate"], "default": "curated"}), (("--dry-run",), yes))
     command("init", init, (("--concepts",), {"required": True}), (("--links",), {"required": True}))
     command("discover", run_discover, (("pages",), {}), (("--out",), {"required": True}), (("--manifest",), {}), (("--dead",), {}), (("--blocked",), {"nargs": "*"}), (("--force",), yes))
     a = p.parse_args(argv)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillgraph.sources.tables import cut
+
 #: Kept types and corrections.
 KEEP = ["PERSON", "ORG", "GPE", "NORP", "WORK_OF_ART", "DATE", "EVENT", "PRODUCT"]
 RECLASSIFY = {"Bitcoin": "PRODUCT", "COVID": "EVENT", "Holocene": "DATE", "Anthropocene": "DATE", "Hormuz": "GPE", "Jekyll": "WORK_OF_ART", "Hyde": "WORK_OF_ART", "Uncomfortable Questions": "WORK_OF_ART"}
@@ -55,21 +56,25 @@ def refilter(raw: DataFrame, cleanup: dict[str, tuple[str, str]] | None = None,
 
 
 def kept_and_total(raw: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row (kept, total): mentions in the rule layer and in the raw one."""
-    count = lambda df, name: df.agg(F.coalesce(F.sum("occurrence_count"), F.lit(0)).alias(name))
-    return count(kept, "kept").join(F.broadcast(count(raw, "total")), F.lit(True))
+    """One row (kept, total): mentions in the rule layer and in the raw one, counted together."""
+    both = kept.select(F.col("occurrence_count").alias("kept"), F.lit(0).alias("total")).unionAll(raw.select(F.lit(0), "occurrence_count"))
+    return both.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("kept", "total")))
 
 
-def numbered(rows: DataFrame, by: str, *order: str, after: int = 0) -> DataFrame:
-    """rows with a column id of consecutive numbers from after + 1, by `by` and then the other columns.
+def numbered(rows: DataFrame, *order: str, after: int = 0) -> DataFrame:
+    """rows with a column id of consecutive numbers from after + 1, in the order of these columns; rows equal in all of them in any order.
 
-    Counts of each range of `by` give its first number, so that rows are ranked within their value of it alone.
+    Ranges of the order go to tasks and are sorted there; the counts of the ranges before it, one a task, give each range its first
+    number. No task sorts more than a range, be it of one huge value of the first column or of a million small ones.
     """
-    first = rows.groupBy(by).agg(F.count("*").alias("_n"))
-    # Distinct values are sorted in one task: `by` should have few, such as files of a run.
-    first = first.withColumn("_before", F.sum("_n").over(W.orderBy(by).rowsBetween(W.unboundedPreceding, -1))).drop("_n")
-    nth = F.row_number().over(W.partitionBy(by).orderBy(*order))
-    return rows.withColumn("_nth", nth).join(first, by).withColumn("id", F.col("_nth") + F.coalesce("_before", F.lit(0)) + after).drop("_nth", "_before")
+    ranges = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("_at", F.monotonically_increasing_id())
+    nth, place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)), F.shiftright("_at", 33)
+    total, starts = after, []
+    for r in ranges.groupBy(place.alias("place")).agg(F.count("*").alias("n")).orderBy("place").collect():
+        starts.append((r.place, total))
+        total += r.n
+    first = F.broadcast(rows.sparkSession.createDataFrame(starts, "_place long, _before long"))
+    return ranges.join(first, place == F.col("_place")).withColumn("id", nth + 1 + F.col("_before")).drop("_at", "_place", "_before")
 
 
 def top_entities(entities: DataFrame, n: int = 20, entity_type: str = "PERSON") -> DataFrame:

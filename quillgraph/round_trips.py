@@ -13,7 +13,7 @@ from quillgraph.plans.algebra import sort_key
 from quillgraph.plans.named_queries import TEXTS, ask_named, episode_types
 from quillgraph.plans.sparql import sparql
 from quillgraph.plans.vocabulary import DCT, OWL, SKOS
-from quillgraph.queries import _FIRST, KG, ORACLE_SQL, SC, _concepts, _corpus, query, top_entities
+from quillgraph.queries import _FIRST, KG, ORACLE_SQL, SC, _concepts, _corpus, promote_concepts, promote_links, query, top_entities
 from quillgraph.rdf_view import LABEL, TYPE, Branch, V, View, constant, ent, entity, literal, made, pred, table, text, typed
 from quillgraph.sources import graph, tables
 
@@ -128,13 +128,51 @@ def _graph(branches: list[tuple]) -> DataFrame:
 
 # ---- tables and files written and read ----
 
+def _staged(spark, d):
+    rows = _concepts(spark, d).withColumns({"episode_id": F.lit(""), "reviewer_notes": F.lit(""), "created_at": F.current_timestamp()})
+    return rows.selectExpr(*(c.split()[0] for c in tables.CANDIDATE_CONCEPTS.split(", ")))
+
+@query("SELECT 2 * k AS stopped_after, p_partkey::INTEGER AS id, CASE WHEN k > 0 AND p_size > 20 THEN 'promoted' WHEN p_size > 20 THEN 'approved' ELSE 'pending' END AS status FROM part, range(3) r(k)")
+def staging_recovered(spark, d):
+    """A rewrite that stops before its table is written, between its two moves, and before the old table goes: the old or the new one is found, whole."""
+    found = []
+    for stop in (0, 2, 4):
+        path = f"{_folder(spark, 'stopped')}-{stop}"
+        tables.rewrite(_staged(spark, d), path)
+        steps = tables.rewrite_steps(promote.mark_promoted(tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS)), path)
+        for step in steps[: stop + (stop > 0)]:
+            step()
+        found.append(tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS).select(F.lit(stop).cast("long").alias("stopped_after"), "id", "status"))
+    return reduce(DataFrame.unionAll, found)
+
+@query("SELECT doc_id::VARCHAR AS source_file, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'again' ELSE 'first' END AS entity_text, 1::BIGINT AS n FROM documents")
+def forced_reindex(spark, d):
+    """Labelled documents are indexed once more: their rows are replaced, the others' folders are left alone."""
+    path = _folder(spark, "reindex")
+    names = _corpus(spark, d).select("source_file", F.lit("first").alias("entity_text"))
+    names.limit(0).write.mode("overwrite").parquet(path)
+    tables.append_by_key(names, path, "source_file")
+    again = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("source_file")).distinct().join(names.select("source_file"), "source_file", "left_semi")
+    tables.replace_by_key(again.withColumn("entity_text", F.lit("again")), path, "source_file", again)
+    return spark.read.parquet(path).groupBy("source_file", "entity_text").agg(F.count("*").alias("n"))
+
+@query(f"SELECT DISTINCT s, p, o FROM ({ORACLE_SQL['promote_concepts']} UNION ALL {ORACLE_SQL['promote_links'].replace('WITH k AS', 'SELECT * FROM (WITH k AS')}))")
+def promote_twice(spark, d):
+    """Concepts and links promoted into a store that already holds the nations, twice: the second run adds nothing, queries see all."""
+    path = _folder(spark, "promoted")
+    graph.write_store(_nations(spark, d).limit(0), path, "overwrite")
+    triples = graph.from_terms(promote_concepts(spark, d).unionByName(promote_links(spark, d)), "promoted.ttl")
+    graph.insert(triples, path)
+    if graph.insert(triples, path):
+        raise AssertionError("the second insert added triples")
+    return graph.store_view(spark, path).select("s", "p", "o")
+
 @query("SELECT p_partkey::INTEGER AS id, p_name AS proposed_label, CASE WHEN p_size > 20 THEN 'promoted' ELSE 'pending' END AS status FROM part")
 def staging_rewrite(spark, d):
     """Made if absent, cleared, filled, and rewritten in place from itself."""
     path = _folder(spark, "staging")
     empty = tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS).limit(0)
-    rows = _concepts(spark, d).withColumns({"episode_id": F.lit(""), "reviewer_notes": F.lit(""), "created_at": F.current_timestamp()})
-    tables.rewrite(rows.select(*empty.columns), path)
+    tables.rewrite(_staged(spark, d).select(*empty.columns), path)
     tables.rewrite(promote.mark_promoted(tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS)), path)
     return tables.ensure_table(spark, path, tables.CANDIDATE_CONCEPTS).select("id", "proposed_label", "status")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import turtle
+from .tables import cut, exists
 
 TRIPLES = "s string, s_kind string, p string, o string, o_kind string, o_dt string, o_lang string, src_file string"
 KEY = ["s", "s_kind", "p", "o", "o_kind", "o_dt", "o_lang"]
@@ -63,6 +64,34 @@ def terms(triples: DataFrame) -> DataFrame:
     return triples.select(node("s", "s_kind").alias("s"), F.concat(F.lit("<"), "p", F.lit(">")).alias("p"), o.alias("o"), *folder).distinct()
 
 
+def from_terms(graph: DataFrame, src_file: str = "") -> DataFrame:
+    """A triple table of graph(s, p, o), the inverse of terms."""
+    none, o = F.lit(None).cast("string"), F.col("o")
+    kind = lambda c: F.when(c.startswith("<"), "iri").when(c.startswith('"'), "lit").otherwise("bnode")
+    tail = lambda pattern: F.nullif(F.regexp_extract(o, pattern, 1), F.lit(""))
+    literal = o.startswith('"')
+    datatype = F.when(literal & o.rlike('(?s)"$'), turtle.XSD + "string").when(literal, F.coalesce(tail(r'(?s)"\^\^<([^<>"]*)>$'), F.lit(turtle.RDF + "langString")))
+    return graph.select(
+        lexical(F.col("s")).alias("s"), kind(F.col("s")).alias("s_kind"), lexical(F.col("p")).alias("p"), lexical(o).alias("o"), kind(o).alias("o_kind"),
+        F.coalesce(datatype, none).alias("o_dt"), F.when(literal, tail(r'(?s)"@([\w-]+)$')).alias("o_lang"), F.lit(src_file).alias("src_file"),
+    )
+
+
+def insert(triples: DataFrame, path: str) -> int:
+    """Adds to the store the triples that it doesn't hold yet, whatever file they came from, and returns their number.
+
+    Only the folders of the predicates that come are read. Repeating an insert adds nothing.
+    """
+    spark = triples.sparkSession
+    new = cut(triples.dropDuplicates(KEY))
+    if exists(spark, path):
+        folders = [r[0] for r in new.select(_folder(F.col("p"))).distinct().collect()]  # a vocabulary's predicates
+        held = spark.read.schema(TRIPLES + ", p_local string").parquet(path).filter(F.col("p_local").isin(folders)).select(*KEY).distinct()
+        new = cut(new.join(held, [new[c].eqNullSafe(held[c]) for c in KEY], "left_anti"))
+    write_store(new, path)
+    return new.count()
+
+
 def iri(value: str) -> str:
     return f"<{value}>"
 

@@ -1,12 +1,13 @@
-"""CSV, XML and text sources; staging tables; rewrite-in-place by new folder and swap."""
+"""CSV, XML and text sources; staging tables; rewrites in place that survive a stop at any step."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 CANDIDATE_CONCEPTS = "id int, episode_id string, proposed_label string, proposed_def string, source_note string, status string, reviewer_notes string, created_at timestamp"
 CANDIDATE_LINKS = "id int, subject_label string, predicate string, object_label string, rationale string, status string, reviewer_notes string, created_at timestamp"
@@ -38,34 +39,96 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    return jvm(path).getFileSystem(spark._jsc.hadoopConfiguration()), jvm
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends or undoes a rewrite that stopped midway: the table at path is then the old one or the new one, whole. Safe to repeat."""
+    fs, at = _file_system(spark, path)
+    there = {k: fs.exists(at(path + k)) for k in ("", ".new", ".old")}
+    if not there[""] and there[".new"] and fs.exists(at(f"{path}.new/_SUCCESS")):
+        _move(fs, at, f"{path}.new", path)
+    elif not there[""] and there[".old"]:
+        _move(fs, at, f"{path}.old", path)
+    for k in (".new", ".old"):
+        if there[k]:
+            fs.delete(at(path + k), True)
+
+
+def _move(fs, at, source: str, target: str) -> None:
+    if not fs.rename(at(source), at(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The Parquet table at path; an empty one is made where there is none. Safe to repeat."""
+    """The Parquet table at path, recovered where a rewrite had stopped; an empty one is made where there is none. Safe to repeat."""
+    recover(spark, path)
     if not exists(spark, path):
         spark.createDataFrame([], schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def rewrite_steps(df: DataFrame, path: str) -> list:
+    """What rewrite does, one after the other; after each of them recover finds the old table or the new one."""
+    spark = df.sparkSession
+    fs, at = _file_system(spark, path)
+    return [
+        lambda: recover(spark, path),
+        lambda: df.write.mode("overwrite").parquet(f"{path}.new"),
+        lambda: fs.exists(at(path)) and _move(fs, at, path, f"{path}.old"),
+        lambda: _move(fs, at, f"{path}.new", path),
+        lambda: fs.delete(at(f"{path}.old"), True),
+        lambda: spark.catalog.refreshByPath(path),
+    ]
+
+
 def rewrite(df: DataFrame, path: str) -> None:
-    """Overwrites path with df, which may read from path."""
+    """Overwrites path with df, which may read from path. One writer at a time; a stop at any point loses no table."""
+    for step in rewrite_steps(df, path):
+        step()
+
+
+BUCKETS = 64
+
+
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def append_by_key(df: DataFrame, path: str, key: str) -> None:
+    """Adds rows to a table kept in folders by a hash of `key`, so that one key's rows can be replaced without the rest."""
+    df.withColumn("bucket", _bucket(F.col(key))).write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def replace_by_key(df: DataFrame, path: str, key: str, keys: DataFrame) -> None:
+    """The rows of the keys in keys(key) become those of df; only their folders are read and written. A stopped run is repeated."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    jvm = spark._jvm.org.apache.hadoop.fs.Path
-    fs = jvm(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jvm(f"{path}.old"), True)
-    # The old table stays beside the new one until that is in place.
-    if fs.exists(jvm(path)) and not fs.rename(jvm(path), jvm(f"{path}.old")) or not fs.rename(jvm(f"{path}.new"), jvm(path)):
-        raise OSError(f"could not put the new table at {path}")
-    fs.delete(jvm(f"{path}.old"), True)
+    touched = sorted(r[0] for r in keys.select(_bucket(F.col(key))).distinct().collect())  # at most BUCKETS numbers
+    old = spark.read.schema(StructType([*df.schema.fields, StructField("bucket", IntegerType())])).parquet(path).filter(F.col("bucket").isin(touched))
+    kept = old.join(keys.select(key).distinct(), key, "left_anti").drop("bucket")
+    both = cut(kept.select(*df.columns).unionByName(df).withColumn("bucket", _bucket(F.col(key))))  # whole before a folder is replaced
+    emptied = [b for b in touched if b not in {r[0] for r in both.select("bucket").distinct().collect()}]
+    both.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    fs, at = _file_system(spark, path)
+    for b in emptied:
+        fs.delete(at(f"{path}/bucket={b}"), True)
     spark.catalog.refreshByPath(path)
 
 
 def read_manifest(spark: SparkSession, path: str, schema: str = MANIFEST) -> DataFrame:
-    """CSV rows by episode_url, the last row of a URL wins; empty where there is no file."""
+    """CSV rows by episode_url; of a URL's rows the last wins, by file name and then by place in the file; empty where there is no file.
+
+    A file with quoted line ends is read by one task, so places within it are in order.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     order = W.partitionBy("episode_url").orderBy(F.desc("_order"))
-    return rows.withColumn("_order", F.monotonically_increasing_id()).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_order", "_n")
+    return rows.withColumn("_order", place).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_order", "_n")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

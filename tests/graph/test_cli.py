@@ -38,3 +38,11 @@ def test_promote_command(spark, tmp_path):
     assert cli.main([*args, "--dry-run"]) == 0 and spark.read.parquet(k).first().status == "approved"
     assert cli.main(args) == 0
     assert spark.read.parquet(out).count() == 15 and spark.read.parquet(k).first().status == spark.read.parquet(c).first().status == "promoted"
+    spark.sql("SELECT 2 AS id, 'Foam' AS subject_label, 'influencedBy' AS predicate, 'Ada' AS object_label, 'r' AS rationale, 'approved' AS status, '' AS reviewer_notes, now() AS created_at").write.mode("append").parquet(k)
+    store = str(tmp_path / "store")
+    assert cli.main([*args, "--store", store, "--turtle", str(tmp_path / "ttl")]) == 0
+    assert spark.read.parquet(out).count() == 15  # the same link again
+    assert cli.main(["load", str(tmp_path / "ttl"), "--store", store]) == 0
+    from quillgraph.sources import graph
+
+    assert graph.store_view(spark, store).count() == 11 and graph.insert(graph.read_turtle(spark, str(tmp_path / "ttl")), store) == 0

@@ -86,6 +86,55 @@ def test_incremental_stream(spark, tmp_path):
     assert sorted(r.entity_text for r in spark.read.parquet(raw).collect()) == ["Ann Lee", "Bob Ray"]
 
 
+def test_a_repeated_batch_is_in_the_table_once(spark, tmp_path):
+    src, raw, cp = (str(tmp_path / x) for x in ("src", "raw", "cp"))
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.txt").write_text("Ann Lee spoke")
+    index_new_files(spark, src, raw, cp)
+    for f in (tmp_path / "cp" / "commits").iterdir():  # as if it had stopped after writing and before its commit
+        f.unlink()
+    index_new_files(spark, src, raw, cp)
+    assert [r.entity_text for r in spark.read.parquet(raw).collect()] == ["Ann Lee"]
+
+
+def test_a_rewrite_that_stops_anywhere_loses_nothing(spark, tmp_path):
+    old, new = ([(i, t, "P", "f", "t", 1) for i in range(3)] for t in ("old", "new"))
+    seen = set()
+    for stop in range(7):
+        path = str(tmp_path / str(stop))
+        tables.rewrite(spark.createDataFrame(old, tables.ENTITIES), path)
+        steps = tables.rewrite_steps(spark.createDataFrame(new, tables.ENTITIES), path)
+        for step in steps[:stop]:
+            step()
+        found = {r.entity_text for r in tables.ensure_table(spark, path, tables.ENTITIES).collect()}
+        seen |= found
+        assert len(found) == 1 and tables.ensure_table(spark, path, tables.ENTITIES).count() == 3
+        assert found == ({"old"} if stop < 3 else {"new"})
+        tables.rewrite(spark.createDataFrame(new, tables.ENTITIES), path)
+        assert {p.name for p in tmp_path.iterdir() if p.name.startswith(f"{stop}.")} == set()
+    assert seen == {"old", "new"}
+
+
+def test_rows_of_some_keys_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows_ = spark.createDataFrame([(f"k{i}", "a") for i in range(200)], "k string, v string")
+    tables.append_by_key(rows_, path, "k")
+    before = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "t").iterdir() if p.is_dir()}
+    gone = rows_.filter("k IN ('k1', 'k2')")
+    tables.replace_by_key(spark.createDataFrame([("k1", "b"), ("k1", "c")], "k string, v string"), path, "k", gone)
+    got = sorted((r.k, r.v) for r in spark.read.parquet(path).collect() if r.v != "a")
+    assert got == [("k1", "b"), ("k1", "c")] and spark.read.parquet(path).count() == 200
+    after = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "t").iterdir() if p.is_dir()}
+    assert sum(before[b] != after.get(b) for b in before) <= 2
+
+
+def test_numbers_without_one_task(spark):
+    data = [("big", f"{i % 500:03}") for i in range(5000)] + [(f"s{i:05}", "x") for i in range(3000)]
+    out = entities.numbered(spark.createDataFrame(data, "f string, t string").repartition(5), "f", "t").collect()
+    assert [(r.f, r.t) for r in sorted(out, key=lambda r: r.id)] == sorted(data) and sorted(r.id for r in out) == list(range(1, 8001))
+    assert entities.numbered(spark.createDataFrame([], "f string, t string"), "f", "t").count() == 0
+
+
 def test_discovery(spark):
     rules = [("round", "/episode/round-"), ("talk", "/episode/"), ("mono", "/mono/")]
     html = '<h1> My &amp; Title </h1><a href="/episode/round-3">r</a><a href="/episode/12-x">Download <b>Transcript</b></a><a href="http://else/episode/1">o</a><a href="/mono/1">m</a><a href="/mono/1">again</a><a>none</a>'

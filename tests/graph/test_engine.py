@@ -68,6 +68,13 @@ def test_store_and_turtle_sinks(spark, triples, tmp_path):
     assert len(set(read(text))) == g.union(named).count()
 
 
+def test_terms_come_back_as_triples(spark, triples, terms, tmp_path):
+    assert g.terms(g.from_terms(terms)).exceptAll(terms).count() == 0 == terms.exceptAll(g.terms(g.from_terms(terms))).count()
+    assert g.from_terms(terms).select(*g.KEY).exceptAll(g.union(triples)).count() == 0
+    path = str(tmp_path / "s")
+    assert g.insert(triples.limit(5), path) == 5 and g.insert(triples, path) == g.union(triples).count() - 5 and g.insert(triples, path) == 0
+
+
 def test_graph_edits(triples):
     two = triples.filter(F.col("p").endswith("hasGuest"))
     assert g.remove(triples, two).count() == triples.count() - 2
