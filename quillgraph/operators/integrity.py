@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.plans.vocabulary import Vocabulary
-from quillgraph.sources.graph import KEY
-from quillgraph.sources.turtle import RDF
+from quillgraph.plans.algebra import Pattern, Var, closure
+from quillgraph.plans.vocabulary import OWL, RDFS, Vocabulary
+from quillgraph.sources.graph import KEY, lexical, with_predicate
+from quillgraph.sources.tables import cut
+from quillgraph.sources.turtle import RDF, XSD
 
 
 def triple_counts(triples: DataFrame) -> DataFrame:
@@ -72,3 +76,77 @@ def domain_range(graph: DataFrame, predicate: str, domain: str | None = None, ra
     typed = lambda c, name: graph.filter((F.col("p") == f"<{RDF}type>") & (F.col("o") == f"<{c}>")).select(F.col("s").alias(name))
     parts = [edges.join(typed(c, name), name, "left_anti").select("s", "o", F.lit(problem).alias("problem")) for c, name, problem in ((domain, "s", "domain"), (range_, "o", "range")) if c]
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
+
+
+def canonical(graph: DataFrame, most_rounds: int = 100) -> DataFrame:
+    """graph(s, p, o) with blank nodes named by what they are in: two loads of one graph come out equal, whatever labels they gave.
+
+    Colour refinement: a node's colour is a hash of its triples with the colours of the blank nodes at their other ends, taken again until
+    no more nodes are told apart. Sums of hashes make a colour, so a node with any number of triples needs no list of them.
+    Nodes that refinement can't tell apart share a name, and their triples stay as often as they are there: compare as bags. Nulls stay null.
+    """
+    blank = lambda c: F.coalesce(c.startswith("_:"), F.lit(False))
+    ends = [(F.col("s"), F.col("o"), "out"), (F.col("o"), F.col("s"), "in")]
+    edges = reduce(DataFrame.unionAll, [graph.filter(blank(me)).select(me.alias("node"), F.lit(way).alias("way"), "p", other.alias("other")) for me, other, way in ends])
+    edges = cut(edges)
+    colours, known = edges.select("node").distinct().withColumn("colour", F.lit("")), 0
+    for _ in range(most_rounds):
+        seen = edges.join(colours.select(F.col("node").alias("other"), F.col("colour").alias("_c")), "other", "left")
+        told = [F.xxhash64(F.lit(seed), "way", "p", F.coalesce("_c", "other"), F.col("_c").isNull()).cast("decimal(38,0)") for seed in (1, 2)]
+        marks = seen.groupBy("node").agg(*(F.sum(h).alias(f"_{i}") for i, h in enumerate(told)), F.count("*").alias("_n"))
+        colours = cut(marks.join(colours, "node").select("node", F.sha2(F.concat_ws("|", "colour", "_0", "_1", "_n"), 256).alias("colour")))
+        now = colours.select("colour").distinct().count()
+        if now <= known:
+            break
+        known = now
+    else:
+        raise RuntimeError(f"blank nodes were still being told apart after {most_rounds} rounds")
+    out = graph
+    for place in ("s", "o"):
+        out = out.join(colours.select(F.col("node").alias(place), F.concat(F.lit("_:"), "colour").alias("_name")), place, "left").withColumn(place, F.coalesce("_name", place)).drop("_name")
+    return out.select("s", "p", "o")
+
+
+def constraint_violations(graph: DataFrame, ontology: DataFrame, expand: bool = False) -> DataFrame:
+    """(s, p, n_objects, problems) of the subjects and predicates in graph(s, p, o), or a view of one, that break what ontology(s, p, o) declares.
+
+    Read from it: rdfs:domain, rdfs:range, owl:FunctionalProperty, owl:maxCardinality of restrictions by owl:onProperty, and classes that are an
+    enumeration (owl:oneOf, itself or by owl:equivalentClass). problems, in order: domain, range, enumeration, cardinality. All
+    are found in one grouped pass over the triples of declared predicates. expand: a subclass's members are its superclasses' too. A
+    range that is an enumeration asks for membership alone, a datatype (xsd) for nothing. Repeated triples count once.
+    """
+    names = {"type": f"<{RDF}type>", "first": f"<{RDF}first>", "rest": f"<{RDF}rest>", "nil": f"<{RDF}nil>"}
+    of = lambda p, a="s", b="o": ontology.filter(F.col("p") == p).select(F.col("s").alias(a), F.col("o").alias(b))
+    of_graph = lambda *p: graph.triples(Pattern(Var("s"), p, Var("o"))) if hasattr(graph, "triples") else with_predicate(graph, *p).select("s", "p", "o")
+    whole = of(f"<{OWL}oneOf>", "class", "list").unionAll(of(f"<{OWL}equivalentClass>", "class", "_e").join(of(f"<{OWL}oneOf>", "_e", "list"), "_e").select("class", "list"))
+    cells = closure(of(names["rest"])).select(F.col("s").alias("list"), F.col("o").alias("cell"))
+    cells = cells.unionAll(whole.select("list", F.col("list").alias("cell")))
+    allowed = cut(whole.join(cells, "list").join(of(names["first"], "cell", "o"), "cell").select(F.col("class").alias("range"), "o").distinct().withColumn("_listed", F.lit(True)))
+    most = of(f"<{OWL}onProperty>", "_r", "p").join(of(f"<{OWL}maxCardinality>", "_r", "n").select("_r", lexical(F.col("n")).cast("int").alias("most")), "_r").select("p", "most")
+    functional = ontology.filter((F.col("p") == names["type"]) & (F.col("o") == f"<{OWL}FunctionalProperty>")).select(F.col("s").alias("p"), F.lit(1).alias("most"))
+    limits = most.unionAll(functional).groupBy("p").agg(F.min("most").alias("most"))
+    domains, ranges = of(f"<{RDFS}domain>", "p", "domain").distinct(), of(f"<{RDFS}range>", "p", "range").filter(~F.col("o").startswith(f"<{XSD}")).distinct()
+    classes = domains.select(F.col("domain").alias("class")).unionAll(ranges.select("range")).distinct()
+    types = of_graph(names["type"]).select(F.col("s").alias("node"), F.col("o").alias("class"))
+    types = (types if expand else types.join(classes, "class", "left_semi")).distinct()
+    if expand:
+        up = closure(of(f"<{RDFS}subClassOf>")).select(F.col("s").alias("class"), F.col("o").alias("_up"))
+        types = types.unionAll(types.join(up, "class").select("node", F.col("_up").alias("class"))).distinct()
+    typed = lambda node, kind, flag: types.select(F.col("node").alias(node), F.col("class").alias(kind), F.lit(True).alias(flag))
+    declared = [r.p for r in limits.select("p").unionAll(domains.select("p")).unionAll(ranges.select("p")).distinct().collect()]  # a vocabulary's predicates
+    if not declared:
+        declared = [names["nil"]]
+    rows = of_graph(*declared).distinct()
+    rows = rows.join(domains, "p", "left").join(ranges, "p", "left").join(typed("s", "domain", "_d"), ["s", "domain"], "left").join(typed("o", "range", "_r"), ["o", "range"], "left")
+    rows = rows.join(allowed, ["range", "o"], "left").join(allowed.select("range").distinct().withColumn("_enum", F.lit(True)), "range", "left")
+    broken = lambda c: F.max(F.coalesce(c, F.lit(False)))
+    found = rows.groupBy("s", "p").agg(
+        F.count_distinct("o").alias("n_objects"),
+        broken(F.col("domain").isNotNull() & F.col("_d").isNull()).alias("domain"),
+        broken(F.col("range").isNotNull() & F.col("_enum").isNull() & F.col("_r").isNull()).alias("range"),
+        broken(F.col("_enum").isNotNull() & F.col("_listed").isNull()).alias("enumeration"),
+    )
+    found = found.join(limits, "p", "left").withColumn("cardinality", F.coalesce(F.col("n_objects") > F.col("most"), F.lit(False)))
+    kinds = ["domain", "range", "enumeration", "cardinality"]
+    problems = F.array_compact(F.array(*(F.when(F.col(k), k) for k in kinds)))
+    return found.select("s", "p", "n_objects", F.array_join(problems, ",").alias("problems")).filter("problems <> ''")

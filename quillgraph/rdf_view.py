@@ -55,6 +55,7 @@ class Term:
     key: str | None = None
     kind: str = ""
     constant: str | None = None
+    uses: tuple[str, ...] = ()  # the columns it is made of, where branches that repeat rows need them
 
     def condition(self, value: str) -> Column | None:
         """Which rows have this term; None if none can."""
@@ -76,6 +77,7 @@ class Branch:
     s: Term
     p: str
     o: Term
+    unique: bool = True  # whether no two of its rows are one triple
 
 
 class View:
@@ -88,6 +90,16 @@ class View:
     def df(self) -> DataFrame:
         return self._union(self.branches, {})
 
+    def counts(self) -> DataFrame:
+        """(p, n): triples by predicate, as a set. Each branch's keys are counted where they lie; those of branches whose rows may repeat are made distinct."""
+        parts = []
+        for b in self.branches:
+            rows = b.rows
+            if not b.unique:
+                rows = rows.select(*sorted({c for t in (b.s, b.o) for c in t.uses})).distinct()
+            parts.append(rows.agg(F.count("*").alias("n")).select(F.lit(b.p).alias("p"), "n"))
+        return reduce(DataFrame.unionAll, parts).groupBy("p").agg(F.sum("n").alias("n"))
+
     def _union(self, branches: list[Branch], bound: dict[str, str]) -> DataFrame:
         parts = []
         for b in branches:
@@ -151,7 +163,8 @@ def _typed(c: Column, datatype: str) -> Term:
 
 def virtual_graph(spark: SparkSession, d: str) -> View:
     t = {n: table(spark, d, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
-    item = Term(ent("Item", item_key(t["lineitem"])), f"<{V.instances}Item.", ">")
+    columns = tuple(t["lineitem"].columns)
+    item = Term(ent("Item", item_key(t["lineitem"])), f"<{V.instances}Item.", ">", uses=columns)
     order, order_of_item = entity("Order", "o_orderkey"), entity("Order", "l_orderkey")
     customer, supplier, nation = entity("Customer", "c_custkey"), entity("Supplier", "s_suppkey"), entity("Nation", "n_nationkey")
     rows: list[tuple[str, Term, str, Term]] = []
@@ -173,9 +186,9 @@ def virtual_graph(spark: SparkSession, d: str) -> View:
         ("lineitem", item, pred("fromSupplier"), entity("Supplier", "l_suppkey")),
         ("lineitem", item, pred("shipped"), _typed(F.to_date("l_shipdate"), "date")),
     ]
-    branches = [Branch(t[name], s, p, o) for name, s, p, o in rows]
+    branches = [Branch(t[name], s, p, o, name != "lineitem") for name, s, p, o in rows]
     for flag, p in (("R", "returnedItem"), ("A", "acceptedItem")):
-        branches.append(Branch(t["lineitem"].filter(F.col("l_returnflag") == flag), order_of_item, pred(p), item))
+        branches.append(Branch(t["lineitem"].filter(F.col("l_returnflag") == flag), order_of_item, pred(p), item, False))
     return View(branches)
 
 

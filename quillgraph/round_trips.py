@@ -12,10 +12,11 @@ from quillgraph.operators import discovery, entities, integrity, promote
 from quillgraph.plans.algebra import sort_key
 from quillgraph.plans.named_queries import TEXTS, ask_named, episode_types
 from quillgraph.plans.sparql import sparql
-from quillgraph.plans.vocabulary import DCT, OWL, SKOS
+from quillgraph.plans.vocabulary import DCT, OWL, RDFS, SKOS
 from quillgraph.queries import _FIRST, KG, ORACLE_SQL, SC, _concepts, _corpus, promote_concepts, promote_links, query, top_entities
 from quillgraph.rdf_view import LABEL, TYPE, Branch, V, View, constant, ent, entity, literal, made, pred, table, text, typed
 from quillgraph.sources import graph, tables
+from quillgraph.sources.turtle import RDF, XSD
 
 def _folder(spark, name: str) -> str:
     """One folder for each query and application, so that repeats don't pile up."""
@@ -351,3 +352,41 @@ def builds_on_closure(spark, d):
 def concepts_under_topic(spark, d):
     """The concepts of a topic and all topics below it: the closure starts from the bound end."""
     return sparql(curated_view(spark, d), V.prefixes() + "SELECT ?idea WHERE { ?topic skos:broader* kg:Subject.3 . ?idea dct:subject ?topic }")
+
+_CHANGED = "SELECT count(*)::BIGINT AS n FROM supplier WHERE s_nationkey = 3"
+
+@query(f"SELECT change, p, n FROM (VALUES ('gained'), ('lost')) a(change), (VALUES ('<{SC}inNation>'), ('<{SKOS}prefLabel>')) b(p), ({_CHANGED}) WHERE n > 0")
+def blank_migration(spark, d):
+    """Suppliers, customers and orders as blank nodes, under other labels after a move that also renames the suppliers of one nation."""
+    supp, cust, orders = (table(spark, d, t) for t in "supplier customer orders".split())
+
+    def version(node, name):
+        return _graph([
+            (supp, node("a", "s_suppkey"), pred("inNation"), ent("Nation", "s_nationkey")), (supp, node("a", "s_suppkey"), LABEL, name),
+            (cust, node("c", "c_custkey"), pred("inNation"), ent("Nation", "c_nationkey")), (cust, node("c", "c_custkey"), pred("segment"), text("c_mktsegment")),
+            (orders, node("o", "o_orderkey"), pred("placedBy"), node("c", "o_custkey")), (orders, node("o", "o_orderkey"), pred("priority"), text("o_orderpriority")),
+        ])
+
+    before = version(lambda k, key: F.concat(F.lit(f"_:{k}"), F.col(key).cast("string")), text("s_name"))
+    after = version(lambda k, key: F.concat(F.lit("_:z"), F.md5(F.concat(F.lit(k), F.col(key).cast("string")).cast("binary"))), F.when(F.col("s_nationkey") == 3, text(F.concat(F.lit("New "), "s_name"))).otherwise(text("s_name")))
+    return integrity.difference(integrity.canonical(before), integrity.canonical(after)).groupBy("change", "p").agg(F.count("*").alias("n"))
+
+def _ontology(spark) -> DataFrame:
+    """Declarations for the curated graph, some of which it breaks."""
+    kind = f"<{SC}Level>"
+    levels = [V.member(V.confidence, n) for n in ("Candidate", "Curated", "Corroborated")]
+    cells = [f"_:l{i}" for i in range(len(levels))]
+    rows = [(pred(p), f"<{RDFS}{what}>", pred(c)) for p, what, c in (("memberOf", "domain", "Human"), ("memberOf", "range", "Organization"), ("hasSubject", "domain", "Relationship"), ("hasSubject", "range", "Persona"), ("influencedBy", "range", "Persona"))]
+    rows += [(pred("calculatedConfidence"), f"<{RDFS}range>", kind), (kind, f"<{OWL}equivalentClass>", "_:e"), ("_:e", f"<{OWL}oneOf>", cells[0])]
+    rows += [(c, f"<{RDF}first>", m) for c, m in zip(cells, levels, strict=True)] + [(c, f"<{RDF}rest>", n) for c, n in zip(cells, [*cells[1:], f"<{RDF}nil>"], strict=True)]
+    rows += [(pred("hasSubject"), f"<{RDF}type>", f"<{OWL}FunctionalProperty>"), ("_:m", f"<{OWL}onProperty>", pred("hasGuest")), ("_:m", f"<{OWL}maxCardinality>", f'"2"^^<{XSD}integer>')]
+    return spark.createDataFrame(rows, "s string, p string, o string")
+
+@query(
+    f"""SELECT '<{KG}Relationship.' || s_suppkey || '>' AS s, '<{SC}hasSubject>' AS p, 2::BIGINT AS n_objects, 'range,cardinality' AS problems FROM supplier WHERE s_nationkey = 3
+    UNION ALL SELECT '<{KG}Concept.' || p_partkey || '>', '<{SC}influencedBy>', 1, 'range' FROM part WHERE p_size <= 40 AND p_size NOT IN (SELECT s_suppkey FROM supplier)
+    UNION ALL SELECT '<{KG}LinkNote.' || p_partkey || '>', '<{SC}calculatedConfidence>', 1, 'enumeration' FROM part WHERE p_size > 30 AND p_size <= 40
+    UNION ALL SELECT '<{KG}Episode.' || l_orderkey || '>', '<{SC}hasGuest>', count(DISTINCT l_suppkey)::BIGINT, 'cardinality' FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey HAVING count(DISTINCT l_suppkey) > 2"""
+)
+def ontology_violations(spark, d):
+    return integrity.constraint_violations(curated_view(spark, d), _ontology(spark))

@@ -141,6 +141,44 @@ def test_confidence_from_graph_and_checks(terms, triples):
     assert integrity.domain_range(terms, V.schema + "memberOf", V.schema + "Human", V.schema + "Human").count() == 1
 
 
+def test_blank_nodes_get_the_same_names_wherever_files_lie(spark, triples, tmp_path):
+    moved = g.read_turtle(spark, mini.write(tmp_path / "elsewhere"))
+    a, b = g.terms(triples), g.terms(moved)
+    assert integrity.difference(a, b).count() > 0  # labels follow the files
+    assert integrity.difference(integrity.canonical(a), integrity.canonical(b)).count() == 0
+    g.write_turtle(triples, str(tmp_path / "again"))
+    assert integrity.difference(integrity.canonical(a), integrity.canonical(g.terms(g.read_turtle(spark, str(tmp_path / "again"))))).count() == 0
+    edited = b.filter(~F.col("o").contains("Role.Guest"))
+    assert {r.change for r in integrity.difference(integrity.canonical(a), integrity.canonical(edited)).collect()} == {"lost", "gained"}
+    # A cycle, a chain into it, and nodes that are alike: only the alike ones share a name.
+    t = spark.createDataFrame([("_:a", "<p>", "_:b"), ("_:b", "<p>", "_:a"), ("_:c", "<p>", "_:a"), ("_:x", "<q>", "<o>"), ("_:y", "<q>", "<o>"), ("<s>", "<p>", None)], "s string, p string, o string")
+    named = integrity.canonical(t)
+    assert named.count() == 6 and named.filter("p = '<q>'").distinct().count() == 1 and named.filter("p = '<p>' AND o IS NOT NULL").select("s").distinct().count() == 3
+    assert integrity.canonical(t.limit(0)).count() == 0
+
+
+def test_constraints_from_the_ontology(spark):
+    kg, sc, owl, rdfs, rdf, xsd = "http://kg/", "http://sc/", "http://www.w3.org/2002/07/owl#", "http://www.w3.org/2000/01/rdf-schema#", "http://www.w3.org/1999/02/22-rdf-syntax-ns#", "http://www.w3.org/2001/XMLSchema#"
+    i = lambda x: f"<{x}>"
+    table = lambda rows_: spark.createDataFrame(rows_, "s string, p string, o string")
+    ontology = table([
+        (i(sc + "knows"), i(rdfs + "domain"), i(sc + "Person")), (i(sc + "knows"), i(rdfs + "range"), i(sc + "Person")), (i(sc + "Child"), i(rdfs + "subClassOf"), i(sc + "Person")),
+        (i(sc + "age"), i(rdf + "type"), i(owl + "FunctionalProperty")), (i(sc + "age"), i(rdfs + "range"), i(xsd + "integer")),
+        (i(sc + "mood"), i(rdfs + "range"), i(sc + "Mood")), (i(sc + "Mood"), i(owl + "oneOf"), "_:1"), ("_:1", i(rdf + "first"), i(sc + "Glad")), ("_:1", i(rdf + "rest"), "_:2"), ("_:2", i(rdf + "first"), i(sc + "Sad")), ("_:2", i(rdf + "rest"), i(rdf + "nil")),
+        ("_:r", i(owl + "onProperty"), i(sc + "knows")), ("_:r", i(owl + "maxCardinality"), f'"2"^^<{xsd}integer>'),
+    ])
+    a, b, c, d = (i(kg + x) for x in "abcd")
+    is_a = i(rdf + "type")
+    graph = table([
+        (a, is_a, i(sc + "Person")), (b, is_a, i(sc + "Child")), (a, i(sc + "knows"), a), (a, i(sc + "knows"), b), (b, i(sc + "knows"), a), (c, i(sc + "knows"), a), (a, i(sc + "knows"), d), (a, i(sc + "knows"), d),
+        (a, i(sc + "age"), '"1"'), (a, i(sc + "age"), '"2"'), (b, i(sc + "age"), '"2"'), (a, i(sc + "mood"), i(sc + "Sad")), (b, i(sc + "mood"), i(sc + "Odd")), (c, i(sc + "other"), d),
+    ])
+    found = lambda **k: {(r.s[-2], r.p.split("/")[-1][:-1]): (r.n_objects, r.problems) for r in integrity.constraint_violations(graph, ontology, **k).collect()}
+    assert found() == {("a", "knows"): (3, "range,cardinality"), ("b", "knows"): (1, "domain"), ("c", "knows"): (1, "domain"), ("a", "age"): (2, "cardinality"), ("b", "mood"): (1, "enumeration")}
+    assert ("b", "knows") not in found(expand=True) and found(expand=True)["a", "knows"] == (3, "range,cardinality")
+    assert integrity.constraint_violations(graph, ontology.limit(0)).count() == 0 == integrity.constraint_violations(graph.limit(0), ontology).count()
+
+
 TABLE = [  # (polarity, curated, superseded, source, tier) of each evidence -> verdict
     ([], "Candidate"),
     ([("Supports", False, False, None, None)], "Candidate"),
