@@ -1,4 +1,4 @@
-"""python -m quillgraph.cli COMMAND: load, query, confidence, check-confidence, purity, index, top, match, promote, init, discover."""
+"""python -m quillgraph.cli COMMAND: load, query, confidence, check-confidence, purity, constraints, index, top, match, promote, init, discover."""
 
 from __future__ import annotations
 
@@ -71,6 +71,15 @@ def check_confidence(a) -> int:
     return int(n > 0)
 
 
+def constraints(a) -> int:
+    spark = _session()
+    bad = tables.cut(integrity.constraint_violations(graph.terms(graph.read_turtle(spark, a.roots)), graph.terms(graph.read_turtle(spark, a.ontology)), expand=a.expand))
+    n = bad.count()
+    _print(bad)
+    print(f"{n} violation(s)")
+    return int(n > 0)
+
+
 def index(a) -> int:
     spark = _session()
     docs = tables.read_texts(spark, a.texts, a.source_type)
@@ -143,12 +152,15 @@ def run_discover(a) -> int:
     spark = _session()
     pages = spark.read.parquet(a.pages)
     discovery.refuse_blocked(pages, a.blocked or [])
-    if a.manifest or a.dead:
-        done = [tables.read_manifest(spark, p) if p else pages.limit(0).select(F.col("url").alias("episode_url")) for p in (a.manifest, a.dead)]
-        pages = discovery.to_fetch(pages, *done, force=a.force)
-    good, dead = discovery.transcripts(pages)
-    tables.write_csv(good, f"{a.out}/manifest")
-    tables.write_csv(dead, f"{a.out}/without_transcript")
+    # What earlier runs wrote to --out counts too, and is kept and extended.
+    manifest, dead = (tables.cut(tables.read_manifest(spark, p or f"{a.out}/{name}", schema)) for p, name, schema in ((a.manifest, "manifest", tables.MANIFEST), (a.dead, "without_transcript", "episode_url string, title string")))
+    skipped = pages.select(F.col("url").alias("episode_url")).distinct().join(dead, "episode_url", "left_semi").count()
+    good, gone = discovery.transcripts(discovery.to_fetch(pages, manifest, dead, force=a.force))
+    good, gone = tables.cut(good), tables.cut(gone)
+    dead = dead.join(good.select("episode_url"), "episode_url", "left_anti")
+    tables.write_csv(discovery.upsert(manifest, good), f"{a.out}/manifest")
+    tables.write_csv(discovery.upsert(dead, gone), f"{a.out}/without_transcript")
+    print(f"{good.count()} new, {gone.count()} without a transcript, {0 if a.force else skipped} skipped as known to have none")
     return 0
 
 
@@ -170,6 +182,7 @@ def main(argv: list[str] | None = None) -> int:
     command("confidence", run_confidence, roots, *spaces, (("--dry-run",), yes), (("--out",), {"default": "derived"}))
     command("purity", purity, *spaces, (("--seed-dir",), {"default": "data/seed"}), (("--check-scratch-empty",), yes))
     command("check-confidence", check_confidence, roots, *spaces)
+    command("constraints", constraints, roots, (("--ontology",), {"nargs": "+", "required": True}), (("--expand",), yes))
     command("index", index, (("texts",), {}), (("--raw",), {"required": True}), (("--entities",), {"required": True}), (("--source-type",), {"default": "transcript"}), (("--limit",), {"type": int}), (("--export-csv",), {}), (("--force",), yes), (("--refilter",), yes))
     command("top", top, (("entities",), {}), (("--limit",), {"type": int, "default": 40}))
     command("match", match, (("texts",), {}), (("candidates",), {}), (("--out",), {"required": True}), (("--threshold",), {"type": float, "default": 0.5}), (("--text-number",), {"default": r"#(\d+)"}), (("--url-number",), {"default": r"/(\d+)-"}), (("--byline",), {}), (("--without-transcript",), {}))

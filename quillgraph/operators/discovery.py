@@ -47,15 +47,17 @@ class _Anchors(HTMLParser):
             self.title, self._h1 = self._h1.strip(), None
 
 
+def page_links(url: str | None, html: str | None) -> tuple[str, list[tuple[str, str]]]:
+    """Title of a page's first h1, and (href made absolute, label) of its links in page order."""
+    p = _Anchors()
+    p.feed(html or "")
+    p.close()
+    return (p.title if p.title is not None else (p._h1 or "").strip()) or "", [(urljoin(url or "", h), t.strip()) for h, t in p.links]
+
+
 def _page_parts(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
-    titles, links = [], []
-    for url, html in zip(urls, pages, strict=True):
-        p = _Anchors()
-        p.feed(html or "")
-        p.close()
-        titles.append((p.title if p.title is not None else (p._h1 or "").strip()) or "")
-        links.append([{"href": urljoin(url or "", h), "label": t.strip()} for h, t in p.links])
-    return pd.DataFrame({"title": titles, "links": links})
+    found = [page_links(url, html) for url, html in zip(urls, pages, strict=True)]
+    return pd.DataFrame({"title": [t for t, _ in found], "links": [[{"href": h, "label": x} for h, x in links] for _, links in found]})
 
 
 def page_parts(url: Column | str, html: Column | str) -> Column:
@@ -86,6 +88,11 @@ def to_fetch(found: DataFrame, manifest: DataFrame, dead: DataFrame, force: bool
     return found.join(manifest.select(F.col("episode_url").alias("url")), "url", "left_anti").join(dead.select(F.col("episode_url").alias("url")), "url", "left_anti")
 
 
+def upsert(manifest: DataFrame, fresh: DataFrame, key: str = "episode_url") -> DataFrame:
+    """The manifest with the rows of fresh in place of those that have their keys, and the new ones; columns as in the manifest."""
+    return manifest.join(fresh.select(key), key, "left_anti").select(*manifest.columns).unionByName(fresh.select(*manifest.columns))
+
+
 def transcripts(pages: DataFrame, label: str = "download transcript") -> tuple[DataFrame, DataFrame]:
     """Manifest rows of pages(url, kind, html) with a link whose text has the label, the first counts; and the dead ones, once a URL."""
     p = pages.withColumn("_p", page_parts("url", "html"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.functions.text import slugify
+from quillgraph.operators.entities import numbered
 from quillgraph.plans.vocabulary import DCT, OWL, SKOS, Vocabulary
 from quillgraph.sources.graph import lexical
 from quillgraph.sources.turtle import RDF
@@ -108,3 +109,11 @@ def ingest_proposals(raw: DataFrame, json_col: str = "response") -> tuple[DataFr
     concepts = parsed.select("episode_id", F.inline("_j.concepts")).select("episode_id", F.col("label").alias("proposed_label"), F.col("definition").alias("proposed_def"), "source_note", F.lit("pending").alias("status"))
     links = parsed.select(F.inline("_j.links")).select(F.col("subject").alias("subject_label"), "predicate", F.col("object").alias("object_label"), "rationale", F.lit("pending").alias("status"))
     return concepts.filter("proposed_label IS NOT NULL AND proposed_def IS NOT NULL"), links.dropna()
+
+
+def as_candidates(proposals: DataFrame, schema: str, after: int = 0) -> DataFrame:
+    """Ingested proposals as rows of a staging table (CANDIDATE_CONCEPTS or CANDIDATE_LINKS): numbered from after + 1 in the order of
+    their columns, with the time of ingestion and nulls for what they lack."""
+    fields = [f.split() for f in schema.split(", ")]
+    rows = numbered(proposals, *sorted(proposals.columns), after=after).withColumn("created_at", F.current_timestamp())
+    return rows.select(*((F.col(n) if n in rows.columns else F.lit(None)).cast(k).alias(n) for n, k in fields))

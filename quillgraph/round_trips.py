@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillgraph.functions.tables import register
 from quillgraph.operators import discovery, entities, integrity, promote
 from quillgraph.plans.algebra import sort_key
 from quillgraph.plans.named_queries import TEXTS, ask_named, episode_types
@@ -390,3 +391,22 @@ def _ontology(spark) -> DataFrame:
 )
 def ontology_violations(spark, d):
     return integrity.constraint_violations(curated_view(spark, d), _ontology(spark))
+
+@query(f"SELECT entity_text, entity_type, source_file, source_type, occurrence_count FROM ({ORACLE_SQL['entity_raw']})")
+def mentions_lateral(spark, d):
+    """The recogniser as a table function in SQL."""
+    register(spark)
+    found = spark.sql("SELECT m.entity_text, m.entity_type, source_file, source_type FROM {docs}, LATERAL mentions(text) m", docs=_corpus(spark, d).filter(F.trim("text") != ""))
+    return found.groupBy("entity_text", "entity_type", "source_file", "source_type").agg(F.count("*").alias("occurrence_count"))
+
+@query("SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">', 1)) AS href, unnest(range(len(regexp_extract_all(html, '<a href=\"([^\"]*)\">')))::INTEGER[]) AS pos FROM pages")
+def anchors_lateral(spark, d):
+    """Every link of every page, by a table function in SQL."""
+    register(spark)
+    return spark.sql("SELECT page_id, a.href, a.pos FROM {pages}, LATERAL anchors('', html) a", pages=table(spark, d, "pages"))
+
+@query(f"SELECT row_number() OVER (ORDER BY episode_id, proposed_def, proposed_label, source_note)::INTEGER AS id, * FROM ({ORACLE_SQL['proposals']})")
+def proposal_rows(spark, d):
+    """Ingested proposals as rows of the staging table, numbered and dated."""
+    rows = promote.as_candidates(proposals(spark, d), tables.CANDIDATE_CONCEPTS)
+    return rows.filter("created_at IS NOT NULL AND reviewer_notes IS NULL").drop("created_at", "reviewer_notes")

@@ -46,3 +46,23 @@ def test_promote_command(spark, tmp_path):
     from quillgraph.sources import graph
 
     assert graph.store_view(spark, store).count() == 11 and graph.insert(graph.read_turtle(spark, str(tmp_path / "ttl")), store) == 0
+
+
+def test_constraints_and_discover_commands(spark, tmp_path, capsys):
+    seed = mini.write(tmp_path / "seed")
+    (tmp_path / "o").mkdir()
+    (tmp_path / "o" / "o.ttl").write_text(mini.HEAD + "@prefix rdfs: <http://www.w3.org/2000/01/rdf-schema#> . v:memberOf rdfs:range v:Organization ; rdfs:domain v:Human . v:hasGuest a owl:FunctionalProperty .")
+    assert cli.main(["constraints", seed, "--ontology", str(tmp_path / "o")]) == 1
+    out = capsys.readouterr().out
+    assert "1 violation(s)" in out and "Episode.One" in out and "cardinality" in out
+    link = '<h1>T</h1><a href="/t/1.pdf">Download transcript</a>'
+    spark.createDataFrame([("http://h/1", "k", link), ("http://h/2", "k", "<p>none</p>")], "url string, kind string, html string").write.parquet(str(tmp_path / "p1"))
+    spark.createDataFrame([("http://h/2", "k", link), ("http://h/3", "k", link)], "url string, kind string, html string").write.parquet(str(tmp_path / "p2"))
+    to = str(tmp_path / "out")
+    assert cli.main(["discover", str(tmp_path / "p1"), "--out", to]) == 0 == cli.main(["discover", str(tmp_path / "p2"), "--out", to])
+    said = capsys.readouterr().out
+    assert "1 new, 1 without a transcript, 0 skipped" in said and "1 new, 0 without a transcript, 1 skipped" in said
+    read = lambda name: {r.episode_url for r in spark.read.option("header", True).csv(f"{to}/{name}").collect()}
+    assert read("manifest") == {"http://h/1", "http://h/3"} and read("without_transcript") == {"http://h/2"}
+    assert cli.main(["discover", str(tmp_path / "p2"), "--out", to, "--force"]) == 0
+    assert read("manifest") == {"http://h/1", "http://h/2", "http://h/3"} and read("without_transcript") == set()
