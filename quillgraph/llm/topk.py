@@ -137,6 +137,21 @@ def _ranked(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order))).filter(F.col("rank") <= k)
 
 
+def _few_equal(vectors: DataFrame, k: int, broadcast_most: int = 100_000) -> DataFrame:
+    """vectors(vec_id, d, x) without those that can't be among the k best because too many equal ones go before them.
+
+    Equal vectors score alike and smaller ids go first, so that k + 1 ids of each suffice (one may be the query's), and k rows of an id.
+    Only vectors whose hash more than k rows have are compared whole; the others are neither shuffled nor sorted.
+    """
+    hashed = vectors.withColumn("_h", F.xxhash64("x"))
+    often = cut(hashed.groupBy("_h").agg(F.count("*").alias("_n")).filter(F.col("_n") > k).select("_h"))
+    often = F.broadcast(often) if often.count() <= broadcast_most else often
+    same, row = W.partitionBy("x").orderBy("vec_id"), W.partitionBy("x", "vec_id").orderBy(F.lit(1))
+    many = hashed.join(often, "_h", "left_semi").drop("_h")
+    many = many.withColumn("_r", F.dense_rank().over(same)).filter(F.col("_r") <= k + 1).withColumn("_n", F.row_number().over(row)).filter(F.col("_n") <= k)
+    return hashed.join(often, "_h", "left_anti").drop("_h").unionByName(many.select(*vectors.columns))
+
+
 def top_k(df: DataFrame, id_col: str, vector_col: str, every: int = 20, k: int = 20, scale: float = 64.0, block: int = 4096) -> DataFrame:
     """(query_id, rank, vec_id, score): of each row whose id is divisible by `every`, the k highest integer inner products.
 
@@ -151,9 +166,7 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, every: int = 20, k: int =
     # d tells lengths apart; vectors of none score as [0] does.
     vectors = finite(df, id_col, vector_col).select("vec_id", F.size("x").alias("d"), F.when(F.size("x") > 0, F.col("x")).otherwise(F.array(F.lit(0.0))).alias("x"))
     asked = cut(vectors.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("x", "d")).alias("v")).select("vec_id", "v.x", "v.d"))
-    # Equal vectors score alike and smaller ids go first, so that k + 1 ids of each suffice (one may be the query's), and k rows of an id.
-    same, row = W.partitionBy("x").orderBy("vec_id"), W.partitionBy("x", "vec_id").orderBy(F.lit(1))
-    kept = vectors.withColumn("_r", F.dense_rank().over(same)).filter(F.col("_r") <= k + 1).withColumn("_n", F.row_number().over(row)).filter(F.col("_n") <= k)
+    kept = _few_equal(vectors, k)
     stats = vectors.groupBy("d").agg(F.min(F.array_min("x")).alias("lo"), F.max(F.array_max("x")).alias("hi"), F.avg(F.expr("aggregate(x, 0D, (a, c) -> a + c) / size(x)")).alias("m"), F.avg(F.expr("aggregate(x, 0D, (a, c) -> a + c * c) / size(x)")).alias("s")).collect()
     cells = {}
     for r in stats:
