@@ -22,6 +22,7 @@ def part_number(title: Column) -> Column:
 
 def normalize_title(title: Column, byline: str | None = None) -> Column:
     """Without .pdf, a leading [Update], the byline at the end and marks; single spaces; lower case. In this order."""
+    # These patterns.
     out = F.regexp_replace(title, r"(?i)\.pdf$", "")
     out = F.regexp_replace(out, r"^\[Update\]\s*", "")
     if byline:

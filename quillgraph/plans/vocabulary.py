@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+#: Public namespaces.
 SKOS = "http://www.w3.org/2004/02/skos/core#"
 DCT = "http://purl.org/dc/terms/"
 OWL = "http://www.w3.org/2002/07/owl#"
@@ -13,7 +14,7 @@ RDFS = "http://www.w3.org/2000/01/rdf-schema#"
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """instances and schema: namespaces. families: accepted enumeration prefixes, the first of each is what is written."""
+    """Names of enumerations are fixed values. instances and schema: namespaces. families: accepted enumeration prefixes, the first of each is what is written."""
 
     instances: str = "http://example.org/kg#"
     schema: str = "http://example.org/kg-schema#"

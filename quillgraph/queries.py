@@ -372,6 +372,19 @@ def page_title_link(spark, d):
     return p.select("page_id", F.col("p.title").alias("title"), F.try_element_at(first, F.lit(1))["href"].alias("href"))
 
 
+@query("SELECT page_id, regexp_extract(regexp_extract(url, '^(?:[^:/?#]+://[^/?#]*)?([^?#]*)', 1), '([^/]*)$', 1) AS file FROM pages")
+def file_names(spark, d):
+    """The last part of each page's path."""
+    return table(spark, d, "pages").select("page_id", fn.file_name(F.col("url")).alias("file"))
+
+
+@query("WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\">', 1)) AS href FROM pages) SELECT page_id, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^[^:/?#]+://[^/?#]*') || href ELSE href END AS link, count(*)::BIGINT AS n FROM l GROUP BY ALL")
+def absolute_links(spark, d):
+    """Every link, made absolute by its page's URL."""
+    p = table(spark, d, "pages").select("page_id", F.explode(discovery.page_parts("url", "html")["links"]["href"]).alias("link"))
+    return p.groupBy("page_id", "link").agg(F.count("*").alias("n"))
+
+
 _FOUND = """WITH u AS (SELECT DISTINCT page_id, url, regexp_extract(url, '://[^/?#]*/([a-z]+)/', 1) AS kind FROM pages), s AS (SELECT * FROM u WHERE starts_with(url, 'https')), l AS (SELECT * FROM u),
     a AS (SELECT url, kind, 0 AS src, page_id FROM s UNION ALL SELECT url, kind, 1, page_id FROM l WHERE url NOT IN (SELECT url FROM s))
     SELECT url, kind, row_number() OVER (PARTITION BY kind ORDER BY src, page_id, url)::INTEGER AS ord FROM a"""
