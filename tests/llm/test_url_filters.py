@@ -31,3 +31,12 @@ def test_index_uses_the_rarest_token_and_open_ended_paths():
     index = RuleIndex([host_path_rule("a.com", "/x/", "block"), host_path_rule("b.com", "/x/", "block"), host_path_rule("com", "/y", "block")])
     assert "com" in index.by_token and len(index.by_token["com"]) == 1 and {"a", "b"} <= index.by_token.keys()
     assert index.best("q.com", "/yes").name == "com/y"
+
+
+def test_repeated_rows_long_urls_extra_columns_and_empty_tables(spark):
+    long = "http://a.example.com/en/" + "x/" * 200_000 + "?q=/es/"
+    df = spark.createDataFrame([(1, long), (1, long), (2, "http://b.net/fr/" + "y" * 300_000), (3, None)], "page_id long, url string").selectExpr("*", "'clash' as host", "0 as verdict", "1 as id")
+    got = [tuple(r) for r in filter_urls(df, RULES, "page_id", "url").collect()]
+    assert len(got) == 4 and got[0] == got[1] == (1, "a.example.com", long[len("http://a.example.com") : long.index("?")], "example.com/en/", "block")
+    assert got[2][3:] == ("net/fr/", "block") and got[3] == (3, "", "", None, "allow")
+    assert filter_urls(df.limit(0), RULES, "page_id", "url").count() == 0
