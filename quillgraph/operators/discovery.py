@@ -22,8 +22,9 @@ def classify(url: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 class _Anchors(HTMLParser):
-    def __init__(self):
+    def __init__(self, decode: bool = True):
         super().__init__(convert_charrefs=True)
+        self.decode = decode
         self.links, self.title, self._a, self._h1 = [], None, None, None
 
     def handle_starttag(self, tag, attrs):
@@ -33,6 +34,8 @@ class _Anchors(HTMLParser):
             self._h1 = ""
 
     def handle_data(self, data):
+        if not self.decode and self.cdata_elem is not None:  # nothing is decoded in scripts and styles
+            data = data.replace("&amp;", "&")
         if self._a is not None:
             self._a[1] += data
         if self._h1 is not None:
@@ -47,22 +50,23 @@ class _Anchors(HTMLParser):
             self.title, self._h1 = self._h1.strip(), None
 
 
-def page_links(url: str | None, html: str | None) -> tuple[str, list[tuple[str, str]]]:
-    """Title of a page's first h1, and (href made absolute, label) of its links in page order."""
-    p = _Anchors()
-    p.feed(html or "")
+def page_links(url: str | None, html: str | None, decode: bool = True) -> tuple[str, list[tuple[str, str]]]:
+    """Title of a page's first h1, and (href made absolute, label) of its links in page order. decode: character references become
+    characters, as in HTML; otherwise they stay as they are written."""
+    p = _Anchors(decode)
+    p.feed((html or "") if decode else (html or "").replace("&", "&amp;"))
     p.close()
     return (p.title if p.title is not None else (p._h1 or "").strip()) or "", [(urljoin(url or "", h), t.strip()) for h, t in p.links]
 
 
-def _page_parts(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
-    found = [page_links(url, html) for url, html in zip(urls, pages, strict=True)]
-    return pd.DataFrame({"title": [t for t, _ in found], "links": [[{"href": h, "label": x} for h, x in links] for _, links in found]})
+def page_parts(url: Column | str, html: Column | str, decode: bool = True) -> Column:
+    """struct(title: of the first h1, links: array of (href made absolute, label) in page order). decode: as for page_links."""
 
+    def parts(urls: pd.Series, pages: pd.Series) -> pd.DataFrame:
+        found = [page_links(url, page, decode) for url, page in zip(urls, pages, strict=True)]
+        return pd.DataFrame({"title": [t for t, _ in found], "links": [[{"href": h, "label": x} for h, x in links] for _, links in found]})
 
-def page_parts(url: Column | str, html: Column | str) -> Column:
-    """struct(title: of the first h1, links: array of (href made absolute, label) in page order)."""
-    return F.pandas_udf(_page_parts, "struct<title:string,links:array<struct<href:string,label:string>>>")(url, html)
+    return F.pandas_udf(parts, "struct<title:string,links:array<struct<href:string,label:string>>>")(url, html)
 
 
 def listing_links(pages: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:

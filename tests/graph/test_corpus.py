@@ -220,3 +220,16 @@ def test_ids_counts_and_binaries(spark, tmp_path):
         return content.decode().split("|")
 
     assert sorted(rows(tables.read_binaries(spark, str(tmp_path), "transcript", pages))) == [("a.pdf", "transcript", "one\n\ntwo"), ("b.pdf", "transcript", "")]
+
+
+def test_title_and_link_keep_references_as_sql_does(spark, tmp_path):
+    import duckdb
+
+    from quillgraph.queries import ORACLE_SQL, QUERIES
+
+    heads = ["A &amp; b &lt; c &quot;d&#39; &amp", "cut &quot", "&amp;lt; &copy; &eacute &#x41;", ""]
+    pages = [(i, f'<h1>{h}</h1><a href="/x?a=1&amp;b={i}">the &quot;one&quot;</a><a href="/y">no</a>') for i, h in enumerate(heads)]
+    spark.createDataFrame(pages, "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    want = duckdb.connect().execute(ORACLE_SQL["page_title_link"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")).fetchall()
+    assert sorted(rows(QUERIES["page_title_link"](spark, str(tmp_path)))) == sorted(want)
+    assert discovery.page_links("http://h/", pages[0][1])[0] == "A & b < c \"d' &"
