@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillgraph.plans.algebra import Pattern, Var, closure
 from quillgraph.plans.vocabulary import OWL, RDFS, Vocabulary
 from quillgraph.sources.graph import KEY, lexical, with_predicate
-from quillgraph.sources.tables import cut
+from quillgraph.sources.tables import cut, spread
 from quillgraph.sources.turtle import RDF, XSD
 
 
@@ -61,6 +61,16 @@ def bad_confidence(graph: DataFrame, vocabulary: Vocabulary | None = None) -> Da
     )
 
 
+def one_way(pairs: DataFrame, rows: int) -> DataFrame:
+    """Different pairs(a, b), of about so many rows, whose reverse (b, a) isn't there. A null is equal to nothing, so pairs with one stay."""
+    a, b = pairs.columns
+    back = F.coalesce(F.col(a) > F.col(b), F.lit(False))
+    ends = pairs.select(F.when(back, F.col(b)).otherwise(F.col(a)).alias("_lo"), F.when(back, F.col(a)).otherwise(F.col(b)).alias("_hi"), back.alias("_back"))
+    ways = spread(ends, rows, "_lo", "_hi").groupBy("_lo", "_hi").agg(F.max("_back").alias("_back"), F.max(~F.col("_back")).alias("_on"))
+    alone = ways.filter(~(F.col("_back") & F.col("_on")) & ~F.coalesce(F.col("_lo") == F.col("_hi"), F.lit(False)))
+    return alone.select(F.when(F.col("_back"), F.col("_hi")).otherwise(F.col("_lo")).alias(a), F.when(F.col("_back"), F.col("_lo")).otherwise(F.col("_hi")).alias(b))
+
+
 def over_cardinality(graph: DataFrame, predicate: str, most: int = 1) -> DataFrame:
     return graph.filter(F.col("p") == f"<{predicate}>").groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") > most)
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -39,6 +38,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, rows: int, *keys: str, rows_a_part: int = 500_000) -> DataFrame:
+    """df, which has about so many rows, dealt by keys into parts of at most rows_a_part on average: a task's share doesn't grow with the table."""
+    return df.repartition(_parts(df.sparkSession, rows, rows_a_part), *keys)
+
+
+def _parts(spark: SparkSession, rows: int, rows_a_part: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_a_part))
+
+
 def _file_system(spark: SparkSession, path: str):
     """The file system of a path, and a maker of its paths."""
     jvm = spark._jvm.org.apache.hadoop.fs.Path
@@ -121,14 +129,15 @@ def replace_by_key(df: DataFrame, path: str, key: str, keys: DataFrame) -> None:
 def read_manifest(spark: SparkSession, path: str, schema: str = MANIFEST) -> DataFrame:
     """CSV rows by episode_url; of a URL's rows the last wins, by file name and then by place in the file; empty where there is no file.
 
-    A file with quoted line ends is read by one task, so places within it are in order.
+    A file with quoted line ends is read by one task, so places within it are in order; write_manifest bounds the files. Which row of a URL
+    is the last is found by partial aggregates.
     """
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    order = W.partitionBy("episode_url").orderBy(F.desc("_order"))
-    return rows.withColumn("_order", place).withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_order", "_n")
+    last = rows.withColumn("_order", place).groupBy("episode_url").agg(F.max_by(F.struct(*rows.columns), "_order").alias("_last"))
+    return last.select("_last.*")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -137,6 +146,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").options(**kept).csv(path)
 
 
+def write_manifest(df: DataFrame, path: str, order: list[str], rows_a_part: int = 20_000, rows_a_file: int = 2_000) -> None:
+    """CSV files with headers for read_manifest: df in its order by `order`, whose columns aren't written, over the files by name and within them.
+
+    A task writes one range of about rows_a_part rows, as files of at most rows_a_file. Rows equal in `order` are in no order and in one task.
+    """
+    kept = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ranges = df.repartitionByRange(_parts(df.sparkSession, df.count(), rows_a_part), *order).sortWithinPartitions(*order)
+    ranges.drop(*order).write.mode("overwrite").options(**kept).option("maxRecordsPerFile", rows_a_file).csv(path)
+
+
 def read_sitemap(spark: SparkSession, path: str) -> DataFrame:
     """(url) of each <url><loc>."""
     return spark.read.format("xml").option("rowTag", "url").schema("loc string").load(path).select(F.trim("loc").alias("url"))

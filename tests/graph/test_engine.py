@@ -340,3 +340,12 @@ def test_conditions_reach_the_scans(spark, capsys):
     text = plan("bound_subject")
     assert "EqualTo(c_custkey,7)" in text and "lineitem" not in text and "orders" not in text
     assert "lineitem" not in plan("var_predicate")
+
+
+def test_one_way_pairs_in_bounded_parts(spark):
+    pairs = [(1, 2), (2, 1), (1, 2), (3, 3), (5, 4), (5, 4), (None, 5), (5, None), (None, None), (6, 7)]
+    df = spark.createDataFrame(pairs, "a long, b long")
+    out = integrity.one_way(df, 10_000_000)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(5, 4), (None, 5), (5, None), (None, None), (6, 7)], key=repr)
+    assert out.rdd.getNumPartitions() >= 20  # 500,000 rows a part, whatever the session's number of partitions is
+    assert "Join" not in out._jdf.queryExecution().toString()
