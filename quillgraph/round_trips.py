@@ -184,7 +184,8 @@ def manifest_csv(spark, d):
     path = _folder(spark, "manifest")
     title = F.replace("html", F.lit("\r"), F.lit(""))
     rows = table(spark, d, "pages").filter("url <> ''").select("page_id", F.col("url").alias("episode_url"), F.lit("page").alias("type"), title.alias("title"), F.lit("t").alias("transcript_url"), F.lit("f").alias("local_filename"))
-    tables.write_csv(rows.unionByName(rows.withColumns({"page_id": F.lit(-1).cast("long"), "type": F.lit("stale")})).orderBy("page_id").drop("page_id"), path)
+    both = rows.withColumn("fresh", F.lit(1)).unionByName(rows.withColumns({"type": F.lit("stale"), "fresh": F.lit(0)}))
+    tables.write_manifest(both, path, ["fresh", "page_id"])
     return tables.read_manifest(spark, path).select("episode_url", "type", "title")
 
 @query("SELECT trim(url) AS url FROM pages WHERE trim(url) <> ''")

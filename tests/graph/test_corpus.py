@@ -233,3 +233,15 @@ def test_title_and_link_keep_references_as_sql_does(spark, tmp_path):
     want = duckdb.connect().execute(ORACLE_SQL["page_title_link"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")).fetchall()
     assert sorted(rows(QUERIES["page_title_link"](spark, str(tmp_path)))) == sorted(want)
     assert discovery.page_links("http://h/", pages[0][1])[0] == "A & b < c \"d' &"
+
+
+def test_manifest_files_are_bounded_and_the_last_row_wins(spark, tmp_path):
+    whole = [(i, f"http://h/{i % 40}", "page", f'line "{i}"\n, two\\', "t", "f") for i in range(400)]
+    df = spark.createDataFrame(whole, "pos int, episode_url string, type string, title string, transcript_url string, local_filename string")
+    path = str(tmp_path / "m")
+    tables.write_manifest(df.repartition(5), path, ["pos"], rows_a_part=100, rows_a_file=30)
+    files = sorted((tmp_path / "m").glob("*.csv"))
+    assert len(files) >= 14  # before: one file, written and read by one task
+    assert rows(spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(files[0])).limit(1).select("episode_url")) == [("http://h/0",)]
+    found = tables.read_manifest(spark, path)
+    assert sorted(rows(found)) == sorted(r[1:] for r in whole[360:])
