@@ -263,13 +263,14 @@ def closure(edges: DataFrame, starts: DataFrame | None = None) -> DataFrame:
 
     A semi-naive fixpoint: each round joins only the pairs that the last one found, and what is reached already goes, so cycles end. Every
     round is written to the shared folder; there are as many rounds as the longest shortest path has steps. Nulls reach nothing.
+    Sizes are guessed from files and terms are longer than keys, so joins are by shuffle: no round sends edges or pairs to the driver.
     """
-    edges = cut(edges.select("s", "o").dropna().distinct())
+    edges = cut(edges.select("s", "o").dropna().distinct()).hint("merge")
     new = edges if starts is None else edges.join(starts.select("s").distinct(), "s", "left_semi")
     reached = new = cut(new)
     while not new.isEmpty():
         step = new.select("s", F.col("o").alias("_via")).join(edges.select(F.col("s").alias("_via"), "o"), "_via").select("s", "o").distinct()
-        new = cut(step.join(reached, ["s", "o"], "left_anti"))
+        new = cut(step.join(reached.hint("merge"), ["s", "o"], "left_anti"))
         reached = reached.unionAll(new)
     return reached
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.operators import confidence, integrity
+from quillgraph.plans import algebra
 from quillgraph.plans.algebra import Group, Path, Pattern, Query, Var, run
 from quillgraph.plans.named_queries import TEXTS, ask_named
 from quillgraph.plans.sparql import SparqlError, parse, sparql
@@ -349,3 +350,15 @@ def test_one_way_pairs_in_bounded_parts(spark):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([(5, 4), (None, 5), (5, None), (None, None), (6, 7)], key=repr)
     assert out.rdd.getNumPartitions() >= 20  # 500,000 rows a part, whatever the session's number of partitions is
     assert "Join" not in out._jdf.queryExecution().toString()
+
+
+def test_closures_broadcast_nothing(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(algebra, "cut", lambda df: plans.append(df._jdf.queryExecution().toString()) or df.localCheckpoint())
+    edges = spark.createDataFrame([(f"n{i}", f"n{i // 3}") for i in range(3, 60)], "s string, o string")
+    assert algebra.closure(edges).count() == sum(len(_above(i)) for i in range(3, 60))
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastExchange" in p for p in plans)
+
+
+def _above(i):
+    return [] if i < 3 else [i // 3, *_above(i // 3)]
