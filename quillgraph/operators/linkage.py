@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillgraph.functions.text import normalize_title, number_after, part_number, word_count
+from quillgraph.sources.tables import cut
 
 #: What containment scores, and from which length on.
 CONTAINED, LEAST_CONTAINED = 0.95, 5
@@ -181,9 +182,10 @@ def shared_grams(left: DataFrame, candidates: DataFrame, byline: str | None = No
     An integer form of the search, through the same index; titles that share none have no row. A frequent q-gram meets all its candidates.
     """
     asked, known = distinct_titles(left, candidates, byline)
-    pairs = _grams(asked.select("title").distinct()).join(_grams(known).select("gram", "idx"), "gram").groupBy("title", "idx").agg(F.count("*").alias("shared"))
-    best = pairs.groupBy("title").agg(F.max(F.struct("shared", (-F.col("idx")).alias("last"))).alias("best"))
-    return best.select("title", F.col("best.shared").alias("shared"), (-F.col("best.last")).alias("cand_idx"))
+    asked = cut(asked.select("title").distinct()).withColumn("_id", F.monotonically_increasing_id())  # pairs hold two numbers, no texts
+    pairs = _grams(asked).select("gram", "_id").join(_grams(known).select("gram", "idx"), "gram").groupBy("_id", "idx").agg(F.count("*").alias("shared"))
+    best = pairs.groupBy("_id").agg(F.max(F.struct("shared", (-F.col("idx")).alias("last"))).alias("best"))
+    return best.join(asked, "_id").select("title", F.col("best.shared").alias("shared"), (-F.col("best.last")).alias("cand_idx"))
 
 
 def counts_by_method(linked: DataFrame) -> DataFrame:

@@ -245,3 +245,14 @@ def test_manifest_files_are_bounded_and_the_last_row_wins(spark, tmp_path):
     assert rows(spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(files[0])).limit(1).select("episode_url")) == [("http://h/0",)]
     found = tables.read_manifest(spark, path)
     assert sorted(rows(found)) == sorted(r[1:] for r in whole[360:])
+
+
+def test_shared_grams_group_numbers_not_texts(spark):
+    left = spark.createDataFrame([("a long title of one",), ("zzz",), ("a long title of one",)], "title string")
+    cands = spark.createDataFrame([(1, "long titles"), (2, "a title of one"), (3, "a title of one")], "idx long, title string")
+    out = linkage.shared_grams(left, cands)
+    grams = lambda t: {t[i : i + 3] for i in range(len(t) - 2)}
+    assert rows(out) == [("a long title of one", len(grams("a long title of one") & grams("a title of one")), 2)]
+    import re
+
+    assert not any("title" in keys for keys in re.findall(r"keys=\[([^\]]*idx[^\]]*)\]", out._jdf.queryExecution().toString()))
