@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,78 +26,133 @@ def score_titles(title: str, other: str) -> float:
 
 
 class Titles:
-    """Titles as rows of character counts, so that a title's upper bounds with all of them are one array operation."""
+    """Titles as rows of character counts and as bits by character, so that a title meets many others in one array operation.
+
+    The ratio of matching blocks is difflib's, block by block: a block's length, and of equal ones the first, come from runs of bits. Titles of 200 characters
+    and more go through difflib itself, whose rule for frequent characters begins there.
+    """
+
+    LONG = 200
 
     def __init__(self, titles: list[str], parts: list[int | None], ids: list[int]):
         self.titles, self.ids = titles, np.array(ids, np.int64)
         self.parts = np.array([np.nan if p is None or p != p else p for p in parts], float)
         self.place = {c: i for i, c in enumerate(sorted(set("".join(titles))))}
-        self.lengths = np.array([len(t) for t in titles])
-        self.counts = np.array([self.count(t) for t in titles], np.int32).reshape(len(titles), len(self.place))
-        self.known: dict[int, tuple[difflib.SequenceMatcher, np.ndarray]] = {}  # each title is indexed once
+        self.lengths = np.array([len(t) for t in titles], np.int64)
+        which, where = np.repeat(np.arange(len(titles)), self.lengths), np.concatenate([np.arange(n) for n in self.lengths] or [[]]).astype(np.int64)
+        chars = np.array([self.place[c] for t in titles for c in t], np.int64)
+        self.counts = np.bincount(which * len(self.place) + chars, minlength=len(titles) * len(self.place)).reshape(len(titles), len(self.place)).astype(np.int32)
+        self.words = np.maximum(1, -(-self.lengths // 64))
+        self.bits: dict[int, list[np.ndarray]] = {}  # by number of words: for each word, character and title the places that hold it
+        self.row = np.zeros(len(titles), np.int64)
+        for w in np.unique(self.words[self.lengths < self.LONG]).tolist():
+            of = np.flatnonzero((self.words == w) & (self.lengths < self.LONG))
+            self.row[of] = np.arange(len(of))
+            mine = np.isin(which, of)
+            bits = np.zeros((w, len(self.place) + 1, len(of)), np.uint64)
+            np.add.at(bits, (where[mine] // 64, chars[mine], self.row[which[mine]]), np.uint64(1) << (where[mine] % 64).astype(np.uint64))
+            self.bits[w] = list(bits)
+        self.known: dict[int, difflib.SequenceMatcher] = {}  # each long title is indexed once
         self.scored = 0
 
     def count(self, title: str) -> np.ndarray:
         return np.bincount([self.place[c] for c in title if c in self.place], minlength=len(self.place))
 
-    def running(self, title: str) -> np.ndarray:
-        """Character counts of every beginning of a title."""
-        ones = np.zeros((len(title) + 1, len(self.place) + 1), np.int32)
-        ones[np.arange(1, len(title) + 1), [self.place.get(c, len(self.place)) for c in title]] = 1
-        return np.cumsum(ones, axis=0)[:, :-1]
-
-    def ratio(self, title: str, counts: np.ndarray, i: int, least: float) -> float | None:
-        """The ratio of matching blocks with title i, or None once it is certain that it is below `least`.
+    def _longest(self, chars: np.ndarray, words: list[np.ndarray], at: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray):
+        """Begin in both and length of the longest block that a title's places a to b share with c to d of the others in rows `at`.
 
-        Blocks are found longest first; what is left and right of one can match at most the characters that both sides share there.
+        Bit j of a place's words says whether a run of so many characters ends there and at the other's place j. An empty place ends each part.
         """
-        if i not in self.known:
-            self.known[i] = difflib.SequenceMatcher(None, "", self.titles[i]), self.running(self.titles[i])
-        matcher, theirs = self.known[i]
-        matcher.set_seq1(title)
-        n, m = len(title), len(self.titles[i])
-        open_, matched, possible = [(0, n, 0, m)], 0, min(n, m)
-        shared = lambda a, b, c, d: int(np.minimum(counts[b] - counts[a], theirs[d] - theirs[c]).sum())
-        bounds = [possible]
-        while open_:
-            a, b, c, d = open_.pop()
-            possible -= bounds.pop()
-            at, other, size = matcher.find_longest_match(a, b, c, d)
-            if size:
-                matched, possible = matched + size, possible + size
-                for part in ((a, at, c, other), (at + size, b, other + size, d)):
-                    if part[0] < part[1] and part[2] < part[3] and (most := shared(*part)):
-                        open_.append(part)
-                        bounds.append(most)
-                        possible += most
-            if 2.0 * possible / (n + m) < least:
-                return None
-        self.scored += 1
-        return 2.0 * matched / (n + m)
-
-    def closest(self, title: str, part: int | None, floor: float = 0.0) -> tuple[float, int | None]:
+        spans = b - a + 1
+        starts = np.cumsum(spans) - spans
+        ends = starts + spans - 1
+        of_char = chars[np.arange(spans.sum()) - np.repeat(starts - a, spans)] * words[0].shape[1] + np.repeat(at, spans)
+        below = lambda n: np.where(n >= 64, ~np.uint64(0), (np.uint64(1) << (n % 64).astype(np.uint64)) - np.uint64(1))
+        here = [bits.ravel()[of_char] for bits in words]
+        for w, bits in enumerate(here):
+            bits &= np.repeat(below(np.clip(d - 64 * w, 0, 64)) & ~below(np.clip(c - 64 * w, 0, 64)), spans)
+            bits[ends] = 0
+        size, end, last, open_ = np.zeros_like(a), np.zeros_like(a), np.zeros_like(a), np.arange(len(a))
+        one, held, k = np.uint64(1), np.flatnonzero(reduce(np.bitwise_or, here)), 1
+        run = [r[held] for r in here]
+        while len(held):
+            new = np.searchsorted(held, starts[open_])
+            has = held[np.minimum(new, len(held) - 1)]
+            has = (has >= starts[open_]) & (has < ends[open_])
+            open_, new = open_[has], new[has]
+            size[open_], end[open_] = k, held[new] - starts[open_] + a[open_]
+            for w in reversed(range(len(run))):
+                r = run[w][new]
+                last[open_] = np.where(r != 0, 64 * w + np.frexp((r & (~r + one)).astype(float))[1] - 1, last[open_])
+            held, k = held + 1, k + 1
+            longer = [(r << one) & bits[held] for r, bits in zip(run, here, strict=True)]
+            for w in range(1, len(run)):
+                longer[w] |= (run[w - 1] >> np.uint64(63)) & here[w][held]
+            on = np.flatnonzero(reduce(np.bitwise_or, longer))
+            run, held = [r[on] for r in longer], held[on]
+        return end - size + 1, last - size + 1, size
+
+    def ratios(self, title: str, of: np.ndarray, least: float) -> np.ndarray:
+        """The ratios of matching blocks with the titles `of`, or -1 where it is certain that it is below `least`.
+
+        Blocks are found longest first, for all of them at once; what is left and right of one can match at most the shorter of both sides there.
+        """
+        out = np.full(len(of), -1.0)
+        n, chars = len(title), np.array([*(self.place.get(c, len(self.place)) for c in title), len(self.place)], np.int64)
+        for i in np.flatnonzero(self.lengths[of] >= self.LONG).tolist():
+            matcher = self.known.setdefault(int(of[i]), difflib.SequenceMatcher(None, "", self.titles[of[i]]))
+            matcher.set_seq1(title)
+            out[i] = matcher.ratio()
+        for w, words in self.bits.items():
+            mine = np.flatnonzero((self.words[of] == w) & (self.lengths[of] < self.LONG))
+            rows, total = self.row[of[mine]], self.lengths[of[mine]] + n
+            matched, which = np.zeros(len(mine), np.int64), np.arange(len(mine))
+            a, b, c, d = np.zeros_like(which), np.full_like(which, n), np.zeros_like(which), total - n
+            alive = np.ones(len(mine), bool)
+            while len(which):
+                possible = matched + np.bincount(which, np.minimum(b - a, d - c), len(mine)).astype(np.int64)
+                alive &= 2.0 * possible / total >= least
+                on = alive[which]
+                which, a, b, c, d = which[on], a[on], b[on], c[on], d[on]
+                at, other, size = self._longest(chars, words, rows[which], a, b, c, d)
+                matched += np.bincount(which, size, len(mine)).astype(np.int64)
+                parts = [np.concatenate(x) for x in ((which, which), (a, at + size), (at, b), (c, other + size), (other, d))]
+                on = np.concatenate([size, size]) > 0
+                on &= (parts[1] < parts[2]) & (parts[3] < parts[4])
+                which, a, b, c, d = (x[on] for x in parts)
+            out[mine] = np.where(alive, 2.0 * matched / total, -1.0)
+        self.scored += int((out >= 0).sum())
+        return out
+
+    def closest(self, title: str, part: int | None, floor: float = 0.0, at_once: int = 400) -> tuple[float, int | None]:
         """Score and id of the best title that reaches `floor`, of equal scores the least id; 0 and None where none does.
 
-        A title may share at most the characters that both have. In falling order of that bound the others are scored, until
+        A title may share at most the characters that both have. In falling order of that bound the others are scored, some at once, until
         none left can reach the best. Titles with another part number are none.
         """
         shared = np.minimum(self.counts, self.count(title)).sum(axis=1)
         bound = 2.0 * shared / (self.lengths + len(title))
         least = np.minimum(self.lengths, len(title))
+        held = np.zeros(len(bound), bool)
         for i in np.flatnonzero((shared == least) & (least >= LEAST_CONTAINED)).tolist():
-            if self.titles[i] in title or title in self.titles[i]:
-                bound[i] = CONTAINED
+            held[i] = self.titles[i] in title or title in self.titles[i]
+        bound[held] = CONTAINED
         if part is not None and part == part:
             bound[~np.isnan(self.parts) & (self.parts != part)] = 0.0
-        best, chosen, counts = floor, None, self.running(title)
-        for i in np.lexsort((self.ids, -bound)).tolist():
-            if bound[i] <= 0 or bound[i] < best:
+        best, chosen = floor, None
+        order, size = np.lexsort((self.ids, -bound)), 16
+        while len(order):
+            of, order, size = order[:size], order[size:], min(4 * size, at_once)
+            of = of[(bound[of] > 0) & (bound[of] >= best)]
+            if not len(of):
                 break
-            other = self.titles[i]
-            held = least[i] >= LEAST_CONTAINED and (other in title or title in other)
-            score = CONTAINED if held else self.ratio(title, counts, i, best)
-            if score and (score > best or score == best and (chosen is None or self.ids[i] < chosen)):
-                best, chosen = score, int(self.ids[i])
+            score = np.full(len(of), CONTAINED)
+            score[~held[of]] = self.ratios(title, of[~held[of]], best)
+            found = float(score.max())
+            if found > 0 and found >= best:
+                first = int(self.ids[of[score == found]].min())
+                chosen = first if found > best or chosen is None else min(first, chosen)
+                best = found
         return (best, chosen) if chosen is not None else (0.0, None)
 
 
@@ -119,20 +175,20 @@ def _grams(df: DataFrame, q: int = 3) -> DataFrame:
 def floors(asked: DataFrame, known: DataFrame, rare: int = 6, most: int = 1000) -> DataFrame:
     """asked(title, part) with a column floor: the score of the candidate that shares most of the title's rarest q-grams, or 0.
 
-    An inverted index from q-grams to known(title, part, idx); a title looks its `rare` rarest q-grams up, and of those only ones that at
-    most `most` candidates have. What is found is only a score that the best one reaches, so leaving grams out loses nothing.
+    An inverted index from q-grams to known(title, part, idx), both distinct and cut; a title looks its `rare` rarest q-grams up, and of those only ones that at
+    most `most` candidates have. What is found is only a score that the best one reaches, so leaving grams out loses nothing. Pairs hold numbers, no texts.
     """
-    index = _grams(known).select("gram", F.col("title").alias("other"), F.col("part").alias("other_part"), "idx")
+    asked, known = asked.withColumn("_id", F.monotonically_increasing_id()), known.withColumn("_k", F.monotonically_increasing_id())
+    index = _grams(known.withColumn("_l", F.length("title"))).select("gram", "_k", F.col("part").alias("other_part"), "_l", "idx")
     held = index.groupBy("gram").agg(F.count("*").alias("n")).filter(F.col("n") <= most)
-    rarest = W.partitionBy("title", "part").orderBy("n", "gram")
-    looked = _grams(asked).join(held, "gram").withColumn("_n", F.row_number().over(rarest)).filter(F.col("_n") <= rare).select("title", "part", "gram")
+    rarest = W.partitionBy("_id").orderBy("n", "gram")
+    looked = _grams(asked).select("_id", "part", "gram").join(held, "gram").withColumn("_n", F.row_number().over(rarest)).filter(F.col("_n") <= rare).select("_id", "part", "gram")
     fits = F.coalesce(F.col("part") == F.col("other_part"), F.lit(True))
-    pairs = looked.join(index, "gram").filter(fits).groupBy("title", "part", "other", "idx").agg(F.count("*").alias("n"))
-    seeds = pairs.groupBy("title", "part").agg(F.max_by("other", F.struct("n", (-F.length("other")).alias("l"), (-F.col("idx")).alias("i"))).alias("other"))
+    pairs = looked.join(index, "gram").filter(fits).groupBy("_id", "_k", "_l", "idx").agg(F.count("*").alias("n"))
+    seeds = pairs.groupBy("_id").agg(F.max_by("_k", F.struct("n", (-F.col("_l")).alias("l"), (-F.col("idx")).alias("i"))).alias("_k"))
     score = F.pandas_udf(lambda a, b: pd.Series([score_titles(x, y) for x, y in zip(a, b, strict=True)], dtype=float), "double")
-    seeds = seeds.select(F.col("title").alias("_title"), F.col("part").alias("_p"), score("title", "other").alias("floor"))
-    found = asked.join(seeds, (F.col("title") == F.col("_title")) & F.col("part").eqNullSafe(F.col("_p")), "left")
-    return found.select("title", "part", F.coalesce("floor", F.lit(0.0)).alias("floor"))
+    seeds = seeds.join(known.select("_k", F.col("title").alias("other")), "_k").join(asked.select("_id", "title"), "_id").select("_id", score("title", "other").alias("floor"))
+    return asked.join(seeds, "_id", "left").select("title", "part", F.coalesce("floor", F.lit(0.0)).alias("floor"))
 
 
 def closest_pairs(asked: DataFrame, known: DataFrame, titles_at_once: int = 256, candidates_at_once: int = 2000) -> DataFrame:
@@ -141,13 +197,14 @@ def closest_pairs(asked: DataFrame, known: DataFrame, titles_at_once: int = 256,
 
     Titles and candidates are dealt to blocks by hash; each pair of blocks is one group of bounded size, and there are groups for all cores.
     """
+    cores = asked.sparkSession.sparkContext.defaultParallelism
+    asked, known = (cut(df.repartition(cores, "title")) for df in (asked, known))  # what they are made from is read once
     n, m = asked.count(), known.count()
     columns = max(1, -(-m // candidates_at_once))
-    cores = asked.sparkSession.sparkContext.defaultParallelism
     rows = max(1, -(-n // titles_at_once), min(n, -(-3 * cores // columns)))
     block = lambda k: F.pmod(F.xxhash64("title", "part"), F.lit(k)).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-    groups = min(rows * columns, max(cores, rows * columns // 8))
+    groups = min(rows * columns, max(20 * cores, rows * columns // 8))
     left = floors(asked, known).withColumn("row", block(rows)).withColumn("column", every(columns)).repartition(groups, "row", "column")
     right = known.withColumn("column", block(columns)).withColumn("row", every(rows)).repartition(groups, "row", "column")
     return left.groupBy("row", "column").cogroup(right.groupBy("row", "column")).applyInPandas(_closest_in_block, "title string, part int, score double, idx long, scored long")

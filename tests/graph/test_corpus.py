@@ -256,3 +256,23 @@ def test_shared_grams_group_numbers_not_texts(spark):
     import re
 
     assert not any("title" in keys for keys in re.findall(r"keys=\[([^\]]*idx[^\]]*)\]", out._jdf.queryExecution().toString()))
+
+
+def test_ratios_of_many_titles_are_difflibs(monkeypatch):
+    import random
+
+    import numpy as np
+
+    rnd, calls = random.Random(3), []
+    word = lambda most: "".join(rnd.choice("abcd eé") for _ in range(rnd.randint(1, most)))
+    for most in (5, 64, 65, 130, 260):  # one to four words of bits, and titles that go through difflib itself
+        others = [word(most) for _ in range(40)]
+        asked = [word(260) for _ in range(4)] + [word(40) + others[0] + word(40), others[1][:50]]
+        pool = linkage.Titles(others, [None] * 40, list(range(40)))
+        for title in asked:
+            assert pool.ratios(title, np.arange(40), 0.0).tolist() == [difflib.SequenceMatcher(None, title, t).ratio() for t in others]
+    found = difflib.SequenceMatcher.find_longest_match
+    monkeypatch.setattr(difflib.SequenceMatcher, "find_longest_match", lambda *a, **k: calls.append(1) or found(*a, **k))
+    others = [word(150) for _ in range(40)]
+    got = linkage.Titles(others, [None] * 40, list(range(40))).closest(asked[0], None)
+    assert got[0] > 0 and not calls  # before: difflib for one pair after the other
