@@ -76,8 +76,10 @@ def over_cardinality(graph: DataFrame, predicate: str, most: int = 1) -> DataFra
 
 
 def difference(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows gained and lost between two graphs (s, p, o): (change, s, p, o)."""
-    return after.exceptAll(before).select(F.lit("gained").alias("change"), "*").unionAll(before.exceptAll(after).select(F.lit("lost").alias("change"), "*"))
+    """Rows gained and lost between two graphs (s, p, o), as bags: (change, s, p, o). Both meet in one grouping."""
+    both = after.withColumn("_n", F.lit(1)).unionAll(before.withColumn("_n", F.lit(-1)))
+    left = both.groupBy(*after.columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    return left.select(F.when(F.col("_n") > 0, "gained").otherwise("lost").alias("change"), *after.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n"))).alias("_i")).drop("_i")
 
 
 def domain_range(graph: DataFrame, predicate: str, domain: str | None = None, range_: str | None = None) -> DataFrame:
@@ -88,33 +90,89 @@ def domain_range(graph: DataFrame, predicate: str, domain: str | None = None, ra
     return parts[0] if len(parts) == 1 else parts[0].unionAll(parts[1])
 
 
+def _ids(node: Column, name: str) -> list[Column]:
+    """A node as two numbers: 16 bytes, whatever its label."""
+    return [F.xxhash64(F.lit(seed), node).alias(f"{name}{seed}") for seed in (1, 2)]
+
+
+def _mark_sums(*told: Column) -> list[Column]:
+    """Sums, as _m0 to _m3, of the halves of two hashes of what a row tells: longs, for fewer than 2^31 rows. Rows that tell null count nothing."""
+    hashes = [F.when(told[0].isNotNull(), F.xxhash64(F.lit(seed), *told)) for seed in (1, 2)]
+    halves = [x for h in hashes for x in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    return [F.coalesce(F.sum(h), F.lit(0)).alias(f"_m{i}") for i, h in enumerate(halves)]
+
+
+def _mixed(*columns: str, to: str = "_c") -> list[Column]:
+    return [F.xxhash64(F.lit(seed), *columns).alias(f"{to}{seed}") for seed in (1, 2)]
+
+
 def canonical(graph: DataFrame, most_rounds: int = 100) -> DataFrame:
     """graph(s, p, o) with blank nodes named by what they are in: two loads of one graph come out equal, whatever labels they gave.
 
     Colour refinement: a node's colour is a hash of its triples with the colours of the blank nodes at their other ends, taken again until
     no more nodes are told apart. Sums of hashes make a colour, so a node with any number of triples needs no list of them.
     Nodes that refinement can't tell apart share a name, and their triples stay as often as they are there: compare as bags. Nulls stay null.
+
+    Nodes and colours are two numbers each. One grouping finds what a node is in by its other triples. A node with a single blank neighbour tells that
+    one what it is in and takes its own colour from the neighbour's at the end, so rounds run only over triples between the others.
     """
-    blank = lambda c: F.coalesce(c.startswith("_:"), F.lit(False))
-    ends = [(F.col("s"), F.col("o"), "out"), (F.col("o"), F.col("s"), "in")]
-    edges = reduce(DataFrame.unionAll, [graph.filter(blank(me)).select(me.alias("node"), F.lit(way).alias("way"), "p", other.alias("other")) for me, other, way in ends])
-    edges = cut(edges)
-    colours, known = edges.select("node").distinct().withColumn("colour", F.lit("")), 0
+    blank = lambda c: F.coalesce(F.col(c).startswith("_:"), F.lit(False))
+    graph = graph.select("s", "p", "o")
+    ends = []
+    for me, other, way in (("s", "o", "out"), ("o", "s", "in")):
+        near = [F.when(blank(other), x).alias(f"_o{i}") for i, x in enumerate(_ids(F.col(other), "_"), 1)]
+        far = [F.when(~blank(other), F.xxhash64(F.lit(seed), F.coalesce(other, F.lit("")), F.col(other).isNull())).alias(f"_far{seed}") for seed in (1, 2)]
+        ends.append(graph.filter(blank(me)).select(*_ids(F.col(me), "_n"), F.xxhash64(F.lit(way), "p").alias("_edge"), *near, *far, F.lit(me == "s").alias("_is_s")))
+    node, near = ["_n1", "_n2"], ["_o1", "_o2"]
+    found = ends[0].unionAll(ends[1]).groupBy(*node).agg(
+        *_mark_sums(F.col("_far1"), F.col("_far2"), F.col("_edge")), F.count("_far1").alias("_fars"), F.count("_o1").alias("_degree"),
+        *(F.max(c).alias(c) for c in near), F.max(F.when(F.col("_o1").isNotNull(), F.col("_edge"))).alias("_edge"), F.max("_is_s").alias("_is_s"), F.max(~F.col("_is_s")).alias("_is_o"),
+    )
+    marks = [f"_m{i}" for i in range(4)]
+    single = lambda c: F.when(F.col("_degree") == 1, F.col(c)).alias(c)
+    nodes = cut(found.select(*node, *_mixed(*marks, "_fars", "_degree"), "_degree", *map(single, (*near, "_edge")), "_is_s", "_is_o"))
+    told = nodes.filter("_degree = 1").groupBy(*(F.col(c).alias(n) for c, n in zip(near, node, strict=True))).agg(*_mark_sums(F.col("_edge"), F.col("_c1"), F.col("_c2")), F.count("*").alias("_leaves"))
+    core = nodes.filter("_degree <> 1").join(told, node, "left").na.fill(0, [*marks, "_leaves"])
+    core = cut(core.select(*node, *_mixed("_c1", "_c2", *marks, "_leaves"), (F.col("_degree") - F.col("_leaves")).alias("_open"), "_is_s", "_is_o"))
+    inner = core.filter("_open > 0").select(*node, "_c1", "_c2")
+    if not inner.isEmpty():
+        refined = _refined(graph.filter(blank("s") & blank("o")).select(*_ids(F.col("s"), "_s"), F.xxhash64("p").alias("_edge"), *_ids(F.col("o"), "_o")), inner, most_rounds)
+        core = core.filter("_open = 0").select(*node, "_c1", "_c2", "_is_s", "_is_o").unionAll(core.select(*node, "_is_s", "_is_o").join(refined, node).select(*node, "_c1", "_c2", "_is_s", "_is_o"))
+    parents = core.select(*(F.col(n).alias(c) for c, n in zip(near, node, strict=True)), F.col("_c1").alias("_p1"), F.col("_c2").alias("_p2"))
+    pairs = cut(told.select(*node).join(core.select(*node), node, "left_anti"))  # two nodes with no neighbour but each other
+    if not pairs.isEmpty():
+        parents = parents.unionAll(nodes.join(pairs, node, "left_semi").select(*node, "_c1", "_c2"))
+    leaves = nodes.filter("_degree = 1").join(parents, near).select(*node, *_mixed("_c1", "_c2", "_edge", "_p1", "_p2"), "_is_s", "_is_o")
+    names = cut(core.select(*node, "_c1", "_c2", "_is_s", "_is_o").unionAll(leaves))
+    kept = lambda c: F.when(~blank(c), F.col(c)).alias(c)
+    both = lambda c: [F.when(blank(c), x).alias(f"_{c}{i}") for i, x in enumerate(_ids(F.col(c), "_"), 1)]
+    out = graph.select(kept("s"), "p", kept("o"), *both("s"), *both("o"))  # no label goes through a join
+    for place in ("s", "o"):
+        named = out.filter(f"_{place}1 IS NOT NULL").withColumnsRenamed({f"_{place}{i}": f"_n{i}" for i in (1, 2)}).join(names.filter(f"_is_{place}").select(*node, "_c1", "_c2"), node)
+        out = out.filter(f"_{place}1 IS NULL").unionByName(named.withColumnsRenamed({f"_c{i}": f"_{place}{i}" for i in (1, 2)}).drop(*node))
+    digits = lambda c: F.lpad(F.hex(c), 16, "0")
+    name = lambda c: F.concat(F.lit("_:b"), F.translate(F.base64(F.unhex(F.concat(digits(f"_{c}1"), digits(f"_{c}2")))), "+/=", "-_"))
+    return out.select(F.coalesce("s", name("s")).alias("s"), "p", F.coalesce("o", name("o")).alias("o"))
+
+
+def _refined(edges: DataFrame, nodes: DataFrame, most_rounds: int) -> DataFrame:
+    """nodes(_n1, _n2, _c1, _c2) with the colours that rounds over edges(_s1, _s2, _edge, _o1, _o2) between them come to."""
+    node = ["_n1", "_n2"]
+    end = lambda name: [F.col(f"_n{i}").alias(f"_{name}{i}") for i in (1, 2)]
+    among = edges.join(nodes.select(*end("s")), ["_s1", "_s2"], "left_semi").join(nodes.select(*end("o")), ["_o1", "_o2"], "left_semi")
+    ways = [among.select(*(F.col(f"_{me}{i}").alias(f"_n{i}") for i in (1, 2)), F.xxhash64(F.lit(way), "_edge").alias("_edge"), *(F.col(f"_{other}{i}").alias(f"_t{i}") for i in (1, 2))) for me, other, way in (("s", "o", "out"), ("o", "s", "in"))]
+    edges = cut(ways[0].unionAll(ways[1]))
+    marks = [f"_m{i}" for i in range(4)]
+    colours, known = nodes, nodes.select("_c1", "_c2").distinct().count()
     for _ in range(most_rounds):
-        seen = edges.join(colours.select(F.col("node").alias("other"), F.col("colour").alias("_c")), "other", "left")
-        told = [F.xxhash64(F.lit(seed), "way", "p", F.coalesce("_c", "other"), F.col("_c").isNull()).cast("decimal(38,0)") for seed in (1, 2)]
-        marks = seen.groupBy("node").agg(*(F.sum(h).alias(f"_{i}") for i, h in enumerate(told)), F.count("*").alias("_n"))
-        colours = cut(marks.join(colours, "node").select("node", F.sha2(F.concat_ws("|", "colour", "_0", "_1", "_n"), 256).alias("colour")))
-        now = colours.select("colour").distinct().count()
+        told = edges.join(colours.select(*end("t"), F.col("_c1").alias("_p1"), F.col("_c2").alias("_p2")), ["_t1", "_t2"])
+        told = told.groupBy(*node).agg(*_mark_sums(F.col("_edge"), F.col("_p1"), F.col("_p2")))
+        colours = cut(colours.join(told, node).select(*node, *_mixed("_c1", "_c2", *marks)))
+        now = colours.select("_c1", "_c2").distinct().count()
         if now <= known:
-            break
+            return colours
         known = now
-    else:
-        raise RuntimeError(f"blank nodes were still being told apart after {most_rounds} rounds")
-    out = graph
-    for place in ("s", "o"):
-        out = out.join(colours.select(F.col("node").alias(place), F.concat(F.lit("_:"), "colour").alias("_name")), place, "left").withColumn(place, F.coalesce("_name", place)).drop("_name")
-    return out.select("s", "p", "o")
+    raise RuntimeError(f"blank nodes were still being told apart after {most_rounds} rounds")
 
 
 def constraint_violations(graph: DataFrame, ontology: DataFrame, expand: bool = False) -> DataFrame:
