@@ -317,7 +317,10 @@ def bgp(graph, patterns: list[Pattern], before: Solutions | None = None) -> Solu
     while left:
         nxt = max(left, key=lambda q: (bool(seen & set(q.vars)) or not seen, q.bound, -patterns.index(q)))
         left = [q for q in left if q is not nxt]
-        rows = walk(graph, nxt, out) if isinstance(nxt.p, Path) else match(view_of[id(nxt)], nxt)
+        view = view_of.get(id(nxt))
+        rows = walk(graph, nxt, out) if view is None else match(view, nxt)
+        if out is not None and hasattr(view, "large") and view.large(nxt):
+            rows = rows.hint("merge")  # sizes are guessed from files and terms are longer than keys: a broadcast would put all of them into every task
         out = join(out, Solutions(rows, tuple(nxt.vars)))
         seen |= set(nxt.vars)
     return out

@@ -17,6 +17,8 @@ from quillgraph.plans.vocabulary import SKOS, Vocabulary
 from quillgraph.sources.turtle import RDF, XSD
 
 V = Vocabulary()
+#: Patterns over files of more rows than this are joined by shuffle; smaller ones are left to Catalyst, which may broadcast them.
+FEW_ROWS = 50_000
 LABEL, TYPE = f"<{SKOS}prefLabel>", f"<{RDF}type>"
 
 
@@ -85,6 +87,7 @@ class View:
 
     def __init__(self, branches: list[Branch], whole: View | None = None):
         self.branches, self.whole = branches, whole or self
+        self._rows: dict[tuple[str, ...], int] = {}
 
     @property
     def df(self) -> DataFrame:
@@ -136,6 +139,17 @@ class View:
                 return [View(b, self) for b in now]
             left = now
 
+    def large(self, pattern) -> bool:
+        """Whether a branch that fits reads more than FEW_ROWS rows. Files of repeated values are small and terms are long, so sizes of files don't tell; the files' footers do."""
+        known = self.whole._rows
+        for b in self._fitting(pattern):
+            files = tuple(sorted(b.rows.inputFiles()))
+            if files not in known:
+                known[files] = b.rows.sparkSession.read.parquet(*files).count() if files else 0
+            if known[files] > FEW_ROWS:
+                return True
+        return False
+
     def triples(self, pattern) -> DataFrame:
         return self._union(self._fitting(pattern), {place: getattr(pattern, place) for place in "so" if isinstance(getattr(pattern, place), str)})
 
