@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -117,11 +117,15 @@ def sort_key(term: Column) -> Column:
 
 @dataclass(frozen=True)
 class Solutions:
-    """df: a column for each of `names` (with none: some column). maybe: the names that a row may leave unbound."""
+    """df: a column for each of `names` (with none: some column). maybe: the names that a row may leave unbound. large: whether they are joined to others by shuffle.
+
+    Sizes are guessed from files and terms are longer than keys: a broadcast of large solutions would put all of them into every task. Files are asked only where a join needs to know.
+    """
 
     df: DataFrame
     names: tuple[str, ...]
     maybe: frozenset[str] = frozenset()
+    large: Callable[[], bool] = lambda: False
 
 
 def _c(name: str) -> Column:
@@ -151,7 +155,8 @@ def _meetings(a: Solutions, b: Solutions) -> Iterator[tuple[DataFrame, list[tupl
     open_a, open_b = a.maybe & set(shared), b.maybe & set(shared)
     right = {un: _with_nulls(b, open_b, un).select(*(_c(n).alias(_right(n)) for n in b.names) or [F.lit(1).alias("_r_one")]) for un in _subsets(open_b)}
     for un_a in _subsets(open_a):
-        yield _with_nulls(a, open_a, un_a), [(part, [n for n in shared if n not in un_a and n not in un_b]) for un_b, part in right.items()]
+        keys = {un: [n for n in shared if n not in un_a and n not in un] for un in right}
+        yield _with_nulls(a, open_a, un_a), [(part.hint("merge") if keys[un] and b.large() else part, keys[un]) for un, part in right.items()]
 
 
 def _merged(a: Solutions, b: Solutions, name: str) -> Column:
@@ -188,7 +193,7 @@ def join(a: Solutions | None, b: Solutions, filters: list[tuple] = ()) -> Soluti
             on = _on(keys, conditions)
             parts.append(_select(left.crossJoin(right) if on is None else left.join(right, on), columns))
     certain = (set(a.names) - a.maybe) | (set(b.names) - b.maybe)
-    return Solutions(reduce(DataFrame.unionAll, parts), names, frozenset(names) - certain)
+    return Solutions(reduce(DataFrame.unionAll, parts), names, frozenset(names) - certain, lambda: a.large() or b.large())
 
 
 def having(a: Solutions, b: Solutions, present: bool, filters: list[tuple] = (), need_common: bool = False) -> Solutions:
@@ -213,7 +218,7 @@ def having(a: Solutions, b: Solutions, present: bool, filters: list[tuple] = (),
             left = left.join(right, on, "left_semi" if present else "left_anti")
         if found or not present:
             parts.append(left)
-    return Solutions(reduce(DataFrame.unionAll, parts), a.names, a.maybe) if parts else Solutions(a.df.limit(0), a.names, a.maybe)
+    return Solutions(reduce(DataFrame.unionAll, parts), a.names, a.maybe, a.large) if parts else Solutions(a.df.limit(0), a.names, a.maybe)
 
 
 def optional(a: Solutions, b: Solutions, filters: list[tuple] = ()) -> Solutions:
@@ -225,16 +230,16 @@ def optional(a: Solutions, b: Solutions, filters: list[tuple] = ()) -> Solutions
         conditions = [condition(f, lambda n: _merged(a, b, n) if n in names else F.lit(None).cast("string")) for f in filters]
         ((left, [(right, keys)]),) = _meetings(a, b)
         on = _on(keys, conditions)
-        return Solutions(_select(left.join(right, F.lit(True) if on is None else on, "left"), [_merged(a, b, n).alias(n) for n in names]), names, maybe)
+        return Solutions(_select(left.join(right, F.lit(True) if on is None else on, "left"), [_merged(a, b, n).alias(n) for n in names]), names, maybe, lambda: a.large() or b.large())
     alone = having(a, b, False, filters).df.withColumns({n: F.lit(None).cast("string") for n in names if n not in a.names})
-    return Solutions(join(a, b, filters).df.unionByName(_select(alone, [_c(n) for n in names])), names, maybe)
+    return Solutions(join(a, b, filters).df.unionByName(_select(alone, [_c(n) for n in names])), names, maybe, lambda: a.large() or b.large())
 
 
 def union(branches: list[Solutions]) -> Solutions:
     names = tuple(dict.fromkeys(n for b in branches for n in b.names))
     none = F.lit(None).cast("string")
     parts = [_select(b.df, [_c(n) if n in b.names else none.alias(n) for n in names]) for b in branches]
-    return Solutions(reduce(DataFrame.unionAll, parts), names, frozenset(n for n in names if any(n not in b.names or n in b.maybe for b in branches)))
+    return Solutions(reduce(DataFrame.unionAll, parts), names, frozenset(n for n in names if any(n not in b.names or n in b.maybe for b in branches)), lambda: any(b.large() for b in branches))
 
 
 # ---- patterns ----
@@ -319,9 +324,8 @@ def bgp(graph, patterns: list[Pattern], before: Solutions | None = None) -> Solu
         left = [q for q in left if q is not nxt]
         view = view_of.get(id(nxt))
         rows = walk(graph, nxt, out) if view is None else match(view, nxt)
-        if out is not None and hasattr(view, "large") and view.large(nxt):
-            rows = rows.hint("merge")  # sizes are guessed from files and terms are longer than keys: a broadcast would put all of them into every task
-        out = join(out, Solutions(rows, tuple(nxt.vars)))
+        large = partial(view.large, nxt) if hasattr(view, "large") else lambda: False
+        out = join(out, Solutions(rows, tuple(nxt.vars), large=large))
         seen |= set(nxt.vars)
     return out
 
@@ -385,7 +389,7 @@ def solve(graph, group: Group) -> Solutions:
     out = _body(graph, group)
     none = F.lit(None).cast("string")
     for f in group.filters:
-        out = Solutions(out.df.filter(condition(f, lambda n: _c(n) if n in out.names else none)), out.names, out.maybe)
+        out = Solutions(out.df.filter(condition(f, lambda n: _c(n) if n in out.names else none)), out.names, out.maybe, out.large)
     for present, g in group.exists:
         # What it finds is compared with the outer solution before its own filters, which see the outer variables too.
         inner = _body(graph, g) if not g.exists else solve(graph, Group([], g.ordered(), g.exists))

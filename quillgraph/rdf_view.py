@@ -144,7 +144,7 @@ class View:
         """Whether a branch that fits reads more than FEW_ROWS rows. Files of repeated values are small and terms are long, so sizes of files don't tell; the files' footers do."""
         known = self.whole._rows
         for b in self._fitting(pattern):
-            files = tuple(sorted(unquote(f) for f in b.rows.inputFiles() if f.endswith(".parquet")))
+            files = tuple(sorted(unquote(f) for f in b.rows.inputFiles() if ".parquet" in f))
             if files not in known:
                 known[files] = b.rows.sparkSession.read.parquet(*files).count() if files else 0
             if known[files] > FEW_ROWS:
