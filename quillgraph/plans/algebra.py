@@ -21,6 +21,10 @@ from quillgraph.sources.tables import cut
 from quillgraph.sources.turtle import XSD
 
 
+#: Closures of so many pairs are broadcast to what they are joined to; larger ones are joined by shuffle.
+FEW_PAIRS = 50_000
+
+
 @dataclass(frozen=True)
 class Var:
     name: str
@@ -325,6 +329,11 @@ def bgp(graph, patterns: list[Pattern], before: Solutions | None = None) -> Solu
         view = view_of.get(id(nxt))
         rows = walk(graph, nxt, out) if view is None else match(view, nxt)
         large = partial(view.large, nxt) if hasattr(view, "large") else lambda: False
+        if view is None and out is not None:  # a closure's size isn't guessed from files, so that Catalyst may take what stands before for the smaller side and broadcast that
+            if rows.count() > FEW_PAIRS:
+                large = lambda: True
+            else:
+                rows = rows.hint("broadcast")
         out = join(out, Solutions(rows, tuple(nxt.vars), large=large))
         seen |= set(nxt.vars)
     return out
